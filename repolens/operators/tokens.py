@@ -110,12 +110,12 @@ def _indent_width(ws: Column) -> Column:
                        .when(c == "\f", F.lit(0)).otherwise(acc + 1)).cast("int")
 
 
-def logical_lines(tokens: DataFrame) -> DataFrame:
+def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
     """Significant tokens grouped into logical lines (one row per line).
 
     Columns: repo, path, ll, first_pos, first_off, t1, t2, t3, n_sig,
     indent, start_line, last_line, end_off, open_off, close_off, colon_off,
-    arrow_off, n_andor, n_else.
+    arrow_off, n_andor, n_else (+ andor_lines, else_lines on request).
     """
     w = Window.partitionBy(*_FILE).orderBy("pos")
     sig = tokens.where("sig")
@@ -131,7 +131,11 @@ def logical_lines(tokens: DataFrame) -> DataFrame:
         F.when(F.col("ll_next2") == F.col("ll"), F.col("t_next2")).alias("t3"),
         F.col("line"),
         F.when(_is_blank(F.col("prev_tok")), _indent_width(F.col("prev_tok"))).otherwise(0).alias("indent"))
-    agg = (sig.groupBy(*_FILE, "ll").agg(
+    extra = []
+    if decision_lines:
+        extra = [F.sort_array(F.collect_list(F.when(tok.isin("and", "or"), F.col("line")))).alias("andor_lines"),
+                 F.sort_array(F.collect_list(F.when((tok == "else") & ~is_first, F.col("line")))).alias("else_lines")]
+    agg = (sig.groupBy(*_FILE, "ll").agg(*extra,
         F.min_by(first_info, F.col("pos")).alias("f"),
         F.count(F.lit(1)).alias("n_sig"),
         F.max(F.col("line") + F.col("nl")).alias("last_line"),
@@ -149,4 +153,4 @@ def logical_lines(tokens: DataFrame) -> DataFrame:
         F.col("f.t1").alias("t1"), F.col("f.t2").alias("t2"), F.col("f.t3").alias("t3"),
         "n_sig", F.col("f.indent").alias("indent"), F.col("f.line").alias("start_line"),
         "last_line", "end_off", "open_off", "close_off", "colon_off", "arrow_off",
-        "n_andor", "n_else")
+        "n_andor", "n_else", *(["andor_lines", "else_lines"] if decision_lines else []))

@@ -216,3 +216,193 @@ FROM documents""")
 def q_loc(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return docs.select("doc_id", X.loc(F.col("text")).alias("loc"))
+
+
+# Python whitespace (str.isspace) and splitlines boundaries in RE2 syntax.
+_WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_LINE_RE = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+_DOC_LINES = f"""doc_lines AS (
+  SELECT repo, path, doc_id, line_no, line FROM (
+    SELECT source AS repo, lang || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, doc_id,
+           unnest(generate_series(1, len(l))) AS line_no, unnest(l) AS line, len(l) AS n
+    FROM (SELECT *, string_split_regex(text, '{_LINE_RE}') AS l FROM documents))
+  WHERE NOT (line_no = n AND line = ''))"""
+SEARCH_PATTERN = "licen[cs]e|token|@| the "
+
+
+@query("explode_lines", f"WITH {_DOC_LINES} SELECT doc_id, line_no, line FROM doc_lines")
+def q_explode_lines(spark, sf_dir):
+    from repolens.operators import search as SE
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("content"))
+    return SE.explode_lines(docs)
+
+
+@query("search_code", f"""WITH {_DOC_LINES}
+SELECT repo, path, line_no, 'Line ' || line_no || ': ' || regexp_replace(line, '^{_WS}+|{_WS}+$', '', 'g') AS match
+FROM (SELECT *, row_number() OVER (PARTITION BY repo, path ORDER BY line_no) AS k
+      FROM doc_lines WHERE regexp_matches(line, '(?i){SEARCH_PATTERN}'))
+WHERE k <= 20""")
+def q_search_code(spark, sf_dir):
+    from repolens.operators import search as SE
+    return SE.search_code(fx.documents_as_files(spark, sf_dir), SEARCH_PATTERN)
+
+
+@query("per_file_cap", f"""WITH {_DOC_LINES}
+SELECT repo, path, CAST(count(*) AS BIGINT) AS matches, CAST(least(count(*), 20) AS BIGINT) AS kept
+FROM doc_lines WHERE regexp_matches(line, '(?i){SEARCH_PATTERN}') GROUP BY repo, path""")
+def q_per_file_cap(spark, sf_dir):
+    from repolens.operators import search as SE
+    files = fx.documents_as_files(spark, sf_dir)
+    every = SE.search_code(files, SEARCH_PATTERN, cap=1 << 30).groupBy("repo", "path").agg(
+        F.count(F.lit(1)).alias("matches"))
+    kept = SE.search_code(files, SEARCH_PATTERN).groupBy("repo", "path").agg(F.count(F.lit(1)).alias("kept"))
+    return every.join(kept, ["repo", "path"])
+
+
+@query("token_count", r"""
+SELECT source AS repo, token, count(*) AS n
+FROM (SELECT source, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS token FROM documents)
+GROUP BY 1, 2""")
+def q_token_count(spark, sf_dir):
+    from repolens.operators import search as SE
+    return SE.token_count(fx.documents_as_files(spark, sf_dir))
+
+
+SYMBOL_QUERY = "Economy"
+
+
+@query("search_symbols", with_ctes("symbols_q", f"""
+SELECT repo, path, line FROM (
+  SELECT repo, path, CASE WHEN kind = 'def'
+           THEN 'def ' || qualified_name || params || '  — lines ' || start_line || '-' || end_line
+           ELSE 'class ' || name || '  — lines ' || start_line || '-' || end_line END AS line
+  FROM symbols_q) WHERE contains(lower(line), lower('{SYMBOL_QUERY}'))"""))
+def q_search_symbols(spark, sf_dir):
+    from repolens.operators import search as SE
+    return SE.search_symbols(_symbols(spark, sf_dir), SYMBOL_QUERY)
+
+
+@query("imports", with_ctes("code_lines", """
+SELECT f.repo, f.path, CAST(coalesce(i.n, 0) AS BIGINT) AS import_count, coalesce(i.imports, '') AS imports
+FROM code_files f LEFT JOIN (
+  SELECT repo, path, count(*) AS n, string_agg(stmt, chr(10) ORDER BY stmt) AS imports
+  FROM (SELECT DISTINCT repo, path, trim(txt) AS stmt FROM code_lines
+        WHERE path LIKE '%.py' AND regexp_matches(txt, '^\\s*(import|from)\\s')
+          AND NOT regexp_matches(txt, '^\\s*from\\s+__future__\\s'))
+  GROUP BY repo, path) i ON f.repo = i.repo AND f.path = i.path
+WHERE f.path LIKE '%.py'"""))
+def q_imports(spark, sf_dir):
+    from repolens.operators import pyfacts as PF
+    out = PF.imports(fx.code_files(spark, sf_dir))
+    return out.select("repo", "path", "import_count", F.array_join("imports", "\n").alias("imports"))
+
+
+@query("distinct_imports", with_ctes("code_lines", """
+SELECT repo, trim(txt) AS stmt, CAST(count(DISTINCT path) AS BIGINT) AS files
+FROM code_lines WHERE path LIKE '%.py' AND regexp_matches(txt, '^\\s*(import|from)\\s')
+GROUP BY 1, 2"""))
+def q_distinct_imports(spark, sf_dir):
+    from repolens.operators import pyfacts as PF
+    stmts = PF.import_statements(fx.code_files(spark, sf_dir))
+    return stmts.groupBy("repo", "stmt").agg(F.count_distinct("path").alias("files"))
+
+
+@query("decision_points", with_ctes("sig_lines", """
+SELECT repo, path, CAST(line_no AS BIGINT) AS line, kind FROM (
+  SELECT repo, path, line_no, regexp_extract(txt, '^\\s*(if|for|while|except|with)\\b', 1)
+         || CASE WHEN regexp_matches(txt, '^\\s*except\\b') THEN '_clause' ELSE '_statement' END AS kind
+  FROM sig_lines WHERE path LIKE '%.py' AND regexp_matches(txt, '^\\s*(if|for|while|except|with)\\b')
+  UNION ALL
+  SELECT repo, path, line_no, 'boolean_operator' FROM (
+    SELECT repo, path, line_no, unnest(regexp_extract_all(txt, '\\b(and|or)\\b')) AS w
+    FROM sig_lines WHERE path LIKE '%.py')
+  UNION ALL
+  SELECT repo, path, line_no, 'conditional_expression' FROM (
+    SELECT repo, path, line_no, unnest(regexp_extract_all(txt, '\\S\\s+else\\b')) AS w
+    FROM sig_lines WHERE path LIKE '%.py'))"""))
+def q_decision_points(spark, sf_dir):
+    from repolens.operators import pyfacts as PF
+    return PF.decision_points(fx.code_files(spark, sf_dir))
+
+
+_DEAD_CTE = """,
+py_defs AS (SELECT repo, name, max(path) AS path FROM symbols_q
+            WHERE kind = 'def' AND lang = 'python' AND path LIKE '%.py'
+              AND NOT (starts_with(name, '__') AND ends_with(name, '__')) GROUP BY repo, name),
+words AS (SELECT repo, token, count(*) AS n FROM (
+            SELECT repo, unnest(regexp_extract_all(content, '[\\p{L}\\p{N}_]+')) AS token
+            FROM code_files WHERE path LIKE '%.py') GROUP BY 1, 2)
+"""
+
+
+@query("dead_code_candidates", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
+SELECT d.repo, d.name AS function, d.path FROM py_defs d JOIN words w ON w.repo = d.repo AND w.token = d.name
+WHERE w.n = 1""")
+def q_dead_code(spark, sf_dir):
+    from repolens.operators import deadcode as DC
+    files = fx.code_files(spark, sf_dir)
+    return DC.dead_code_candidates(files, S.extract_symbols(files))
+
+
+@query("functions_scanned", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
+SELECT repo, count(*) AS functions_scanned FROM py_defs GROUP BY repo""")
+def q_functions_scanned(spark, sf_dir):
+    from repolens.operators import deadcode as DC
+    files = fx.code_files(spark, sf_dir)
+    return DC.functions_scanned(files, S.extract_symbols(files))
+
+
+@query("name_token_join", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
+SELECT d.repo, d.name AS function, w.n AS mentions FROM py_defs d JOIN words w ON w.repo = d.repo AND w.token = d.name""")
+def q_name_token_join(spark, sf_dir):
+    from repolens.operators import deadcode as DC
+    from repolens.operators import search as SE
+    files = fx.code_files(spark, sf_dir)
+    names = DC.defined_functions(files, S.extract_symbols(files))
+    counts = SE.token_count(files.where(F.col("path").endswith(".py"))).withColumnRenamed("token", "name")
+    return names.join(counts, ["repo", "name"]).select("repo", F.col("name").alias("function"),
+                                                       F.col("n").alias("mentions"))
+
+
+@query("doc_summary", f"""
+SELECT doc_id, CASE WHEN len(ls) = 0 THEN '' WHEN len(ls) > 1 THEN ls[1] || '...' ELSE ls[1] END AS summary
+FROM (SELECT doc_id, list_filter(list_transform(string_split(s3, chr(10)),
+                       lambda x: regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g')), lambda x: x <> '') AS ls
+      FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g'),
+                   '^"+|"+$', '', 'g'), '^''+|''+$', '', 'g') AS s3 FROM documents))""")
+def q_doc_summary(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", X.doc_summary(F.col("text")).alias("summary"))
+
+
+def _doc_bytes(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    t = F.col("text")
+    variants = F.array(
+        F.struct(F.lit("utf8").alias("variant"), F.encode(t, "UTF-8").alias("raw")),
+        F.struct(F.lit("utf16le_bom").alias("variant"),
+                 F.concat(F.lit(bytearray(b"\xff\xfe")), F.encode(t, "UTF-16LE")).alias("raw")),
+        F.struct(F.lit("utf16be_bom").alias("variant"),
+                 F.concat(F.lit(bytearray(b"\xfe\xff")), F.encode(t, "UTF-16BE")).alias("raw")),
+        F.struct(F.lit("bad_utf8").alias("variant"),
+                 F.concat(F.encode(t, "UTF-8"), F.lit(bytearray(b"\xff"))).alias("raw")))
+    return docs.select("doc_id", F.explode(variants).alias("v")).select("doc_id", "v.variant", "v.raw")
+
+
+_VARIANTS = "(VALUES ('utf8'), ('utf16le_bom'), ('utf16be_bom'), ('bad_utf8')) AS v(variant)"
+
+
+@query("decode_text", f"""
+SELECT doc_id, variant, CASE WHEN variant = 'bad_utf8' THEN text || chr(65533) ELSE text END AS text
+FROM documents CROSS JOIN {_VARIANTS}""")
+def q_decode_text(spark, sf_dir):
+    return _doc_bytes(spark, sf_dir).select("doc_id", "variant", X.decode_text(F.col("raw")).alias("text"))
+
+
+@query("read_file", f"""
+SELECT doc_id, variant, CASE WHEN variant = 'utf8' THEN text END AS text,
+       CASE WHEN variant = 'utf8' THEN NULL ELSE 'Error reading file: not valid UTF-8' END AS problem
+FROM documents CROSS JOIN {_VARIANTS}""")
+def q_read_file(spark, sf_dir):
+    from repolens.sources import files as FS
+    return FS.read_file(_doc_bytes(spark, sf_dir), raw_col="raw").select("doc_id", "variant", "text", "problem")
