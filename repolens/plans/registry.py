@@ -406,3 +406,224 @@ FROM documents CROSS JOIN {_VARIANTS}""")
 def q_read_file(spark, sf_dir):
     from repolens.sources import files as FS
     return FS.read_file(_doc_bytes(spark, sf_dir), raw_col="raw").select("doc_id", "variant", "text", "problem")
+
+
+# --------------------------------------------------------------------------
+# project configuration
+# --------------------------------------------------------------------------
+_STRIP = f"'^{_WS}+|{_WS}+$'"
+_PROJECT_CTES = with_ctes("manifests", "").rstrip() + f""",
+top AS (SELECT * FROM manifests WHERE NOT contains(path, '/')
+        OR regexp_matches(path, '^\\.github/workflows/[^/]+\\.yml$')),
+npm AS (SELECT repo, list_concat(d, list_filter(v, lambda x: NOT list_contains(d, x))) AS keys FROM (
+          SELECT repo, coalesce(json_keys(json_extract(content, '$.dependencies')), []) AS d,
+                 coalesce(json_keys(json_extract(content, '$.devDependencies')), []) AS v
+          FROM top WHERE path = 'package.json' AND json_valid(content) AND json_type(content) = 'OBJECT')),
+pip AS (SELECT repo, list_transform(list_filter(string_split_regex(lower(content), '{_LINE_RE}'),
+                       lambda l: regexp_replace(l, {_STRIP}, '', 'g') <> '' AND NOT starts_with(l, '#')),
+                       lambda l: regexp_replace(l, {_STRIP}, '', 'g')) AS pkgs
+        FROM top WHERE path = 'requirements.txt'),
+env AS (SELECT repo, list_transform(list_filter(list_transform(string_split_regex(content, '{_LINE_RE}'),
+                       lambda l: regexp_replace(l, {_STRIP}, '', 'g')),
+                       lambda l: l <> '' AND NOT starts_with(l, '#') AND contains(l, '=')),
+                       lambda l: regexp_replace(split_part(l, '=', 1), {_STRIP}, '', 'g')) AS keys
+        FROM top WHERE path = '.env.example'),
+fw AS (SELECT n.repo, s.fw FROM npm n JOIN (VALUES ('next', 'Next.js'), ('react', 'React'), ('vue', 'Vue'),
+                ('express', 'Express'), ('@angular/core', 'Angular')) AS s(sig, fw) ON list_contains(n.keys, s.sig)
+       UNION SELECT t.repo, s.fw FROM top t JOIN (VALUES ('requirements.txt', 'flask', 'Flask'),
+                ('requirements.txt', 'django', 'Django'), ('requirements.txt', 'fastapi', 'FastAPI'),
+                ('pyproject.toml', 'flask', 'Flask'), ('pyproject.toml', 'django', 'Django'),
+                ('pyproject.toml', 'fastapi', 'FastAPI')) AS s(m, sig, fw)
+                ON t.path = s.m AND contains(lower(t.content), s.sig)
+       UNION SELECT repo, 'Django' FROM top WHERE path = 'manage.py'
+       UNION SELECT repo, 'Next.js' FROM top WHERE path IN ('next.config.js', 'next.config.ts')),
+repos AS (SELECT repo, list(path) AS paths FROM top GROUP BY repo),
+cfg AS (SELECT repo,
+          list_filter(['.env.example', '.env', 'docker-compose.yml', 'pytest.ini', 'tsconfig.json', '.eslintrc.json',
+                       '.eslintrc.js', '.prettierrc', 'vite.config.js', 'vite.config.ts', 'next.config.js',
+                       'next.config.ts', 'tailwind.config.js'], lambda c: list_contains(paths, c)) AS config_files,
+          list_concat(list_filter(['Makefile', 'Dockerfile', '.gitlab-ci.yml'], lambda c: list_contains(paths, c)),
+                      list_sort(list_filter(paths, lambda p: regexp_matches(p, '^\\.github/workflows/[^/]+\\.yml$')))) AS build_ci
+        FROM repos)
+"""
+
+
+@query("project_config", _PROJECT_CTES + """
+SELECT r.repo,
+       coalesce((SELECT array_to_string(list_sort(list(DISTINCT fw)), ', ') FROM fw WHERE fw.repo = r.repo), '') AS frameworks,
+       array_to_string(n.keys, ', ') AS npm, array_to_string(p.pkgs, ', ') AS pip,
+       array_to_string(r.config_files, ', ') AS config_files, array_to_string(r.build_ci, ', ') AS build_ci,
+       coalesce(array_to_string(e.keys, ', '), '') AS env_vars_expected
+FROM cfg r LEFT JOIN npm n ON n.repo = r.repo LEFT JOIN pip p ON p.repo = r.repo LEFT JOIN env e ON e.repo = r.repo""")
+def q_project_config(spark, sf_dir):
+    from repolens.operators import project as PR
+    prof = PR.project_config(fx.manifests(spark, sf_dir))
+    return prof.select("repo", *[F.array_join(c, ", ").alias(c) for c in
+                                 ("frameworks", "npm", "pip", "config_files", "build_ci", "env_vars_expected")])
+
+
+@query("npm_keys", _PROJECT_CTES + "SELECT repo, array_to_string(keys, ', ') AS npm FROM npm")
+def q_npm_keys(spark, sf_dir):
+    from repolens.operators import project as PR
+    m = fx.manifests(spark, sf_dir).where(F.col("path") == "package.json")
+    k = PR.npm_keys(F.col("content"))
+    return m.where(k.isNotNull()).select("repo", F.array_join(k, ", ").alias("npm"))
+
+
+@query("merge_dependencies", _PROJECT_CTES + """
+SELECT repo, key, CAST(pos AS BIGINT) AS pos FROM (
+  SELECT repo, unnest(keys) AS key, unnest(generate_series(1, len(keys))) AS pos FROM npm)""")
+def q_merge_dependencies(spark, sf_dir):
+    from repolens.operators import project as PR
+    m = fx.manifests(spark, sf_dir).where(F.col("path") == "package.json")
+    return (m.select("repo", F.posexplode(PR.npm_keys(F.col("content"))).alias("p", "key"))
+            .select("repo", "key", (F.col("p") + 1).cast("bigint").alias("pos")))
+
+
+@query("pip_lines", _PROJECT_CTES + """
+SELECT repo, pkg, CAST(pos AS BIGINT) AS pos FROM (
+  SELECT repo, unnest(pkgs) AS pkg, unnest(generate_series(1, len(pkgs))) AS pos FROM pip)""")
+def q_pip_lines(spark, sf_dir):
+    from repolens.operators import project as PR
+    m = fx.manifests(spark, sf_dir).where(F.col("path") == "requirements.txt")
+    return (m.select("repo", F.posexplode(PR.pip_lines(F.col("content"))).alias("p", "pkg"))
+            .select("repo", "pkg", (F.col("p") + 1).cast("bigint").alias("pos")))
+
+
+@query("env_keys", _PROJECT_CTES + """
+SELECT repo, key, CAST(pos AS BIGINT) AS pos FROM (
+  SELECT repo, unnest(keys) AS key, unnest(generate_series(1, len(keys))) AS pos FROM env)""")
+def q_env_keys(spark, sf_dir):
+    from repolens.operators import project as PR
+    m = fx.manifests(spark, sf_dir).where(F.col("path") == ".env.example")
+    return (m.select("repo", F.posexplode(PR.env_keys(F.col("content"))).alias("p", "key"))
+            .select("repo", "key", (F.col("p") + 1).cast("bigint").alias("pos")))
+
+
+@query("framework_set", _PROJECT_CTES + "SELECT DISTINCT repo, fw AS framework FROM fw")
+def q_framework_set(spark, sf_dir):
+    from repolens.operators import project as PR
+    facts = PR.project_facts(fx.manifests(spark, sf_dir))
+    return facts.select("repo", F.explode("frameworks").alias("framework")).distinct()
+
+
+@query("union_framework_rules", _PROJECT_CTES + """
+SELECT fw AS framework, CAST(count(DISTINCT repo) AS BIGINT) AS repos FROM fw GROUP BY fw""")
+def q_union_framework_rules(spark, sf_dir):
+    from repolens.operators import project as PR
+    facts = PR.project_facts(fx.manifests(spark, sf_dir))
+    return (facts.select("repo", F.explode("frameworks").alias("framework")).distinct()
+            .groupBy("framework").agg(F.count(F.lit(1)).alias("repos")))
+
+
+@query("dependency_signal_join", _PROJECT_CTES + """
+SELECT n.repo, s.fw AS framework FROM npm n JOIN (VALUES ('next', 'Next.js'), ('react', 'React'), ('vue', 'Vue'),
+   ('express', 'Express'), ('@angular/core', 'Angular')) AS s(sig, fw) ON list_contains(n.keys, s.sig)""")
+def q_dependency_signal_join(spark, sf_dir):
+    from repolens.operators import project as PR
+    m = fx.manifests(spark, sf_dir).where(F.col("path") == "package.json")
+    return m.select("repo", F.explode(PR.dependency_signal_join(PR.npm_keys(F.col("content")))).alias("framework"))
+
+
+@query("text_signal_join", _PROJECT_CTES + """
+SELECT t.repo, s.fw AS framework FROM top t JOIN (VALUES ('requirements.txt', 'flask', 'Flask'),
+   ('requirements.txt', 'django', 'Django'), ('requirements.txt', 'fastapi', 'FastAPI'),
+   ('pyproject.toml', 'flask', 'Flask'), ('pyproject.toml', 'django', 'Django'),
+   ('pyproject.toml', 'fastapi', 'FastAPI')) AS s(m, sig, fw) ON t.path = s.m AND contains(lower(t.content), s.sig)""")
+def q_text_signal_join(spark, sf_dir):
+    from repolens.operators import project as PR
+    m = fx.manifests(spark, sf_dir).where(F.col("path").isin("requirements.txt", "pyproject.toml"))
+    return m.select("repo", F.explode(PR.text_signal_join(F.col("path"), F.lower(F.col("content")))).alias("framework"))
+
+
+@query("presence_join", _PROJECT_CTES + """
+SELECT repo, array_to_string(config_files, ', ') AS config_files FROM cfg""")
+def q_presence_join(spark, sf_dir):
+    prof = _project(spark, sf_dir)
+    return prof.select("repo", F.array_join("config_files", ", ").alias("config_files"))
+
+
+@query("ci_workflows", _PROJECT_CTES + "SELECT repo, array_to_string(build_ci, ', ') AS build_ci FROM cfg")
+def q_ci_workflows(spark, sf_dir):
+    prof = _project(spark, sf_dir)
+    return prof.select("repo", F.array_join("build_ci", ", ").alias("build_ci"))
+
+
+def _project(spark, sf_dir):
+    from repolens.operators import project as PR
+    return PR.project_config(fx.manifests(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# archives and scan listing
+# --------------------------------------------------------------------------
+_COORD_SQL = """
+SELECT archive_id, owner, repo, branch,
+  CASE WHEN NOT regexp_full_match(owner, '[A-Za-z0-9._-]+') OR NOT regexp_full_match(repo, '[A-Za-z0-9._-]+')
+       THEN 'Invalid owner or repo name.'
+       WHEN NOT regexp_full_match(branch, '[A-Za-z0-9._/-]+') OR contains(branch, '..')
+       THEN 'Invalid branch name.' END AS problem
+FROM archive_index"""
+
+
+@query("validate_coordinates", with_ctes("archive_index", _COORD_SQL))
+def q_validate_coordinates(spark, sf_dir):
+    from repolens.sources import archives as AR
+    return AR.validate_coordinates(fx.archive_index(spark, sf_dir)).select(
+        "archive_id", "owner", "repo", "branch", "problem")
+
+
+@query("archive_admission", with_ctes("archive_index,archive_entries", """
+SELECT a.archive_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_entries, CAST(coalesce(s.b, 0) AS BIGINT) AS expanded_bytes,
+  CASE WHEN a.compressed_bytes > 104857600 THEN 'Archive exceeds the 100 MB download limit.'
+       WHEN coalesce(s.n, 0) > 20000 THEN 'Archive contains more than 20000 entries.'
+       WHEN coalesce(s.b, 0) > 524288000 THEN 'Archive expands to more than 500 MB.' END AS problem
+FROM archive_index a LEFT JOIN (SELECT archive_id, count(*) AS n, sum(size) AS b FROM archive_entries GROUP BY 1) s
+  ON a.archive_id = s.archive_id"""))
+def q_archive_admission(spark, sf_dir):
+    from repolens.sources import archives as AR
+    idx = fx.archive_index(spark, sf_dir).select("archive_id", "compressed_bytes")
+    return AR.archive_admission(idx, fx.archive_entries(spark, sf_dir)).select(
+        "archive_id", "n_entries", "expanded_bytes", "problem")
+
+
+_ESCAPE_SQL = """
+esc AS (SELECT archive_id, name, starts_with(name, '/') OR min(depth) < 0 AS escapes FROM (
+          SELECT archive_id, name, k, sum(CASE WHEN part = '..' THEN -1 WHEN part IN ('', '.') THEN 0 ELSE 1 END)
+                 OVER (PARTITION BY archive_id, name, k ORDER BY i) AS depth FROM (
+            SELECT archive_id, name, k, unnest(parts) AS part, unnest(generate_series(1, len(parts))) AS i FROM (
+              SELECT archive_id, name, row_number() OVER () AS k, string_split(name, '/') AS parts FROM archive_entries)))
+        GROUP BY archive_id, name, k)"""
+
+
+@query("archive_containment", with_ctes("archive_entries", "").rstrip() + ",\n" + _ESCAPE_SQL + """
+SELECT archive_id, bool_or(escapes) AS escapes, min(CASE WHEN escapes THEN name END) AS offending_entry
+FROM esc GROUP BY archive_id""")
+def q_archive_containment(spark, sf_dir):
+    from repolens.sources import archives as AR
+    return AR.archive_containment(fx.archive_entries(spark, sf_dir))
+
+
+@query("classify_language", with_ctes("code_files,manifests", """
+SELECT repo, path, CASE regexp_extract(regexp_extract(path, '([^/]*)$', 1), '^.+(\\.[^.]+)$', 1)
+         WHEN '.py' THEN 'python' WHEN '.js' THEN 'javascript' WHEN '.jsx' THEN 'javascript' END AS lang
+FROM (SELECT repo, path FROM code_files UNION ALL SELECT repo, path FROM manifests)"""))
+def q_classify_language(spark, sf_dir):
+    files = fx.code_files(spark, sf_dir).select("repo", "path").unionByName(
+        fx.manifests(spark, sf_dir).select("repo", "path"))
+    return files.select("repo", "path", X.classify_language(F.col("path")).alias("lang"))
+
+
+@query("scan_outline", with_ctes("symbols_q,manifests", """
+SELECT w.repo, w.path, CASE WHEN regexp_matches(w.path, '\\.(py|js|jsx)$') THEN 'source' ELSE 'other' END AS kind,
+  CASE WHEN regexp_matches(w.path, '\\.(py|js|jsx)$') THEN coalesce(o.outline, 'No functions or classes found.') END AS outline
+FROM (SELECT repo, path FROM code_files UNION ALL SELECT repo, path FROM manifests) w
+LEFT JOIN (SELECT repo, path, string_agg(CASE WHEN kind = 'def'
+           THEN 'def ' || qualified_name || params || '  — lines ' || start_line || '-' || end_line
+           ELSE 'class ' || name || '  — lines ' || start_line || '-' || end_line END, chr(10) ORDER BY start_line) AS outline
+  FROM symbols_q GROUP BY repo, path) o ON w.repo = o.repo AND w.path = o.path"""))
+def q_scan_outline(spark, sf_dir):
+    from repolens.sources import files as FS
+    code = fx.code_files(spark, sf_dir).select("repo", "path", "content")
+    work = code.unionByName(fx.manifests(spark, sf_dir).select("repo", "path", "content"))
+    return FS.scan_outline(work, S.outline(code, S.extract_symbols(code)))

@@ -102,7 +102,7 @@ SELECT s_suppkey AS archive_id,
             WHEN 1 THEN 'proj-' || CAST(s_suppkey AS STRING) || chr(10) ELSE 'a/b' END AS repo,
        CASE s_suppkey % 5 WHEN 0 THEN 'main' WHEN 1 THEN 'feature/' || CAST(s_nationkey AS STRING)
             WHEN 2 THEN 'rel/../x' WHEN 3 THEN 'dev' || chr(10) ELSE 'v1.0' END AS branch,
-       CAST((s_acctbal + 1000.0) * 10000 AS BIGINT) AS compressed_bytes
+       CAST(floor((s_acctbal + 1000.0) * 10000) AS BIGINT) AS compressed_bytes
 FROM {supplier}
 """
 
@@ -115,7 +115,7 @@ SELECT l.l_suppkey AS archive_id,
             WHEN (l.l_orderkey * 7 + l.l_linenumber) % 997 = 2 THEN 'x/../../' || f.path
             WHEN (l.l_orderkey * 7 + l.l_linenumber) % 997 = 3 THEN 'x/../' || f.path
             ELSE 'proj-main/' || f.path END AS name,
-       CAST(l.l_extendedprice AS BIGINT) * 16 AS size
+       CAST(floor(l.l_extendedprice) AS BIGINT) * 16 AS size
 FROM {lineitem} l JOIN {code_files} f ON l.l_partkey = f.file_id
 """
 
