@@ -60,11 +60,16 @@ _FILE = ["repo", "path"]
 def partition_files(files: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Hash-partition files by (repo, path) once; all per-file windows reuse it.
 
-    A files table written bucketed by (repo, path) makes this free.
+    The partition count is explicit (default: the session's
+    ``spark.sql.shuffle.partitions``) because the file text is small in
+    bytes but expands ~50x into tokens: adaptive coalescing, which sizes
+    partitions by shuffled bytes, would otherwise squeeze the whole
+    token pipeline into a handful of tasks.  A files table written
+    bucketed by (repo, path) makes this shuffle free.
     """
-    if num_partitions:
-        return files.repartition(num_partitions, *_FILE)
-    return files.repartition(*_FILE)
+    if not num_partitions:
+        num_partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(num_partitions, *_FILE)
 
 
 def _is_blank(tok: Column) -> Column:
