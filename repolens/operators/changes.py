@@ -102,7 +102,7 @@ def change_impact(hunks: DataFrame, symbols: DataFrame, files: DataFrame, keys:
     existing = files.select("repo", "path")
     counts = modified_line_count(hunks, keys).join(existing, ["repo", "path"], "inner")
     hits = hunk_symbol_overlap(hunks, symbols, keys)
-    lists = hits.groupBy(*keys, "path").agg(F.array_sort(F.collect_list(F.struct(
+    lists = hits.groupBy(*keys, "path").agg(F.sort_array(F.collect_list(F.struct(
         "start_off", "function", "start_line", "end_line"))).alias("hits"))
     out = counts.join(lists, keys + ["path"] if "repo" in keys else keys + ["repo", "path"], "left")
     affected = F.transform(F.coalesce("hits", F.array()), lambda x: F.struct(

@@ -119,10 +119,10 @@ def project_config(files: DataFrame) -> DataFrame:
     list order, then workflows by name), expected env vars (file order)."""
     facts = project_facts(files)
     ordered = lambda pos: F.transform(
-        F.array_sort(F.collect_list(F.when(F.col(pos) > 0, F.struct(F.col(pos).alias("k"), F.col("path").alias("v"))))),
+        F.sort_array(F.collect_list(F.when(F.col(pos) > 0, F.struct(F.col(pos).alias("k"), F.col("path").alias("v"))))),
         lambda x: x["v"])
     prof = facts.groupBy("repo").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("frameworks")))).alias("frameworks"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("frameworks")))).alias("frameworks"),
         F.first("npm", ignorenulls=True).alias("npm"),
         F.first("pip", ignorenulls=True).alias("pip"),
         ordered("config_pos").alias("config_files"),

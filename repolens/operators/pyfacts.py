@@ -36,7 +36,7 @@ def imports(files: DataFrame) -> DataFrame:
     """(repo, path, import_count, imports): distinct statements, sorted; every
     .py file appears (count 0 when it imports nothing)."""
     stmts = import_statements(files)
-    per_file = stmts.groupBy(*_FILE).agg(F.array_sort(F.collect_set("stmt")).alias("imports"))
+    per_file = stmts.groupBy(*_FILE).agg(F.sort_array(F.collect_set("stmt")).alias("imports"))
     every = _python_files(files).select(*_FILE)
     out = every.join(per_file, _FILE, "left")
     arr = F.coalesce(F.col("imports"), F.array().cast("array<string>"))

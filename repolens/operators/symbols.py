@@ -129,6 +129,17 @@ def python_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
     return python_symbols_from_lines(T.logical_lines(T.tokenize(py, "python", partitioned=partitioned)))
 
 
+def python_spans(files: DataFrame) -> DataFrame:
+    """Python symbols with qualified names and spans, without text columns.
+
+    For analyses that need names, spans and scores only (change impact,
+    complexity, dead code): no JavaScript pass and no join back to the
+    file text.
+    """
+    syms = python_symbols(files)
+    return syms.withColumn("qualified_name", qualify(F.col("class_name"), F.col("name")))
+
+
 def with_text(symbols: DataFrame, files: DataFrame) -> DataFrame:
     """Attach params, return type, docstring and source by offset slicing.
 
@@ -144,7 +155,7 @@ def with_text(symbols: DataFrame, files: DataFrame) -> DataFrame:
                     F.coalesce(cut(F.col("open_off"), F.col("close_off") + 1), F.lit("()")))
     ret = F.when((F.col("kind") == "def") & F.col("arrow_off").isNotNull()
                  & (F.col("arrow_off") < F.col("colon_off")),
-                 py_strip(cut(F.col("arrow_off") + 1, F.col("colon_off"))))
+                 py_strip(cut(F.col("arrow_off") + 2, F.col("colon_off"))))
     doc = F.when(F.col("doc_off").isNotNull(), cut(F.col("doc_off"), F.col("doc_end_off")))
     joined = symbols.join(files.select(*_FILE, "content"), _FILE, "inner")
     return joined.select(
@@ -180,7 +191,7 @@ def outline(files: DataFrame, symbols: DataFrame) -> DataFrame:
         F.col("kind"), F.col("qualified_name"), F.col("name"), F.col("params"),
         F.col("start_line"), F.col("end_line")).alias("line"))
     per_file = lines.groupBy(*_FILE).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start_off", "line"))),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start_off", "line"))),
                                  lambda x: x["line"]), "\n").alias("outline"))
     parseable = files.where(classify_language(F.col("path")).isNotNull()).select(*_FILE)
     return (parseable.join(per_file, _FILE, "left")

@@ -29,14 +29,18 @@ _PY_STRING = (
     r'|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
     r"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+')"
 )
+# Leading blanks are attached to the token that follows them (possessive,
+# so a token never starts with a blank it could have taken): fewer rows,
+# and the blanks before a line's first token are its indentation.
+_BLANKS = r"[ \t\f]*+"
 PY_TOKEN_RE = (
-    r"(?s)" + _PY_STRING
+    r"(?s)" + _BLANKS + r"(?:" + _PY_STRING
     + r"|#[^\n]*"
     + r"|\\\r?\n"
     + r"|\r?\n"
-    + r"|[ \t\f]+"
+    + r"|->"
     + r"|[\p{L}\p{N}_]+"
-    + r"|."
+    + r"|.)"
 )
 
 _JS_STRING = (
@@ -45,13 +49,12 @@ _JS_STRING = (
     r"|`[^`\\]*+(?:\\.[^`\\]*+)*+`"
 )
 JS_TOKEN_RE = (
-    r"(?s)" + _JS_STRING
+    r"(?s)" + _BLANKS + r"(?:" + _JS_STRING
     + r"|//[^\n]*"
     + r"|/\*.*?\*/"
     + r"|\r?\n"
-    + r"|[ \t\f]+"
     + r"|[\p{L}\p{N}_$]+"
-    + r"|."
+    + r"|.)"
 )
 
 _FILE = ["repo", "path"]
@@ -72,39 +75,44 @@ def partition_files(files: DataFrame, num_partitions: int | None = None) -> Data
     return files.repartition(num_partitions, *_FILE)
 
 
-def _is_blank(tok: Column) -> Column:
-    return tok.rlike(r"^[ \t\f]+$")
-
-
 def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False) -> DataFrame:
     """files(repo, path, content) -> tokens.
 
-    Columns: repo, path, pos, tok, off, line, nl, dpt, ll, prev_tok, sig.
-    ``sig`` marks significant tokens (not blank, newline, comment or
-    continuation).
+    Columns: repo, path, pos, tok, lead, ws, off, line, nl, dpt, nlc, sig.
+    ``tok`` is the token without its leading blanks ``ws`` (``lead`` chars);
+    ``off`` is the offset of ``tok``; ``nlc`` counts newline tokens before
+    it; ``sig`` marks significant tokens (not newline, comment or
+    continuation).  One Window operator computes all running sums.
     """
     pattern = PY_TOKEN_RE if lang == "python" else JS_TOKEN_RE
-    comment = r"^#" if lang == "python" else r"^(//|/\*)"
     src = files if partitioned else partition_files(files)
-    toks = src.select(*_FILE, F.posexplode(F.regexp_extract_all("content", F.lit(pattern), 0)).alias("pos", "tok"))
+    raw = src.select(*_FILE, F.posexplode(F.regexp_extract_all("content", F.lit(pattern), 0)).alias("pos", "raw"))
+
+    rawc = F.col("raw")
+    tok = F.ltrim(rawc, F.lit(" \t\f"))
+    lead = (F.length(rawc) - F.length(tok)).cast("int")
+    raw = raw.select(*_FILE, "pos", tok.alias("tok"), lead.alias("lead"), F.length(rawc).alias("len_raw"),
+                     F.substring(rawc, 1, lead).alias("ws"))
 
     tok = F.col("tok")
-    nl = (F.length(tok) - F.length(F.regexp_replace(tok, "\n", ""))).cast("int")
+    c0 = F.substring(tok, 1, 1)
+    # Plain string tests (no regex per token): token classes follow from
+    # the first characters because the tokenizer emits whole runs.
+    nl = (F.length(tok) - F.length(F.replace(tok, F.lit("\n"), F.lit("")))).cast("int")
     delta = (F.when(tok.isin("(", "[", "{"), 1).when(tok.isin(")", "]", "}"), -1).otherwise(0))
-    is_newline = tok.rlike(r"^\r?\n$")
-    sig = ~(_is_blank(tok) | is_newline | tok.rlike(comment) | tok.rlike(r"^\\\r?\n$"))
+    is_newline = tok.isin("\n", "\r\n")
+    is_comment = (c0 == "#") if lang == "python" else (tok.startswith("//") | tok.startswith("/*"))
+    is_cont = (c0 == "\\") & (F.length(tok) > 1)
+    sig = ~(is_newline | is_comment | is_cont | (tok == ""))
 
     w = Window.partitionBy(*_FILE).orderBy("pos")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    # One Window operator for all running sums (same spec, one sort).
-    toks = toks.select(
-        "*", nl.alias("nl"), sig.alias("sig"),
-        F.coalesce(F.sum(F.length(tok)).over(before), F.lit(0)).cast("long").alias("off"),
+    return raw.select(
+        *_FILE, "pos", "tok", "lead", "ws", nl.alias("nl"), sig.alias("sig"),
+        (F.coalesce(F.sum("len_raw").over(before), F.lit(0)) + F.col("lead")).cast("long").alias("off"),
         (F.coalesce(F.sum(nl).over(before), F.lit(0)) + 1).cast("int").alias("line"),
         F.coalesce(F.sum(delta).over(before), F.lit(0)).cast("int").alias("dpt"),
-        F.lag(tok).over(w).alias("prev_tok"))
-    brk = F.when(is_newline & (F.col("dpt") <= 0), 1).otherwise(0)
-    return toks.withColumn("ll", F.coalesce(F.sum(brk).over(before), F.lit(0)).cast("int"))
+        F.coalesce(F.sum(F.when(is_newline, 1).otherwise(0)).over(before), F.lit(0)).cast("int").alias("nlc"))
 
 
 def _indent_width(ws: Column) -> Column:
@@ -118,24 +126,35 @@ def _indent_width(ws: Column) -> Column:
 def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
     """Significant tokens grouped into logical lines (one row per line).
 
+    A significant token opens a new logical line when it is at depth 0 and
+    a newline token lies between it and the previous significant token
+    (those newlines are then at depth 0 too: only non-significant tokens
+    sit in between).  Works on significant tokens only.
+
     Columns: repo, path, ll, first_pos, first_off, t1, t2, t3, n_sig,
     indent, start_line, last_line, end_off, open_off, close_off, colon_off,
     arrow_off, n_andor, n_else (+ andor_lines, else_lines on request).
     """
     w = Window.partitionBy(*_FILE).orderBy("pos")
     sig = tokens.where("sig")
+    prev_nlc, next1_nlc, next2_nlc = F.lag("nlc", 1).over(w), F.lead("nlc", 1).over(w), F.lead("nlc", 2).over(w)
     sig = sig.select(
-        "*", F.lead("tok", 1).over(w).alias("t_next1"), F.lead("tok", 2).over(w).alias("t_next2"),
-        F.lead("ll", 1).over(w).alias("ll_next1"), F.lead("ll", 2).over(w).alias("ll_next2"),
-        F.lag("ll", 1).over(w).alias("ll_prev"))
+        "*",
+        (prev_nlc.isNull() | ((F.col("dpt") == 0) & (F.col("nlc") > prev_nlc))).alias("is_first"),
+        F.lead("tok", 1).over(w).alias("t_next1"), F.lead("tok", 2).over(w).alias("t_next2"),
+        # the next tokens belong to this line unless they open a new one
+        (~((F.lead("dpt", 1).over(w) == 0) & (next1_nlc > F.col("nlc")))).alias("same1"),
+        (~(((F.lead("dpt", 1).over(w) == 0) & (next1_nlc > F.col("nlc")))
+           | ((F.lead("dpt", 2).over(w) == 0) & (next2_nlc > next1_nlc)))).alias("same2"))
+    sig = sig.withColumn("ll", F.sum(F.when(F.col("is_first"), 1).otherwise(0)).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
     tok, dpt, off = F.col("tok"), F.col("dpt"), F.col("off")
-    is_first = F.col("ll_prev").isNull() | (F.col("ll_prev") != F.col("ll"))
+    is_first = F.col("is_first")
     first_info = F.struct(
         F.col("pos"), off.alias("off"), tok.alias("t1"),
-        F.when(F.col("ll_next1") == F.col("ll"), F.col("t_next1")).alias("t2"),
-        F.when(F.col("ll_next2") == F.col("ll"), F.col("t_next2")).alias("t3"),
-        F.col("line"),
-        F.when(_is_blank(F.col("prev_tok")), _indent_width(F.col("prev_tok"))).otherwise(0).alias("indent"))
+        F.when(F.col("same1"), F.col("t_next1")).alias("t2"),
+        F.when(F.col("same2"), F.col("t_next2")).alias("t3"),
+        F.col("line"), F.col("ws"))
     extra = []
     if decision_lines:
         extra = [F.sort_array(F.collect_list(F.when(tok.isin("and", "or"), F.col("line")))).alias("andor_lines"),
@@ -148,7 +167,7 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         F.min(F.when((tok == "(") & (dpt == 0), off)).alias("open_off"),
         F.min(F.when((tok == ")") & (dpt == 1), off)).alias("close_off"),
         F.min(F.when((tok == ":") & (dpt == 0), off)).alias("colon_off"),
-        F.min(F.when((tok == ">") & (F.col("prev_tok") == "-") & (dpt == 0), off)).alias("arrow_off"),
+        F.min(F.when((tok == "->") & (dpt == 0), off)).alias("arrow_off"),
         F.sum(F.when(tok.isin("and", "or"), 1).otherwise(0)).alias("n_andor"),
         F.sum(F.when((tok == "else") & ~is_first, 1).otherwise(0)).alias("n_else"),
     ))
@@ -156,6 +175,10 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         *_FILE, "ll",
         F.col("f.pos").alias("first_pos"), F.col("f.off").alias("first_off"),
         F.col("f.t1").alias("t1"), F.col("f.t2").alias("t2"), F.col("f.t3").alias("t3"),
-        "n_sig", F.col("f.indent").alias("indent"), F.col("f.line").alias("start_line"),
+        "n_sig",
+        # indentation: the blanks attached to the line's first token (tabs to 8)
+        F.when(F.col("f.ws").rlike("[\t\f]"), _indent_width(F.col("f.ws")))
+        .otherwise(F.length(F.col("f.ws"))).alias("indent"),
+        F.col("f.line").alias("start_line"),
         "last_line", "end_off", "open_off", "close_off", "colon_off", "arrow_off",
         "n_andor", "n_else", *(["andor_lines", "else_lines"] if decision_lines else []))

@@ -156,7 +156,7 @@ WHERE s.kind = 'def' AND s.lang = 'python'
 GROUP BY s.repo, s.path, s.qualified_name, s.start_line"""))
 def q_score_complexity(spark, sf_dir):
     from repolens.operators import complexity as CX
-    return CX.score_complexity(_symbols(spark, sf_dir))
+    return CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------
@@ -184,7 +184,7 @@ def q_modified_line_count(spark, sf_dir):
 SELECT repo, change_id, path, function, start_line, end_line FROM hunk_overlaps"""))
 def q_hunk_symbol_overlap(spark, sf_dir):
     files = fx.code_files(spark, sf_dir)
-    return C.hunk_symbol_overlap(_hunks(spark, sf_dir), S.extract_symbols(files), ["repo", "change_id"]).drop("start_off")
+    return C.hunk_symbol_overlap(_hunks(spark, sf_dir), S.python_spans(files), ["repo", "change_id"]).drop("start_off")
 
 
 @query("change_impact", with_ctes("hunk_lines,hunk_overlaps,symbols_q", """
@@ -199,7 +199,7 @@ LEFT JOIN (SELECT repo, change_id, path, count(*) AS n_affected,
   ON a.repo = c.repo AND a.change_id = c.change_id AND a.path = c.path"""))
 def q_change_impact(spark, sf_dir):
     files = fx.code_files(spark, sf_dir)
-    impact = C.change_impact(_hunks(spark, sf_dir), S.extract_symbols(files), files, ["repo", "change_id"])
+    impact = C.change_impact(_hunks(spark, sf_dir), S.python_spans(files), files, ["repo", "change_id"])
     return impact.select(
         "repo", "change_id", "path", "modified_line_count", "n_affected",
         F.array_join(F.transform("affected_functions", lambda x: F.concat(
@@ -341,7 +341,7 @@ WHERE w.n = 1""")
 def q_dead_code(spark, sf_dir):
     from repolens.operators import deadcode as DC
     files = fx.code_files(spark, sf_dir)
-    return DC.dead_code_candidates(files, S.extract_symbols(files))
+    return DC.dead_code_candidates(files, S.python_spans(files))
 
 
 @query("functions_scanned", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
@@ -349,7 +349,7 @@ SELECT repo, count(*) AS functions_scanned FROM py_defs GROUP BY repo""")
 def q_functions_scanned(spark, sf_dir):
     from repolens.operators import deadcode as DC
     files = fx.code_files(spark, sf_dir)
-    return DC.functions_scanned(files, S.extract_symbols(files))
+    return DC.functions_scanned(files, S.python_spans(files))
 
 
 @query("name_token_join", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
@@ -358,7 +358,7 @@ def q_name_token_join(spark, sf_dir):
     from repolens.operators import deadcode as DC
     from repolens.operators import search as SE
     files = fx.code_files(spark, sf_dir)
-    names = DC.defined_functions(files, S.extract_symbols(files))
+    names = DC.defined_functions(files, S.python_spans(files))
     counts = SE.token_count(files.where(F.col("path").endswith(".py"))).withColumnRenamed("token", "name")
     return names.join(counts, ["repo", "name"]).select("repo", F.col("name").alias("function"),
                                                        F.col("n").alias("mentions"))

@@ -142,7 +142,7 @@ def code_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the hunks of one change joined to one diff text (sorted)."""
     return (hunk_rows(spark, sf_dir)
             .groupBy("repo", "change_id")
-            .agg(F.array_join(F.array_sort(F.collect_list("hunk_text")), "\n").alias("diff")))
+            .agg(F.array_join(F.sort_array(F.collect_list("hunk_text")), "\n").alias("diff")))
 
 
 def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
