@@ -93,21 +93,43 @@ def hunk_symbol_overlap(hunks: DataFrame, symbols: DataFrame, keys: list[str]) -
             .distinct())
 
 
+def union_length(ranges):
+    """Number of distinct integers covered by sorted closed ranges
+    (array<struct<lo, hi>>), merged in one pass."""
+    acc0 = F.struct(F.lit(-1).cast("long").alias("hi"), F.lit(0).cast("long").alias("n"))
+
+    def step(acc, r):
+        lo, hi = r["lo"].cast("long"), r["hi"].cast("long")
+        add = F.when(lo > acc["hi"], hi - lo + 1).when(hi > acc["hi"], hi - acc["hi"]).otherwise(0)
+        return F.struct(F.greatest(acc["hi"], hi).alias("hi"), (acc["n"] + add).alias("n"))
+
+    return F.aggregate(ranges, acc0, step)["n"]
+
+
 def change_impact(hunks: DataFrame, symbols: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
     """Per changed file that exists: modified line count and affected functions.
 
+    One pass: hunks are range-joined (left outer, bucketed) to function
+    spans, then grouped once per (change, path), collecting the hunk ranges
+    (whose union length is the modified line count) and the hits.
     Output (keys…, path, modified_line_count, n_affected, affected_functions
     array<struct<function, start_line, end_line, span>> in document order).
     """
+    r = hunk_ranges(hunks).select(*keys, "path", F.col("start_line").alias("h_lo"), F.col("end_line").alias("h_hi"))
+    defs = symbols.where(F.col("kind") == "def").select(
+        "repo", "path", F.col("qualified_name").alias("function"),
+        F.col("start_line").alias("s_lo"), F.col("end_line").alias("s_hi"), "start_off")
+    pairs = overlap_join(r, defs, ["repo", "path"], ("h_lo", "h_hi"), ("s_lo", "s_hi"), how="left")
+    per = pairs.groupBy(*keys, "path").agg(
+        F.sort_array(F.collect_set(F.struct(F.col("h_lo").alias("lo"), F.col("h_hi").alias("hi")))).alias("ranges"),
+        F.sort_array(F.collect_set(F.when(F.col("function").isNotNull(), F.struct(
+            "start_off", "function", F.col("s_lo").alias("start_line"), F.col("s_hi").alias("end_line"))))).alias("hits"))
     existing = files.select("repo", "path")
-    counts = modified_line_count(hunks, keys).join(existing, ["repo", "path"], "inner")
-    hits = hunk_symbol_overlap(hunks, symbols, keys)
-    lists = hits.groupBy(*keys, "path").agg(F.sort_array(F.collect_list(F.struct(
-        "start_off", "function", "start_line", "end_line"))).alias("hits"))
-    out = counts.join(lists, keys + ["path"] if "repo" in keys else keys + ["repo", "path"], "left")
-    affected = F.transform(F.coalesce("hits", F.array()), lambda x: F.struct(
+    out = per.join(existing, ["repo", "path"], "left_semi")
+    affected = F.transform("hits", lambda x: F.struct(
         x["function"].alias("function"), x["start_line"].alias("start_line"), x["end_line"].alias("end_line"),
         F.concat(F.lit("lines "), x["start_line"].cast("string"), F.lit("-"), x["end_line"].cast("string")).alias("span")))
-    return out.select(*keys, *([] if "repo" in keys else ["repo"]), "path", "modified_line_count",
-                      F.size(F.coalesce("hits", F.array())).cast("bigint").alias("n_affected"),
+    return out.select(*keys, *([] if "repo" in keys else ["repo"]), "path",
+                      union_length(F.col("ranges")).alias("modified_line_count"),
+                      F.size("hits").cast("bigint").alias("n_affected"),
                       affected.alias("affected_functions"))

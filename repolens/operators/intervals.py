@@ -26,16 +26,23 @@ def _bucketed(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
                  left_range: tuple[str, str], right_range: tuple[str, str],
-                 width: int = DEFAULT_BUCKET) -> DataFrame:
-    """Inner join of rows whose closed ranges overlap, equal on ``keys``.
+                 width: int = DEFAULT_BUCKET, how: str = "inner") -> DataFrame:
+    """Join rows whose closed ranges overlap, equal on ``keys``.
 
+    ``how="left"`` keeps every left row (right columns null where nothing
+    overlaps; an unmatched left row may then appear once per bucket).
     Column names other than ``keys`` must be distinct between the sides.
     """
     ls, le = left_range
     rs, re_ = right_range
     lb = _bucketed(left, ls, le, width)
-    rb = _bucketed(right, rs, re_, width)
+    rb = _bucketed(right, rs, re_, width).withColumnRenamed("_bucket", "_rbucket")
+    for k in keys:
+        rb = rb.withColumnRenamed(k, f"_r_{k}")
     overlap_start = F.greatest(F.col(ls), F.col(rs))
-    cond = ((F.col(ls) <= F.col(re_)) & (F.col(le) >= F.col(rs))
+    cond = F.col("_bucket") == F.col("_rbucket")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_r_{k}"))
+    cond = (cond & (F.col(ls) <= F.col(re_)) & (F.col(le) >= F.col(rs))
             & (F.floor(overlap_start / width).cast("long") == F.col("_bucket")))
-    return lb.join(rb, keys + ["_bucket"], "inner").where(cond).drop("_bucket")
+    return lb.join(rb, cond, how).drop("_bucket", "_rbucket", *[f"_r_{k}" for k in keys])
