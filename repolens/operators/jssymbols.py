@@ -14,8 +14,12 @@ Not matched, like the grammar query they mirror: arrow functions, function
 expressions, generators (``function*``), private ``#m`` and computed or
 string-named methods, class expressions.  Regex literals are not
 recognised as tokens; a bracket inside one can shift depths.
-The enclosing class (declarations only) is found with a bucketed
-containment join against class bodies.
+The enclosing class (declarations only) is found in the same pass with
+the level method: a class body is tagged in the bracket-level window, each
+candidate is copied to every shallower class-body level as a lookup row,
+and in a window over ``(repo, path, level)`` the last bracket before the
+lookup tells whether that level's open bracket is a class body.  One
+linear pipeline over the file's tokens: no self-join, no pairs.
 """
 
 from __future__ import annotations
@@ -25,7 +29,6 @@ from pyspark.sql import functions as F
 
 from repolens.functions.text import classify_language, qualify
 from repolens.operators import tokens as T
-from repolens.operators.intervals import overlap_join
 
 _FILE = ["repo", "path"]
 
@@ -75,40 +78,58 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
                     .when(p(2, "tok").isin(*METHOD_MODIFIERS), F.col("p2"))
                     .otherwise(F.col("p1")))
 
-    defs = stream.where(is_func | is_method).select(
-        *_FILE, F.lit("def").alias("kind"), p(1, "tok").alias("name"),
-        F.when(is_func, func_start).otherwise(method_start).alias("st"),
-        F.col("off").alias("open_off"), l(1, "off").alias("close_off"),
-        l(3, "line").alias("end_line"), (l(3, "off") + 1).alias("end_off"), F.col("pos").alias("start_pos"))
-
     body_at1 = l(1, "tok") == "{"
     body_at3 = (l(1, "tok") == "(") & (l(3, "tok") == "{")
-    classes = stream.where((tok == "class") & (body_at1 | body_at3)).select(
-        *_FILE, F.lit("class").alias("kind"), F.col("n1").alias("name"),
-        F.struct("tok", "line", "off").alias("st"),
-        F.lit(None).cast("long").alias("open_off"), F.lit(None).cast("long").alias("close_off"),
-        F.when(body_at1, l(2, "line")).otherwise(l(4, "line")).alias("end_line"),
-        (F.when(body_at1, l(2, "off")).otherwise(l(4, "off")) + 1).alias("end_off"),
-        F.col("pos").alias("start_pos"),
-        F.when(body_at1, l(1, "off")).otherwise(l(3, "off")).alias("body_off"))
-
-    def finish(df: DataFrame) -> DataFrame:
-        return df.select(*_FILE, F.lit("javascript").alias("lang"), "kind", "name",
-                         F.col("st.line").cast("int").alias("start_line"), F.col("end_line").cast("int"),
-                         "start_pos", F.col("st.off").alias("start_off"), "end_off", "open_off", "close_off",
-                         *([c for c in ("body_off",) if c in df.columns]))
-
-    defs, classes = finish(defs), finish(classes)
-    # Enclosing class: innermost class body containing the method name.
-    bodies = classes.select(*_FILE, F.col("name").alias("c_name"), F.col("body_off").alias("c_lo"),
-                            (F.col("end_off") - 1).alias("c_hi"))
-    points = defs.select(*_FILE, "start_pos", F.col("open_off").alias("d_lo"), F.col("open_off").alias("d_hi"))
-    inner = (overlap_join(points, bodies, _FILE, ("d_lo", "d_hi"), ("c_lo", "c_hi"))
-             .groupBy(*_FILE, "start_pos").agg(F.max_by("c_name", "c_lo").alias("class_name")))
-    defs = defs.join(inner, _FILE + ["start_pos"], "left")
-    classes = classes.drop("body_off").withColumn("class_name", F.lit(None).cast("string"))
-    return defs.unionByName(classes).select(
-        "*", F.lit(None).cast("long").alias("arrow_off"), F.lit(None).cast("long").alias("colon_off"),
+    is_class = (tok == "class") & (body_at1 | body_at3)
+    # class bodies, tagged from the bracket-level predecessors of '{'
+    g = lambda k: F.lag(F.struct("tok", "n1"), k).over(wl)
+    stream = stream.select(
+        "*",
+        F.when((tok == "{") & (g(1)["tok"] == "class"), g(1)["n1"])
+        .when((tok == "{") & (g(1)["tok"] == ")") & (g(2)["tok"] == "(") & (g(3)["tok"] == "class"), g(3)["n1"])
+        .alias("body_of"))
+    whole = Window.partitionBy(*_FILE)
+    stream = stream.select("*", F.collect_set(F.when(F.col("body_of").isNotNull(), F.col("lvl"))).over(whole)
+                           .alias("class_levels"))
+
+    is_def = is_func | is_method
+    info = F.struct(
+        F.when(is_def, F.lit("def")).otherwise(F.lit("class")).alias("kind"),
+        F.when(is_def, p(1, "tok")).otherwise(F.col("n1")).alias("name"),
+        F.when(is_func, func_start).when(is_method, method_start)
+        .otherwise(F.struct("tok", "line", "off")).alias("st"),
+        F.when(is_def, F.col("off")).alias("open_off"),
+        F.when(is_def, l(1, "off")).alias("close_off"),
+        F.when(is_def, l(3, "line")).when(body_at1, l(2, "line")).otherwise(l(4, "line")).alias("end_line"),
+        (F.when(is_def, l(3, "off")).when(body_at1, l(2, "off")).otherwise(l(4, "off")) + 1).alias("end_off"))
+    levels = F.concat(
+        F.when(F.array_contains("class_levels", F.col("lvl")) & tok.isin(*_OPEN, *_CLOSE), F.array(F.col("lvl")))
+        .otherwise(F.array().cast("array<int>")),
+        F.when(is_def, F.filter("class_levels", lambda v: v < F.col("dpt"))).otherwise(F.array().cast("array<int>")),
+        F.when(is_def | is_class, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>")))
+    rows = stream.select(*_FILE, "pos", "tok", "lvl", "body_of", F.when(is_def | is_class, info).alias("info"),
+                         F.explode(levels).alias("v"))
+    # own row per candidate (v = -1), bracket rows at their level, lookups below
+    rows = rows.withColumn("role", F.when(F.col("v") == -1, F.lit("self"))
+                           .when((F.col("v") == F.col("lvl")) & F.col("tok").isin(*_OPEN, *_CLOSE), F.lit("br"))
+                           .otherwise(F.lit("lk")))
+    wv = Window.partitionBy(*_FILE, "v").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    last_br = F.last(F.when(F.col("role") == "br", F.struct(
+        ((F.col("tok") == "{") & F.col("body_of").isNotNull()).alias("open_class"), F.col("body_of").alias("name"))),
+        ignorenulls=True).over(wv)
+    rows = rows.select("*", last_br.alias("last_br"))
+    enclosing = F.when((F.col("role") == "lk") & F.col("last_br.open_class"), F.col("last_br.name"))
+    grouped = (rows.where((F.col("role") == "self") | enclosing.isNotNull())
+               .groupBy(*_FILE, "pos")
+               .agg(F.first(F.when(F.col("role") == "self", F.col("info")), ignorenulls=True).alias("i"),
+                    F.max_by(enclosing, F.when(enclosing.isNotNull(), F.col("v"))).alias("class_name")))
+    return grouped.where(F.col("i").isNotNull()).select(
+        *_FILE, F.lit("javascript").alias("lang"), F.col("i.kind").alias("kind"), F.col("i.name").alias("name"),
+        F.when(F.col("i.kind") == "def", F.col("class_name")).alias("class_name"),
+        F.col("i.st.line").cast("int").alias("start_line"), F.col("i.end_line").cast("int").alias("end_line"),
+        F.col("pos").alias("start_pos"), F.col("i.st.off").alias("start_off"), F.col("i.end_off").alias("end_off"),
+        F.col("i.open_off").alias("open_off"), F.col("i.close_off").alias("close_off"),
+        F.lit(None).cast("long").alias("arrow_off"), F.lit(None).cast("long").alias("colon_off"),
         F.lit(None).cast("long").alias("doc_off"), F.lit(None).cast("long").alias("doc_end_off"),
         F.lit(None).cast("int").alias("complexity"))
 
