@@ -170,9 +170,9 @@ def extract_symbols(files: DataFrame) -> DataFrame:
     """files(repo, path, content) -> symbols for Python and JavaScript."""
     from repolens.operators import jssymbols  # noqa: F401
     files = T.partition_files(files)
-    py = with_text(python_symbols(files, partitioned=True), files)
-    js = jssymbols.with_text(jssymbols.js_symbols(files, partitioned=True), files)
-    return py.unionByName(js)
+    offsets = python_symbols(files, partitioned=True).unionByName(jssymbols.js_symbols(files, partitioned=True))
+    # one join back to the (already partitioned) text for both languages
+    return with_text(offsets, files)
 
 
 def outline_line(kind: Column, qualified: Column, name: Column, params: Column,
