@@ -44,3 +44,14 @@ def dead_code_candidates(files: DataFrame, symbols: DataFrame) -> DataFrame:
     return (names.join(counts, ["repo", "name"], "inner")
             .where(F.col("n") == 1)
             .select("repo", F.col("name").alias("function"), "path"))
+
+
+def dead_code_report(files: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Candidates with the per-repo scanned count, in one plan:
+    (repo, function, path, functions_scanned)."""
+    names = defined_functions(files, symbols)
+    scanned = names.groupBy("repo").agg(F.count(F.lit(1)).alias("functions_scanned"))
+    counts = token_count(_workspace(files)).withColumnRenamed("token", "name")
+    dead = names.join(counts, ["repo", "name"], "inner").where(F.col("n") == 1)
+    return dead.join(scanned, "repo", "inner").select("repo", F.col("name").alias("function"), "path",
+                                                     "functions_scanned")

@@ -627,3 +627,125 @@ def q_scan_outline(spark, sf_dir):
     code = fx.code_files(spark, sf_dir).select("repo", "path", "content")
     work = code.unionByName(fx.manifests(spark, sf_dir).select("repo", "path", "content"))
     return FS.scan_outline(work, S.outline(code, S.extract_symbols(code)))
+
+
+# --------------------------------------------------------------------------
+# structure, finer grained (each a view of the same operators)
+# --------------------------------------------------------------------------
+# RE2 forms of the token rules (no possessive quantifiers; RE2 picks the
+# leftmost alternative like the Java engine).
+_RE2_PY_TOKEN = (r"""(?s)[ \t\f]*(?:(?:[rRbBuUfF]{1,2})?(?:\"\"\"(?:.)*?\"\"\"|'''(?:.)*?'''|"(?:[^"\\\n]|\\.)*"|"""
+                 r"""'(?:[^'\\\n]|\\.)*')|#[^\n]*|\\\r?\n|\r?\n|->|[\p{L}\p{N}_]+|.)""")
+_RE2_JS_TOKEN = (r"""(?s)[ \t\f]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`|//[^\n]*|/\*.*?\*/"""
+                 r"""|\r?\n|[\p{L}\p{N}_$]+|.)""")
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+@query("tokenize", with_ctes("code_files", f"""
+SELECT repo, path, CAST(pos AS BIGINT) AS pos, tok,
+  CAST(1 + coalesce(sum(len(tok) - len(replace(tok, chr(10), ''))) OVER w, 0) AS BIGINT) AS line,
+  CAST(coalesce(sum(CASE WHEN tok IN ('(', '[', '{{') THEN 1 WHEN tok IN (')', ']', '}}') THEN -1 ELSE 0 END) OVER w, 0) AS BIGINT) AS dpt
+FROM (
+  SELECT repo, path, unnest(generate_series(0, len(t) - 1)) AS pos,
+         ltrim(unnest(t), ' ' || chr(9) || chr(12)) AS tok
+  FROM (SELECT repo, path, regexp_extract_all(content, {_sql_str(_RE2_PY_TOKEN)}) AS t FROM code_files
+        WHERE path LIKE '%.py')
+  UNION ALL
+  SELECT repo, path, unnest(generate_series(0, len(t) - 1)) AS pos,
+         ltrim(unnest(t), ' ' || chr(9) || chr(12)) AS tok
+  FROM (SELECT repo, path, regexp_extract_all(content, {_sql_str(_RE2_JS_TOKEN)}) AS t FROM code_files
+        WHERE path LIKE '%.js'))
+WINDOW w AS (PARTITION BY repo, path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""".replace("{{", "{").replace("}}", "}")))
+def q_tokenize(spark, sf_dir):
+    from repolens.operators import tokens as T
+    files = fx.code_files(spark, sf_dir)
+    out = []
+    for lang, sfx in (("python", ".py"), ("javascript", ".js")):
+        toks = T.tokenize(files.where(F.col("path").endswith(sfx)), lang)
+        out.append(toks.select("repo", "path", F.col("pos").cast("bigint"), "tok",
+                               F.col("line").cast("bigint"), F.col("dpt").cast("bigint")))
+    return out[0].unionByName(out[1])
+
+
+def _symbol_view(where_sql: str, cond):
+    def fn(spark, sf_dir):
+        return _symbols(spark, sf_dir).where(cond()).select(*_SYMBOL_COLS)
+    return with_ctes("symbols_q", f"SELECT {', '.join(_SYMBOL_COLS)} FROM symbols_q WHERE {where_sql}"), fn
+
+
+for _name, _sql, _cond in [
+    ("py_functions", "lang = 'python' AND kind = 'def'", lambda: (F.col("lang") == "python") & (F.col("kind") == "def")),
+    ("py_classes", "lang = 'python' AND kind = 'class'", lambda: (F.col("lang") == "python") & (F.col("kind") == "class")),
+    ("js_functions", "lang = 'javascript' AND kind = 'def'",
+     lambda: (F.col("lang") == "javascript") & (F.col("kind") == "def")),
+    ("js_classes", "lang = 'javascript' AND kind = 'class'",
+     lambda: (F.col("lang") == "javascript") & (F.col("kind") == "class")),
+    ("enclosing_class", "class_name IS NOT NULL", lambda: F.col("class_name").isNotNull()),
+]:
+    _oracle, _fn = _symbol_view(_sql, _cond)
+    query(_name, _oracle)(_fn)
+
+
+@query("symbol_spans", with_ctes("symbols_q", """
+SELECT repo, path, kind, name, start_line, end_line, CAST(end_line - start_line + 1 AS BIGINT) AS span_lines
+FROM symbols_q"""))
+def q_symbol_spans(spark, sf_dir):
+    s = _symbols(spark, sf_dir)
+    return s.select("repo", "path", "kind", "name", "start_line", "end_line",
+                    (F.col("end_line") - F.col("start_line") + 1).cast("bigint").alias("span_lines"))
+
+
+@query("read_unified_diff", with_ctes("diff_lines", """
+SELECT repo, change_id, path, deleted FROM (
+  SELECT repo, change_id,
+         CASE WHEN starts_with(line, '+++ b/') THEN trim(substr(line, 7))
+              WHEN cur_old IS NOT NULL THEN cur_old END AS path,
+         line = '+++ /dev/null' AS deleted
+  FROM (SELECT *, CASE WHEN starts_with(prev, '--- a/') THEN trim(substr(prev, 7)) END AS cur_old
+        FROM (SELECT *, lag(line) OVER (PARTITION BY repo, change_id ORDER BY idx) AS prev FROM diff_lines))
+  WHERE starts_with(line, '+++ '))"""))
+def q_read_unified_diff(spark, sf_dir):
+    sec = C.diff_sections(fx.code_diffs(spark, sf_dir))
+    return sec.where(F.col("path").isNotNull() | F.col("deleted")).select(
+        "repo", "change_id", F.coalesce("path", "old_path").alias("path"), "deleted")
+
+
+@query("functions_scored", with_ctes("symbols_q", """
+SELECT repo, path, count(*) AS functions_scored FROM symbols_q
+WHERE lang = 'python' AND kind = 'def' GROUP BY repo, path"""))
+def q_functions_scored(spark, sf_dir):
+    from repolens.operators import complexity as CX
+    return CX.functions_scored(CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir))))
+
+
+@query("sort_complexity", with_ctes("symbols_q,line_decisions", """
+SELECT repo, path, function, line, complexity_score,
+       row_number() OVER (PARTITION BY repo, path ORDER BY complexity_score DESC, line) AS rank_in_file
+FROM (SELECT s.repo, s.path, s.qualified_name AS function, CAST(s.start_line AS BIGINT) AS line,
+             CAST(1 + coalesce(sum(d.dec), 0) AS BIGINT) AS complexity_score
+      FROM symbols_q s LEFT JOIN line_decisions d ON s.repo = d.repo AND s.path = d.path
+       AND d.line_no BETWEEN s.start_line AND s.end_line
+      WHERE s.kind = 'def' AND s.lang = 'python'
+      GROUP BY s.repo, s.path, s.qualified_name, s.start_line)"""))
+def q_sort_complexity(spark, sf_dir):
+    from pyspark.sql import Window
+
+    from repolens.operators import complexity as CX
+    scores = CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir)))
+    w = Window.partitionBy("repo", "path").orderBy(F.desc("complexity_score"), "line")
+    return scores.select("repo", "path", "function", "line", "complexity_score",
+                         F.row_number().over(w).cast("bigint").alias("rank_in_file"))
+
+
+@query("dead_code", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
+SELECT d.repo, d.name AS function, d.path, s.functions_scanned
+FROM py_defs d JOIN words w ON w.repo = d.repo AND w.token = d.name
+JOIN (SELECT repo, count(*) AS functions_scanned FROM py_defs GROUP BY repo) s ON s.repo = d.repo
+WHERE w.n = 1""")
+def q_dead_code_report(spark, sf_dir):
+    from repolens.operators import deadcode as DC
+    files = fx.code_files(spark, sf_dir)
+    return DC.dead_code_report(files, S.python_spans(files))
