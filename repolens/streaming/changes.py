@@ -27,14 +27,16 @@ def stream_hunks(diffs: DataFrame) -> DataFrame:
 
 def start_change_impact(spark: SparkSession, source_dir: str, symbols_path: str, files_path: str,
                         out_path: str, name: str = "change_impact", available_now: bool = True,
-                        fmt: str = "parquet") -> StreamingQuery:
+                        fmt: str = "parquet", checkpoint_location: str | None = None) -> StreamingQuery:
     """Run ``change_impact`` on every micro-batch of landed diffs.
 
     ``symbols_path`` / ``files_path`` are the persisted tables (the symbol
     table is written once by ``extract_symbols``; it is not recomputed per
     batch).  Output goes to ``out_path/batch_id=N``, overwritten on replay,
     so a batch re-run after an executor or driver loss is idempotent.  The
-    stream's checkpoint lives below the shared ``spark.checkpoint.dir``.
+    stream's checkpoint lives below the shared ``spark.checkpoint.dir``
+    (``streams/<name>``) unless ``checkpoint_location`` names one; one
+    checkpoint belongs to one source and sink.
     """
     keys = ["repo", "change_id"]
 
@@ -47,7 +49,7 @@ def start_change_impact(spark: SparkSession, source_dir: str, symbols_path: str,
 
     writer = (read_diff_stream(spark, source_dir, fmt).writeStream
               .queryName(name)
-              .option("checkpointLocation", f"{checkpoint_dir(spark)}/streams/{name}")
+              .option("checkpointLocation", checkpoint_location or f"{checkpoint_dir(spark)}/streams/{name}")
               .foreachBatch(per_batch))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -19,7 +19,8 @@ def test_stream_change_impact(spark, tmpdir_fresh):
         .write.parquet(os.path.join(land, "part1"))
     out = os.path.join(tmpdir_fresh, "out")
     q = SC.start_change_impact(spark, os.path.join(land, "part1"), symbols_path, files_path, out,
-                               name="t_change_impact")
+                               name="t_change_impact",
+                               checkpoint_location=os.path.join(tmpdir_fresh, "stream-ckpt"))
     q.awaitTermination(120)
     rows = spark.read.parquet(out).collect()
     got = sorted((r.change_id, [f.function for f in r.affected_functions]) for r in rows)
