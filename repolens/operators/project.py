@@ -118,6 +118,11 @@ def project_config(files: DataFrame) -> DataFrame:
     when that manifest is absent), config files and build/CI files (fixed
     list order, then workflows by name), expected env vars (file order)."""
     facts = project_facts(files)
+    # only rows that contribute something reach the per-repo group, so a
+    # repository's group is bounded by its manifests and candidate files
+    facts = facts.where(F.col("npm").isNotNull() | F.col("pip").isNotNull() | F.col("env").isNotNull()
+                        | (F.size("frameworks") > 0) | (F.col("config_pos") > 0) | (F.col("build_pos") > 0)
+                        | F.col("path").isin("package.json", "requirements.txt", ".env.example"))
     ordered = lambda pos: F.transform(
         F.sort_array(F.collect_list(F.when(F.col(pos) > 0, F.struct(F.col(pos).alias("k"), F.col("path").alias("v"))))),
         lambda x: x["v"])
@@ -128,6 +133,13 @@ def project_config(files: DataFrame) -> DataFrame:
         ordered("config_pos").alias("config_files"),
         ordered("build_pos").alias("build_ci"),
         F.coalesce(F.first("env", ignorenulls=True), F.array().cast("array<string>")).alias("env_vars_expected"))
+    # every repository gets a profile, also one whose top level has no signal
+    # (the distinct repo list reads only the repo column)
+    empty = F.array().cast("array<string>")
+    prof = files.select("repo").distinct().join(prof, "repo", "left").select(
+        "repo", F.coalesce("frameworks", empty).alias("frameworks"), "npm", "pip",
+        F.coalesce("config_files", empty).alias("config_files"), F.coalesce("build_ci", empty).alias("build_ci"),
+        F.coalesce("env_vars_expected", empty).alias("env_vars_expected"))
     deps = F.map_filter(F.map_from_arrays(F.array(F.lit("npm"), F.lit("pip")), F.array("npm", "pip")),
                         lambda k, v: v.isNotNull())
     return prof.withColumn("dependencies", deps)
