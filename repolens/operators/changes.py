@@ -49,10 +49,13 @@ def diff_hunks(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_col:
     keys = [c for c in diffs.columns if c != diff_col]
     hunks = sec.where(F.col("path").isNotNull() & keep).select(
         *keys, "path", F.explode(F.arrays_zip("starts", "counts")).alias("h"))
-    return hunks.select(
+    # try_cast: an undecodable count skips the hunk instead of failing the job
+    out = hunks.select(
         *keys, "path",
-        F.col("h.starts").cast("int").alias("start_line"),
-        F.when(F.col("h.counts") == "", 1).otherwise(F.col("h.counts").cast("int")).alias("line_count"))
+        F.col("h.starts").try_cast("long").alias("start_line"),
+        F.when(F.col("h.counts") == "", F.lit(1).cast("long")).otherwise(F.col("h.counts").try_cast("long"))
+        .alias("line_count"))
+    return out.where(F.col("start_line").isNotNull() & F.col("line_count").isNotNull())
 
 
 def deleted_paths(diffs: DataFrame, diff_col: str = "diff") -> DataFrame:

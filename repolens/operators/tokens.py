@@ -64,14 +64,17 @@ def partition_files(files: DataFrame, num_partitions: int | None = None) -> Data
     """Hash-partition files by (repo, path) once; all per-file windows reuse it.
 
     The partition count is explicit (default: the session's
-    ``spark.sql.shuffle.partitions``) because the file text is small in
+    ``spark.sql.shuffle.partitions``, at most four tasks per core of the
+    cluster) because the file text is small in
     bytes but expands ~50x into tokens: adaptive coalescing, which sizes
     partitions by shuffled bytes, would otherwise squeeze the whole
     token pipeline into a handful of tasks.  A files table written
     bucketed by (repo, path) makes this shuffle free.
     """
     if not num_partitions:
-        num_partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spark = files.sparkSession
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = max(1, min(configured, 4 * spark.sparkContext.defaultParallelism))
     return files.repartition(num_partitions, *_FILE)
 
 
