@@ -22,8 +22,13 @@ CHURN_SUFFIXES = [".py", ".js", ".jsx", ".ts", ".tsx"]
 SEARCH_MATCH_CAP = 20
 # Hotspots reported by the churn heatmap.
 HOTSPOT_TOP_K = 15
-# Outline fallback text and risk bands (score > 5, > 10, > 20).
+# Outline line formats, fallback text, and risk bands (score > 5, > 10, > 20).
+OUTLINE_DEF = "def {qualified}{params}  — lines {start}-{end}"
+OUTLINE_CLASS = "class {name}  — lines {start}-{end}"
 NO_SYMBOLS_TEXT = "No functions or classes found."
+UNSUPPORTED_TEXT = "Error: Unsupported file type '{ext}'."
+NOT_FOUND_TEXT = "Error: file not found at '{path}'."
+SEARCH_LINE = "Line {n}: {text}"
 RISK_BANDS = [(20, "Extreme"), (10, "High"), (5, "Moderate")]
 RISK_DEFAULT = "Low"
 # ---------------------------------------------------------------------------
@@ -41,6 +46,18 @@ UNIVERSAL_NEWLINE_RE = r"\r\n|\r|\n"
 WORD_RE = r"[\p{L}\p{N}_]+"
 
 
+def template(fmt: str, **cols: Column) -> Column:
+    """A fixed text format with ``{name}`` fields filled from columns."""
+    import re
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", fmt)):
+        if i % 2:
+            parts.append(cols[piece].cast("string"))
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)
+
+
 def py_strip(col: Column) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace."""
     return F.regexp_replace(col, rf"\A{PY_WS_CLASS}+|{PY_WS_CLASS}+\z", "")

@@ -13,8 +13,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.functions.text import (NO_SYMBOLS_TEXT, SEARCH_MATCH_CAP, SEARCHABLE_SUFFIXES, WORD_RE,
-                                     in_skipped_dir, py_strip, scope, split_lines, suffix)
+from repolens.functions.text import (NO_SYMBOLS_TEXT, SEARCH_LINE, SEARCH_MATCH_CAP, SEARCHABLE_SUFFIXES, WORD_RE,
+                                     in_skipped_dir, py_strip, scope, split_lines, suffix, template)
 from repolens.operators.symbols import outline_line
 
 _FILE = ["repo", "path"]
@@ -53,8 +53,7 @@ def search_code(files: DataFrame, pattern: str, prefix: str | None = None,
     hits = F.slice(F.filter(numbered, lambda x: x["text"].rlike(regex)), 1, cap)
     return (candidates.select(*_FILE, F.explode(hits).alias("m"))
             .select(*_FILE, F.col("m.line_no").cast("bigint").alias("line_no"),
-                    F.concat(F.lit("Line "), F.col("m.line_no").cast("string"), F.lit(": "),
-                             py_strip(F.col("m.text"))).alias("match")))
+                    template(SEARCH_LINE, n=F.col("m.line_no"), text=py_strip(F.col("m.text"))).alias("match")))
 
 
 def search_symbols(symbols: DataFrame, query: str, names_only: bool = False,

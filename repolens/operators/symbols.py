@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from repolens.functions.text import NO_SYMBOLS_TEXT, classify_language, qualify
+from repolens.functions.text import NO_SYMBOLS_TEXT, OUTLINE_CLASS, OUTLINE_DEF, classify_language, qualify, template
 from repolens.operators import tokens as T
 
 _FILE = ["repo", "path"]
@@ -177,9 +177,8 @@ def extract_symbols(files: DataFrame) -> DataFrame:
 
 def outline_line(kind: Column, qualified: Column, name: Column, params: Column,
                  start: Column, end: Column) -> Column:
-    span = F.concat(F.lit("  — lines "), start.cast("string"), F.lit("-"), end.cast("string"))
-    return F.when(kind == "def", F.concat(F.lit("def "), qualified, params, span)) \
-        .otherwise(F.concat(F.lit("class "), name, span))
+    return F.when(kind == "def", template(OUTLINE_DEF, qualified=qualified, params=params, start=start, end=end)) \
+        .otherwise(template(OUTLINE_CLASS, name=name, start=start, end=end))
 
 
 def outline(files: DataFrame, symbols: DataFrame) -> DataFrame:

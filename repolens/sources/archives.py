@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repolens.functions.text import template
+
 # ---------------------------------------------------------------------------
 # Fixed values (must match the analysed tool).
 # ---------------------------------------------------------------------------
@@ -23,6 +25,13 @@ MAX_UNCOMPRESSED_BYTES = 500 * 1024 * 1024
 MAX_MEMBERS = 20_000
 SEGMENT_RE = r"\A[A-Za-z0-9._-]+\z"
 BRANCH_RE = r"\A[A-Za-z0-9._/-]+\z"
+MSG_BAD_NAME = "Invalid owner or repo name."
+MSG_BAD_BRANCH = "Invalid branch name."
+MSG_TOO_BIG = "Archive exceeds the {mb} MB download limit."
+MSG_TOO_MANY = "Archive contains more than {n} entries."
+MSG_EXPANDS = "Archive expands to more than {mb} MB."
+MSG_ESCAPES = "Refused archive: entry '{name}' resolves outside 'repos/'."
+LOCAL_PATH = "repos/{repo}-{branch}"
 # ---------------------------------------------------------------------------
 
 ENTRY_SCHEMA = "archive string, name string, size bigint, is_dir boolean, raw binary"
@@ -35,10 +44,10 @@ def validate_coordinates(index: DataFrame) -> DataFrame:
     """
     bad_name = ~F.col("owner").rlike(SEGMENT_RE) | ~F.col("repo").rlike(SEGMENT_RE)
     bad_branch = ~F.col("branch").rlike(BRANCH_RE) | F.col("branch").contains("..")
-    problem = (F.when(bad_name, F.lit("Invalid owner or repo name."))
-               .when(bad_branch, F.lit("Invalid branch name.")))
+    problem = (F.when(bad_name, F.lit(MSG_BAD_NAME))
+               .when(bad_branch, F.lit(MSG_BAD_BRANCH)))
     return index.withColumn("problem", problem).withColumn(
-        "local_path", F.when(problem.isNull(), F.concat(F.lit("repos/"), F.col("repo"), F.lit("-"), F.col("branch"))))
+        "local_path", F.when(problem.isNull(), template(LOCAL_PATH, repo=F.col("repo"), branch=F.col("branch"))))
 
 
 def escapes_root(name: F.Column) -> F.Column:
@@ -65,10 +74,10 @@ def archive_admission(archives: DataFrame, entries: DataFrame, key: str = "archi
                                      F.sum("size").cast("bigint").alias("expanded_bytes"))
     joined = archives.join(stats, key, "left").fillna({"n_entries": 0, "expanded_bytes": 0})
     problem = (F.when(F.col("compressed_bytes") > MAX_DOWNLOAD_BYTES,
-                      F.lit(f"Archive exceeds the {MAX_DOWNLOAD_BYTES // (1024 * 1024)} MB download limit."))
-               .when(F.col("n_entries") > MAX_MEMBERS, F.lit(f"Archive contains more than {MAX_MEMBERS} entries."))
+                      F.lit(MSG_TOO_BIG.format(mb=MAX_DOWNLOAD_BYTES // (1024 * 1024))))
+               .when(F.col("n_entries") > MAX_MEMBERS, F.lit(MSG_TOO_MANY.format(n=MAX_MEMBERS)))
                .when(F.col("expanded_bytes") > MAX_UNCOMPRESSED_BYTES,
-                     F.lit(f"Archive expands to more than {MAX_UNCOMPRESSED_BYTES // (1024 * 1024)} MB.")))
+                     F.lit(MSG_EXPANDS.format(mb=MAX_UNCOMPRESSED_BYTES // (1024 * 1024)))))
     return joined.withColumn("problem", problem)
 
 
@@ -79,7 +88,7 @@ def archive_verdict(index: DataFrame, entries: DataFrame, key: str = "archive_id
         "problem", "size_problem").drop("compressed_bytes")
     cont = archive_containment(entries, key)
     out = coords.join(adm, key, "left").join(cont, key, "left")
-    refused = F.concat(F.lit("Refused archive: entry '"), F.col("offending_entry"), F.lit("' resolves outside 'repos/'."))
+    refused = template(MSG_ESCAPES, name=F.col("offending_entry"))
     problem = F.coalesce(F.col("coord_problem"), F.col("size_problem"), F.when(F.col("escapes"), refused))
     return out.select(key, "owner", "repo", "branch", "n_entries", "expanded_bytes",
                       F.when(problem.isNull(), "success").otherwise("error").alias("status"),

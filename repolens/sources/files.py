@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from repolens.functions.text import (NO_SYMBOLS_TEXT, PARSEABLE_SUFFIXES, SKIP_DIRS, classify_language,
-                                     file_name, strict_utf8, suffix)
+from repolens.functions.text import (NO_SYMBOLS_TEXT, NOT_FOUND_TEXT, PARSEABLE_SUFFIXES, SKIP_DIRS,
+                                     UNSUPPORTED_TEXT, classify_language, file_name, strict_utf8, suffix, template)
 
 FILES_SCHEMA = "repo string, path string, size bigint, raw binary"
 
@@ -115,7 +115,7 @@ def read_path(files: DataFrame, repo: str, path: str) -> DataFrame:
     spark = files.sparkSession
     want = spark.createDataFrame([(repo, path)], "repo string, path string")
     found = read_file(files.where((F.col("repo") == repo) & (F.col("path") == path)))
-    missing = F.lit(f"Error: file not found at '{path}'.")
+    missing = F.lit(NOT_FOUND_TEXT.format(path=path))
     return (want.join(found, ["repo", "path"], "left")
             .select("repo", "path", F.coalesce(F.col("text"), F.col("problem"), missing).alias("result")))
 
@@ -133,7 +133,7 @@ def scan_outline(files: DataFrame, outlines: DataFrame) -> DataFrame:
     listed = files.select("repo", "path", F.when(is_source, "source").otherwise("other").alias("kind"),
                           classify_language(F.col("path")).alias("lang"))
     joined = listed.join(outlines, ["repo", "path"], "left")
-    unsupported = F.concat(F.lit("Error: Unsupported file type '"), suffix(F.col("path")), F.lit("'."))
+    unsupported = template(UNSUPPORTED_TEXT, ext=suffix(F.col("path")))
     outline = (F.when(F.col("kind") == "other", F.lit(None))
                .when(F.col("lang").isNull(), unsupported)
                .otherwise(F.coalesce(F.col("outline"), F.lit(NO_SYMBOLS_TEXT))))
