@@ -25,3 +25,12 @@ def test_stream_change_impact(spark, tmpdir_fresh):
     rows = spark.read.parquet(out).collect()
     got = sorted((r.change_id, [f.function for f in r.affected_functions]) for r in rows)
     assert got == [(1, ["K.a"]), (2, ["K.b"])]
+
+
+def test_build_tables_then_stream(spark, tmpdir_fresh):
+    from repolens.plans import tables as TB
+    src = "def f():\n    return 1\n"
+    paths = TB.build_code_tables(files_df(spark, [("m.py", src)]), base=tmpdir_fresh)
+    syms = TB.read_table(spark, "symbols", base=tmpdir_fresh)
+    assert [(r.repo, r.qualified_name, r.end_line) for r in syms.collect()] == [("r", "f", 2)]
+    assert set(paths) == {"files", "symbols"}
