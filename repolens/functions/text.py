@@ -92,8 +92,11 @@ def dir_parts(path: Column) -> Column:
     return F.slice(parts, 1, F.size(parts) - 1)
 
 
-def in_skipped_dir(path: Column, skip=SKIP_DIRS) -> Column:
-    """True when any directory component is an ignored name."""
+def in_skipped_dir(path: Column, skip=SKIP_DIRS, prefix: str | None = None) -> Column:
+    """True when a directory component *below the scope* is an ignored name
+    (the scope's own path may contain one: pruning starts below it)."""
+    if prefix not in (None, "", "."):
+        path = F.substring(path, len(prefix.strip("/")) + 2, 1 << 30)
     return F.arrays_overlap(dir_parts(path), F.array(*[F.lit(s) for s in skip]))
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolens.functions.text import py_strip, split_lines
+from repolens.functions.text import decode_text, py_strip, split_lines
 
 # ---------------------------------------------------------------------------
 # Fixed values (must match the analysed tool).
@@ -90,8 +90,13 @@ def presence_join(path: Column, candidates: list[str]) -> Column:
 
 
 def project_facts(files: DataFrame) -> DataFrame:
-    """One row per top-level file with everything it contributes."""
-    path, content = F.col("path"), F.col("content")
+    """One row per top-level file with everything it contributes.
+
+    With a ``raw`` binary column the manifests are decoded here (BOM-aware
+    UTF-16, else UTF-8 with replacement); otherwise ``content`` is used.
+    """
+    path = F.col("path")
+    content = decode_text(F.col("raw")) if "raw" in files.columns else F.col("content")
     top = files.where(~path.contains("/") | path.rlike(WORKFLOW_RE))
     presence = _lit_table(PRESENCE_FRAMEWORKS, ["name", "fw"])
     is_pkg, is_req, is_env = path == "package.json", path == "requirements.txt", path == ".env.example"

@@ -47,7 +47,7 @@ def search_code(files: DataFrame, pattern: str, prefix: str | None = None,
     regex = validate_pattern(pattern)
     path = F.col("path")
     candidates = files.where(F.lower(suffix(path)).isin(*SEARCHABLE_SUFFIXES)
-                             & ~in_skipped_dir(path) & scope(path, prefix))
+                             & scope(path, prefix) & ~in_skipped_dir(path, prefix=prefix))
     numbered = F.transform(split_lines(F.col("content")),
                            lambda line, i: F.struct((i + 1).alias("line_no"), line.alias("text")))
     hits = F.slice(F.filter(numbered, lambda x: x["text"].rlike(regex)), 1, cap)

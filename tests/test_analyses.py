@@ -187,3 +187,18 @@ def test_project_config(spark):
 def test_project_config_bad_json(spark):
     prof = PR.project_config(files_df(spark, [("package.json", "{not json")])).collect()[0]
     assert prof.npm is None and prof.dependencies == {}
+
+
+def test_search_scope_inside_skipped_dir(spark):
+    files = files_df(spark, [("node_modules/pkg/a.js", "hit\n"), ("node_modules/pkg/node_modules/b.js", "hit\n"),
+                             ("src/c.js", "hit\n")])
+    assert [r.path for r in SE.search_code(files, "hit").collect()] == ["src/c.js"]
+    scoped = sorted(r.path for r in SE.search_code(files, "hit", prefix="node_modules/pkg").collect())
+    assert scoped == ["node_modules/pkg/a.js"]
+
+
+def test_project_config_utf16_manifest(spark):
+    raw = b"\xff\xfe" + "Django==5\n".encode("utf-16-le")
+    df = spark.createDataFrame([("r", "requirements.txt", raw)], "repo string, path string, raw binary")
+    prof = PR.project_config(df).collect()[0]
+    assert prof.frameworks == ["Django"] and prof.pip == ["django==5"]
