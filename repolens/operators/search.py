@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.functions.text import (NO_SYMBOLS_TEXT, SEARCH_LINE, SEARCH_MATCH_CAP, SEARCHABLE_SUFFIXES, WORD_RE,
+from repolens.functions.text import (SEARCH_LINE, SEARCH_MATCH_CAP, SEARCHABLE_SUFFIXES, WORD_RE,
                                      in_skipped_dir, py_strip, scope, split_lines, suffix, template)
 from repolens.operators.symbols import outline_line
 
@@ -79,4 +79,4 @@ def token_count(files: DataFrame, text_col: str = "content") -> DataFrame:
     return words.groupBy("repo", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-__all__ = ["explode_lines", "search_code", "search_symbols", "token_count", "validate_pattern", "NO_SYMBOLS_TEXT"]
+__all__ = ["explode_lines", "search_code", "search_symbols", "token_count", "validate_pattern"]

@@ -2,7 +2,6 @@
 
 import pytest
 from conftest import files_df
-from pyspark.sql import functions as F
 
 from repolens.operators import changes as C
 from repolens.operators import complexity as CX
