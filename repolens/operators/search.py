@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from repolens.functions.text import (SEARCH_LINE, SEARCH_MATCH_CAP, SEARCHABLE_SUFFIXES, WORD_RE,
                                      in_skipped_dir, py_strip, scope, split_lines, suffix, template)
 from repolens.operators.symbols import outline_line
+from repolens.session import spread_if_narrow
 
 _FILE = ["repo", "path"]
 
@@ -46,8 +47,8 @@ def search_code(files: DataFrame, pattern: str, prefix: str | None = None,
     """
     regex = validate_pattern(pattern)
     path = F.col("path")
-    candidates = files.where(F.lower(suffix(path)).isin(*SEARCHABLE_SUFFIXES)
-                             & scope(path, prefix) & ~in_skipped_dir(path, prefix=prefix))
+    candidates = spread_if_narrow(files.where(F.lower(suffix(path)).isin(*SEARCHABLE_SUFFIXES)
+                                              & scope(path, prefix) & ~in_skipped_dir(path, prefix=prefix)))
     numbered = F.transform(split_lines(F.col("content")),
                            lambda line, i: F.struct((i + 1).alias("line_no"), line.alias("text")))
     hits = F.slice(F.filter(numbered, lambda x: x["text"].rlike(regex)), 1, cap)
@@ -75,7 +76,8 @@ def token_count(files: DataFrame, text_col: str = "content") -> DataFrame:
 
     Map-side partial aggregation collapses repeated words before the
     shuffle, so a hot word or a hot repo costs one row per task."""
-    words = files.select("repo", F.explode(F.regexp_extract_all(F.col(text_col), F.lit(WORD_RE), 0)).alias("token"))
+    words = spread_if_narrow(files.select("repo", text_col)).select(
+        "repo", F.explode(F.regexp_extract_all(F.col(text_col), F.lit(WORD_RE), 0)).alias("token"))
     return words.groupBy("repo", "token").agg(F.count(F.lit(1)).alias("n"))
 
 

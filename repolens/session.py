@@ -60,3 +60,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def spread_if_narrow(df, min_partitions: int | None = None):
+    """Round-robin repartition only when the input plans fewer partitions
+    than the cluster has cores.
+
+    Row-local text work (regex search, word extraction) runs in the scan's
+    tasks; a table stored as one or a few row groups would otherwise use a
+    single core.  Large inputs already split into many more partitions than
+    cores, so at scale this is a no-op and adds no shuffle.  Reading the
+    partition count plans the scan but runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
