@@ -33,6 +33,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor, so its heap is
+            # the only memory knob (a cluster sets executor memory itself)
+            builder = builder.config("spark.driver.memory", os.environ.get("REPOLENS_DRIVER_MEMORY", "16g"))
     for key, value in _DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
