@@ -24,7 +24,7 @@ _FILE = ["repo", "path"]
 def explode_lines(files: DataFrame, text_col: str = "content") -> DataFrame:
     """(keys…, line_no from 1, line) with ``str.splitlines`` boundaries."""
     keys = [c for c in files.columns if c != text_col]
-    return (files.select(*keys, F.posexplode(split_lines(F.col(text_col))).alias("pos", "line"))
+    return (spread_if_narrow(files).select(*keys, F.posexplode(split_lines(F.col(text_col))).alias("pos", "line"))
             .select(*keys, (F.col("pos") + 1).cast("bigint").alias("line_no"), "line"))
 
 
