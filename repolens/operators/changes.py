@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from repolens.functions.text import py_strip
 from repolens.operators.intervals import overlap_join
 
-_HUNK_RE = r"(?m)^@@ \S+ \+(\d+)(?:,(\d+))?"
+_HUNK_RE = r"(?m)^@@ \S+ \+(\d+)(?:,(\d+))?(?= |$)"
+_HUNK_HEADER_RE = r"(?m)^@@[^\n]*"
 
 
 def diff_sections(diffs: DataFrame, diff_col: str = "diff") -> DataFrame:
@@ -34,7 +35,8 @@ def diff_sections(diffs: DataFrame, diff_col: str = "diff") -> DataFrame:
         F.when(old_name.startswith("a/"), py_strip(F.substring(old_name, 3, 1 << 30))).alias("old_path"),
         (py_strip(new_name) == "/dev/null").alias("deleted"),
         F.regexp_extract_all("section", F.lit(_HUNK_RE), 1).alias("starts"),
-        F.regexp_extract_all("section", F.lit(_HUNK_RE), 2).alias("counts"))
+        F.regexp_extract_all("section", F.lit(_HUNK_RE), 2).alias("counts"),
+        F.regexp_extract_all("section", F.lit(_HUNK_HEADER_RE), 0).alias("headers"))
 
 
 def diff_hunks(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_col: str = "diff") -> DataFrame:
@@ -58,6 +60,20 @@ def diff_hunks(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_col:
     return out.where(F.col("start_line").isNotNull() & F.col("line_count").isNotNull())
 
 
+def diff_problems(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_col: str = "diff") -> DataFrame:
+    """Hunk headers whose new-file range cannot be read (skipped by
+    ``diff_hunks``): (…keys, path, header, problem).  Row-local."""
+    sec = diff_sections(diffs, diff_col)
+    keep = F.lit(False)
+    for sfx in suffixes:
+        keep = keep | F.col("path").endswith(sfx)
+    keys = [c for c in diffs.columns if c != diff_col]
+    bad = F.filter("headers", lambda h: ~h.rlike(r"^@@ \S+ \+\d+(?:,\d+)?( |$)"))
+    return (sec.where(F.col("path").isNotNull() & keep)
+            .select(*keys, "path", F.explode(bad).alias("header"))
+            .withColumn("problem", F.lit("unreadable hunk range")))
+
+
 def deleted_paths(diffs: DataFrame, diff_col: str = "diff") -> DataFrame:
     """Paths removed by a diff (``+++ /dev/null``): (…keys, path)."""
     keys = [c for c in diffs.columns if c != diff_col]

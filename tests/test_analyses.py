@@ -201,3 +201,11 @@ def test_project_config_utf16_manifest(spark):
     df = spark.createDataFrame([("r", "requirements.txt", raw)], "repo string, path string, raw binary")
     prof = PR.project_config(df).collect()[0]
     assert prof.frameworks == ["Django"] and prof.pip == ["django==5"]
+
+
+def test_unreadable_hunk_headers(spark):
+    diff = ("diff --git a/m.py b/m.py\n--- a/m.py\n+++ b/m.py\n"
+            "@@ -1 +x,y @@\n+a\n@@ -1 +3abc @@\n+b\n@@ -1 +7,2 @@\n+c\n+d\n")
+    diffs = spark.createDataFrame([("r", 1, diff)], "repo string, change_id int, diff string")
+    assert [(r.start_line, r.line_count) for r in C.diff_hunks(diffs).collect()] == [(7, 2)]
+    assert sorted(r.header for r in C.diff_problems(diffs).collect()) == ["@@ -1 +3abc @@", "@@ -1 +x,y @@"]
