@@ -209,3 +209,15 @@ def test_unreadable_hunk_headers(spark):
     diffs = spark.createDataFrame([("r", 1, diff)], "repo string, change_id int, diff string")
     assert [(r.start_line, r.line_count) for r in C.diff_hunks(diffs).collect()] == [(7, 2)]
     assert sorted(r.header for r in C.diff_problems(diffs).collect()) == ["@@ -1 +3abc @@", "@@ -1 +x,y @@"]
+
+
+def test_search_symbols_names_only_and_future_imports(spark):
+    files = files_df(spark, [("s.py", "class Alpha:\n    def beta(self, lines):\n        pass\n")])
+    syms = S.extract_symbols(files)
+    assert SE.search_symbols(syms, "lines").count() == 2            # rendered lines match 'lines'
+    assert SE.search_symbols(syms, "lines", names_only=True).count() == 0
+    assert [r.line for r in SE.search_symbols(syms, "beta", names_only=True).collect()] == [
+        "def Alpha.beta(self, lines)  — lines 2-3"]
+    src = files_df(spark, [("f.py", "from __future__ import annotations\nimport os\n")])
+    assert [r.stmt for r in PF.import_statements(src).collect()] == ["import os"]
+    assert len(PF.import_statements(src, include_future=True).collect()) == 2
