@@ -8,6 +8,7 @@ setting is absent, which happens in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,9 +50,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only if it is unset
-    (local tests) a fresh folder below the system temp dir is created and
-    registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Reads ``spark.checkpoint.dir`` from the session.  If it is unset, a local
+    master (tests) gets a fresh folder below the system temp dir; on a cluster
+    that folder would be one machine's own, so this raises instead.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -60,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="repolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
