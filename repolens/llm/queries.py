@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import exact, langid, mixing, packing
+from repolens.llm import exact, langid, mixing, near, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,6 +77,11 @@ FROM sized s JOIN bud b ON s.source IS NOT DISTINCT FROM b.source
 JOIN pick p ON s.source IS NOT DISTINCT FROM p.source AND s.h = p.h"""
 
 
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op6_mix_sources", mixing_sql())
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
