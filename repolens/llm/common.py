@@ -92,19 +92,31 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class SpanHash:
-    """64-bit hashes of any spans of a byte array, by prefix sums of a
-    polynomial modulo 2^64 over scrambled byte values."""
+    """64-bit hashes of any spans of a sequence of 64-bit values, by prefix
+    sums of a polynomial modulo 2^64.  Equal spans hash alike anywhere."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, values: np.ndarray):
         with np.errstate(over="ignore"):
-            self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_VALUE[data] * _powers(_BASE, len(data))[:-1], out=self.sums[1:])
-            self.back = _powers(_UNBASE, len(data))
+            self.sums = np.zeros(len(values) + 1, dtype=np.uint64)
+            np.cumsum(values * _powers(_BASE, len(values))[:-1], out=self.sums[1:])
+            self.back = _powers(_UNBASE, len(values))
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return mix64((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
 
+    def grams(self, size: int) -> np.ndarray:
+        """Hashes of all spans of ``size`` values."""
+        n = len(self.sums) - size
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            return mix64((self.sums[size:] - self.sums[:n]) * self.back[:n] + np.uint64(size))
+
+
+def byte_values(data: np.ndarray) -> np.ndarray:
+    return _BYTE_VALUE[data]
+
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and row numbers of the maximal runs of non-separator bytes."""
@@ -125,4 +137,9 @@ def word_hashes(column, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray
     if lower:
         data = LOWER[data]
     starts, ends, rows = words(data, offsets)
-    return data, offsets, starts, ends, rows, SpanHash(data)(starts, ends)
+    hashes, i = np.zeros(len(starts), np.uint64), 0
+    while i < len(starts):  # about 2 * SLICE_BYTES at a time
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + 2 * SLICE_BYTES, "right")))
+        hashes[i:j] = SpanHash(_BYTE_VALUE[data[starts[i]:ends[j - 1]]])(starts[i:j] - starts[i], ends[i:j] - starts[i])
+        i = j
+    return data, offsets, starts, ends, rows, hashes

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import exact, imatch, langid, mixing, near, packing
+from repolens.llm import doubling, exact, imatch, langid, mixing, near, packing, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,6 +97,16 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(documents(spark, sf_dir))
+
+
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling.remove_repeated_words(documents(spark, sf_dir))
