@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import doubling, exact, imatch, langid, mixing, near, packing, suffixes
+from repolens.llm import doubling, exact, html_main, imatch, langid, mixing, near, packing, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,6 +92,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+@query("op3_html_main_text")
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
