@@ -72,7 +72,7 @@ def _hint(tag: str, attributes: str) -> int:
 
 
 class Block:
-    __slots__ = ("text", "linked", "bad", "home", "good", "heading", "item", "path")
+    __slots__ = ("text", "linked", "bad", "home", "good", "heading", "item", "path", "tag")
 
     def __init__(self, text, linked, open_):
         self.text, self.linked = text, linked
@@ -80,6 +80,7 @@ class Block:
         self.bad, self.home, self.good = top["bad"], top["home"], top["good"]
         self.heading = any(x["tag"] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in open_[-3:])
         self.item = any(x["tag"] in ("li", "td", "th", "dt", "dd") for x in open_[-4:])
+        self.tag = next((x["tag"] for x in reversed(open_) if x["tag"] in _BLOCK), "")
         self.path = tuple(x["id"] for x in open_ if x["tag"] in _BLOCK or x["id"] == 0)
 
 
@@ -183,14 +184,14 @@ def content_odds(found: list[Block]) -> list[float]:
 
 def smoothness(found: list[Block], adjacent: float = 0.5, near: float = 0.4) -> list[tuple[int, int, float]]:
     """Edges between blocks: reading order, weighted by the shared part of the
-    paths, and the last block before under the same container."""
+    paths, and the last block before of the same kind under the same container."""
     edges, last = [], {}
     for i, b in enumerate(found):
         if i:
             a = found[i - 1]
             shared = sum(x == y for x, y in zip(a.path, b.path, strict=False))
             edges.append((i - 1, i, adjacent * shared / max(len(a.path), len(b.path))))
-        container = b.path[-2:-1]
+        container = (b.path[-2:-1], b.tag)
         if container in last and last[container] != i - 1:
             edges.append((last[container], i, near))
         last[container] = i
