@@ -8,23 +8,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import exact, mixing
+from repolens.llm import exact, langid, mixing, near, packing
 from repolens.llm.common import written
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language stays unsure, go."""
+    return langid.keep_identified(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest doc_id stays."""
     return exact.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of texts linked at similarity 0.8, the smallest doc_id stays."""
+    return near.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; doc_id repeats."""
     return mixing.mixed_documents(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a sequence; a document taken twice is packed twice."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("language ID", identify_language),
     ("exact dedup", drop_exact_copies),
+    ("MinHash near-dedup", drop_near_copies),
     ("mixing sources", mix_sources),
+    ("packing", pack_sequences),
 ]
 
+# Language ID, MinHash and the tokenizer have no SQL; tests/llm/test_pipeline.py
+# holds the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import doubling, exact, html_main, imatch, langid, mixing, near, packing, suffixes
+from repolens.llm import doubling, exact, html_main, imatch, langid, mixing, near, ngrams, packing, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_substring_dedup")
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeated_words(documents(spark, sf_dir))
+
+
+@query("op10_lm_scores")
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_documents(documents(spark, sf_dir))
