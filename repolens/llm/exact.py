@@ -133,10 +133,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bits_per_row: int = 16, max_bits: int = 1 << 27) -> DataFrame:
     """``docs`` without copies: of equal texts the row with the largest doc_id stays."""
-    import pandas as pd
 
     @F.pandas_udf("binary")
-    def sha(text: pd.Series) -> pd.Series:
+    def sha(text):
         return text.map(digest)
 
     columns = [F.col(f"`{c}`") for c in docs.columns]

@@ -129,7 +129,7 @@ def _pack(capacity: int):
         for b, n in zip(bins, group["length"].tolist(), strict=True):
             offsets.append(filled.get(b, 0))
             filled[b] = offsets[-1] + n
-        return group.assign(sequence_id=(group["deal"].astype("int64") << 24) + bins, offset=offsets).drop(columns="deal")
+        return group.assign(sequence_id=group["deal"].astype("int64") * (1 << 24) + bins, offset=offsets).drop(columns="deal")
     return run
 
 
