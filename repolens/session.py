@@ -25,6 +25,10 @@ _DEFAULT_CONF = {
 }
 
 
+def _half_of_memory_mb() -> int:
+    return max(1024, os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (1 << 21))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "repolens") -> SparkSession:
     """Return the active session or build one with the defaults above."""
@@ -37,7 +41,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor, so its heap is
             # the only memory knob (a cluster sets executor memory itself)
-            builder = builder.config("spark.driver.memory", os.environ.get("REPOLENS_DRIVER_MEMORY", "16g"))
+            builder = builder.config("spark.driver.memory", os.environ.get("REPOLENS_DRIVER_MEMORY", f"{_half_of_memory_mb()}m"))
     for key, value in _DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -68,18 +72,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(local)
     return local
 
-
-def spread_if_narrow(df, min_partitions: int | None = None):
-    """Round-robin repartition only when the input plans fewer partitions
-    than the cluster has cores.
-
-    Row-local text work (regex search, word extraction) runs in the scan's
-    tasks; a table stored as one or a few row groups would otherwise use a
-    single core.  Large inputs already split into many more partitions than
-    cores, so at scale this is a no-op and adds no shuffle.  Reading the
-    partition count plans the scan but runs no job.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

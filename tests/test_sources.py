@@ -116,12 +116,3 @@ def test_git_log_and_loc(spark):
     assert counts == {"a.py": 2, "c.tsx": 1}
     df = spark.createDataFrame([("",), ("a",), ("a\n",), ("a\r\nb",), ("a\rb\n\n",)], "t string")
     assert [r.n for r in df.select(X.loc(F.col("t")).alias("n")).collect()] == [0, 1, 1, 2, 3]
-
-
-def test_spread_only_when_narrow(spark):
-    from repolens.session import spread_if_narrow
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    assert spread_if_narrow(narrow).rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores * 2)
-    assert spread_if_narrow(wide) is wide
