@@ -12,8 +12,8 @@ Brace method on the token stream (no parser):
 
 Not matched, like the grammar query they mirror: arrow functions, function
 expressions, generators (``function*``), private ``#m`` and computed or
-string-named methods, class expressions.  Regex literals are not
-recognised as tokens; a bracket inside one can shift depths.
+string-named methods, class expressions and classes without a name (their
+methods stand alone).  A keyword names a method directly in a class body.
 The enclosing class (declarations only) is found in the same pass with
 the level method: a class body is tagged in the bracket-level window, each
 candidate is copied to every shallower class-body level as a lookup row,
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repolens.functions.text import classify_language, qualify
+from repolens.functions.text import classify_language
 from repolens.operators import tokens as T
 
 _FILE = ["repo", "path"]
@@ -54,7 +54,7 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
         *[F.lag(F.struct("tok", "line", "off"), k).over(w).alias(f"p{k}") for k in (1, 2, 3, 4)],
         F.lead("tok", 1).over(w).alias("n1"))
 
-    is_class_kw = (tok == "class") & F.col("n1").rlike(_WORD) & \
+    is_class_kw = (tok == "class") & F.col("n1").rlike(_WORD) & (F.col("n1") != "extends") & \
         ~F.coalesce(F.col("p1.tok"), F.lit(";")).isin(*EXPRESSION_PREV)
     stream = sig.where(tok.isin(*_OPEN, *_CLOSE) | is_class_kw).withColumn(
         "lvl", F.when(tok.isin(*_CLOSE), F.col("dpt") - 1).otherwise(F.col("dpt")))
@@ -72,8 +72,11 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
         ((p(3, "tok") == "async") & not_expr(4)) | ((F.coalesce(p(3, "tok"), F.lit("")) != "async") & not_expr(3)))
     func_start = F.when(p(3, "tok") == "async", F.col("p3")).otherwise(F.col("p2"))
 
-    is_method = (paren & body_ok & p(1, "tok").rlike(_WORD) & ~p(1, "tok").isin(*JS_KEYWORDS)
+    generator = (p(2, "tok") == "*") & (p(3, "tok") == "function")
+    is_method = (paren & body_ok & p(1, "tok").rlike(_WORD) & ~F.coalesce(generator, F.lit(False))
                  & ~F.coalesce(p(2, "tok"), F.lit(";")).isin("function", ".", "extends", "#", "new", "class"))
+    # a keyword's name is a method's only directly in a class body, which is known below
+    in_class_only = is_method & p(1, "tok").isin(*JS_KEYWORDS)
     method_start = (F.when(p(2, "tok").isin(*METHOD_MODIFIERS) & p(3, "tok").isin(*METHOD_MODIFIERS), F.col("p3"))
                     .when(p(2, "tok").isin(*METHOD_MODIFIERS), F.col("p2"))
                     .otherwise(F.col("p1")))
@@ -98,6 +101,7 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
         F.when(is_def, p(1, "tok")).otherwise(F.col("n1")).alias("name"),
         F.when(is_func, func_start).when(is_method, method_start)
         .otherwise(F.struct("tok", "line", "off")).alias("st"),
+        F.when(in_class_only, F.col("dpt") - 1).alias("body_level"),
         F.when(is_def, F.col("off")).alias("open_off"),
         F.when(is_def, l(1, "off")).alias("close_off"),
         F.when(is_def, l(3, "line")).when(body_at1, l(2, "line")).otherwise(l(4, "line")).alias("end_line"),
@@ -122,8 +126,10 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
     grouped = (rows.where((F.col("role") == "self") | enclosing.isNotNull())
                .groupBy(*_FILE, "pos")
                .agg(F.first(F.when(F.col("role") == "self", F.col("info")), ignorenulls=True).alias("i"),
+                    F.max(F.when(enclosing.isNotNull(), F.col("v"))).alias("class_level"),
                     F.max_by(enclosing, F.when(enclosing.isNotNull(), F.col("v"))).alias("class_name")))
-    return grouped.where(F.col("i").isNotNull()).select(
+    is_symbol = F.col("i").isNotNull() & (F.col("i.body_level").isNull() | (F.col("i.body_level") == F.coalesce("class_level", F.lit(-2))))
+    return grouped.where(is_symbol).select(
         *_FILE, F.lit("javascript").alias("lang"), F.col("i.kind").alias("kind"), F.col("i.name").alias("name"),
         F.when(F.col("i.kind") == "def", F.col("class_name")).alias("class_name"),
         F.col("i.st.line").cast("int").alias("start_line"), F.col("i.end_line").cast("int").alias("end_line"),
@@ -133,18 +139,3 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
         F.lit(None).cast("long").alias("doc_off"), F.lit(None).cast("long").alias("doc_end_off"),
         F.lit(None).cast("int").alias("complexity"))
 
-
-def with_text(symbols: DataFrame, files: DataFrame) -> DataFrame:
-    content = F.col("content")
-
-    def cut(start, end):
-        return F.substring(content, (start + 1).cast("int"), (end - start).cast("int"))
-
-    joined = symbols.join(files.select(*_FILE, "content"), _FILE, "inner")
-    return joined.select(
-        *_FILE, "lang", "kind", "name", "class_name",
-        qualify(F.col("class_name"), F.col("name")).alias("qualified_name"),
-        F.when(F.col("kind") == "def", cut(F.col("open_off"), F.col("close_off") + 1)).alias("params"),
-        F.lit(None).cast("string").alias("return_type"), F.lit(None).cast("string").alias("docstring"),
-        "start_line", "end_line", "start_pos", "start_off", "end_off", "complexity",
-        cut(F.col("start_off"), F.col("end_off")).alias("source"))

@@ -46,12 +46,20 @@ PY_TOKEN_RE = (
 _JS_STRING = (
     r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
     r"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
+    # templates: ${…} may hold one more template or one pair of braces, else up to the next backtick
+    r"|`(?:[^`\\$]++|\\.|\$(?!\{)|\$\{(?:[^`{}]++|`(?:[^`\\]++|\\.)*+`|\{[^{}`]*+\})*+\})*+`"
     r"|`[^`\\]*+(?:\\.[^`\\]*+)*+`"
 )
+# A slash starts a regex literal after an operator, an opening bracket or `return`.
+_JS_REGEX = (
+    r"(?<=(?:[=(,:\[!&|?{;+\-*%<>~^\n]|return)[ \t]{0,16})/(?![/*])"
+    r"(?:[^/\\\[\n]|\\.|\[(?:[^\]\\\n]|\\.)*+\])++/[a-z]*+"
+)
 JS_TOKEN_RE = (
     r"(?s)" + _BLANKS + r"(?:" + _JS_STRING
     + r"|//[^\n]*"
     + r"|/\*.*?\*/"
+    + r"|" + _JS_REGEX
     + r"|\r?\n"
     + r"|[\p{L}\p{N}_$]+"
     + r"|.)"
@@ -64,17 +72,14 @@ def partition_files(files: DataFrame, num_partitions: int | None = None) -> Data
     """Hash-partition files by (repo, path) once; all per-file windows reuse it.
 
     The partition count is explicit (default: the session's
-    ``spark.sql.shuffle.partitions``, at most four tasks per core of the
-    cluster) because the file text is small in
+    ``spark.sql.shuffle.partitions``) because the file text is small in
     bytes but expands ~50x into tokens: adaptive coalescing, which sizes
     partitions by shuffled bytes, would otherwise squeeze the whole
     token pipeline into a handful of tasks.  A files table written
     bucketed by (repo, path) makes this shuffle free.
     """
     if not num_partitions:
-        spark = files.sparkSession
-        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        num_partitions = max(1, min(configured, 4 * spark.sparkContext.defaultParallelism))
+        num_partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return files.repartition(num_partitions, *_FILE)
 
 
@@ -85,7 +90,11 @@ def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False)
     ``tok`` is the token without its leading blanks ``ws`` (``lead`` chars);
     ``off`` is the offset of ``tok``; ``nlc`` counts newline tokens before
     it; ``sig`` marks significant tokens (not newline, comment or
-    continuation).  One Window operator computes all running sums.
+    continuation).
+
+    Brackets that don't pair stay local: a stray closing one leaves the depth
+    at 0, and in Python ``def`` and ``class`` at the start of a line (no
+    expression holds them) start anew at depth 0.  ``bad`` marks both.
     """
     pattern = PY_TOKEN_RE if lang == "python" else JS_TOKEN_RE
     src = files if partitioned else partition_files(files)
@@ -110,12 +119,29 @@ def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False)
 
     w = Window.partitionBy(*_FILE).orderBy("pos")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return raw.select(
-        *_FILE, "pos", "tok", "lead", "ws", nl.alias("nl"), sig.alias("sig"),
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    previous = F.lag("tok", 1, "\n").over(w)
+    at_margin = (tok.isin("def", "class", "async") & (F.col("lead") == 0) & previous.isin("\n", "\r\n")
+                 if lang == "python" else F.lit(False))
+    summed = raw.select(
+        *_FILE, "pos", "tok", "lead", "ws", nl.alias("nl"), sig.alias("sig"), delta.alias("delta"), at_margin.alias("at_margin"),
         (F.coalesce(F.sum("len_raw").over(before), F.lit(0)) + F.col("lead")).cast("long").alias("off"),
         (F.coalesce(F.sum(nl).over(before), F.lit(0)) + 1).cast("int").alias("line"),
-        F.coalesce(F.sum(delta).over(before), F.lit(0)).cast("int").alias("dpt"),
+        F.coalesce(F.sum(delta).over(before), F.lit(0)).cast("int").alias("open"),
         F.coalesce(F.sum(F.when(is_newline, 1).otherwise(0)).over(before), F.lit(0)).cast("int").alias("nlc"))
+    # depth with stray closing brackets left out, then less what is open at the last new start
+    floor = F.least(F.lit(0), F.min("open").over(upto))
+    summed = summed.select("*", (F.col("open") - floor).alias("deep"))
+    base = F.coalesce(F.last(F.when(F.col("at_margin"), F.col("deep")), ignorenulls=True).over(upto), F.lit(0))
+    dpt = F.greatest(F.lit(0), F.col("deep") - base).cast("int")
+    bad = ((F.col("delta") < 0) & (F.col("deep") == 0)) | (F.col("at_margin") & (F.col("deep") > 0))
+    return summed.select(*_FILE, "pos", "tok", "lead", "ws", "nl", "sig", "off", "line", dpt.alias("dpt"), "nlc", bad.alias("bad"))
+
+
+def bracket_problems(files: DataFrame, lang: str = "python") -> DataFrame:
+    """Where brackets don't pair: (repo, path, line, problem)."""
+    return tokenize(files, lang).where("bad").select(
+        *_FILE, F.col("line").cast("bigint").alias("line"), F.lit("unbalanced bracket").alias("problem"))
 
 
 def _indent_width(ws: Column) -> Column:
