@@ -7,7 +7,7 @@ computed with the symbols themselves (prefix sums over logical lines, see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repolens.functions.text import risk_level
@@ -23,8 +23,9 @@ def score_complexity(symbols: DataFrame) -> DataFrame:
 
 
 def sort_complexity(scores: DataFrame) -> DataFrame:
-    """Score descending; ties in document order."""
-    return scores.orderBy(F.desc("complexity_score"), "repo", "path", "line")
+    """``rank_in_file``: score descending, ties in document order, file by file."""
+    w = Window.partitionBy("repo", "path").orderBy(F.desc("complexity_score"), "line")
+    return scores.withColumn("rank_in_file", F.row_number().over(w).cast("bigint"))
 
 
 def functions_scored(scores: DataFrame) -> DataFrame:

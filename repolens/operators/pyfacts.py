@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repolens.functions.text import suffix
@@ -19,17 +19,32 @@ def _python_files(files: DataFrame) -> DataFrame:
 def import_statements(files: DataFrame, include_future: bool = False) -> DataFrame:
     """Every import statement of every .py file, at any depth:
     (repo, path, line, stmt).  ``from __future__`` lines are a separate kind
-    in the grammar and are left out unless asked for."""
-    py = T.partition_files(_python_files(files))
-    ll = T.logical_lines(T.tokenize(py, "python", partitioned=True))
-    is_import = (F.col("t1") == "import") | (F.col("t1") == "from")
+    in the grammar and are left out unless asked for.
+
+    A statement starts a logical line, or follows a ``;`` or a header's ``:``
+    outside brackets; it ends before the next ``;``.  Its text is put together
+    from its tokens, so the files' text is shuffled once."""
+    toks = T.tokenize(_python_files(files), "python")
+    w = Window.partitionBy(*_FILE).orderBy("pos")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda c: F.last(F.when(F.col("sig"), F.col(c)), ignorenulls=True).over(before)
+    toks = toks.select("*", last("tok").alias("prev_tok"), last("nlc").alias("prev_nlc"))
+    tok, outside = F.col("tok"), F.col("dpt") == 0
+    starts = F.col("sig") & (F.col("prev_tok").isNull() | (outside & (
+        (F.col("nlc") > F.col("prev_nlc")) | (F.col("prev_tok") == ";")
+        | ((F.col("prev_tok") == ":") & tok.isin("import", "from")))))
+    toks = toks.withColumn("head", F.when(starts, F.struct("tok", "pos", "line")))
+    toks = toks.withColumn("head", F.last("head", ignorenulls=True).over(upto)).where(F.col("head.tok").isin("import", "from"))
+    of_stmt = F.sort_array(F.collect_list(F.struct("pos", "tok", "ws", "sig")))
+    end = F.max(F.when(F.col("sig") & ~(outside & (tok == ";")), F.col("pos")))
+    stmts = toks.groupBy(*_FILE, F.col("head.pos").alias("at"), F.col("head.line").alias("line")).agg(of_stmt.alias("parts"), end.alias("end"))
+    inside = F.filter("parts", lambda x: x["pos"] <= F.col("end"))
     if not include_future:
-        is_import = is_import & ~((F.col("t1") == "from") & (F.col("t2") == "__future__"))
-    heads = ll.where(is_import).select(*_FILE, "start_line", "first_off", "end_off")
-    joined = heads.join(py.select(*_FILE, "content"), _FILE, "inner")
-    stmt = F.substring("content", (F.col("first_off") + 1).cast("int"),
-                       (F.col("end_off") - F.col("first_off")).cast("int"))
-    return joined.select(*_FILE, F.col("start_line").alias("line"), stmt.alias("stmt"))
+        words = F.filter("parts", lambda x: x["sig"])
+        stmts = stmts.where(~((F.get(words, 0)["tok"] == "from") & (F.get(words, 1)["tok"] == "__future__")))
+    text = F.array_join(F.transform(inside, lambda x, i: F.when(i == 0, x["tok"]).otherwise(F.concat(x["ws"], x["tok"]))), "")
+    return stmts.select(*_FILE, "line", text.alias("stmt"))
 
 
 def imports(files: DataFrame) -> DataFrame:

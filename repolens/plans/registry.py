@@ -252,11 +252,7 @@ SELECT repo, path, CAST(count(*) AS BIGINT) AS matches, CAST(least(count(*), 20)
 FROM doc_lines WHERE regexp_matches(line, '(?i){SEARCH_PATTERN}') GROUP BY repo, path""")
 def q_per_file_cap(spark, sf_dir):
     from repolens.operators import search as SE
-    files = fx.documents_as_files(spark, sf_dir)
-    every = SE.search_code(files, SEARCH_PATTERN, cap=1 << 30).groupBy("repo", "path").agg(
-        F.count(F.lit(1)).alias("matches"))
-    kept = SE.search_code(files, SEARCH_PATTERN).groupBy("repo", "path").agg(F.count(F.lit(1)).alias("kept"))
-    return every.join(kept, ["repo", "path"])
+    return SE.match_counts(fx.documents_as_files(spark, sf_dir), SEARCH_PATTERN)
 
 
 @query("token_count", r"""
@@ -731,13 +727,9 @@ FROM (SELECT s.repo, s.path, s.qualified_name AS function, CAST(s.start_line AS
       WHERE s.kind = 'def' AND s.lang = 'python'
       GROUP BY s.repo, s.path, s.qualified_name, s.start_line)"""))
 def q_sort_complexity(spark, sf_dir):
-    from pyspark.sql import Window
-
     from repolens.operators import complexity as CX
     scores = CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir)))
-    w = Window.partitionBy("repo", "path").orderBy(F.desc("complexity_score"), "line")
-    return scores.select("repo", "path", "function", "line", "complexity_score",
-                         F.row_number().over(w).cast("bigint").alias("rank_in_file"))
+    return CX.sort_complexity(scores).select("repo", "path", "function", "line", "complexity_score", "rank_in_file")
 
 
 @query("dead_code", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """

@@ -221,3 +221,71 @@ def test_search_symbols_names_only_and_future_imports(spark):
     src = files_df(spark, [("f.py", "from __future__ import annotations\nimport os\n")])
     assert [r.stmt for r in PF.import_statements(src).collect()] == ["import os"]
     assert len(PF.import_statements(src, include_future=True).collect()) == 2
+
+
+def test_imports_inside_lines(spark):
+    """After a semicolon or a header's colon; text up to the next semicolon."""
+    src = ("import os; import sys\ntry: import json\nexcept ImportError: import simplejson as json\n"
+           "if 1: from a import b\nx = 1; from c import (d,  # why\n   e)\nraise E from e\ny = {1: 2}\n")
+    got = [(r.line, r.stmt) for r in PF.import_statements(files_df(spark, [("i.py", src)])).orderBy("line", "stmt").collect()]
+    assert got == [(1, "import os"), (1, "import sys"), (2, "import json"), (3, "import simplejson as json"), (4, "from a import b"),
+                   (5, "from c import (d,  # why\n   e)")]
+
+
+def test_imports_against_ast(spark):
+    import ast
+    import glob
+    import os
+    import sysconfig
+    items, want = [], []
+    for p in sorted(glob.glob(os.path.join(sysconfig.get_paths()["stdlib"], "*.py")))[40:80]:
+        with open(p, encoding="utf-8") as fh:
+            src = fh.read()
+        name = os.path.basename(p)
+        items.append((name, src))
+        want += [(name, n.lineno, ast.get_source_segment(src, n)) for n in ast.walk(ast.parse(src)) if isinstance(n, (ast.Import, ast.ImportFrom))]
+    got = PF.import_statements(files_df(spark, items), include_future=True).collect()
+    assert sorted((r.path, r.line, r.stmt) for r in got) == sorted(want) and len(want) > 200
+
+
+def test_line_ends_inside_diff_lines(spark):
+    """A lone CR or a Unicode line end inside an added line starts no line."""
+    diff = ("diff --git a/m.py b/m.py\n--- a/m.py\n+++ b/m.py\n@@ -1 +7,2 @@\n+a\r@@ -1 +99,3 @@\n+b @@ -1 +98 @@\n"
+            "++ b/x\n@@ -1 +5,99999999999 @@\n@@ -1 +4000000000 @@\n")
+    diffs = spark.createDataFrame([("r", 1, diff)], "repo string, change_id int, diff string")
+    hunks = C.diff_hunks(diffs)
+    assert [(r.start_line, r.line_count) for r in hunks.collect()] == [(7, 2)]
+    assert C.diff_problems(diffs).count() == 2
+    wide = spark.createDataFrame([("r", 1, "m.py", 1, 2_000_000_000), ("r", 1, "m.py", 5, 10)], "repo string, change_id int, path string, start_line long, line_count long")
+    assert [r.modified_line_count for r in C.modified_line_count(wide, ["repo", "change_id"]).collect()] == [2_000_000_000]
+
+
+def test_patterns_are_the_jvms(spark):
+    files = files_df(spark, [("a.py", "alpha\nbeta\n")])
+    for pattern in ("(?<n>alp)ha", "(?P<n>alp)ha"):
+        assert [r.line_no for r in SE.search_code(files, pattern).collect()] == [1]
+    with pytest.raises(ValueError):
+        SE.search_code(files, "(alpha")
+    assert [(r.matches, r.kept) for r in SE.match_counts(files_df(spark, [("b.py", "x\n" * 30), ("c.py", "y")]), "x").collect()] == [(30, 20)]
+
+
+def test_unpaired_surrogates_fall_back(spark):
+    from repolens.functions.text import decode_text
+    good, bad = "a\U0001f642b".encode("utf-16"), b"\xff\xfe" + b"\x00\xd8a\x00"
+    big = b"\xfe\xff" + "a\U0001f642b".encode("utf-16-be")
+    df = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(bad)), (3, bytearray(big)), (4, bytearray(b"\xff\xfe"))], "k int, raw binary")
+    got = [r.t for r in df.select("k", decode_text(df.raw).alias("t")).orderBy("k").collect()]
+    assert [got[0], got[2], got[3]] == ["a\U0001f642b", "a\U0001f642b", ""] and "�" in got[1]
+
+
+def test_package_problems(spark):
+    cases = {"ok": '{"dependencies": {"a": "1"}, "devDependencies": {"b": "1", "a": "2"}}', "tail": '{"dependencies": {"a": "1"}} x', "list": '{"dependencies": ["x"]}', "array": "[1]", "none": "{}"}
+    files = spark.createDataFrame([(r, "package.json", c) for r, c in cases.items()], "repo string, path string, content string")
+    got = {r.repo: (r.npm, r.problem) for r in PR.project_config(files).collect()}
+    assert got == {"ok": (["a", "b"], None), "none": ([], None), "tail": (None, "not a JSON object"), "array": (None, "not a JSON object"),
+                   "list": (None, "dependencies are not an object")}
+
+
+def test_ranks_within_files(spark):
+    scores = spark.createDataFrame([("r", "a.py", "f", 1, 2), ("r", "a.py", "g", 5, 9), ("r", "b.py", "h", 1, 1), ("r", "a.py", "i", 9, 2)], "repo string, path string, function string, line long, complexity_score long")
+    assert {r.function: r.rank_in_file for r in CX.sort_complexity(scores).collect()} == {"g": 1, "f": 2, "i": 3, "h": 1}
