@@ -34,10 +34,8 @@ RISK_DEFAULT = "Low"
 # ---------------------------------------------------------------------------
 
 # Characters for which Python's str.isspace() is true (str.strip() removes them).
-PY_WS_CLASS = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+PY_WS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+         + "\u2028\u2029\u202f\u205f\u3000")
 # Line boundaries of str.splitlines().
 LINE_SPLIT_RE = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 # Physical lines as counted by iterating a text-mode file (universal newlines).
@@ -60,7 +58,7 @@ def template(fmt: str, **cols: Column) -> Column:
 
 def py_strip(col: Column) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(col, rf"\A{PY_WS_CLASS}+|{PY_WS_CLASS}+\z", "")
+    return F.btrim(col, F.lit(PY_WS))
 
 
 def split_lines(content: Column) -> Column:
@@ -96,7 +94,7 @@ def in_skipped_dir(path: Column, skip=SKIP_DIRS, prefix: str | None = None) -> C
     """True when a directory component *below the scope* is an ignored name
     (the scope's own path may contain one: pruning starts below it)."""
     if prefix not in (None, "", "."):
-        path = F.substring(path, len(prefix.strip("/")) + 2, 1 << 30)
+        path = F.substring(path, F.lit(len(prefix.strip("/")) + 2), F.length(path))
     return F.arrays_overlap(dir_parts(path), F.array(*[F.lit(s) for s in skip]))
 
 
@@ -117,13 +115,19 @@ def loc(content: Column) -> Column:
 
 def decode_text(raw: Column) -> Column:
     """Bytes -> text: UTF-16 when the data starts with a byte-order mark
-    (FF FE or FE FF) and has an even length, else UTF-8 with U+FFFD for
-    invalid sequences."""
+    (FF FE or FE FF), has an even length and no unpaired surrogate, else
+    UTF-8 with U+FFFD for invalid sequences."""
     head = F.substring(raw, 1, 2)
     is_bom = head.isin(F.lit(bytes([0xFF, 0xFE])), F.lit(bytes([0xFE, 0xFF])))
     utf16 = F.decode(raw, "UTF-16")
     utf8 = F.make_valid_utf8(raw.cast("string"))
-    return F.when(is_bom & (F.length(raw) % 2 == 0), utf16).otherwise(utf8)
+    # Each unit's high byte: a leading surrogate (D8-DB) must be followed by a trailing one (DC-DF).
+    units = F.hex(F.substring(raw, F.lit(3), F.length(raw)))
+    little = head == F.lit(bytes([0xFF, 0xFE]))
+    one = F.when(little, F.lit("..(?!D[89A-F])..")).otherwise(F.lit("(?!D[89A-F])...."))
+    pair = F.when(little, F.lit("..D[89AB]..D[C-F]")).otherwise(F.lit("D[89AB]..D[C-F].."))
+    paired = F.regexp(units, F.concat(F.lit("^(?:"), one, F.lit("|"), pair, F.lit(")*+$")))
+    return F.when(is_bom & (F.length(raw) % 2 == 0) & paired, utf16).otherwise(utf8)
 
 
 def strict_utf8(raw: Column) -> Column:

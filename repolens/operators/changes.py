@@ -17,22 +17,32 @@ from pyspark.sql import functions as F
 from repolens.functions.text import py_strip
 from repolens.operators.intervals import overlap_join
 
-_HUNK_RE = r"(?m)^@@ \S+ \+(\d+)(?:,(\d+))?(?= |$)"
-_HUNK_HEADER_RE = r"(?m)^@@[^\n]*"
+_HUNK_RE = r"(?md)^@@ \S+ \+(\d+)(?:,(\d+))?(?= |$)"
+_HUNK_HEADER_RE = r"(?md)^@@[^\n]*"
+
+
+_LAST_LINE = (1 << 31) - 1
+
+
+def _in_file(header):
+    """The header's new-file range ends at a 32-bit line number."""
+    number = lambda g: F.regexp_extract(header, r"^@@ \S+ \+(\d+)(?:,(\d+))?", g)
+    count = F.when(number(2) == "", F.lit(1).cast("long")).otherwise(number(2).try_cast("long"))
+    return F.coalesce(number(1).try_cast("long") + count <= _LAST_LINE, F.lit(False))
 
 
 def diff_sections(diffs: DataFrame, diff_col: str = "diff") -> DataFrame:
     """(…, diff) -> one row per file section with new/old names and hunks."""
     keys = [c for c in diffs.columns if c != diff_col]
-    sections = diffs.select(*keys, F.posexplode(F.split(F.col(diff_col), r"(?m)^(?=diff --git )", -1))
+    sections = diffs.select(*keys, F.posexplode(F.split(F.col(diff_col), r"(?md)^(?=diff --git )", -1))
                             .alias("section_no", "section"))
     header = F.element_at(F.split(F.col("section"), r"\n@@", 2), 1)
-    new_name = F.regexp_extract(header, r"(?m)^\+\+\+ (.*)$", 1)
-    old_name = F.regexp_extract(header, r"(?m)^--- (.*)$", 1)
+    new_name = F.regexp_extract(header, r"(?md)^\+\+\+ (.*)$", 1)
+    old_name = F.regexp_extract(header, r"(?md)^--- (.*)$", 1)
     return sections.select(
         *keys, "section_no",
-        F.when(new_name.startswith("b/"), py_strip(F.substring(new_name, 3, 1 << 30))).alias("path"),
-        F.when(old_name.startswith("a/"), py_strip(F.substring(old_name, 3, 1 << 30))).alias("old_path"),
+        F.when(new_name.startswith("b/"), py_strip(F.substring(new_name, F.lit(3), F.length(new_name)))).alias("path"),
+        F.when(old_name.startswith("a/"), py_strip(F.substring(old_name, F.lit(3), F.length(old_name)))).alias("old_path"),
         (py_strip(new_name) == "/dev/null").alias("deleted"),
         F.regexp_extract_all("section", F.lit(_HUNK_RE), 1).alias("starts"),
         F.regexp_extract_all("section", F.lit(_HUNK_RE), 2).alias("counts"),
@@ -51,13 +61,14 @@ def diff_hunks(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_col:
     keys = [c for c in diffs.columns if c != diff_col]
     hunks = sec.where(F.col("path").isNotNull() & keep).select(
         *keys, "path", F.explode(F.arrays_zip("starts", "counts")).alias("h"))
-    # try_cast: an undecodable count skips the hunk instead of failing the job
+    # try_cast: an undecodable count skips the hunk instead of failing the job,
+    # and so does a range past any file's last line (a 32-bit line number)
     out = hunks.select(
         *keys, "path",
         F.col("h.starts").try_cast("long").alias("start_line"),
         F.when(F.col("h.counts") == "", F.lit(1).cast("long")).otherwise(F.col("h.counts").try_cast("long"))
         .alias("line_count"))
-    return out.where(F.col("start_line").isNotNull() & F.col("line_count").isNotNull())
+    return out.where(F.col("start_line") + F.col("line_count") <= _LAST_LINE)
 
 
 def diff_problems(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_col: str = "diff") -> DataFrame:
@@ -68,7 +79,7 @@ def diff_problems(diffs: DataFrame, suffixes: tuple[str, ...] = (".py",), diff_c
     for sfx in suffixes:
         keep = keep | F.col("path").endswith(sfx)
     keys = [c for c in diffs.columns if c != diff_col]
-    bad = F.filter("headers", lambda h: ~h.rlike(r"^@@ \S+ \+\d+(?:,\d+)?( |$)"))
+    bad = F.filter("headers", lambda h: ~(h.rlike(r"^@@ \S+ \+\d+(?:,\d+)?( |$)") & _in_file(h)))
     return (sec.where(F.col("path").isNotNull() & keep)
             .select(*keys, "path", F.explode(bad).alias("header"))
             .withColumn("problem", F.lit("unreadable hunk range")))
@@ -94,8 +105,11 @@ def hunk_lines(hunks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def modified_line_count(hunks: DataFrame, keys: list[str]) -> DataFrame:
-    return (hunk_lines(hunks, keys).groupBy(*keys, "path")
-            .agg(F.count(F.lit(1)).alias("modified_line_count")))
+    """Distinct changed lines per (keys, path): the union of the hunk ranges,
+    not their lines, so a huge range costs as much as a small one."""
+    ranges = F.sort_array(F.collect_set(F.struct(F.col("start_line").alias("lo"), F.col("end_line").alias("hi"))))
+    return (hunk_ranges(hunks).groupBy(*keys, "path").agg(ranges.alias("ranges"))
+            .select(*keys, "path", union_length(F.col("ranges")).alias("modified_line_count")))
 
 
 def hunk_symbol_overlap(hunks: DataFrame, symbols: DataFrame, keys: list[str]) -> DataFrame:

@@ -49,10 +49,25 @@ def _lit_table(rows, names) -> Column:
 
 def npm_keys(content: Column) -> Column:
     """dependencies then devDependencies keys, first position wins; null when
-    the manifest is not a JSON object (parse errors are swallowed)."""
-    deps = F.coalesce(F.json_object_keys(F.get_json_object(content, "$.dependencies")), F.array().cast("array<string>"))
-    dev = F.coalesce(F.json_object_keys(F.get_json_object(content, "$.devDependencies")), F.array().cast("array<string>"))
-    return F.when(F.json_object_keys(content).isNotNull(), F.array_union(deps, dev))
+    the manifest is not a JSON object throughout, or either is no object
+    (such errors are swallowed; ``npm_problem`` names them)."""
+    deps, dev = _json_member(content, "dependencies"), _json_member(content, "devDependencies")
+    no_keys = F.array().cast("array<string>")
+    return F.when(npm_problem(content).isNull(), F.array_union(F.coalesce(F.json_object_keys(deps), no_keys), F.coalesce(F.json_object_keys(dev), no_keys)))
+
+
+def _json_member(content: Column, name: str) -> Column:
+    return F.get_json_object(content, f"$.{name}")
+
+
+def npm_problem(content: Column) -> Column:
+    """What is wrong with a package.json; null when nothing is."""
+    is_object = lambda x: F.coalesce(x.rlike(r"\A\s*\{"), F.lit(True))
+    # as the one member of an array: nothing may follow the value
+    whole = F.json_array_length(F.concat(F.lit("["), content, F.lit("]"))) == 1
+    return (F.when(~F.coalesce(whole, F.lit(False)) | ~is_object(content), F.lit("not a JSON object"))
+            .when(~(is_object(_json_member(content, "dependencies")) & is_object(_json_member(content, "devDependencies"))),
+                  F.lit("dependencies are not an object")))
 
 
 def pip_lines(content: Column) -> Column:
@@ -110,6 +125,7 @@ def project_facts(files: DataFrame) -> DataFrame:
     return top.select(
         "repo", "path",
         npm.alias("npm"),
+        F.when(is_pkg, npm_problem(content)).alias("problem"),
         F.when(is_req, pip_lines(content)).alias("pip"),
         F.when(is_env, env_keys(content)).alias("env"),
         frameworks.alias("frameworks"),
@@ -121,7 +137,8 @@ def project_facts(files: DataFrame) -> DataFrame:
 def project_config(files: DataFrame) -> DataFrame:
     """Per repository: frameworks (sorted), npm / pip dependency lists (null
     when that manifest is absent), config files and build/CI files (fixed
-    list order, then workflows by name), expected env vars (file order)."""
+    list order, then workflows by name), expected env vars (file order), and
+    what is wrong with its package.json, if anything (``problem``)."""
     facts = project_facts(files)
     # only rows that contribute something reach the per-repo group, so a
     # repository's group is bounded by its manifests and candidate files
@@ -134,6 +151,7 @@ def project_config(files: DataFrame) -> DataFrame:
     prof = facts.groupBy("repo").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("frameworks")))).alias("frameworks"),
         F.first("npm", ignorenulls=True).alias("npm"),
+        F.first("problem", ignorenulls=True).alias("problem"),
         F.first("pip", ignorenulls=True).alias("pip"),
         ordered("config_pos").alias("config_files"),
         ordered("build_pos").alias("build_ci"),
@@ -142,7 +160,7 @@ def project_config(files: DataFrame) -> DataFrame:
     # (the distinct repo list reads only the repo column)
     empty = F.array().cast("array<string>")
     prof = files.select("repo").distinct().join(prof, "repo", "left").select(
-        "repo", F.coalesce("frameworks", empty).alias("frameworks"), "npm", "pip",
+        "repo", F.coalesce("frameworks", empty).alias("frameworks"), "npm", "pip", "problem",
         F.coalesce("config_files", empty).alias("config_files"), F.coalesce("build_ci", empty).alias("build_ci"),
         F.coalesce("env_vars_expected", empty).alias("env_vars_expected"))
     deps = F.map_filter(F.map_from_arrays(F.array(F.lit("npm"), F.lit("pip")), F.array("npm", "pip")),
