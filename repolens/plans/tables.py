@@ -5,7 +5,9 @@ search, change impact, complexity and the streaming job, so a deployment
 builds them once and writes them.  Writing also cuts the lineage: a lost
 executor later re-reads parquet instead of re-running the token pipeline.
 Tables go below the shared ``spark.checkpoint.dir`` unless a base folder is
-given, partitioned by ``repo`` so a repository filter prunes directories.
+given, in ranges of ``(repo, path)``: file sizes follow the data, however
+many repositories there are, and a repository filter skips files and row
+groups by their statistics.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ def table_path(spark: SparkSession, name: str, base: str | None = None) -> str:
 def write_table(df: DataFrame, name: str, base: str | None = None, by_repo: bool = True) -> str:
     """Write ``df`` as parquet (overwrite) and return its path."""
     path = table_path(df.sparkSession, name, base)
-    writer = df.write.mode("overwrite")
-    if by_repo and "repo" in df.columns:
-        writer = writer.partitionBy("repo")
-    writer.parquet(path)
+    order = [c for c in ("repo", "path") if c in df.columns]
+    if by_repo and "repo" in order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 

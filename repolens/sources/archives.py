@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,8 @@ MSG_ESCAPES = "Refused archive: entry '{name}' resolves outside 'repos/'."
 LOCAL_PATH = "repos/{repo}-{branch}"
 # ---------------------------------------------------------------------------
 
-ENTRY_SCHEMA = "archive string, name string, size bigint, is_dir boolean, raw binary"
+MSG_NOT_ZIP = "Not a readable zip archive."
+_BROKEN = (zipfile.BadZipFile, RuntimeError, NotImplementedError, zlib.error, EOFError, ValueError, OSError)
 
 
 def validate_coordinates(index: DataFrame) -> DataFrame:
@@ -96,44 +98,73 @@ def archive_verdict(index: DataFrame, entries: DataFrame, key: str = "archive_id
                       F.when(problem.isNull(), F.col("local_path")).alias("local_path"))
 
 
-def _expand(batches):
+def _listed(batches):
+    """The central directory of every archive: names and sizes, nothing is expanded."""
     for pdf in batches:
         rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        data = b"" if info.is_dir() else z.read(info)
-                        rows.append((path, info.filename, int(info.file_size), info.is_dir(), data))
-            except zipfile.BadZipFile:
-                rows.append((path, None, None, None, None))
-        yield pd.DataFrame(rows, columns=["archive", "name", "size", "is_dir", "raw"])
+                    rows.append((path, None, -1, None, None))  # it is a zip, also without entries
+                    rows += [(path, info.filename, int(info.file_size), info.is_dir(), None) for info in z.infolist()]
+            except _BROKEN as exc:
+                rows.append((path, None, -1, None, f"{MSG_NOT_ZIP} ({type(exc).__name__})"))
+        yield pd.DataFrame(rows, columns=["archive", "name", "size", "is_dir", "problem"])
+
+
+def _expand(batches, batch_bytes: int = 32 << 20):
+    """Files of admitted archives, some megabytes at a time; an entry that can't
+    be read (encrypted, unknown compression, damaged) has no data."""
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            rows, size = [], 0
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                for info in z.infolist():
+                    if info.is_dir():
+                        continue
+                    try:
+                        data = z.read(info)
+                    except _BROKEN:
+                        data = None
+                    rows.append((path, info.filename, int(info.file_size), data))
+                    size += len(data or b"")
+                    if size > batch_bytes:
+                        yield pd.DataFrame(rows, columns=["archive", "name", "size", "raw"])
+                        rows, size = [], 0
+            yield pd.DataFrame(rows, columns=["archive", "name", "size", "raw"])
 
 
 def read_archive_entries(spark: SparkSession, pattern: str) -> DataFrame:
-    """Every entry of every landed zip: (archive, name, size, is_dir, raw).
+    """What every landed zip lists: (archive, name, size, is_dir, problem).
 
-    ``binaryFile`` gives one row per archive; executors expand them.  A
-    broken archive yields one row with a null name."""
-    zips = spark.read.format("binaryFile").load(pattern).select("path", "content", F.col("length"))
-    return zips.mapInPandas(_expand, ENTRY_SCHEMA)
+    ``binaryFile`` gives one row per archive; executors read the lists.  Each
+    archive also has one row without a name, with its ``problem`` if it is no
+    readable zip."""
+    zips = spark.read.format("binaryFile").load(pattern).select("path", "content")
+    return zips.mapInPandas(_listed, "archive string, name string, size bigint, is_dir boolean, problem string")
 
 
 def ingest_archive(spark: SparkSession, pattern: str, index: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Landed zips + their coordinates -> (files, verdicts).
 
-    ``index`` maps ``archive`` (file path) to owner/repo/branch.  Files of
-    refused archives are left out; paths drop the archive's top folder and
-    live under repo ``{repo}-{branch}``.
+    ``index`` maps ``archive`` (file path) to owner/repo/branch.  Lists are
+    judged first; only admitted archives are expanded.  Files of refused
+    archives are left out; paths drop the archive's top folder and live under
+    repo ``{repo}-{branch}``.
     """
+    landed = spark.read.format("binaryFile").load(pattern)
     entries = read_archive_entries(spark, pattern)
-    sized = spark.read.format("binaryFile").load(pattern).select(
-        F.col("path").alias("archive"), F.col("length").alias("compressed_bytes"))
-    idx = index.join(sized, "archive", "inner")
-    verdict = archive_verdict(idx, entries.where(F.col("name").isNotNull()), key="archive")
+    broken = entries.where(F.col("problem").isNotNull()).select("archive", F.col("problem").alias("broken"))
+    idx = index.join(landed.select(F.col("path").alias("archive"), F.col("length").alias("compressed_bytes")), "archive", "inner")
+    verdict = archive_verdict(idx, entries.where(F.col("name").isNotNull()).drop("problem"), key="archive")
+    verdict = verdict.join(broken, "archive", "left").select(
+        *[c for c in verdict.columns if c not in ("status", "problem", "local_path")],
+        F.when(F.col("broken").isNull(), F.col("status")).otherwise("error").alias("status"),
+        F.coalesce("problem", "broken").alias("problem"), F.when(F.col("broken").isNull(), F.col("local_path")).alias("local_path"))
     ok = verdict.where(F.col("status") == "success").select(
         "archive", F.concat(F.col("repo"), F.lit("-"), F.col("branch")).alias("repo"))
-    files = (entries.where(~F.col("is_dir")).join(ok, "archive", "inner")
+    admitted = landed.join(ok, landed["path"] == ok["archive"], "left_semi").select("path", "content")
+    files = (admitted.mapInPandas(_expand, "archive string, name string, size bigint, raw binary").join(ok, "archive", "inner")
              .select("repo", F.regexp_replace("name", r"^[^/]*/", "").alias("path"), "size", "raw")
              .withColumn("content", F.make_valid_utf8(F.col("raw").cast("string"))))
     return files, verdict

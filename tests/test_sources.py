@@ -88,14 +88,18 @@ def test_ingest_archive(spark, tmpdir_fresh):
     _zip(os.path.join(land, "good.zip"), [("proj-main/a.py", "def f():\n    pass\n"), ("proj-main/README.md", "hi")])
     _zip(os.path.join(land, "evil.zip"), [("evil-main/ok.py", "x"), ("../escape.py", "x")])
     _zip(os.path.join(land, "many.zip"), [(f"many-main/f{i}.py", "") for i in range(AR.MAX_MEMBERS + 1)])
+    with open(os.path.join(land, "text.zip"), "w") as out:
+        out.write("this is no archive")
     index = spark.createDataFrame(
         [("file:" + os.path.join(land, "good.zip"), "octo", "proj", "main"),
+         ("file:" + os.path.join(land, "text.zip"), "octo", "text", "main"),
          ("file:" + os.path.join(land, "evil.zip"), "octo", "evil", "main"),
          ("file:" + os.path.join(land, "many.zip"), "octo", "many", "main")],
         "archive string, owner string, repo string, branch string")
     files, verdict = AR.ingest_archive(spark, os.path.join(land, "*.zip"), index)
     v = {r.repo: (r.status, r.problem) for r in verdict.collect()}
     assert v["proj"] == ("success", None)
+    assert v["text"][0] == "error" and v["text"][1].startswith("Not a readable zip archive.")
     assert v["evil"] == ("error", "Refused archive: entry '../escape.py' resolves outside 'repos/'.")
     assert v["many"] == ("error", f"Archive contains more than {AR.MAX_MEMBERS} entries.")
     got = sorted((r.repo, r.path, r.content) for r in files.select("repo", "path", "content").collect())
