@@ -82,7 +82,28 @@ FROM sized s JOIN bud b ON s.source IS NOT DISTINCT FROM b.source
 JOIN pick p ON s.source IS NOT DISTINCT FROM p.source AND s.h = p.h"""
 
 
-@query("op5_near_dedup")
+NEAR_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[s:s + 4], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b
+  WHERE 100 * p.both >= 85 * (x.n + y.n - p.both)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT a, b FROM sides UNION SELECT r.doc_id, s.b FROM reach r JOIN sides s ON s.a = r.other),
+least AS (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(l.low, d.doc_id)) AS component_id,
+       least(d.doc_id, coalesce(l.low, d.doc_id)) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id"""
+
+
+@query("op5_near_dedup", NEAR_SQL)
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
 
@@ -102,7 +123,30 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
-@query("op7_suffix_dedup")
+BYTES_SQL = r"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS k
+  FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS s FROM texts WHERE len(x) >= 200)),
+again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS nth FROM windows) WHERE nth > 1),
+runs AS (
+  SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM (
+    SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (
+      SELECT doc_id, s, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 1 ELSE 0 END AS new FROM again))
+  GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) AS back FROM runs),
+cut AS (
+  SELECT t.doc_id, sum(g.b - g.a) AS removed, count(*) AS spans,
+         string_agg(substr(t.x, 2 * g.from_ + 1, 2 * (g.a - g.from_)), '' ORDER BY g.a) || substr(any_value(t.x), 2 * max(g.b) + 1) AS kept
+  FROM texts t JOIN gaps g ON g.doc_id = t.doc_id GROUP BY t.doc_id)
+SELECT t.doc_id, (len(t.x) // 2)::BIGINT AS n_bytes, coalesce(c.removed, 0)::BIGINT AS n_removed, coalesce(c.spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(c.kept, t.x))) AS kept_sha256
+FROM texts t LEFT JOIN cut c ON c.doc_id = t.doc_id"""
+
+
+@query("op7_suffix_dedup", BYTES_SQL)
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(documents(spark, sf_dir))
 
@@ -112,7 +156,22 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
-@query("op9_substring_dedup")
+WORDS_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words WHERE len(w) >= 50)),
+again AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY k) AS low FROM windows) WHERE low < doc_id),
+gone AS (SELECT DISTINCT doc_id, s + o AS p FROM again, (SELECT unnest(range(0, 50)) AS o)),
+cut AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id),
+flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT f.doc_id, string_agg(f.word, ' ' ORDER BY f.p) AS t FROM flat f ANTI JOIN gone g ON g.doc_id = f.doc_id AND g.p = f.p GROUP BY f.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words d LEFT JOIN cut c ON c.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
+
+@query("op9_substring_dedup", WORDS_SQL)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeated_words(documents(spark, sf_dir))
 
