@@ -129,12 +129,14 @@ def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False)
         (F.coalesce(F.sum(nl).over(before), F.lit(0)) + 1).cast("int").alias("line"),
         F.coalesce(F.sum(delta).over(before), F.lit(0)).cast("int").alias("open"),
         F.coalesce(F.sum(F.when(is_newline, 1).otherwise(0)).over(before), F.lit(0)).cast("int").alias("nlc"))
-    # depth with stray closing brackets left out, then less what is open at the last new start
+    # Depth counts from the last new start, before the first one from the lowest
+    # point so far; what is still open at a new start is left behind.
     floor = F.least(F.lit(0), F.min("open").over(upto))
-    summed = summed.select("*", (F.col("open") - floor).alias("deep"))
-    base = F.coalesce(F.last(F.when(F.col("at_margin"), F.col("deep")), ignorenulls=True).over(upto), F.lit(0))
-    dpt = F.greatest(F.lit(0), F.col("deep") - base).cast("int")
-    bad = ((F.col("delta") < 0) & (F.col("deep") == 0)) | (F.col("at_margin") & (F.col("deep") > 0))
+    start = F.when(F.col("at_margin"), F.col("open"))
+    summed = summed.select("*", F.coalesce(F.last(start, ignorenulls=True).over(upto), floor).alias("base"),
+                           F.coalesce(F.last(start, ignorenulls=True).over(before), floor).alias("base_before"))
+    dpt = F.greatest(F.lit(0), F.col("open") - F.col("base")).cast("int")
+    bad = ((F.col("delta") < 0) & (F.col("open") <= F.col("base"))) | (F.col("at_margin") & (F.col("open") > F.col("base_before")))
     return summed.select(*_FILE, "pos", "tok", "lead", "ws", "nl", "sig", "off", "line", dpt.alias("dpt"), "nlc", bad.alias("bad"))
 
 
