@@ -28,6 +28,8 @@ OUTLINE_CLASS = "class {name}  — lines {start}-{end}"
 NO_SYMBOLS_TEXT = "No functions or classes found."
 UNSUPPORTED_TEXT = "Error: Unsupported file type '{ext}'."
 NOT_FOUND_TEXT = "Error: file not found at '{path}'."
+NOT_A_FILE_TEXT = "Error: '{path}' is not a file."
+NO_FUNCTION_TEXT = "Error: no function named '{name}' found in '{path}'."
 SEARCH_LINE = "Line {n}: {text}"
 RISK_BANDS = [(20, "Extreme"), (10, "High"), (5, "Moderate")]
 RISK_DEFAULT = "Low"

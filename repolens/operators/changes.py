@@ -166,3 +166,13 @@ def change_impact(hunks: DataFrame, symbols: DataFrame, files: DataFrame, keys:
                       union_length(F.col("ranges")).alias("modified_line_count"),
                       F.size("hits").cast("bigint").alias("n_affected"),
                       affected.alias("affected_functions"))
+
+
+def impact_report(diffs: DataFrame, symbols: DataFrame, files: DataFrame, keys: list[str],
+                  suffixes: tuple[str, ...] = (".py",), diff_col: str = "diff") -> DataFrame:
+    """``change_impact`` of diffs, and a row with a ``problem`` and no counts for
+    each changed file that has an unreadable hunk range."""
+    impact = change_impact(diff_hunks(diffs, suffixes, diff_col), symbols, files, keys)
+    problems = diff_problems(diffs, suffixes, diff_col).groupBy(*keys, "path").agg(
+        F.concat(F.min("problem"), F.lit(": "), F.min("header")).alias("problem"))
+    return impact.withColumn("problem", F.lit(None).cast("string")).unionByName(problems, allowMissingColumns=True)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from repolens.functions.text import NO_SYMBOLS_TEXT, OUTLINE_CLASS, OUTLINE_DEF, classify_language, qualify, template
+from repolens.functions.text import NO_FUNCTION_TEXT, NO_SYMBOLS_TEXT, OUTLINE_CLASS, OUTLINE_DEF, classify_language, qualify, template
 from repolens.operators import tokens as T
 
 _FILE = ["repo", "path"]
@@ -197,12 +197,19 @@ def outline(files: DataFrame, symbols: DataFrame) -> DataFrame:
             .select(*_FILE, F.coalesce("outline", F.lit(NO_SYMBOLS_TEXT)).alias("outline")))
 
 
-def function_source(symbols: DataFrame, qualified_name: str | None = None) -> DataFrame:
+def function_source(symbols: DataFrame, qualified_name: str | None = None, files: DataFrame | None = None) -> DataFrame:
     """Exact source of the first def with the given qualified name per file.
 
     With ``qualified_name=None`` every distinct qualified name of every file
-    is answered: ``(repo, path, qualified_name, source)``.
+    is answered: ``(repo, path, qualified_name, source)``.  With a name and
+    ``files``, every parseable file answers: one without that def with the
+    text that says so.
     """
+    if qualified_name is not None and files is not None:
+        found = function_source(symbols, qualified_name).select(*_FILE, "source")
+        every = files.where(classify_language(F.col("path")).isNotNull()).select(*_FILE)
+        missing = template(NO_FUNCTION_TEXT, name=F.lit(qualified_name), path=F.col("path"))
+        return every.join(found, _FILE, "left").select(*_FILE, F.lit(qualified_name).alias("qualified_name"), F.coalesce("source", missing).alias("source"))
     defs = symbols.where(F.col("kind") == "def")
     if qualified_name is not None:
         defs = defs.where(F.col("qualified_name") == qualified_name)

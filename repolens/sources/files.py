@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from repolens.functions.text import (NO_SYMBOLS_TEXT, NOT_FOUND_TEXT, PARSEABLE_SUFFIXES, SKIP_DIRS,
+from repolens.functions.text import (NO_SYMBOLS_TEXT, NOT_A_FILE_TEXT, NOT_FOUND_TEXT, PARSEABLE_SUFFIXES, SKIP_DIRS,
                                      UNSUPPORTED_TEXT, classify_language, file_name, strict_utf8, suffix, template)
 
 FILES_SCHEMA = "repo string, path string, size bigint, raw binary"
@@ -111,12 +111,14 @@ def read_file(files: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 
 def read_path(files: DataFrame, repo: str, path: str) -> DataFrame:
-    """Text of one file, or the error text for a path that is not a file."""
+    """Text of one file, or the error text for a folder or a path that is not there."""
     spark = files.sparkSession
     want = spark.createDataFrame([(repo, path)], "repo string, path string")
     found = read_file(files.where((F.col("repo") == repo) & (F.col("path") == path)))
-    missing = F.lit(NOT_FOUND_TEXT.format(path=path))
-    return (want.join(found, ["repo", "path"], "left")
+    inside = files.where((F.col("repo") == repo) & F.col("path").startswith(path.rstrip("/") + "/"))
+    folder = inside.select("repo").limit(1).withColumn("folder", F.lit(NOT_A_FILE_TEXT.format(path=path)))
+    missing = F.coalesce("folder", F.lit(NOT_FOUND_TEXT.format(path=path)))
+    return (want.join(found, ["repo", "path"], "left").join(folder, "repo", "left")
             .select("repo", "path", F.coalesce(F.col("text"), F.col("problem"), missing).alias("result")))
 
 

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import files_df
+from pyspark.sql import functions as F
 
 from repolens.operators import changes as C
 from repolens.operators import complexity as CX
@@ -289,3 +290,21 @@ def test_package_problems(spark):
 def test_ranks_within_files(spark):
     scores = spark.createDataFrame([("r", "a.py", "f", 1, 2), ("r", "a.py", "g", 5, 9), ("r", "b.py", "h", 1, 1), ("r", "a.py", "i", 9, 2)], "repo string, path string, function string, line long, complexity_score long")
     assert {r.function: r.rank_in_file for r in CX.sort_complexity(scores).collect()} == {"g": 1, "f": 2, "i": 3, "h": 1}
+
+
+def test_unknown_names_and_folders_have_a_text(spark):
+    from repolens.sources.files import read_path
+    files = files_df(spark, [("a.py", "def f():\n    return 1\n"), ("pkg/b.py", "x = 1\n"), ("n.md", "text")])
+    got = {r.path: r.source for r in S.function_source(S.extract_symbols(files), "f", files).collect()}
+    assert got == {"a.py": "def f():\n    return 1", "pkg/b.py": "Error: no function named 'f' found in 'pkg/b.py'."}
+    raw = files.select("repo", "path", F.encode("content", "UTF-8").alias("raw"))
+    one = lambda p: read_path(raw, "r", p).collect()[0].result
+    assert (one("n.md"), one("pkg"), one("none")) == ("text", "Error: 'pkg' is not a file.", "Error: file not found at 'none'.")
+
+
+def test_impact_report_names_problems(spark):
+    files = files_df(spark, [("m.py", "def f():\n    return 1\n")])
+    diff = "diff --git a/m.py b/m.py\n--- a/m.py\n+++ b/m.py\n@@ -1 +2 @@\n-x\n+y\n@@ -1 +x,y @@\n"
+    diffs = spark.createDataFrame([("r", 1, diff)], "repo string, change_id int, diff string")
+    rows = C.impact_report(diffs, S.extract_symbols(files), files, ["repo", "change_id"]).orderBy("modified_line_count").collect()
+    assert [(r.modified_line_count, r.problem) for r in rows] == [(None, "unreadable hunk range: @@ -1 +x,y @@"), (1, None)]
