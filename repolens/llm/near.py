@@ -132,6 +132,16 @@ def _counted(pairs: DataFrame, nodes: DataFrame, matches: int, percent: int) ->
     return both.where(_may_link("a", "b", percent)).select("a", "b", F.expr(agree).alias("agree")).where(F.col("agree") >= matches)
 
 
+def _joined(member: DataFrame, found: DataFrame) -> DataFrame:
+    """member(node, comp) after further links: components are the vertices now."""
+    of_a, of_b = (member.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}")) for x in ("a", "b"))
+    ends = found.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+    moved = components(ends.distinct())
+    stayed = member.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("now")), "comp", "left").select("node", F.coalesce("now", "comp").alias("comp"))
+    single = moved.join(member.select(F.col("comp").alias("node")).distinct(), "node", "left_anti")
+    return written(stayed.unionByName(single.select("node", "comp")), "near-members")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85,
                     coordinates: int = COORDINATES, matches: int = MATCHES, rounds: int = LEADER_ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
@@ -150,7 +160,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = lists.join(lists.groupBy("value").agg(F.count(F.lit(1)).alias("listed")).where("listed > 1"), "value").select("rep").distinct()
     texts = written(pair.withColumnRenamed("doc_id", "rep").join(some, "rep", "left_semi").groupBy("rep").agg(F.max("text").alias("text")), "near-texts")
 
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
     member = docs.sparkSession.createDataFrame([], "node long, comp long")
     for k in range(rounds + 1):
         placed = lists.join(member, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("comp", "rep").alias("comp"))
@@ -170,8 +179,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if k < rounds:
                 continue
             break
-        links = written(links.unionByName(found), "near-links")
-        member = components(links)
+        member = _joined(member, found)
     smallest = member.groupBy("comp").agg(F.min("node").alias("component"))
     root = member.join(smallest, "comp").select("node", "component")
     of_class = (classes.join(root, F.col("rep") == F.col("node"), "left")
