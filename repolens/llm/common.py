@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from repolens.session import checkpoint_dir
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # The six bytes that end a word: space and \x09-\x0D.
 SEPARATOR = np.zeros(256, dtype=bool)

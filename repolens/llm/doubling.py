@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import SpanHash, mix64, slices, word_hashes
-from repolens.llm.repeats import identified, merged, repeated_spans, with_spans, word_anchors
+from repolens.llm.common import SpanHash, mix64, word_hashes
+from repolens.llm.repeats import Pieces, identified, merged, repeated_spans, unpacked, with_spans, word_anchors
 
 WINDOW = 50
 GRAM = 13
@@ -50,15 +50,16 @@ def least_document(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _method(window: int, gram: int):
-    def run(some):
-        _, _, _, _, piece, units = word_hashes(pa.array(some["content"], pa.binary()), lower=False)
-        bounds = np.searchsorted(piece, np.arange(len(some["content"]) + 1))
-        docs = np.array(some["doc_id"], np.int64)[piece]
-        place = np.arange(len(units)) - bounds[piece]
+    def run(some: Pieces):
+        _, _, _, _, piece, units = word_hashes(pa.array(some.contents, pa.binary()), lower=False)
+        bounds = np.searchsorted(piece, np.arange(len(some.contents) + 1))
+        docs = some.docs[piece]
+        place, spans = np.arange(len(units)) - bounds[piece], SpanHash(units)
+        anchors = spans(bounds[:-1] + some.leads, bounds[:-1] + some.leads + gram)
         with np.errstate(over="ignore"):
             # equal windows have equal anchors at equal distances
-            group = np.array(some["anchor"], np.int64).view(np.uint64)[piece] ^ mix64((place - np.array(some["lead"], np.int64)[piece]).astype(np.uint64) + np.uint64(1 << 40))
-        room, spans = bounds[piece + 1], SpanHash(units)
+            group = anchors[piece] ^ mix64((place - some.leads[piece]).astype(np.uint64) + np.uint64(1 << 40))
+        room = bounds[piece + 1]
         alive, short = np.ones(len(units), bool), 0
         for length in levels(gram, window):
             hashes = spans.grams(length)
@@ -77,7 +78,7 @@ def _method(window: int, gram: int):
 
 
 def _kept(batches):
-    for batch in slices(batches, "text"):
+    for batch in unpacked(batches):
         data, _, starts, ends, rows, _ = word_hashes(batch.column(1), lower=False)
         bounds = np.searchsorted(rows, np.arange(batch.num_rows + 1))
         raw, out = data.tobytes(), []

@@ -8,12 +8,13 @@ equal anchors at equal distances from their starts, wherever they are.
 A. ``repeated_anchors``: anchors are compared by hash across all documents.
    A task first compares those of its own slice and asks about one of each
    hash, so a very frequent anchor is one entry per slice, not one per row.
-B. ``pieces``: around each repeated anchor, the units of all windows that it
-   anchors.  Equal pieces of a slice are settled there: only the first goes
+B. Pieces: around each repeated anchor, the units of all windows that it
+   anchors.  Equal pieces of a task are settled there: only the first goes
    on.  The others are known to repeat it.
-C. ``settled``: pieces meet by anchor hash in many small parts; an operator's
-   own method finds which windows occur earlier.
-D. ``with_spans``: spans join their documents.
+C. Pieces meet by anchor hash in many small parts, packed and compressed; an
+   operator's own method finds which windows occur earlier.
+D. ``with_spans``: spans join their documents.  Texts are compressed for the
+   two joins.
 
 Documents are known by (doc_id, hash of the text).  Rows that repeat both are
 one document.  Of rows that repeat a doc_id with other texts, none is a
@@ -29,13 +30,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolens.llm.common import SLICE_BYTES, SpanHash, byte_values, byte_view, long_column, slices, word_hashes, written
 
-PARTS = 4  # logical parts for each shuffle partition: they bound what a task holds at once
+# Logical parts for each shuffle partition, of anchors and of pieces: they bound what a task holds at once.
+PARTS, PIECE_PARTS = 4, 16
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -104,9 +107,31 @@ def word_anchors(window: int, gram: int) -> Callable[[pa.Array], Anchored]:
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id (null: the smallest long), text_hash, text (null: empty)."""
+    """doc_id (null: the smallest long), text_hash (32 bits, only ever compared
+    among rows of one doc_id), text (null: empty)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.hash(text).cast("long").alias("text_hash"), text.alias("text"))
+
+
+def _packed(batches):
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in slices(batches, "text"):
+        texts = batch.column(2).cast(pa.large_binary()).to_pylist()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(squeeze, texts), pa.binary())], ["doc_id", "text_hash", "packed"])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Compressed texts, for a shuffle."""
+    return docs.mapInArrow(_packed, "doc_id long, text_hash long, packed binary")
+
+
+def unpacked(batches):
+    """Record batches with their texts as they were, about SLICE_BYTES at a time."""
+    stretch = zstandard.ZstdDecompressor().decompress
+    for batch in slices(batches, "packed", SLICE_BYTES // 3):
+        at = batch.schema.get_field_index("packed")
+        texts = [stretch(x) for x in batch.column(at).to_pylist()]
+        yield batch.set_column(at, "text", pa.array(texts, pa.large_binary()))
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -215,8 +240,8 @@ def _dealt(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part").sortWithinPartitions("part")
 
 
-def part_count(df: DataFrame) -> int:
-    return PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def part_count(df: DataFrame, each: int = PARTS) -> int:
+    return each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def repeated_anchors(docs: DataFrame, anchors) -> DataFrame:
@@ -227,15 +252,19 @@ def repeated_anchors(docs: DataFrame, anchors) -> DataFrame:
     return found.groupBy("doc_id", "text_hash").agg(F.max("ordinals").alias("ordinals"))
 
 
-_PIECE = "kind int, part int, anchor long, lead int, span int, doc_id long, text_hash long, starts binary, content binary"
+_PIECE = "kind int, part int, docs binary, texts binary, starts binary, many binary, leads binary, spans binary, sizes binary, content binary"
+_NAMES = [x.split()[0] for x in _PIECE.split(", ")]
 
 
 def _cut(anchors, window: int, parts: int, within: bool):
-    """kind 1: a piece; content is its bytes, lead the units before the anchor, span
-    the number of windows, starts where it is in the document.  kind 0: starts
-    holds spans (from, to) of the document that repeat an earlier one."""
+    """Rows of packed pieces of a part (kind 1): documents, starts (many of them
+    for a piece that a document repeats), units before the anchor, numbers of
+    windows, sizes and bytes.  kind 0: spans (from, to) of documents that repeat
+    an earlier piece of the task."""
     def run(batches):
-        for batch in slices(batches, "text"):
+        seen: dict[int, tuple] = {}
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in unpacked(batches):
             found, ids, texts = anchors(batch.column(2)), long_column(batch, "doc_id"), long_column(batch, "text_hash")
             marks = [np.frombuffer(x, np.uint32).astype(np.int64) for x in batch.column(3).to_pylist()]
             begin = np.searchsorted(found.rows, np.arange(batch.num_rows))
@@ -248,36 +277,47 @@ def _cut(anchors, window: int, parts: int, within: bool):
             hashed = anchor ^ _content_hash(found.data, a, b) ^ ((lead << 32) + span).astype(np.uint64)
             start = low - found.first[rows]
             order = np.lexsort((start, texts[rows], ids[rows], hashed))
-            h, row = hashed[order], rows[order]
-            new = np.concatenate(([True], h[1:] != h[:-1]))
-            head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-            lead_row = row[head]
-            keep = ids[row] == ids[lead_row]
+            h, row, place = hashed[order], rows[order], start[order]
+            new = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            sizes = np.diff(np.append(new, len(h)))
+            # the earliest of each piece, here or in the task's slices before
+            first = list(zip(ids[row[new]].tolist(), texts[row[new]].tolist(), place[new].tolist(), strict=True))
+            for i, key in enumerate(h[new].tolist()):
+                first[i] = seen[key] = min(first[i], seen.get(key, first[i]))
+            best = [np.repeat(np.array([f[k] for f in first], np.int64), sizes) for k in range(3)]
+            keep = ids[row] == best[0]
             if within:  # the same row given twice is one document
-                keep &= (texts[row] == texts[lead_row]) & (start[order] == start[order[head]])
+                keep &= (texts[row] == best[1]) & (place == best[2])
             out = []
             gone = order[~keep]
-            gone = gone[np.argsort(rows[gone], kind="stable")]
-            cuts = np.flatnonzero(np.concatenate(([True], rows[gone][1:] != rows[gone][:-1], [True]))) if len(gone) else [0]
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                i = gone[x:y]
-                r = rows[i[0]]
-                out.append((0, int(r) % parts, 0, 0, 0, int(ids[r]), int(texts[r]), _blob(np.stack([start[i], start[i] + span[i] + window - 1], 1).astype(np.int32)), b""))
+            if len(gone):
+                gone = gone[np.argsort(rows[gone], kind="stable")]
+                cuts = np.flatnonzero(np.concatenate(([True], rows[gone][1:] != rows[gone][:-1], [True])))
+                ends = start + span + window - 1
+                for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                    i = gone[x:y]
+                    r = rows[i[0]]
+                    runs = np.stack(merged([_blob(np.stack([start[i], ends[i]], 1).astype(np.int32))]), 1)
+                    out.append((0, int(r) % parts, _blob(ids[r:r + 1]), _blob(texts[r:r + 1]), _blob(runs.astype(np.int32)), b"", b"", b"", b"", b""))
             kept = np.flatnonzero(keep)
-            h, row = h[kept], row[kept]
-            new = np.concatenate(([True], (h[1:] != h[:-1]) | (texts[row[1:]] != texts[row[:-1]]) | (ids[row[1:]] != ids[row[:-1]])))
-            cuts = np.append(np.flatnonzero(new), len(kept))
-            part = _part(anchor, parts)
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                i = order[kept[x:y]]
-                j = i[0]
-                r = rows[j]
-                out.append((1, int(part[j]), int(anchor[j].view(np.int64)), int(lead[j]), int(span[j]), int(ids[r]), int(texts[r]), _blob(start[i].astype(np.int32)), found.data[a[j]:b[j]].tobytes()))
-                if len(out) >= 10_000:
-                    yield _piece_batch(out)
-                    out = []
-            if out:
-                yield _piece_batch(out)
+            if len(kept):
+                h, row = h[kept], row[kept]
+                cuts = np.append(np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (texts[row[1:]] != texts[row[:-1]]) | (ids[row[1:]] != ids[row[:-1]])))), len(kept))
+                piece, many = order[kept[cuts[:-1]]], np.diff(cuts)
+                begins = cuts[:-1]
+                deal = _part(anchor[piece], parts)
+                by = np.argsort(deal, kind="stable")
+                edges = np.flatnonzero(np.concatenate(([True], deal[by][1:] != deal[by][:-1], [True])))
+                for x, y in zip(edges[:-1], edges[1:], strict=True):
+                    k = by[x:y]
+                    j = piece[k]
+                    held = np.concatenate([place[kept[m:m + n]] for m, n in zip(begins[k].tolist(), many[k].tolist(), strict=True)])
+                    content = squeeze(b"".join([found.data[m:n].tobytes() for m, n in zip(a[j].tolist(), b[j].tolist(), strict=True)]))
+                    out.append((1, int(deal[k[0]]), _blob(ids[rows[j]]), _blob(texts[rows[j]].astype(np.int32)), _blob(held.astype(np.int32)), _blob(many[k].astype(np.int32)),
+                                _blob(lead[j].astype(np.int32)), _blob(span[j].astype(np.int32)), _blob((b[j] - a[j]).astype(np.int32)), content))
+            for i in range(0, len(out), 10_000):
+                columns = list(zip(*out[i:i + 10_000], strict=True))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int32()) for x in columns[:2]), *(pa.array(x, pa.binary()) for x in columns[2:])], _NAMES)
     return run
 
 
@@ -292,51 +332,65 @@ def _content_hash(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _piece_batch(out: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*out, strict=True))
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _PIECE.split(", ")])
+@dataclass
+class Pieces:
+    """The pieces of a part."""
+
+    docs: np.ndarray
+    texts: np.ndarray
+    starts: list[np.ndarray]  # one or more of each piece
+    leads: np.ndarray
+    spans: np.ndarray
+    contents: list[bytes]
 
 
-def span_batch(ids, texts, spans: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "text_hash", "spans"])
+def _unpacked_pieces(held: dict[str, list], rows: list[int]) -> Pieces:
+    stretch = zstandard.ZstdDecompressor().decompress
 
+    def whole(name, dtype):
+        return np.frombuffer(b"".join(held[name][i] for i in rows), dtype)
 
-def _settle(method):
-    """method(pieces) -> spans to add: an iterator of (piece number, from, to) arrays,
-    counted from the piece's start."""
-    names = [x.split()[0] for x in _PIECE.split(", ") if not x.startswith("part")]
+    sizes = whole("sizes", np.int32).astype(np.int64)
+    data = b"".join(stretch(held["content"][i]) for i in rows)
+    ends = np.cumsum(sizes)
+    return Pieces(whole("docs", np.int64), whole("texts", np.int32).astype(np.int64), np.split(whole("starts", np.int32), np.cumsum(whole("many", np.int32))[:-1]),
+                  whole("leads", np.int32).astype(np.int64), whole("spans", np.int32).astype(np.int64),
+                  [data[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)])
 
+
+def _settle(method):
+    """method(pieces) -> spans to add: piece numbers, from, to, counted from the piece's start."""
     def run(batches):
-        for held in by_part(batches, names):
+        for held in by_part(batches, [x for x in _NAMES if x != "part"]):
             known = [i for i, k in enumerate(held["kind"]) if not k]
             if known:
-                yield span_batch([held["doc_id"][i] for i in known], [held["text_hash"][i] for i in known], [held["starts"][i] for i in known])
-            rest = [i for i, k in enumerate(held["kind"]) if k]
-            if not rest:
+                yield _span_batch(np.frombuffer(b"".join(held["docs"][i] for i in known), np.int64), np.frombuffer(b"".join(held["texts"][i] for i in known), np.int64), [held["starts"][i] for i in known])
+            rows = [i for i, k in enumerate(held["kind"]) if k]
+            if not rows:
                 continue
-            some = {k: [held[k][i] for i in rest] for k in names}
-            ids, texts, spans = [], [], []
-            for n, low, high in zip(*method(some), strict=True):
-                starts = np.frombuffer(some["starts"][n], np.int32)
-                ids.append(some["doc_id"][n]), texts.append(some["text_hash"][n])
-                spans.append(_blob(np.stack([starts + low, starts + high], 1).astype(np.int32)))
-            yield span_batch(ids, texts, spans)
+            some = _unpacked_pieces(held, rows)
+            n, low, high = method(some)
+            starts = [some.starts[i] for i in n.tolist()]
+            yield _span_batch(some.docs[n], some.texts[n], [_blob(np.stack([s + x, s + y], 1).astype(np.int32)) for s, x, y in zip(starts, low.tolist(), high.tolist(), strict=True)])
     return run
 
 
+def _span_batch(docs, texts, spans: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(texts, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "text_hash", "spans"])
+
+
 def repeated_spans(docs: DataFrame, anchors, window: int, within: bool, method) -> DataFrame:
     """doc_id, text_hash, spans: the parts of documents that repeat earlier ones.
     within: an earlier start in the same document counts, too."""
-    marked = docs.join(repeated_anchors(docs, anchors), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "ordinals")
-    pieces = _dealt(marked.mapInArrow(_cut(anchors, window, part_count(docs), within), _PIECE))
+    marked = packed(docs).join(repeated_anchors(docs, anchors), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "packed", "ordinals")
+    pieces = _dealt(marked.mapInArrow(_cut(anchors, window, part_count(docs, PIECE_PARTS), within), _PIECE))
     spans = pieces.mapInArrow(_settle(method), "doc_id long, text_hash long, spans binary")
     return written(spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("spans")), "repeat-spans")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc_id, text, spans (null: none) for every row of docs."""
-    return docs.join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "text", "spans")
+    """doc_id, packed (the text, compressed), spans (null: none) for every row of docs."""
+    return packed(docs).join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "packed", "spans")
 
 
 def merged(blobs: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:

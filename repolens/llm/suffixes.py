@@ -26,14 +26,14 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import slices
-from repolens.llm.repeats import byte_anchors, identified, merged, repeated_spans, with_spans
+from repolens.llm.repeats import Pieces, byte_anchors, identified, merged, repeated_spans, unpacked, with_spans
 
 WINDOW = 100
 GRAM = 24
@@ -41,7 +41,6 @@ GRAM = 24
 
 def ranked(ids, texts, starts: np.ndarray) -> np.ndarray:
     """Dense ranks by (doc_id, text hash, start)."""
-    ids, texts = np.array(ids, np.int64), np.array(texts, np.int64)
     order = np.lexsort((starts, texts, ids))
     i, t, s = ids[order], texts[order], starts[order]
     rank = np.zeros(len(order), np.int64)
@@ -56,8 +55,8 @@ def earliest_windows(contents: list[bytes], leads: np.ndarray, spans: np.ndarray
     lengths = spans + window - 1
     end, width = begin + lengths, int((begin + lengths).max())
     table = np.zeros((n, width), np.uint8)
-    nth = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    table.ravel()[np.repeat(np.arange(n) * width + begin, lengths) + nth] = np.frombuffer(b"".join(contents), np.uint8)
+    for i, (x, y) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
+        table[i, x:y] = np.frombuffer(contents[i], np.uint8)
     low, high = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
     with tempfile.TemporaryFile() as columns:
         columns.write(np.ascontiguousarray(table.T[::-1]))
@@ -89,33 +88,31 @@ def earliest_windows(contents: list[bytes], leads: np.ndarray, spans: np.ndarray
 
 
 def _method(window: int, room: int):
-    def run(some):
-        starts = np.array([np.frombuffer(x, np.int32)[0] for x in some["starts"]], np.int64)
-        rank = ranked(some["doc_id"], some["text_hash"], starts)
-        leads, spans = np.array(some["lead"], np.int64), np.array(some["span"], np.int64)
+    def run(some: Pieces):
+        rank = ranked(some.docs, some.texts, np.array([x[0] for x in some.starts], np.int64))
         # equal pieces of several tasks: the earliest stands for all
         first: dict[tuple, int] = {}
-        keys = list(zip(some["anchor"], some["lead"], some["span"], some["content"], strict=True))
+        keys = list(zip(some.leads.tolist(), some.contents, strict=True))
         for i in np.argsort(rank, kind="stable").tolist():
             first.setdefault(keys[i], i)
         stands = np.array([first[k] for k in keys])
         copies = np.flatnonzero(rank > rank[stands])
         whole = np.array(sorted(first.values()))
-        anchors = np.array(some["anchor"], np.int64)[whole]
-        _, inverse, many = np.unique(anchors, return_inverse=True, return_counts=True)
-        whole = whole[many[inverse] > 1]  # a piece that is alone at its anchor shares no window
+        grams = [some.contents[i][some.leads[i]:some.leads[i] + window - room] for i in whole.tolist()]
+        many = Counter(grams)
+        whole = whole[np.array([many[g] > 1 for g in grams])]  # a piece that is alone at its anchor shares no window
         low, high = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(whole):
-            low, high = earliest_windows([some["content"][i] for i in whole], leads[whole], spans[whole], rank[whole], window, room)
+            low, high = earliest_windows([some.contents[i] for i in whole], some.leads[whole], some.spans[whole], rank[whole], window, room)
         hit = low >= 0
         return (np.concatenate([copies, whole[hit]]), np.concatenate([np.zeros(len(copies), np.int64), low[hit]]),
-                np.concatenate([spans[copies] + window - 1, high[hit] + window]))
+                np.concatenate([some.spans[copies] + window - 1, high[hit] + window]))
     return run
 
 
 def _kept(batches):
-    for batch in slices(batches, "text"):
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
+    for batch in unpacked(batches):
+        texts = batch.column(1).to_pylist()
         out = []
         for text, blobs in zip(texts, batch.column(2).to_pylist(), strict=True):
             a, b = merged(blobs)
