@@ -8,8 +8,9 @@
    bounded; it is broadcast up to ``broadcast_terms`` and joined by a shuffle
    beyond.
 2. A text's distinct lexicon terms are sorted and hashed once for each of the
-   randomised subsets: a subset of rate r keeps a term if a seeded hash of it
-   says so.  The fingerprint is the hashes in a row; 0 stands for a subset
+   randomised subsets: bits of a term's hash, other bits for each rate r, deal
+   the terms into r parts, and the first parts are the subsets of that rate.
+   So one look tells a term's subset.  The fingerprint is the hashes in a row; 0 stands for a subset
    that holds none of the terms.
 3. Likeness of two fingerprints: of the subsets that hold a term of either,
    the share whose hashes agree.  Sparse subsets still agree on texts that
@@ -20,7 +21,8 @@ Terms are the A-Z lower-cased runs of ``[^\\x20\\x09-\\x0D]``, by their 64-bit h
 The edited text needs the next document by doc_id.  Ids are cut into ranges
 by approximate quantiles; each range also gets the first row of the next
 range (the last range that of the first), so one window per range finds every
-successor and texts shuffle once.
+successor and texts shuffle once.  All that follows on a text's terms stays in
+that partitioning; only fingerprints leave it.
 
 Defined cases: null text counts as empty; a text without lexicon terms is
 fingerprinted by the hash of the whole text, so equal texts always agree.
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from repolens.llm.common import written
 
-# (r, how many): subsets that keep one of r terms.  Most are sparse: those tell
+# (r, how many): subsets that keep one of r terms, r a power of two.  Most are sparse: those tell
 # how much two texts share, the dense ones that their terms are the same.
 SUBSETS = ((4, 4), (16, 8), (64, 16), (256, 36))
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -67,7 +69,8 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
 
 
 def successors(docs: DataFrame, ranges: int) -> DataFrame:
-    """docs(doc_id, text) with next_id and next_text: the row after each, the first after the last."""
+    """docs(doc_id, text) with next_id and next_text: the row after each, the first
+    after the last; partitioned by ``to``, the row's range."""
     marks = [k / ranges for k in range(1, ranges)]
     found = docs.agg(F.percentile_approx("doc_id", marks, 100 * ranges).alias("q")).first()["q"] if marks else None
     bounds = sorted(set(found or []))
@@ -83,19 +86,29 @@ def successors(docs: DataFrame, ranges: int) -> DataFrame:
     here = F.struct(F.col("range").alias("to"), F.lit(False).alias("guest"))
     there = F.struct(home.alias("to"), F.lit(True).alias("guest"))
     dealt = placed.select("doc_id", "text", F.explode(F.when(F.col("doc_id").eqNullSafe(first_id), F.array(here, there)).otherwise(F.array(here))).alias("at"))
-    rows = Window.partitionBy("at.to").orderBy("at.guest", F.col("doc_id").asc_nulls_first(), "text")
-    return dealt.select("doc_id", "text", "at", F.lead("doc_id").over(rows).alias("next_id"), F.lead("text").over(rows).alias("next_text")).where("NOT at.guest")
+    rows = Window.partitionBy("to").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
+    dealt = dealt.select("doc_id", "text", "at.to", "at.guest")
+    return dealt.select("to", "doc_id", "text", "guest", F.lead("doc_id").over(rows).alias("next_id"), F.lead("text").over(rows).alias("next_text")).where("NOT guest")
 
 
 def _fingerprint(terms: Column, whole: Column) -> Column:
     """32 bits for each subset."""
-    def one(j: Column, rate: Column) -> Column:
-        chosen = F.filter(terms, lambda t: F.pmod(F.xxhash64(t, j), rate) == 0)
-        return F.when(F.size(chosen) > 0, F.xxhash64(chosen, j).bitwiseAND(0xFFFFFFFE) + 1).otherwise(F.lit(0).cast("long"))
+    parts, shift = [], 0
+    for rate, many in SUBSETS:
+        def part_of(t: Column, shift: int = shift, rate: int = rate) -> Column:
+            return F.shiftrightunsigned(t, shift).bitwiseAND(rate - 1)
 
-    subsets = F.array(*[F.struct(F.lit(1000 * rate + s).alias("seed"), F.lit(rate).cast("long").alias("rate")) for rate, many in SUBSETS for s in range(many)])
-    plain = whole.bitwiseAND(0xFFFFFFFE) + 1
-    return F.when(F.size(terms) > 0, F.transform(subsets, lambda s: one(s["seed"], s["rate"]))).otherwise(F.transform(subsets, lambda s: plain))
+        def hashed(chosen: Column, j: Column) -> Column:
+            return F.when(F.size(chosen) > 0, F.xxhash64(chosen, j).bitwiseAND(0xFFFFFFFE) + 1).otherwise(F.lit(0).cast("long"))
+
+        # bound once as the member of an array, so the terms of the rate's subsets are sifted once
+        held = F.array(F.filter(terms, lambda t: part_of(t) < many) if many < rate else terms)
+        numbers = F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))
+        of_rate = F.transform(held, lambda some: F.transform(numbers, lambda j: hashed(F.filter(some, lambda t: part_of(t) == j), j + 1000 * rate)))
+        parts.append(F.get(of_rate, F.lit(0)))
+        shift += rate.bit_length() - 1
+    plain = F.array_repeat(whole.bitwiseAND(0xFFFFFFFE) + 1, sum(many for _, many in SUBSETS))
+    return F.when(F.size(terms) > 0, F.concat(*parts)).otherwise(plain)
 
 
 def fingerprint_text(fingerprint: Column) -> Column:
@@ -111,18 +124,18 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _hashed(rows: DataFrame, words: DataFrame, info: list[str]) -> DataFrame:
-    """rows(id, which, text, *info) -> id, which, *info, fingerprint.
+    """rows(to, id, which, text, *info) -> to, id, which, *info, fingerprint.
 
     The first exploded row of a text, with a null term, carries the other
     columns; the rest are a number and a term, so the grouping moves little.
     """
-    numbered = rows.select("id", "which", *info, F.xxhash64("text").alias("whole"), _terms(F.col("text")).alias("terms"))
-    flat = numbered.select("id", "which", "whole", *info, F.explode(F.concat(F.array(F.lit(None).cast("long")), F.col("terms"))).alias("term"))
+    numbered = rows.select("to", "id", "which", *info, F.xxhash64("text").alias("whole"), _terms(F.col("text")).alias("terms"))
+    flat = numbered.select("to", "id", "which", "whole", *info, F.explode(F.concat(F.array(F.lit(None).cast("long")), F.col("terms"))).alias("term"))
     lead = F.struct("whole", *info)
-    thin = flat.select("id", "which", "term", F.when(F.col("term").isNull(), lead).alias("lead"))
+    thin = flat.select("to", "id", "which", "term", F.when(F.col("term").isNull(), lead).alias("lead"))
     hits = thin.join(words.withColumn("known", F.lit(True)), "term", "left").where("known OR term IS NULL")
-    grouped = hits.groupBy("id", "which").agg(F.sort_array(F.collect_list("term")).alias("terms"), F.max("lead").alias("lead"))
-    return grouped.select("id", "which", *[F.col(f"lead.{c}").alias(c) for c in info], _fingerprint(F.col("terms"), F.col("lead.whole")).alias("fingerprint"))
+    grouped = hits.groupBy("to", "id", "which").agg(F.sort_array(F.collect_list("term")).alias("terms"), F.max("lead").alias("lead"))
+    return grouped.select("to", "id", "which", *[F.col(f"lead.{c}").alias(c) for c in info], _fingerprint(F.col("terms"), F.col("lead.whole")).alias("fingerprint"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rarest: int = 2000, commonest: int = 10,
@@ -137,17 +150,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     rows = successors(texts, ranges).select(
-        F.monotonically_increasing_id().alias("id"), "doc_id", "text", edited.alias("edited"), F.length("text").cast("long").alias("n_chars"),
+        "to", F.monotonically_increasing_id().alias("id"), "doc_id", "text", edited.alias("edited"), F.length("text").cast("long").alias("n_chars"),
         F.xxhash64("text").alias("text_hash"), "next_id", F.xxhash64("next_text").alias("next_hash"))
     info = ["doc_id", "n_chars", "text_hash", "next_id", "next_hash", "edited_sha"]
-    both = rows.select("id", "doc_id", "n_chars", "text_hash", "next_id", "next_hash", F.explode(F.array(
+    both = rows.select("to", "id", "doc_id", "n_chars", "text_hash", "next_id", "next_hash", F.explode(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text").alias("text"), F.lit(None).cast("binary").alias("edited_sha")),
         F.struct(F.lit(1).alias("which"), F.col("edited").alias("text"), F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("edited_sha")))).alias("one"))
-    both = both.select("id", "doc_id", "n_chars", "text_hash", "next_id", "next_hash", "one.*")
+    both = both.select("to", "id", "doc_id", "n_chars", "text_hash", "next_id", "next_hash", "one.*")
     hashed = _hashed(both, words, info)
-    pair = hashed.groupBy("id").agg(*[F.max(c).alias(c) for c in info], F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("own"),
+    pair = hashed.groupBy("to", "id").agg(*[F.max(c).alias(c) for c in info], F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("own"),
                                     F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("other"))
-    done = written(pair.drop("id"), "imatch")
+    done = written(pair.drop("to", "id"), "imatch")
     after = done.groupBy(F.col("doc_id").alias("after_id"), F.col("text_hash").alias("after_hash")).agg(F.max("own").alias("after"))
     out = done.join(after, F.expr("next_id <=> after_id AND next_hash = after_hash"), "left")
     return out.select("doc_id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), fingerprint_text(F.col("own")).alias("fingerprint"),

@@ -28,7 +28,7 @@ def of_ints(values, j):
     seed = 42
     for v in values:
         seed = of_long(v, seed) % (1 << 64)
-    return hash64(j.to_bytes(4, "little"), seed)
+    return hash64(j.to_bytes(8, "little"), seed)
 
 
 def brute_fingerprints(texts, rarest, commonest):
@@ -43,12 +43,12 @@ def brute_fingerprints(texts, rarest, commonest):
 
     def one(text):
         found = sorted({hash64(w.encode()) for w in WORD.findall(text.translate(LOWER))} & words)
-        out = []
+        out, shift = [], 0
         for rate, many in imatch.SUBSETS:
             for s in range(many):
-                j = 1000 * rate + s
-                chosen = [t for t in found if hash64(j.to_bytes(4, "little"), of_long(t) % (1 << 64)) % rate == 0]
-                out.append((of_ints(chosen, j) & 0xFFFFFFFE) + 1 if chosen else 0)
+                chosen = [t for t in found if (t % (1 << 64) >> shift) % rate == s]
+                out.append((of_ints(chosen, 1000 * rate + s) & 0xFFFFFFFE) + 1 if chosen else 0)
+            shift += rate.bit_length() - 1
         return out if found else [(hash64(text.encode()) & 0xFFFFFFFE) + 1] * len(out)
 
     return [(one(t), one(e)) for t, e in texts]
