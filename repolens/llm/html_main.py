@@ -10,7 +10,9 @@ cheapest labelling; the source's side is the text.
 
 Defined cases: null or empty html, and pages without content, give an empty
 text.  Unclosed elements, comments, quotes, scripts and tags end where the
-next structure or the page ends.  Character references are decoded once.
+next structure or the page ends; an open head ends at the first text or
+element that can't be in it.  Formulas are text, their annotations are not.
+Character references are decoded once.
 Nothing is capped: a long page is one row's work.  Repeated rows are answered
 each; empty tables give empty results; other columns are not read.
 """
@@ -32,9 +34,11 @@ from repolens.llm.common import slices
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th
 thead tr ul""".split())
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SKIP = frozenset("script style noscript template iframe object svg math head title textarea select button canvas audio video".split())
-_RAW = frozenset("script style textarea title iframe noscript template".split())
+_VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
+_SKIP = frozenset("script style noscript template iframe object svg annotation annotation-xml head title textarea select button canvas audio video noframes".split())
+# What a head may hold: all of it is void or raw.
+_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
+_RAW = frozenset("script style textarea title iframe noscript noframes template".split())
 _ASIDE = frozenset("nav footer aside form header menu dialog".split())
 _HOME = frozenset("article main".split())
 # An open element of the second kind ends where one of the first kind starts.
@@ -49,7 +53,7 @@ _GOOD = frozenset("article content main post entry story body text".split())
 _NOT = frozenset("no has with without hide not is".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CLOSING = re.compile(r"(?i)copyright|all rights reserved|©")
 
@@ -59,9 +63,12 @@ def _hint(tag: str, attributes: str) -> int:
     if tag in ("html", "body"):
         return 0
     good = tag in _HOME
-    for key, value in _ATTRIBUTE.findall(attributes) if attributes and "=" in attributes or "hidden" in attributes else ():
-        if key.lower() == "hidden" or key.lower() == "aria-hidden" and "true" in value.lower():
-            return -1
+    found: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(attributes) if len(attributes) > 1 else ():
+        found.setdefault(key.lower(), value)  # of an attribute given twice, the first counts
+    if "hidden" in found or "true" in found.get("aria-hidden", "").lower():
+        return -1
+    for value in (found[x] for x in ("class", "id", "role") if x in found):
         for name in value.strip("\"'").split():
             parts = [x.lower() for x in _WORD.findall(name)]
             if parts and parts[0] not in _NOT:
@@ -102,6 +109,8 @@ def blocks(page: str) -> list[Block]:
 
     def say(text):
         nonlocal linked
+        if open_[-1]["tag"] == "head" and text.strip():
+            open_.pop()
         if text and not open_[-1]["skip"]:
             held.append(text)
             if open_[-1]["link"]:
@@ -124,6 +133,10 @@ def blocks(page: str) -> list[Block]:
             elif tag in _BLOCK:
                 flush()
             continue
+        if open_[-1]["tag"] == "head" and tag not in _HEAD:
+            if tag in ("html", "head"):
+                continue
+            open_.pop()
         if tag == "br":
             say(" ")
             continue
@@ -138,7 +151,7 @@ def blocks(page: str) -> list[Block]:
                         break
                 elif name in _BOUND.get(tag, ()) or not ends and name in _BLOCK:
                     break
-        if tag in _VOID or m[3].endswith("/>") and tag in ("svg", "math"):
+        if tag in _VOID or m[3].endswith("/>") and (tag in ("svg", "math") or any(x["tag"] == "math" for x in open_)):
             continue
         top, hint = open_[-1], _hint(tag, m[3])
         number += 1

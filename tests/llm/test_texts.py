@@ -51,6 +51,33 @@ def test_main_text_of_a_page():
     assert html_main.main_text("<article>" + "<p>word" * 3000) == "\n\n".join(["word"] * 3000)
 
 
+WORDS = "The first paragraph tells a story, in several words, about something that goes on."
+
+
+@pytest.mark.parametrize("head", ["<head><title>No</title>", "<head><meta charset=utf-8><link href=x><script>no</script>\n", "<head><title>No</title><html><head>", "<head><noframes>no</noframes><basefont>"])
+@pytest.mark.parametrize("body", ["<body>", "", "<body class=x><div>"])
+def test_an_open_head_ends_where_text_starts(head, body):
+    assert html_main.main_text(f"<html>{head}{body}<p>{WORDS}<p>{WORDS}") == f"{WORDS}\n\n{WORDS}"
+    assert html_main.main_text(f"<html>{head}{body}{WORDS}") == WORDS
+
+
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', "style='overflow: hidden'", 'data-id="form-3"', 'data-class="ad"', 'title="hidden class=ad"', 'aria-hidden=false', 'class="a" class="ad"'])
+def test_attributes_by_their_whole_names(attributes):
+    assert html_main.main_text(f"<body><article {attributes}><p>{WORDS}</article>") == WORDS
+    assert html_main.main_text(f"<body><div {attributes}><p>{WORDS}</div>") == WORDS
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", 'style="a" hidden', 'hidden=""', 'aria-hidden="true"', 'data-x="y"class="ad"', "ID=form-3", "class = 'a sidebar'", 'data-id="x" id=ad'])
+def test_attributes_that_tell_boilerplate(attributes):
+    assert html_main.main_text(f"<body><div {attributes}><p>{WORDS}</div><p>{WORDS}") == WORDS
+
+
+def test_formulas_are_text():
+    formula = '<math><semantics><mrow><mi>x</mi><mspace width="1em"/><mo>=</mo><mn>2</mn></mrow><annotation encoding="application/x-tex">\\frac</annotation></semantics></math>'
+    assert html_main.main_text(f"<article><p>{WORDS} So {formula} holds.<p>{WORDS}</article>") == f"{WORDS} So x=2 holds.\n\n{WORDS}"
+    assert html_main.main_text(f"<article><p>{WORDS} So <math><annotation/><mi>y</mi></math> and <math/> hold.</article>") == f"{WORDS} So y and hold."
+
+
 def test_pages_keep_their_articles(spark):
     pages = duckdb.sql(f"SELECT page_id, html FROM '{SMALL}/pages.parquet'").fetchall()
     out = {r.page_id: r for r in queries.QUERIES["op3_html_main_text"](spark, SMALL).collect()}
