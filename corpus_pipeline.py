@@ -34,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a sequence; a document taken twice is packed twice."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=packing.default_added())
 
 
 STAGES = [

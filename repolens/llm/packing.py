@@ -9,9 +9,12 @@ packing takes one shuffle of small rows; texts are never shuffled.
 
 The ids are those of the ``tokenizers`` library for the same byte-level
 vocabulary; the ranks file read by ``tiktoken`` gives equal ids (the tests
-compare them) in a quarter of the time.  A long text is encoded part by
-part, cut before a lone space between two visible characters: no token
-reaches over that place.
+compare them) in a quarter of the time.  The vocabulary's added tokens, which
+that library finds inside text, are split off first, the longest of the
+leftmost; the registered queries give them, and without them such strings are
+ordinary text.  What lies between is encoded part by part if it is long, cut
+before a lone space between two visible characters: no token reaches over
+that place.
 
 Defined cases: null or empty text has the end id alone; repeated rows are
 packed each; a null doc_id is carried.  An empty table gives no pieces.
@@ -21,6 +24,7 @@ Other columns are not read.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 import zlib
 
@@ -40,10 +44,20 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def default_added() -> dict[str, int]:
+    """The added tokens of the vocabulary and their ids."""
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if any(x[k] for x in found for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on their surroundings")
+    return {x["content"]: x["id"] for x in found}
+
+
 class Encoder:
-    """Little-endian unsigned 32-bit ids of texts; special strings are ordinary text."""
+    """Little-endian unsigned 32-bit ids of texts; strings of ``added`` have ids of their own."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         import base64
 
         import public_tokenizers
@@ -51,6 +65,8 @@ class Encoder:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = {k: v.to_bytes(4, "little") for k, v in (added or {}).items()}
+        self.marks = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def encode(self, text: str) -> bytes:
         return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
@@ -58,6 +74,15 @@ class Encoder:
     def parts(self, text: str):
         """The text's ids, about LONG characters at a time."""
         at = 0
+        for mark in self.marks.finditer(text) if self.marks else ():
+            yield from self.plain(text[at:mark.start()])
+            yield self.added[mark[0]]
+            at = mark.end()
+        yield from self.plain(text[at:] if at else text)
+
+    def plain(self, text: str):
+        """The same for a text without added tokens."""
+        at = 0
         while len(text) - at > LONG:
             found = _SAFE.search(text, at + LONG)
             if not found:
@@ -67,7 +92,7 @@ class Encoder:
         yield self.encode(text[at:] if at else text)
 
 
-def _pieces(path: str, length: int, end_id: int):
+def _pieces(path: str, length: int, end_id: int, added: dict[str, int] | None):
     def cut(encoder, text):
         """(start, length, crc) of each piece and the number of ids."""
         held, start, out = b"", 0, []
@@ -80,7 +105,7 @@ def _pieces(path: str, length: int, end_id: int):
         return out, start + len(held) // 4
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = Encoder(path, added)
         for batch in slices(batches, "text"):
             rows, starts, lengths, crcs, totals = [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -93,11 +118,11 @@ def _pieces(path: str, length: int, end_id: int):
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None,
-           length: int = 1024, end_id: int = 0) -> DataFrame:
+           length: int = 1024, end_id: int = 0, added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: one row per piece."""
     pair = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", pair.schema[0].dataType)] + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens")])
-    return pair.mapInArrow(_pieces(ranks or default_ranks(), length, end_id), schema)
+    return pair.mapInArrow(_pieces(ranks or default_ranks(), length, end_id, added), schema)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:
@@ -134,9 +159,9 @@ def _pack(capacity: int):
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None,
-         length: int = 1024, end_id: int = 0, group_pieces: int = 4096) -> DataFrame:
+         length: int = 1024, end_id: int = 0, group_pieces: int = 4096, added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row per piece."""
-    cut = written(pieces(docs, id_col, text_col, ranks, length, end_id), "pieces")
+    cut = written(pieces(docs, id_col, text_col, ranks, length, end_id, added), "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
     # the row's number keeps repeated rows from meeting in one group
     deal = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)).cast("long")

@@ -153,7 +153,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir))
+    return packing.pack(documents(spark, sf_dir), added=packing.default_added())
 
 
 WORDS_SQL = r"""

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from repolens.llm import html_main, langid, mixing, ngrams, packing, queries
 from repolens.llm.common import byte_view
 from tests.llm.conftest import SMALL
@@ -196,6 +197,25 @@ def test_ids_are_the_tokenizers(small_rows):
         packing.LONG = 1 << 20
 
 
+def test_added_tokens_inside_text(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"abc{end}def {end}", end, f"{end}{end} {end}", f"  {end}  x", f"a{end}" * 40, "<|endoftext|", f"<|{end}|>", "1 2 3 4 " * 20 + end + " 1 2 3" * 30, "é" + end + "\n\n"]
+    encoder, packing.LONG = packing.Encoder(packing.default_ranks(), packing.default_added()), 50
+    try:
+        for text in texts:
+            assert np.frombuffer(b"".join(encoder.parts(text)), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    finally:
+        packing.LONG = 1 << 20
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (queries.QUERIES["op8_packing"](spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))):
+        got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in out.collect()}
+        for i, text in enumerate(texts):
+            ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
+            assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_tournament_tree_is_first_fit():
     rng = random.Random(4)
     for _ in range(200):
