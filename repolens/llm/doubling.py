@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolens.llm.common import SpanHash, mix64, word_hashes
-from repolens.llm.repeats import Pieces, identified, merged, repeated_spans, unpacked, with_spans, word_anchors
+from repolens.llm.repeats import HOT, Pieces, identified, merged, repeated_spans, unpacked, with_spans, word_anchors
 
 WINDOW = 50
 GRAM = 13
@@ -95,9 +95,9 @@ def _kept(batches):
                                          ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     docs = identified(docs, id_col, text_col)
-    spans = repeated_spans(docs, word_anchors(window, gram), window, False, _method(window, gram))
+    spans = repeated_spans(docs, word_anchors(window, gram), window, False, _method(window, gram), hot)
     out = with_spans(docs, spans).mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))

@@ -13,6 +13,12 @@ B. Pieces: around each repeated anchor, the units of all windows that it
    on.  The others are known to repeat it.
 C. Pieces meet by anchor hash in many small parts, packed and compressed; an
    operator's own method finds which windows occur earlier.
+   An anchor with more than ``HOT`` occurrences (counted by slice in A) would
+   put all its pieces into one part, also if few of them share a window.  Its
+   pieces go on window by window instead, dealt by the hash of the whole
+   window: those that meet are equal, so such a group has nothing left to
+   compare.  A slice sends the earliest of its equal windows only, so a very
+   frequent window is one entry per slice.
 D. ``with_spans``: spans join their documents.  Texts are compressed for the
    two joins.
 
@@ -39,6 +45,9 @@ from repolens.llm.common import SLICE_BYTES, SpanHash, byte_values, byte_view, l
 
 # Logical parts for each shuffle partition, of anchors and of pieces: they bound what a task holds at once.
 PARTS, PIECE_PARTS = 4, 16
+# Occurrences of an anchor from which its windows are dealt one by one.
+HOT = 2048
+_FLAG = np.uint32(1 << 31)  # of an ordinal: a hot anchor
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -55,6 +64,7 @@ class Anchored:
     hashes: np.ndarray  # of the anchor
     starts: np.ndarray | None  # unit -> byte; None: units are bytes
     ends: np.ndarray | None
+    values: Callable[[int, int], np.ndarray]  # units a to b as 64-bit values
 
     def ordinals(self) -> np.ndarray:
         return np.arange(len(self.rows)) - np.searchsorted(self.rows, self.rows)
@@ -92,8 +102,9 @@ def _anchors(values: Callable[[int, int], np.ndarray], bounds: np.ndarray, windo
 def byte_anchors(window: int, gram: int) -> Callable[[pa.Array], Anchored]:
     def run(column):
         data, offsets = byte_view(column)
-        at, low, high, hashes, rows = _anchors(lambda a, b: byte_values(data[a:b]), offsets, window, gram)
-        return Anchored(data, offsets[:-1], rows, at, low, high, hashes, None, None)
+        values = lambda a, b: byte_values(data[a:b])
+        at, low, high, hashes, rows = _anchors(values, offsets, window, gram)
+        return Anchored(data, offsets[:-1], rows, at, low, high, hashes, None, None, values)
     return run
 
 
@@ -101,8 +112,9 @@ def word_anchors(window: int, gram: int) -> Callable[[pa.Array], Anchored]:
     def run(column):
         data, offsets, starts, ends, word_rows, units = word_hashes(column, lower=False)
         bounds = np.searchsorted(word_rows, np.arange(len(offsets)))
-        at, low, high, hashes, rows = _anchors(lambda a, b: units[a:b], bounds, window, gram)
-        return Anchored(data, bounds[:-1], rows, at, low, high, hashes, starts, ends)
+        values = lambda a, b: units[a:b]
+        at, low, high, hashes, rows = _anchors(values, bounds, window, gram)
+        return Anchored(data, bounds[:-1], rows, at, low, high, hashes, starts, ends, values)
     return run
 
 
@@ -143,12 +155,14 @@ def _blob(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
-_ASK = "kind int, part int, slice long, a binary, b binary, c binary"
+_ASK = "kind int, part int, slice long, a binary, b binary, c binary, d binary"
 
 
 def _ask(anchors, parts: int):
-    """kind 0: hashes to compare (a hash, b row, c ordinal); 1: anchors known to
-    repeat (b, c); 2: the slice's documents (a doc_id, b text_hash)."""
+    """kind 0: hashes to compare (a hash, b row, c ordinal, d occurrences in the
+    slice); 1: anchors known to repeat (b, c; d: how many have the same hash, the
+    first being the one asked about); 2: the slice's documents (a doc_id, b
+    text_hash).  Answers are of kind 1, or 3 for hot anchors."""
     def run(batches):
         task, n = TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text"):
@@ -163,16 +177,16 @@ def _ask(anchors, parts: int):
             known, asked = order[np.repeat(sizes > 1, sizes)], order[new]
             part = _part(sorted_[new], parts)
             home, rows = slice_id % parts, found.rows.astype(np.uint32)
-            out.append((2, home, _blob(long_column(batch, "doc_id")), _blob(long_column(batch, "text_hash")), b""))
+            out.append((2, home, _blob(long_column(batch, "doc_id")), _blob(long_column(batch, "text_hash")), b"", b""))
             if len(known):
-                out.append((1, home, b"", _blob(rows[known]), _blob(ordinals[known])))
+                out.append((1, home, b"", _blob(rows[known]), _blob(ordinals[known]), _blob(sizes[sizes > 1].astype(np.uint32))))
             cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                 some = asked[x:y]
-                out.append((0, int(part[x]), _blob(found.hashes[some]), _blob(rows[some]), _blob(ordinals[some])))
-            kind, at, a, b, c = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(at, pa.int32()), pa.array([slice_id] * len(out), pa.int64()), *(pa.array(x, pa.binary()) for x in (a, b, c))],
-                                             ["kind", "part", "slice", "a", "b", "c"])
+                out.append((0, int(part[x]), _blob(found.hashes[some]), _blob(rows[some]), _blob(ordinals[some]), _blob(sizes[x:y].astype(np.uint32))))
+            kind, at, *blobs = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(at, pa.int32()), pa.array([slice_id] * len(out), pa.int64()), *(pa.array(x, pa.binary()) for x in blobs)],
+                                             ["kind", "part", "slice", "a", "b", "c", "d"])
     return run
 
 
@@ -194,45 +208,56 @@ def by_part(batches, names: list[str]) -> Iterator[dict[str, list]]:
         yield held
 
 
-def _answer(batches):
-    names = ["kind", "slice", "a", "b", "c"]
-    for held in by_part(batches, names):
-        kind, slices_, a, b, c = (held[x] for x in names)
-        out = [(k, s, x, y, z) for k, s, x, y, z in zip(kind, slices_, a, b, c, strict=True) if k]
-        asked = [i for i, k in enumerate(kind) if not k]
-        if asked:
-            hashes = np.frombuffer(b"".join(a[i] for i in asked), np.uint64)
-            rows = np.frombuffer(b"".join(b[i] for i in asked), np.uint32)
-            ordinals = np.frombuffer(b"".join(c[i] for i in asked), np.uint32)
-            origin = np.repeat(np.arange(len(asked)), [len(a[i]) // 8 for i in asked])
-            order = np.argsort(hashes, kind="stable")
-            same = hashes[order][1:] == hashes[order][:-1]
-            again = np.zeros(len(order), bool)
-            again[order[1:][same]] = again[order[:-1][same]] = True
-            again = np.flatnonzero(again)
-            cuts = np.searchsorted(origin[again], np.arange(len(asked) + 1))
-            for n, i in enumerate(asked):
-                some = again[cuts[n]:cuts[n + 1]]
-                if len(some):
-                    out.append((1, slices_[i], b"", _blob(rows[some]), _blob(ordinals[some])))
-        if out:
-            kind, slices_, a, b, c = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array([0] * len(out), pa.int32()), pa.array(slices_, pa.int64()), *(pa.array(x, pa.binary()) for x in (a, b, c))],
-                                             ["kind", "part", "slice", "a", "b", "c"])
+def _answer(hot: int):
+    def run(batches):
+        names = ["kind", "slice", "a", "b", "c", "d"]
+        for held in by_part(batches, names):
+            kind, slices_, a, b, c, d = (held[x] for x in names)
+            out = [x for x in zip(kind, slices_, a, b, c, d, strict=True) if x[0]]
+            asked = [i for i, k in enumerate(kind) if not k]
+            if asked:
+                hashes = np.frombuffer(b"".join(a[i] for i in asked), np.uint64)
+                rows = np.frombuffer(b"".join(b[i] for i in asked), np.uint32)
+                ordinals = np.frombuffer(b"".join(c[i] for i in asked), np.uint32)
+                many = np.frombuffer(b"".join(d[i] for i in asked), np.uint32)
+                origin = np.repeat(np.arange(len(asked)), [len(a[i]) // 8 for i in asked])
+                order = np.argsort(hashes, kind="stable")
+                first = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
+                sizes, total = np.diff(np.append(first, len(order))), np.add.reduceat(many[order].astype(np.int64), first)
+                # 0: nowhere else; what a slice repeats itself is known there
+                tell = np.zeros(len(order), np.int8)
+                tell[order] = np.repeat(np.where(total > hot, 3, np.where(sizes > 1, 1, 0)), sizes)
+                for k in (1, 3):
+                    again = np.flatnonzero(tell == k)
+                    cuts = np.searchsorted(origin[again], np.arange(len(asked) + 1))
+                    for n, i in enumerate(asked):
+                        some = again[cuts[n]:cuts[n + 1]]
+                        if len(some):
+                            out.append((k, slices_[i], b"", _blob(rows[some]), _blob(ordinals[some]), b""))
+            if out:
+                kind, slices_, *blobs = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array([0] * len(out), pa.int32()), pa.array(slices_, pa.int64()), *(pa.array(x, pa.binary()) for x in blobs)],
+                                                 ["kind", "part", "slice", "a", "b", "c", "d"])
+    return run
 
 
 def _of_documents(group: pd.DataFrame) -> pd.DataFrame:
-    """The repeated anchors of one slice, by document."""
-    rest = group[group["kind"] == 1]
-    if not len(rest):
+    """The repeated anchors of one slice, by document; hot ones are flagged."""
+    keys_of = lambda some: (np.frombuffer(b"".join(some["b"]), np.uint32).astype(np.uint64) << np.uint64(32)) | np.frombuffer(b"".join(some["c"]), np.uint32)
+    rest, hot = group[group["kind"] == 1], group[group["kind"] == 3]
+    if not len(rest) + len(hot):
         return pd.DataFrame({"doc_id": [], "text_hash": [], "ordinals": []})
     docs = group[group["kind"] == 2].iloc[0]
     ids, texts = np.frombuffer(docs["a"], np.int64), np.frombuffer(docs["b"], np.int64)
-    rows = np.frombuffer(b"".join(rest["b"]), np.uint32).astype(np.uint64)
-    both = np.unique((rows << np.uint64(32)) | np.frombuffer(b"".join(rest["c"]), np.uint32))
+    own = rest[rest["d"].map(len) > 0]  # the slice's own repeats: one row at most
+    hot_keys = np.unique(keys_of(hot))
+    if len(own) and len(hot_keys):
+        sizes, keys = np.frombuffer(own.iloc[0]["d"], np.uint32), keys_of(own)
+        hot_keys = np.union1d(hot_keys, keys[np.repeat(np.isin(keys[np.cumsum(sizes) - sizes], hot_keys), sizes)])
+    both = np.union1d(keys_of(rest), hot_keys)
     rows = (both >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1], [True])))
-    ordinals = (both & _LOW).astype(np.uint32)
+    ordinals = (both & _LOW).astype(np.uint32) | np.where(np.isin(both, hot_keys), _FLAG, np.uint32(0))
     return pd.DataFrame({"doc_id": ids[rows[cuts[:-1]]], "text_hash": texts[rows[cuts[:-1]]], "ordinals": [_blob(ordinals[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]})
 
 
@@ -244,10 +269,10 @@ def part_count(df: DataFrame, each: int = PARTS) -> int:
     return each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def repeated_anchors(docs: DataFrame, anchors) -> DataFrame:
+def repeated_anchors(docs: DataFrame, anchors, hot: int = HOT) -> DataFrame:
     """doc_id, text_hash, ordinals: which of a document's anchors occur elsewhere too."""
     asked = _dealt(docs.mapInArrow(_ask(anchors, part_count(docs)), _ASK))
-    answered = asked.mapInArrow(_answer, _ASK)
+    answered = asked.mapInArrow(_answer(hot), _ASK)
     found = answered.groupBy("slice").applyInPandas(_of_documents, "doc_id long, text_hash long, ordinals binary")
     return found.groupBy("doc_id", "text_hash").agg(F.max("ordinals").alias("ordinals"))
 
@@ -260,13 +285,15 @@ def _cut(anchors, window: int, parts: int, within: bool):
     """Rows of packed pieces of a part (kind 1): documents, starts (many of them
     for a piece that a document repeats), units before the anchor, numbers of
     windows, sizes and bytes.  kind 0: spans (from, to) of documents that repeat
-    an earlier piece of the task."""
+    an earlier piece of the task.  kind 2: windows of hot anchors (see _windows)."""
     def run(batches):
         seen: dict[int, tuple] = {}
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in unpacked(batches):
             found, ids, texts = anchors(batch.column(2)), long_column(batch, "doc_id"), long_column(batch, "text_hash")
-            marks = [np.frombuffer(x, np.uint32).astype(np.int64) for x in batch.column(3).to_pylist()]
+            marks = [np.frombuffer(x, np.uint32) for x in batch.column(3).to_pylist()]
+            hot = np.concatenate(marks) >= _FLAG
+            marks = [(x & ~_FLAG).astype(np.int64) for x in marks]
             begin = np.searchsorted(found.rows, np.arange(batch.num_rows))
             some = np.concatenate([m + b for m, b in zip(marks, begin, strict=True)])
             rows, low, high, anchor = found.rows[some], found.low[some], found.high[some], found.hashes[some]
@@ -288,18 +315,34 @@ def _cut(anchors, window: int, parts: int, within: bool):
             keep = ids[row] == best[0]
             if within:  # the same row given twice is one document
                 keep &= (texts[row] == best[1]) & (place == best[2])
-            out = []
             gone = order[~keep]
-            if len(gone):
-                gone = gone[np.argsort(rows[gone], kind="stable")]
-                cuts = np.flatnonzero(np.concatenate(([True], rows[gone][1:] != rows[gone][:-1], [True])))
-                ends = start + span + window - 1
+            gone_rows, gone_from, gone_to = rows[gone], start[gone], (start + span + window - 1)[gone]
+            out = []
+            some = np.sort(order[keep & hot[order]])
+            if len(some):
+                at = np.repeat(low[some], span[some]) + np.arange(int(span[some].sum())) - np.repeat(np.cumsum(span[some]) - span[some], span[some])
+                row_at = np.repeat(rows[some], span[some])
+                windows = _window_hashes(found.values, at, window)
+                send, late = _earliest(*windows, ids[row_at], texts[row_at], at - found.first[row_at], within)
+                gone_rows, gone_from = np.append(gone_rows, row_at[late]), np.append(gone_from, (at - found.first[row_at])[late])
+                gone_to = np.append(gone_to, (at - found.first[row_at])[late] + window)
+                deal = _part(windows[0][send], parts)
+                send, deal = send[np.argsort(deal, kind="stable")], np.sort(deal)
+                edges = np.flatnonzero(np.concatenate(([True], deal[1:] != deal[:-1], [True])))
+                for x, y in zip(edges[:-1], edges[1:], strict=True):
+                    k = send[x:y]
+                    r = row_at[k]
+                    out.append((2, int(deal[x]), _blob(ids[r]), _blob(texts[r].astype(np.int32)), _blob((at[k] - found.first[r]).astype(np.int32)), b"", b"", b"",
+                                _blob(windows[0][k]), _blob(windows[1][k])))
+            if len(gone_rows):
+                by = np.argsort(gone_rows, kind="stable")
+                cuts = np.flatnonzero(np.concatenate(([True], gone_rows[by][1:] != gone_rows[by][:-1], [True])))
                 for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                    i = gone[x:y]
-                    r = rows[i[0]]
-                    runs = np.stack(merged([_blob(np.stack([start[i], ends[i]], 1).astype(np.int32))]), 1)
+                    i = by[x:y]
+                    r = gone_rows[i[0]]
+                    runs = np.stack(merged([_blob(np.stack([gone_from[i], gone_to[i]], 1).astype(np.int32))]), 1)
                     out.append((0, int(r) % parts, _blob(ids[r:r + 1]), _blob(texts[r:r + 1]), _blob(runs.astype(np.int32)), b"", b"", b"", b"", b""))
-            kept = np.flatnonzero(keep)
+            kept = np.flatnonzero(keep & ~hot[order])
             if len(kept):
                 h, row = h[kept], row[kept]
                 cuts = np.append(np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (texts[row[1:]] != texts[row[:-1]]) | (ids[row[1:]] != ids[row[:-1]])))), len(kept))
@@ -321,6 +364,32 @@ def _cut(anchors, window: int, parts: int, within: bool):
     return run
 
 
+def _window_hashes(values, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the windows at sorted places: of the whole and of its first half."""
+    out, i, step = np.zeros((2, len(at)), np.uint64), 0, 2 * SLICE_BYTES
+    while i < len(at):
+        j = int(np.searchsorted(at, at[i] + step, "left"))
+        spans, some = SpanHash(values(int(at[i]), int(at[j - 1]) + window)), at[i:j] - at[i]
+        out[0, i:j], out[1, i:j] = spans(some, some + window), spans(some, some + window // 2)
+        i = j
+    return out[0], out[1]
+
+
+def _earliest(hashes, checks, ids, texts, starts, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal windows, which are the earliest and which repeat them.  within: the
+    earliest is one place, and the same place given twice is one; else all of its
+    doc_id are, because a document removes nothing from itself."""
+    order = np.lexsort((starts, texts, ids, checks, hashes))
+    h, c, i, t, s = (x[order] for x in (hashes, checks, ids, texts, starts))
+    new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]))))
+    best = np.repeat(new, np.diff(np.append(new, len(h))))
+    keep = i == i[best]
+    if within:
+        keep &= (t == t[best]) & (s == s[best])
+    first = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (i[1:] != i[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1])))
+    return order[keep & first], order[~keep]
+
+
 def _content_hash(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hashes of data[a:b]; a is sorted, so long data are read part by part."""
     out, i, step = np.zeros(len(a), np.uint64), 0, 2 * SLICE_BYTES
@@ -358,14 +427,29 @@ def _unpacked_pieces(held: dict[str, list], rows: list[int]) -> Pieces:
                   [data[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)])
 
 
-def _settle(method):
+def _settled_windows(held: dict[str, list], rows: list[int], window: int, within: bool) -> pa.RecordBatch:
+    """Spans of the windows of hot anchors that are not the earliest."""
+    docs, texts, starts, hashes, checks = (np.frombuffer(b"".join(held[name][i] for i in rows), dtype) for name, dtype in
+                                           (("docs", np.int64), ("texts", np.int32), ("starts", np.int32), ("sizes", np.uint64), ("content", np.uint64)))
+    _, late = _earliest(hashes, checks, docs, texts, starts, within)
+    late = late[np.lexsort((texts[late], docs[late]))]
+    d, t, s = docs[late], texts[late].astype(np.int64), starts[late].astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])))) if len(d) else np.zeros(0, np.int64)
+    runs = [np.stack(merged([_blob(np.stack([x, x + window], 1).astype(np.int32))]), 1).astype(np.int32) for x in np.split(s, first[1:])] if len(d) else []
+    return _span_batch(d[first], t[first], [_blob(x) for x in runs])
+
+
+def _settle(method, window: int, within: bool):
     """method(pieces) -> spans to add: piece numbers, from, to, counted from the piece's start."""
     def run(batches):
         for held in by_part(batches, [x for x in _NAMES if x != "part"]):
             known = [i for i, k in enumerate(held["kind"]) if not k]
             if known:
                 yield _span_batch(np.frombuffer(b"".join(held["docs"][i] for i in known), np.int64), np.frombuffer(b"".join(held["texts"][i] for i in known), np.int64), [held["starts"][i] for i in known])
-            rows = [i for i, k in enumerate(held["kind"]) if k]
+            rows = [i for i, k in enumerate(held["kind"]) if k == 2]
+            if rows:
+                yield _settled_windows(held, rows, window, within)
+            rows = [i for i, k in enumerate(held["kind"]) if k == 1]
             if not rows:
                 continue
             some = _unpacked_pieces(held, rows)
@@ -379,12 +463,12 @@ def _span_batch(docs, texts, spans: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(texts, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "text_hash", "spans"])
 
 
-def repeated_spans(docs: DataFrame, anchors, window: int, within: bool, method) -> DataFrame:
+def repeated_spans(docs: DataFrame, anchors, window: int, within: bool, method, hot: int = HOT) -> DataFrame:
     """doc_id, text_hash, spans: the parts of documents that repeat earlier ones.
     within: an earlier start in the same document counts, too."""
-    marked = packed(docs).join(repeated_anchors(docs, anchors), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "packed", "ordinals")
+    marked = packed(docs).join(repeated_anchors(docs, anchors, hot), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "packed", "ordinals")
     pieces = _dealt(marked.mapInArrow(_cut(anchors, window, part_count(docs, PIECE_PARTS), within), _PIECE))
-    spans = pieces.mapInArrow(_settle(method), "doc_id long, text_hash long, spans binary")
+    spans = pieces.mapInArrow(_settle(method, window, within), "doc_id long, text_hash long, spans binary")
     return written(spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("spans")), "repeat-spans")
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.repeats import Pieces, byte_anchors, identified, merged, repeated_spans, unpacked, with_spans
+from repolens.llm.repeats import HOT, Pieces, byte_anchors, identified, merged, repeated_spans, unpacked, with_spans
 
 WINDOW = 100
 GRAM = 24
@@ -127,9 +127,9 @@ def _kept(batches):
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     docs = identified(docs, id_col, text_col)
-    spans = repeated_spans(docs, byte_anchors(window, gram), window, True, _method(window, window - gram))
+    spans = repeated_spans(docs, byte_anchors(window, gram), window, True, _method(window, window - gram), hot)
     out = with_spans(docs, spans).mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))

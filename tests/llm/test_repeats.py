@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from repolens.llm import doubling, queries, suffixes
-from repolens.llm.repeats import byte_anchors, merged
+from repolens.llm import doubling, queries, repeats, suffixes
+from repolens.llm.repeats import byte_anchors, merged, word_anchors
 from tests.llm.conftest import SMALL, ordered
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,6 +82,38 @@ def test_small_windows_of_random_texts(spark, seed):
     same(doubling.remove_repeated_words(docs, window=10, gram=3).collect(), brute_words(rows, 10))
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_hot_anchors_by_windows(spark, odd, odd_rows, hot):
+    """The same results if some or all anchors are settled window by window."""
+    rng = random.Random(5)
+    rows = [(k, "".join(rng.choice("ab") for _ in range(rng.randrange(60)))) for k in range(60)] + [(100 + k, "ab" * rng.randrange(20) + "a" * rng.randrange(30)) for k in range(20)]
+    rows += rows[:9] + [(k, t + "b") for k, t in rows[9:15]]
+    docs, rows = spark.createDataFrame(rows, "doc_id long, text string").repartition(5), ordered(rows)
+    # Of two texts of one doc_id the order is by hash, so bytes are compared without them.
+    single = [r for r in rows if not 9 <= r[0] < 15]
+    brute = brute_bytes(single, 8)
+    same(suffixes.remove_repeated_bytes(docs.where("doc_id NOT BETWEEN 9 AND 14"), window=8, gram=3, hot=hot).collect(), [(d, *brute[d, t]) for d, t in single])
+    spaced = docs.selectExpr("doc_id", "rtrim(regexp_replace(text, '(.)', '$1  ')) AS text")
+    same(doubling.remove_repeated_words(spaced, window=10, gram=3, hot=hot).collect(), brute_words([(d, " ".join(t)) for d, t in rows], 10))
+    lowest = [(-1 if r[0] is None else r[0], r[1]) for r in odd_rows]
+    same(doubling.remove_repeated_words(odd, hot=hot).collect(), [(None if r[0] < 0 else r[0], *r[1:]) for r in brute_words(lowest)])
+
+
+def test_a_common_line_is_spread_over_parts(spark):
+    """One line inside otherwise different texts: no part holds all of its pieces."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    for anchors, window, within, size in ((byte_anchors(100, 24), 100, True, 9), (word_anchors(50, 13), 50, False, 40)):
+        line = [word() for _ in range(size)]
+        rows = [(k, " ".join([word() for _ in range(60)] + line + [word() for _ in range(60)])) for k in range(400)]
+        docs = repeats.identified(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "doc_id", "text")
+        marked = repeats.packed(docs).join(repeats.repeated_anchors(docs, anchors, 100), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "packed", "ordinals")
+        held = Counter()
+        for r in marked.mapInArrow(repeats._cut(anchors, window, 64, within), repeats._PIECE).where("kind > 0").collect():
+            held[r.part] += len(r.docs) // 8
+        assert sum(held.values()) > 400 and max(held.values()) < 0.1 * sum(held.values())
+
+
 def test_every_window_has_one_anchor():
     rng = random.Random(3)
     texts = ["".join(rng.choice("abc ") for _ in range(n)) for n in (0, 5, 99, 100, 101, 700, 3000)]
