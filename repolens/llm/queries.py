@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import doubling, exact, html_main, imatch, langid, mixing, near, ngrams, packing, suffixes
+from repolens.llm import doubling, exact, html_main, imatch, langid, merkle, mixing, near, ngrams, packing, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -179,3 +179,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_scores")
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.score_documents(documents(spark, sf_dir))
+
+
+@query("op11_merkle_manifest", merkle.manifest_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
