@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repolens.llm import doubling, exact, html_main, imatch, langid, merkle, mixing, near, ngrams, packing, suffixes
+from repolens.llm import doubling, exact, html_main, imatch, langid, merkle, mixing, near, ngrams, packing, quality, spelling, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -184,3 +184,13 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_merkle_manifest", merkle.manifest_sql())
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
+
+
+@query("op12_quality_rules", quality.quality_sql())
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
+@query("op13_spelling_variants", spelling.variants_sql())
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
