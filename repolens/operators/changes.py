@@ -11,7 +11,7 @@ not charged to any path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repolens.functions.text import py_strip
@@ -22,6 +22,8 @@ _HUNK_HEADER_RE = r"(?md)^@@[^\n]*"
 
 
 _LAST_LINE = (1 << 31) - 1
+# Lines that one generated array holds at most.
+LINE_CHUNK = 1 << 16
 
 
 def _in_file(header):
@@ -97,19 +99,42 @@ def hunk_ranges(hunks: DataFrame) -> DataFrame:
     return hunks.withColumn("end_line", F.col("start_line") + F.greatest(F.col("line_count"), F.lit(1)) - 1)
 
 
+def line_set_union(hunks: DataFrame, keys: list[str]) -> DataFrame:
+    """The changed lines of each (keys, path) as disjoint, non-adjacent ranges:
+    (keys, path, start_line, end_line).
+
+    A sweep: ranges in order of their starts, with the running maximum of the
+    ends before; a range that starts beyond it begins a new run.  A range of any
+    length is one row."""
+    in_order = Window.partitionBy(*keys, "path").orderBy("start_line", "end_line")
+    reach = F.max("end_line").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(F.col("start_line") <= F.coalesce(reach, F.lit(-2)) + 1, 0).otherwise(1)
+    runs = hunk_ranges(hunks).select(*keys, "path", "start_line", "end_line", new.alias("new"))
+    runs = runs.select("*", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("run"))
+    return (runs.groupBy(*keys, "path", "run").agg(F.min("start_line").alias("start_line"), F.max("end_line").alias("end_line"))
+            .drop("run"))
+
+
 def hunk_lines(hunks: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct changed line numbers per (keys, path)."""
-    r = hunk_ranges(hunks)
-    return (r.select(*keys, "path", F.explode(F.sequence("start_line", "end_line")).alias("line_no"))
-            .distinct())
+    """Distinct changed line numbers per (keys, path).
+
+    The merged ranges are disjoint, so their lines need no distinct.  They are
+    made in chunks: no array is longer than ``LINE_CHUNK``, however long a range
+    is (a 32-bit range has at most ``2 ** 31 / LINE_CHUNK`` chunks).  Chunks are
+    dealt over tasks before their lines are made, so a huge range is many tasks'
+    work and a task holds one chunk's lines at a time."""
+    span = F.col("end_line") - F.col("start_line")
+    chunks = line_set_union(hunks, keys).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(span / LINE_CHUNK))))
+    chunks = chunks.repartition(*keys, "path", "start_line", "chunk")
+    first = F.col("start_line") + F.col("chunk") * LINE_CHUNK
+    return chunks.select(*keys, "path", F.explode(F.sequence(first, F.least(first + (LINE_CHUNK - 1), F.col("end_line")))).alias("line_no"))
 
 
 def modified_line_count(hunks: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct changed lines per (keys, path): the union of the hunk ranges,
+    """Distinct changed lines per (keys, path): the lengths of the merged ranges,
     not their lines, so a huge range costs as much as a small one."""
-    ranges = F.sort_array(F.collect_set(F.struct(F.col("start_line").alias("lo"), F.col("end_line").alias("hi"))))
-    return (hunk_ranges(hunks).groupBy(*keys, "path").agg(ranges.alias("ranges"))
-            .select(*keys, "path", union_length(F.col("ranges")).alias("modified_line_count")))
+    return (line_set_union(hunks, keys).groupBy(*keys, "path")
+            .agg(F.sum(F.col("end_line") - F.col("start_line") + 1).alias("modified_line_count")))
 
 
 def hunk_symbol_overlap(hunks: DataFrame, symbols: DataFrame, keys: list[str]) -> DataFrame:
@@ -142,7 +167,7 @@ def union_length(ranges):
 def change_impact(hunks: DataFrame, symbols: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
     """Per changed file that exists: modified line count and affected functions.
 
-    One pass: hunks are range-joined (left outer, bucketed) to function
+    One pass: hunks are range-joined (left outer, see ``intervals``) to function
     spans, then grouped once per (change, path), collecting the hunk ranges
     (whose union length is the modified line count) and the hits.
     Output (keys…, path, modified_line_count, n_affected, affected_functions

@@ -1,27 +1,63 @@
-"""Interval (range) joins as bucketed equi-joins.
-
-Both sides are copied to the fixed-width line buckets they cover and joined
-on ``keys + bucket`` with the overlap test as residual condition.  A pair is
-kept only in the bucket that holds the start of the overlap, so each
-overlapping pair appears exactly once without a distinct.  Candidates per
-bucket are the intervals that actually cover it -- a hot file with many
-hunks is spread over its buckets instead of pairing every hunk with every
-symbol of the file, and the shuffle key includes the bucket so AQE can
-split what skew remains.
+"""Interval (range) joins by decomposition over a segment tree.
+
+Lines are numbered in buckets of ``width``, the leaves of a tree of fan-out
+``FAN``.  A range is the few tree nodes that lie wholly inside it and whose
+parent doesn't: at most ``2 * (FAN - 1)`` on each of ``LEVELS`` levels, so a
+range of 2,000,000,000 lines is some hundred rows and a function's span one or
+two.  A point lies in a range exactly if one of its ancestors, one per level,
+is among the range's nodes, and then exactly one is.
+
+Two ranges overlap if either starts inside the other.  So each side brings its
+nodes and the ancestors of its start, and one equi-join on ``keys + node``
+compares starts with nodes both ways; a pair whose starts are equal is counted
+for the left start only.  Every overlapping pair appears exactly once without a
+distinct, and the exact range test remains as residual condition.  The join
+key includes the node, so a hot file is spread over its buckets, and AQE's
+skew-join split applies to what remains.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = 64
+FAN_BITS = 4                # fan-out 16
+LEVELS = 7                  # a node of the last level has 64 * 16 ** 6 lines, half of all 32-bit line numbers
+
+
+def _nodes(lo: Column, hi: Column) -> Column:
+    """The tree nodes of buckets lo..hi: array<struct<level, node>>."""
+    none = F.array().cast("array<struct<level:int,node:bigint>>")
+
+    def inside(level: int) -> tuple[Column, Column]:  # first and last node of the level inside the range
+        size = 1 << (FAN_BITS * level)
+        return F.floor((lo + (size - 1)) / size).cast("long"), (F.floor((hi + 1) / size) - 1).cast("long")
+
+    def run(level: int, a: Column, b: Column) -> Column:
+        return F.when(a <= b, F.transform(F.sequence(a, F.greatest(a, b)), lambda x: F.struct(F.lit(level).alias("level"), x.alias("node")))).otherwise(none)
+
+    parts = []
+    for level in range(LEVELS):
+        a, b = inside(level)
+        up_a, up_b = inside(level + 1)
+        left_end = F.when(up_a <= up_b, F.least(b, F.shiftleft(up_a, FAN_BITS) - 1)).otherwise(b)
+        parts.append(run(level, a, left_end))
+        parts.append(F.when(up_a <= up_b, run(level, F.shiftleft(up_b + 1, FAN_BITS), b)).otherwise(none))
+    return F.concat(*parts)
+
+
+def _ancestors(at: Column) -> Column:
+    return F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(at, FAN_BITS * level).alias("node")) for level in range(LEVELS)])
 
 
-def _bucketed(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    lo = F.floor(F.col(start) / width).cast("long")
-    hi = F.floor(F.col(end) / width).cast("long")
-    return df.withColumn("_bucket", F.explode(F.sequence(lo, F.greatest(lo, hi))))
+def _keyed(df: DataFrame, start: str, end: str, width: int, start_side: int) -> DataFrame:
+    """One row per key: ``_side`` tells whose start it compares (0 left, 1 right)."""
+    bucket = lambda c: F.floor(F.col(c) / width).cast("long")
+    lo, hi = bucket(start), F.greatest(bucket(start), bucket(end))
+    side = lambda nodes, s: F.transform(nodes, lambda x: F.struct(F.lit(s).alias("side"), x["level"].alias("level"), x["node"].alias("node")))
+    keys = F.concat(side(_ancestors(lo), start_side), side(_nodes(lo, hi), 1 - start_side))
+    return df.withColumn("_key", F.explode(keys))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
@@ -29,20 +65,23 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
                  width: int = DEFAULT_BUCKET, how: str = "inner") -> DataFrame:
     """Join rows whose closed ranges overlap, equal on ``keys``.
 
-    ``how="left"`` keeps every left row (right columns null where nothing
-    overlaps; an unmatched left row may then appear once per bucket).
+    ``how="left"`` keeps every left row: one that overlaps nothing appears once
+    with null right columns, and so may one that does overlap.
     Column names other than ``keys`` must be distinct between the sides.
     """
     ls, le = left_range
     rs, re_ = right_range
-    lb = _bucketed(left, ls, le, width)
-    rb = _bucketed(right, rs, re_, width).withColumnRenamed("_bucket", "_rbucket")
+    lb = _keyed(left, ls, le, width, 0).withColumnRenamed("_key", "_lkey")
+    rb = _keyed(right, rs, re_, width, 1).withColumnRenamed("_key", "_rkey")
     for k in keys:
         rb = rb.withColumnRenamed(k, f"_r_{k}")
-    overlap_start = F.greatest(F.col(ls), F.col(rs))
-    cond = F.col("_bucket") == F.col("_rbucket")
+    cond = F.lit(True)
+    for part in ("side", "level", "node"):
+        cond = cond & (F.col(f"_lkey.{part}") == F.col(f"_rkey.{part}"))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_r_{k}"))
-    cond = (cond & (F.col(ls) <= F.col(re_)) & (F.col(le) >= F.col(rs))
-            & (F.floor(overlap_start / width).cast("long") == F.col("_bucket")))
-    return lb.join(rb, cond, how).drop("_bucket", "_rbucket", *[f"_r_{k}" for k in keys])
+    inside = F.when(F.col("_lkey.side") == 0, F.col(ls).between(F.col(rs), F.col(re_))).otherwise((F.col(rs) > F.col(ls)) & (F.col(rs) <= F.col(le)))
+    joined = lb.join(rb, cond & inside, how)
+    if how == "left":
+        joined = joined.where(F.col("_rkey").isNotNull() | ((F.col("_lkey.side") == 0) & (F.col("_lkey.level") == 0)))
+    return joined.drop("_lkey", "_rkey", *[f"_r_{k}" for k in keys])

@@ -13,7 +13,13 @@ Brace method on the token stream (no parser):
 Not matched, like the grammar query they mirror: arrow functions, function
 expressions, generators (``function*``), private ``#m`` and computed or
 string-named methods, class expressions and classes without a name (their
-methods stand alone).  A keyword names a method directly in a class body.
+methods stand alone).  A keyword names a method directly in a class body, and
+in an object literal behind its brace or a comma.
+
+Brackets have kinds: a brace opens a class body, an object literal (behind an
+operator, an opening bracket, a comma, ``return`` or the like, or the colon of
+a property) or else a block.  The bracket that is open at each level is the
+stack of kinds; the window by level holds one entry of it.
 The enclosing class (declarations only) is found in the same pass with
 the level method: a class body is tagged in the bracket-level window, each
 candidate is copied to every shallower class-body level as a lookup row,
@@ -40,6 +46,9 @@ EXPRESSION_PREV = ["=", "(", ",", ":", "[", "!", "&", "|", "?", "+", "-", "*", "
                    "<", ">", "~", "^", "return", "typeof", "void", "delete", "new",
                    "await", "yield", "in", "of", "case", "=>", "."]
 METHOD_MODIFIERS = ["static", "async", "get", "set", "*"]
+# Tokens before a brace that opens an object literal.
+OBJECT_PREV = ["=", "(", ",", "[", "!", "&", "|", "?", "+", "-", "*", "/", "%", "<", ">", "~", "^",
+               "return", "typeof", "void", "delete", "new", "await", "yield", "in", "of", "case"]
 _WORD = r"^[\p{L}_$][\p{L}\p{N}_$]*$"
 _OPEN, _CLOSE = ["(", "[", "{"], [")", "]", "}"]
 
@@ -75,8 +84,13 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
     generator = (p(2, "tok") == "*") & (p(3, "tok") == "function")
     is_method = (paren & body_ok & p(1, "tok").rlike(_WORD) & ~F.coalesce(generator, F.lit(False))
                  & ~F.coalesce(p(2, "tok"), F.lit(";")).isin("function", ".", "extends", "#", "new", "class"))
-    # a keyword's name is a method's only directly in a class body, which is known below
+    # a keyword's name is a method's only directly in a class body or an object literal, which is known below
     in_class_only = is_method & p(1, "tok").isin(*JS_KEYWORDS)
+    first_in = lambda k: F.coalesce(p(k, "tok"), F.lit("")).isin("{", ",")
+    may_be_property = in_class_only & (first_in(2) | (p(2, "tok").isin(*METHOD_MODIFIERS) & (first_in(3) | (p(3, "tok").isin(*METHOD_MODIFIERS) & first_in(4)))))
+    arrow = (p(1, "tok") == ">") & (p(2, "tok") == "=")
+    of_property = (p(1, "tok") == ":") & first_in(3) & (p(2, "tok") != "default")
+    is_object = F.coalesce((tok == "{") & ((p(1, "tok").isin(*OBJECT_PREV) & ~arrow) | of_property), F.lit(False))
     method_start = (F.when(p(2, "tok").isin(*METHOD_MODIFIERS) & p(3, "tok").isin(*METHOD_MODIFIERS), F.col("p3"))
                     .when(p(2, "tok").isin(*METHOD_MODIFIERS), F.col("p2"))
                     .otherwise(F.col("p1")))
@@ -90,10 +104,10 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
         "*",
         F.when((tok == "{") & (g(1)["tok"] == "class"), g(1)["n1"])
         .when((tok == "{") & (g(1)["tok"] == ")") & (g(2)["tok"] == "(") & (g(3)["tok"] == "class"), g(3)["n1"])
-        .alias("body_of"))
+        .alias("body_of"), is_object.alias("is_object"), F.coalesce(may_be_property, F.lit(False)).alias("may_be_property"))
     whole = Window.partitionBy(*_FILE)
-    stream = stream.select("*", F.collect_set(F.when(F.col("body_of").isNotNull(), F.col("lvl"))).over(whole)
-                           .alias("class_levels"))
+    stream = stream.select("*", F.collect_set(F.when(F.col("body_of").isNotNull(), F.col("lvl"))).over(whole).alias("class_levels"),
+                           F.collect_set(F.when(F.col("may_be_property"), F.col("dpt") - 1)).over(whole).alias("property_levels"))
 
     is_def = is_func | is_method
     info = F.struct(
@@ -107,11 +121,12 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
         F.when(is_def, l(3, "line")).when(body_at1, l(2, "line")).otherwise(l(4, "line")).alias("end_line"),
         (F.when(is_def, l(3, "off")).when(body_at1, l(2, "off")).otherwise(l(4, "off")) + 1).alias("end_off"))
     levels = F.concat(
-        F.when(F.array_contains("class_levels", F.col("lvl")) & tok.isin(*_OPEN, *_CLOSE), F.array(F.col("lvl")))
+        F.when((F.array_contains("class_levels", F.col("lvl")) | F.array_contains("property_levels", F.col("lvl"))) & tok.isin(*_OPEN, *_CLOSE), F.array(F.col("lvl")))
+        .otherwise(F.array().cast("array<int>")),
+        F.when(is_def, F.array_union(F.filter("class_levels", lambda v: v < F.col("dpt")), F.when(F.col("may_be_property"), F.array(F.col("dpt") - 1)).otherwise(F.array().cast("array<int>"))))
         .otherwise(F.array().cast("array<int>")),
-        F.when(is_def, F.filter("class_levels", lambda v: v < F.col("dpt"))).otherwise(F.array().cast("array<int>")),
         F.when(is_def | is_class, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>")))
-    rows = stream.select(*_FILE, "pos", "tok", "lvl", "body_of", F.when(is_def | is_class, info).alias("info"),
+    rows = stream.select(*_FILE, "pos", "tok", "lvl", "body_of", "is_object", "may_be_property", F.when(is_def | is_class, info).alias("info"),
                          F.explode(levels).alias("v"))
     # own row per candidate (v = -1), bracket rows at their level, lookups below
     rows = rows.withColumn("role", F.when(F.col("v") == -1, F.lit("self"))
@@ -119,16 +134,18 @@ def js_symbols(files: DataFrame, partitioned: bool = False) -> DataFrame:
                            .otherwise(F.lit("lk")))
     wv = Window.partitionBy(*_FILE, "v").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     last_br = F.last(F.when(F.col("role") == "br", F.struct(
-        ((F.col("tok") == "{") & F.col("body_of").isNotNull()).alias("open_class"), F.col("body_of").alias("name"))),
+        ((F.col("tok") == "{") & F.col("body_of").isNotNull()).alias("open_class"), F.col("body_of").alias("name"), "is_object")),
         ignorenulls=True).over(wv)
     rows = rows.select("*", last_br.alias("last_br"))
     enclosing = F.when((F.col("role") == "lk") & F.col("last_br.open_class"), F.col("last_br.name"))
-    grouped = (rows.where((F.col("role") == "self") | enclosing.isNotNull())
+    in_object = F.coalesce((F.col("role") == "lk") & F.col("may_be_property") & (F.col("v") == F.col("lvl") - 1) & F.col("last_br.is_object"), F.lit(False))
+    grouped = (rows.where((F.col("role") == "self") | enclosing.isNotNull() | in_object)
                .groupBy(*_FILE, "pos")
-               .agg(F.first(F.when(F.col("role") == "self", F.col("info")), ignorenulls=True).alias("i"),
+               .agg(F.max(in_object).alias("in_object"),
+                    F.first(F.when(F.col("role") == "self", F.col("info")), ignorenulls=True).alias("i"),
                     F.max(F.when(enclosing.isNotNull(), F.col("v"))).alias("class_level"),
                     F.max_by(enclosing, F.when(enclosing.isNotNull(), F.col("v"))).alias("class_name")))
-    is_symbol = F.col("i").isNotNull() & (F.col("i.body_level").isNull() | (F.col("i.body_level") == F.coalesce("class_level", F.lit(-2))))
+    is_symbol = F.col("i").isNotNull() & (F.col("i.body_level").isNull() | (F.col("i.body_level") == F.coalesce("class_level", F.lit(-2))) | F.col("in_object"))
     return grouped.where(is_symbol).select(
         *_FILE, F.lit("javascript").alias("lang"), F.col("i.kind").alias("kind"), F.col("i.name").alias("name"),
         F.when(F.col("i.kind") == "def", F.col("class_name")).alias("class_name"),

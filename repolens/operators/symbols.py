@@ -25,14 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from repolens.functions.text import NO_FUNCTION_TEXT, NO_SYMBOLS_TEXT, OUTLINE_CLASS, OUTLINE_DEF, classify_language, qualify, template
+from repolens.functions.text import NO_FUNCTION_TEXT, NO_SYMBOLS_TEXT, OUTLINE_CLASS, OUTLINE_DEF, classify_language, py_strip, qualify, template
 from repolens.operators import tokens as T
 
 _FILE = ["repo", "path"]
 
 # Statement keywords that add a path when they open a logical line.
 DECISION_KEYWORDS = ["if", "for", "while", "except", "with"]
-_STRING_START = r"^(?:[rRbBuUfF]{1,2})?['\"]"
 
 
 def _decisions(ll: DataFrame) -> Column:
@@ -95,7 +94,7 @@ def python_symbols_from_lines(ll: DataFrame) -> DataFrame:
     grouped = rows.groupBy(*_FILE, "ll").agg(
         F.first(F.when(head, F.struct(
             "kind", "name", "indent", "first_pos", "first_off", "start_line", "open_off", "close_off",
-            "colon_off", "arrow_off", F.col("end_off").alias("hdr_end_off"),
+            "colon_off", "arrow_off", "alone", F.col("end_off").alias("hdr_end_off"),
             "nx_t1", "nx_nsig", "nx_indent", "nx_first_off", "nx_end_off")), ignorenulls=True).alias("h"),
         F.first(F.when(head, head_info), ignorenulls=True).alias("s"),
         F.max_by(enclosing, F.when(enclosing.isNotNull(), F.col("v"))).alias("class_name"))
@@ -103,7 +102,8 @@ def python_symbols_from_lines(ll: DataFrame) -> DataFrame:
     h = lambda c: F.col(f"h.{c}")
     header_ends_with_colon = h("hdr_end_off") == h("colon_off") + 1
     has_doc = (header_ends_with_colon & (h("nx_nsig") == 1) & (h("nx_indent") > h("indent"))
-               & h("nx_t1").rlike(_STRING_START))
+               & h("nx_t1").rlike(T.STRING_START))
+    on_line = F.coalesce(h("alone.colon") == h("colon_off"), F.lit(False))
     return grouped.where(F.col("h").isNotNull()).select(
         *_FILE,
         F.lit("python").alias("lang"),
@@ -117,8 +117,8 @@ def python_symbols_from_lines(ll: DataFrame) -> DataFrame:
         F.col("s.end_off").alias("end_off"),
         h("open_off").alias("open_off"), h("close_off").alias("close_off"),
         h("arrow_off").alias("arrow_off"), h("colon_off").alias("colon_off"),
-        F.when(has_doc, h("nx_first_off")).alias("doc_off"),
-        F.when(has_doc, h("nx_end_off")).alias("doc_end_off"),
+        F.when(has_doc, h("nx_first_off")).when(on_line, h("alone.off")).alias("doc_off"),
+        F.when(has_doc, h("nx_end_off")).when(on_line, h("alone.end")).alias("doc_end_off"),
         (F.col("s.decisions") + 1).cast("int").alias("complexity"),
     )
 
@@ -143,27 +143,33 @@ def python_spans(files: DataFrame) -> DataFrame:
 def with_text(symbols: DataFrame, files: DataFrame) -> DataFrame:
     """Attach params, return type, docstring and source by offset slicing.
 
-    One equi-join on (repo, path) against the same partitioned files.
+    One equi-join on (repo, path), a file's symbols as one array.  The text is
+    turned once into characters of equal width (its own bytes if it is ASCII,
+    else UTF-32), so that each slice costs its own length only, wherever it
+    begins.
     """
-    content = F.col("content")
-
-    def cut(start: Column, end: Column) -> Column:  # [start, end) 0-based offsets
-        return F.substring(content, (start + 1).cast("int"), (end - start).cast("int"))
-
-    from repolens.functions.text import py_strip
-    params = F.when(F.col("kind") == "def",
-                    F.coalesce(cut(F.col("open_off"), F.col("close_off") + 1), F.lit("()")))
-    ret = F.when((F.col("kind") == "def") & F.col("arrow_off").isNotNull()
-                 & (F.col("arrow_off") < F.col("colon_off")),
-                 py_strip(cut(F.col("arrow_off") + 2, F.col("colon_off"))))
-    doc = F.when(F.col("doc_off").isNotNull(), cut(F.col("doc_off"), F.col("doc_end_off")))
-    joined = symbols.join(files.select(*_FILE, "content"), _FILE, "inner")
-    return joined.select(
-        *_FILE, "lang", "kind", "name", "class_name",
-        qualify(F.col("class_name"), F.col("name")).alias("qualified_name"),
-        params.alias("params"), ret.alias("return_type"), doc.alias("docstring"),
-        "start_line", "end_line", "start_pos", "start_off", "end_off", "complexity",
-        cut(F.col("start_off"), F.col("end_off")).alias("source"))
+    _slices = ["lang", "kind", "name", "class_name", "start_line", "end_line", "start_pos", "start_off", "end_off", "complexity",
+               "open_off", "close_off", "arrow_off", "colon_off", "doc_off", "doc_end_off"]
+    per_file = symbols.groupBy(*_FILE).agg(F.collect_list(F.struct(*_slices)).alias("found"))
+    ascii_only = F.octet_length("content") == F.length("content")
+    text = F.struct(ascii_only.alias("narrow"), F.when(ascii_only, F.encode("content", "UTF-8")).otherwise(F.encode("content", "UTF-32")).alias("raw"))
+
+    def sliced(text: Column, s: Column) -> Column:
+        def cut(start: Column, end: Column) -> Column:  # [start, end) 0-based offsets
+            width = F.when(text["narrow"], 1).otherwise(4)
+            piece = F.substring(text["raw"], (start * width + 1).cast("int"), ((end - start) * width).cast("int"))
+            return F.when(text["narrow"], piece.cast("string")).otherwise(F.decode(piece, "UTF-32"))
+
+        params = F.when(s["kind"] == "def", F.coalesce(cut(s["open_off"], s["close_off"] + 1), F.lit("()")))
+        ret = F.when((s["kind"] == "def") & s["arrow_off"].isNotNull() & (s["arrow_off"] < s["colon_off"]), py_strip(cut(s["arrow_off"] + 2, s["colon_off"])))
+        doc = F.when(s["doc_off"].isNotNull(), cut(s["doc_off"], s["doc_end_off"]))
+        return F.struct(*[s[c].alias(c) for c in _slices[:4]], qualify(s["class_name"], s["name"]).alias("qualified_name"),
+                        params.alias("params"), ret.alias("return_type"), doc.alias("docstring"), *[s[c].alias(c) for c in _slices[4:10]],
+                        cut(s["start_off"], s["end_off"]).alias("source"))
+
+    joined = per_file.join(files.select(*_FILE, "content"), _FILE, "inner")
+    rows = F.flatten(F.transform(F.array(text), lambda t: F.transform("found", lambda s: sliced(t, s))))
+    return joined.select(*_FILE, F.explode(rows).alias("s")).select(*_FILE, "s.*")
 
 
 def extract_symbols(files: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repolens.operators import lexing as X
+
 # Java regex, alternatives tried in order.  Loops are unrolled and
 # possessive so long strings do not recurse in the regex engine.
 _PY_STRING = (
@@ -34,7 +36,7 @@ _PY_STRING = (
 # and the blanks before a line's first token are its indentation.
 _BLANKS = r"[ \t\f]*+"
 PY_TOKEN_RE = (
-    r"(?s)" + _BLANKS + r"(?:" + _PY_STRING
+    r"(?s)" + _BLANKS + r"(?:" + X.fstring_pattern() + r"|" + _PY_STRING
     + r"|#[^\n]*"
     + r"|\\\r?\n"
     + r"|\r?\n"
@@ -46,13 +48,12 @@ PY_TOKEN_RE = (
 _JS_STRING = (
     r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
     r"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
-    # templates: ${…} may hold one more template or one pair of braces, else up to the next backtick
-    r"|`(?:[^`\\$]++|\\.|\$(?!\{)|\$\{(?:[^`{}]++|`(?:[^`\\]++|\\.)*+`|\{[^{}`]*+\})*+\})*+`"
-    r"|`[^`\\]*+(?:\\.[^`\\]*+)*+`"
+    # templates: what doesn't pair in ${…} goes up to the next backtick
+    r"|" + X.template_pattern() + r"|`[^`\\]*+(?:\\.[^`\\]*+)*+`"
 )
 # A slash starts a regex literal after an operator, an opening bracket or `return`.
 _JS_REGEX = (
-    r"(?<=(?:[=(,:\[!&|?{;+\-*%<>~^\n]|return)[ \t]{0,16})/(?![/*])"
+    r"(?<=(?:\A|[=(,:\[!&|?{;+\-*%<>~^\n]|return)[ \t]{0,16})/(?![/*])"
     r"(?:[^/\\\[\n]|\\.|\[(?:[^\]\\\n]|\\.)*+\])++/[a-z]*+"
 )
 JS_TOKEN_RE = (
@@ -66,6 +67,7 @@ JS_TOKEN_RE = (
 )
 
 _FILE = ["repo", "path"]
+STRING_START = r"^(?:[rRbBuUfF]{1,2})?['\"]"
 
 
 def partition_files(files: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -83,7 +85,7 @@ def partition_files(files: DataFrame, num_partitions: int | None = None) -> Data
     return files.repartition(num_partitions, *_FILE)
 
 
-def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False) -> DataFrame:
+def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False, block: int = X.BLOCK) -> DataFrame:
     """files(repo, path, content) -> tokens.
 
     Columns: repo, path, pos, tok, lead, ws, off, line, nl, dpt, nlc, sig.
@@ -95,15 +97,20 @@ def tokenize(files: DataFrame, lang: str = "python", partitioned: bool = False)
     Brackets that don't pair stay local: a stray closing one leaves the depth
     at 0, and in Python ``def`` and ``class`` at the start of a line (no
     expression holds them) start anew at depth 0.  ``bad`` marks both.
+
+    A file of more than ``block`` characters is tokenized in blocks (see
+    ``lexing``), so its tokens are never one array; ``pos`` is the token's number
+    in its block, with the block's number in the upper 32 bits.
     """
     pattern = PY_TOKEN_RE if lang == "python" else JS_TOKEN_RE
     src = files if partitioned else partition_files(files)
-    raw = src.select(*_FILE, F.posexplode(F.regexp_extract_all("content", F.lit(pattern), 0)).alias("pos", "raw"))
+    blocks = src.select(*_FILE, F.posexplode(X.code_blocks(F.col("content"), lang, block)).alias("block", "text"))
+    raw = blocks.select(*_FILE, "block", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("nth", "raw"))
 
     rawc = F.col("raw")
     tok = F.ltrim(rawc, F.lit(" \t\f"))
     lead = (F.length(rawc) - F.length(tok)).cast("int")
-    raw = raw.select(*_FILE, "pos", tok.alias("tok"), lead.alias("lead"), F.length(rawc).alias("len_raw"),
+    raw = raw.select(*_FILE, (F.shiftleft(F.col("block").cast("long"), 32) + F.col("nth")).alias("pos"), tok.alias("tok"), lead.alias("lead"), F.length(rawc).alias("len_raw"),
                      F.substring(rawc, 1, lead).alias("ws"))
 
     tok = F.col("tok")
@@ -160,10 +167,11 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
     A significant token opens a new logical line when it is at depth 0 and
     a newline token lies between it and the previous significant token
     (those newlines are then at depth 0 too: only non-significant tokens
-    sit in between).  Works on significant tokens only.
+    sit in between).  Works on significant tokens only.  Decisions inside
+    f-strings count for the string's line.
 
     Columns: repo, path, ll, first_pos, first_off, t1, t2, t3, n_sig,
-    indent, start_line, last_line, end_off, open_off, close_off, colon_off,
+    indent, start_line, last_line, end_off, alone, open_off, close_off, colon_off,
     arrow_off, n_andor, n_else (+ andor_lines, else_lines on request).
     """
     w = Window.partitionBy(*_FILE).orderBy("pos")
@@ -172,11 +180,13 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
     sig = sig.select(
         "*",
         (prev_nlc.isNull() | ((F.col("dpt") == 0) & (F.col("nlc") > prev_nlc))).alias("is_first"),
+        F.lag(F.struct("tok", "dpt", "off"), 1).over(w).alias("behind"),
         F.lead("tok", 1).over(w).alias("t_next1"), F.lead("tok", 2).over(w).alias("t_next2"),
         # the next tokens belong to this line unless they open a new one
         (~((F.lead("dpt", 1).over(w) == 0) & (next1_nlc > F.col("nlc")))).alias("same1"),
         (~(((F.lead("dpt", 1).over(w) == 0) & (next1_nlc > F.col("nlc")))
            | ((F.lead("dpt", 2).over(w) == 0) & (next2_nlc > next1_nlc)))).alias("same2"))
+    sig = sig.withColumn("inner", X.fstring_decisions(F.col("tok")))
     sig = sig.withColumn("ll", F.sum(F.when(F.col("is_first"), 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
     tok, dpt, off = F.col("tok"), F.col("dpt"), F.col("off")
@@ -187,10 +197,18 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         F.when(F.col("same2"), F.col("t_next2")).alias("t3"),
         F.col("line"), F.col("ws"))
     extra = []
+    inner_count = lambda kind: F.coalesce(F.size(F.filter("inner", lambda x: x["kind"] == kind)), F.lit(0))
+    boolean, conditional = (F.greatest(F.lit(0), inner_count(k)) for k in ("boolean_operator", "conditional_expression"))
     if decision_lines:
-        extra = [F.sort_array(F.collect_list(F.when(tok.isin("and", "or"), F.col("line")))).alias("andor_lines"),
-                 F.sort_array(F.collect_list(F.when((tok == "else") & ~is_first, F.col("line")))).alias("else_lines")]
+        line = F.col("line")
+        inner_lines = lambda kind: F.flatten(F.collect_list(F.transform(F.filter("inner", lambda x: x["kind"] == kind), lambda x: (x["line"] + line).cast("int"))))
+        extra = [F.sort_array(F.concat(F.collect_list(F.when(tok.isin("and", "or"), line)), inner_lines("boolean_operator"))).alias("andor_lines"),
+                 F.sort_array(F.concat(F.collect_list(F.when((tok == "else") & ~is_first, line)), inner_lines("conditional_expression"))).alias("else_lines")]
+    # a string alone behind a colon outside brackets: the docstring of a definition on one line
+    alone = ((F.col("behind.tok") == ":") & (F.col("behind.dpt") == 0) & tok.rlike(STRING_START)
+             & (F.col("t_next1").isNull() | ~F.col("same1") | (F.col("t_next1") == ";")))
     agg = (sig.groupBy(*_FILE, "ll").agg(*extra,
+        F.min_by(F.struct(F.col("behind.off").alias("colon"), off.alias("off"), (off + F.length(tok)).alias("end")), F.when(alone, off)).alias("alone"),
         F.min_by(first_info, F.col("pos")).alias("f"),
         F.count(F.lit(1)).alias("n_sig"),
         F.max(F.col("line") + F.col("nl")).alias("last_line"),
@@ -199,8 +217,8 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         F.min(F.when((tok == ")") & (dpt == 1), off)).alias("close_off"),
         F.min(F.when((tok == ":") & (dpt == 0), off)).alias("colon_off"),
         F.min(F.when((tok == "->") & (dpt == 0), off)).alias("arrow_off"),
-        F.sum(F.when(tok.isin("and", "or"), 1).otherwise(0)).alias("n_andor"),
-        F.sum(F.when((tok == "else") & ~is_first, 1).otherwise(0)).alias("n_else"),
+        F.sum(F.when(tok.isin("and", "or"), 1).otherwise(boolean)).alias("n_andor"),
+        F.sum(F.when((tok == "else") & ~is_first, 1).otherwise(conditional)).alias("n_else"),
     ))
     return agg.select(
         *_FILE, "ll",
@@ -211,5 +229,5 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         F.when(F.col("f.ws").rlike("[\t\f]"), _indent_width(F.col("f.ws")))
         .otherwise(F.length(F.col("f.ws"))).alias("indent"),
         F.col("f.line").alias("start_line"),
-        "last_line", "end_off", "open_off", "close_off", "colon_off", "arrow_off",
+        "last_line", "end_off", "alone", "open_off", "close_off", "colon_off", "arrow_off",
         "n_andor", "n_else", *(["andor_lines", "else_lines"] if decision_lines else []))

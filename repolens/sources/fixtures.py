@@ -62,6 +62,15 @@ SELECT f.repo, l.l_orderkey AS change_id,
 FROM {lineitem} l JOIN {code_files} f ON l.l_partkey = f.file_id
 """
 
+# F3b: the same changes with ranges of very different lengths, up to 2,000,000,000 lines.
+WIDE_HUNK_ROWS_SQL = """
+SELECT f.repo, l.l_orderkey AS change_id,
+       'diff --git a/' || f.path || ' b/' || f.path || chr(10) || '--- a/' || f.path || chr(10) || '+++ b/' || f.path || chr(10)
+       || '@@ -1 +' || CAST(1 + (l.l_linenumber * 5) % 17 AS STRING)
+       || CASE l.l_linenumber % 5 WHEN 0 THEN ',2000000000' WHEN 1 THEN ',70000' WHEN 2 THEN ',0' WHEN 3 THEN '' ELSE ',4' END || ' @@' AS hunk_text
+FROM {lineitem} l JOIN {code_files} f ON l.l_partkey = f.file_id
+"""
+
 # F4 (DuckDB form; Spark builds the same text with array_sort + array_join).
 CODE_DIFFS_DUCKDB_SQL = """
 SELECT repo, change_id, string_agg(hunk_text, chr(10) ORDER BY hunk_text) AS diff
@@ -81,6 +90,67 @@ CROSS JOIN (VALUES ('package.json', 2), ('requirements.txt', 3), ('.env.example'
 WHERE s_suppkey % k <> 1
 """
 
+# shapes that lines and indentation alone don't tell: definitions on one line,
+# statements behind semicolons and colons, fields of f-strings, repeated and dunder
+# names, docstrings; object literals, templates in templates, keywords as names.
+PY_SHAPE = '''\'\'\'Module @NAME@.\'\'\'
+import os; from sys import path
+try: import json
+except ImportError: json = None
+class Outer@K@:
+    """Outer of @TYPE@.
+
+    More.
+    """
+    def __init__(self): self.x = @SIZE@
+    def run(self, q: int) -> str: "Runs once."; return f"{q if q and q > @SIZE@ else \'no\'} {f\'{q or 2}\'}"
+    class Inner:
+        async def run(self, *, a=")", b="#"):
+            \'\'\'One.\'\'\'
+            return [x for x in a if x] or b
+def dup(x): return x
+def dup(y):
+    return f"{y!r:>{10 if y else 20}} {{ and }}"
+'''
+JS_SHAPE = """const o = {
+  if(x) { return x; },
+  get delete() { if (a) { return 1; } return 2; },
+  nested: { for(y) { return y; } },
+};
+const t = `a ${ `b ${ `c ${ {d: 1}.d }` }` } {`;
+class C@K@ extends Base {
+  catch(e) { return `${e}`; }
+  static async run(q) {
+    switch (q) { case 1: { if (q) { return 1; } } default: { while (q) { q--; } } }
+    return { if: 1, run() { return 2; } };
+  }
+}
+function f@K@(a, b = {}) { return a / 2 / b; }
+"""
+
+
+def sql_text(text: str) -> str:
+    """A text as SQL that both engines read alike, its @NAMES@ filled from ``part``."""
+    parts = ["'" + line.replace("'", "' || chr(39) || '").replace("{", "{{").replace("}", "}}") + "'" for line in text.split("\n")]
+    out = "(" + " || chr(10) || ".join(parts) + ")"
+    for name, column in (("K", "CAST(p_partkey AS STRING)"), ("NAME", "p_name"), ("TYPE", "p_type"), ("SIZE", "CAST(p_size AS STRING)")):
+        out = f"replace({out}, '@{name}@', {column})"
+    return out
+
+
+# A third of the files begins with comment lines, which moves all lines down.
+SHAPE_PAD_SQL = "CASE WHEN p_partkey % 3 = 0 THEN p_size % 4 ELSE 0 END"
+SHAPES_SQL = f"""
+SELECT 'repo' || CAST(p_partkey % 5 AS STRING) AS repo, 'pkg/s' || CAST(p_partkey AS STRING) || '.py' AS path,
+       repeat('# note' || chr(10), CAST({SHAPE_PAD_SQL} AS INT)) || {sql_text(PY_SHAPE)}
+       || CASE WHEN p_partkey % 2 = 0 THEN 'print(dup(1))' || chr(10) ELSE '' END AS content
+FROM {{part}}
+UNION ALL
+SELECT 'repo' || CAST(p_partkey % 5 AS STRING) AS repo, 'web/s' || CAST(p_partkey AS STRING) || '.js' AS path,
+       repeat('// note' || chr(10), CAST({SHAPE_PAD_SQL} AS INT)) || {sql_text(JS_SHAPE)} AS content
+FROM {{part}}
+"""
+
 # Git log text as `git log --format=format: --name-only` prints it: per
 # commit a blank separator, the touched names (some padded), and a README
 # that the churn suffix filter must drop.
@@ -145,6 +215,17 @@ def code_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.array_join(F.sort_array(F.collect_list("hunk_text")), "\n").alias("diff")))
 
 
+def wide_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3b as one diff text per change."""
+    rows = spark.sql(WIDE_HUNK_ROWS_SQL, lineitem=_read(spark, sf_dir, "lineitem"),
+                     code_files=code_files(spark, sf_dir).select("file_id", "repo", "path"))
+    return rows.groupBy("repo", "change_id").agg(F.array_join(F.sort_array(F.collect_list("hunk_text")), "\n").alias("diff"))
+
+
+def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SHAPES_SQL, part=_read(spark, sf_dir, "part"))
+
+
 def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MANIFESTS_SQL, supplier=_read(spark, sf_dir, "supplier"))
 

@@ -37,12 +37,9 @@ def _ast_complexity(src):
                 n += len(sub.values) - 1
         return n
 
-    def has_fstring(node):
-        return any(isinstance(sub, ast.JoinedStr) for sub in ast.walk(node))
-
     out = {}
     for node in ast.walk(tree):
-        if isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef)) and not has_fstring(node):
+        if isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef)):
             decorators = sum(decisions(d) for d in node.decorator_list)
             out[node.lineno] = 1 + decisions(node) - decorators
     return out
@@ -114,3 +111,19 @@ def test_diff_hunks_match_state_machine(spark, files):
     df = spark.createDataFrame([("r", 1, diff)], "repo string, change_id int, diff string")
     got = sorted((r.path, r.start_line, r.line_count) for r in C.diff_hunks(df).collect())
     assert got == _reference_hunks(diff)
+
+
+def test_fstring_decisions_against_ast(spark):
+    """Decisions in replacement fields: nested strings and f-strings, format
+    specifications, doubled braces, the string's own quotes inside."""
+    bodies = [
+        'f"{a if b else c}"', "f'{a and b}' f'{c or d or a}'", 'f"{{a and b}} {a}"', 'f"{{{a or b}}}"', "f'{a:{b or c}}'", "f'{a!r:>{10 if b else c}} and else'",
+        'f"{d["k"] or d["l"]}"', "f'{a + f'{b and c}'}'", "f\"{f'{f'{a or b}'}'}\"", 'f"{", ".join(x for x in a if x or b)}"', 'f"{ {1: a or b}[1] }"', 'f"{(lambda: a or b)()}"',
+        'f"{a != b and c}"', 'rf"\\d{a or b}"', 'F"{a}" "b and c"', 'f"{\'x and y\'}"', 'f"\\N{EM DASH} {a or b}"', 'f"""{a and\n  b}\n{c or "}"}"""', "f'''{a if b else '''x'''}'''",
+        '"{a and b}"', 'f"{a}" if b else c', 'f"{x:{y}}" and b', 'f"{a[1:2] or b}"', 'f"{a}}}{{ or {b or c}"', 'f""', "f'{a=} {b or c=}'"]
+    src = "".join(f"def f{i}(a, b, c, d, x, y):\n    return {body}\n\n" for i, body in enumerate(bodies))
+    got = {r.function: r.complexity_score for r in CX.score_complexity(S.python_spans(files_df(spark, [("m.py", src)]))).collect()}
+    tree = ast.parse(src)
+    for i, (node, body) in enumerate(zip(tree.body, bodies, strict=True)):
+        n = sum(len(x.values) - 1 if isinstance(x, ast.BoolOp) else isinstance(x, ast.IfExp) for x in ast.walk(node))
+        assert got[f"f{i}"] == 1 + n, body
