@@ -7,6 +7,7 @@ a slice of its own, so memory follows the longest text, not the table.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import numpy as np
@@ -93,7 +94,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 class SpanHash:
     """64-bit hashes of any spans of a sequence of 64-bit values, by prefix
-    sums of a polynomial modulo 2^64.  Equal spans hash alike anywhere."""
+    sums of a polynomial modulo 2^64.  Equal spans hash alike anywhere; unequal
+    ones can be made to, so these hashes only propose what is compared after."""
 
     def __init__(self, values: np.ndarray):
         with np.errstate(over="ignore"):
@@ -131,15 +133,53 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+# Bytes of a word that are mixed eight at a time; longer words are hashed one by one.
+_LONG_WORD = 64
+_BLOCK_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end].
+
+    Eight bytes at a time go through a bijective scramble of the hash so far, so
+    words of one length that differ in one block never collide and no structure
+    of the text cancels out; longer words take BLAKE2b."""
+    lengths = ends - starts
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    blocks = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))  # eight bytes from each place
+    with np.errstate(over="ignore"):
+        out = mix64(lengths.astype(np.uint64) * _BASE + np.uint64(0x2545F4914F6CDD1D))
+        live = np.flatnonzero(lengths <= _LONG_WORD)
+        for k in range(0, _LONG_WORD, 8):
+            live = live[lengths[live] > k]
+            if not len(live):
+                break
+            word = blocks[starts[live] + k] & _BLOCK_MASK[np.minimum(lengths[live] - k, 8)]
+            out[live] = mix64((out[live] ^ word) * _BASE + np.uint64(k))
+    for i in np.flatnonzero(lengths > _LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8, key=b"words").digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 def word_hashes(column, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, offsets, starts, ends, rows and 64-bit hashes of a text column's words."""
     data, offsets = byte_view(column)
     if lower:
         data = LOWER[data]
     starts, ends, rows = words(data, offsets)
-    hashes, i = np.zeros(len(starts), np.uint64), 0
-    while i < len(starts):  # about 2 * SLICE_BYTES at a time
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + 2 * SLICE_BYTES, "right")))
-        hashes[i:j] = SpanHash(_BYTE_VALUE[data[starts[i]:ends[j - 1]]])(starts[i:j] - starts[i], ends[i:j] - starts[i])
-        i = j
-    return data, offsets, starts, ends, rows, hashes
+    return data, offsets, starts, ends, rows, hash_words(data, starts, ends)
+
+
+def word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Numbers of words: equal exactly for equal bytes."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    inside = np.zeros(len(data) + 1, np.int8)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, ends, -1)
+    letters = np.ascontiguousarray(data[np.cumsum(inside[:-1]) > 0])
+    offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
+    words_ = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return words_.dictionary_encode().indices.to_numpy().astype(np.int64)

@@ -5,13 +5,17 @@ documents have are extended to twice the length, whose two halves must both
 have survived, until the full window or until no candidate survives.  The
 first level is sparse across the corpus: a window's anchor (see ``repeats``);
 then, among the pieces around repeated anchors, every short window, its
-double, and so on up to the full window.  What an earlier document has is
-removed, and a document never removes words from itself.
+double, and so on up to the full window.  Levels compare hashes, which never
+part equal windows; full windows that are left are compared word by word.
+What an earlier document has is removed, and a document never removes words
+from itself.
 
 Defined cases: null text has no words; texts with fewer words than the
 window and empty tables lose nothing.  Windows are judged on the input.
 Rows of one doc_id never remove words from each other; a null doc_id is the
-smallest.  Other columns are not read.
+smallest.  A very long text is read slice by slice and its pieces are spread
+like any others; words of any length are compared whole.  Other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -23,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import SpanHash, mix64, word_hashes
-from repolens.llm.repeats import HOT, Pieces, identified, merged, repeated_spans, unpacked, with_spans, word_anchors
+from repolens.llm.common import SpanHash, mix64, word_hashes, word_numbers
+from repolens.llm.repeats import SPLIT, Pieces, identified, merged, repeated_spans, unpacked, with_spans, word_anchors
 
 WINDOW = 50
 GRAM = 13
@@ -49,9 +53,21 @@ def least_document(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.n
     return low, high
 
 
+def same_windows(numbers: np.ndarray, at: np.ndarray, keys: np.ndarray, window: int, step: int = 1 << 16) -> np.ndarray:
+    """``keys`` of the windows that start at ``at``, made exact: each window is compared
+    with the first of its key by the words' numbers; if any differs, by all words."""
+    _, first, same = np.unique(keys, return_index=True, return_inverse=True)
+    lead, reach = at[first[same]], np.arange(window)
+    for i in range(0, len(at), step):
+        if (numbers[at[i:i + step, None] + reach] != numbers[lead[i:i + step, None] + reach]).any():
+            exact = np.ascontiguousarray(numbers[at[:, None] + reach]).view(f"V{8 * window}").ravel()
+            return np.unique(exact, return_inverse=True)[1].astype(np.uint64)
+    return keys
+
+
 def _method(window: int, gram: int):
     def run(some: Pieces):
-        _, _, _, _, piece, units = word_hashes(pa.array(some.contents, pa.binary()), lower=False)
+        data, _, starts, ends, piece, units = word_hashes(pa.array(some.contents, pa.binary()), lower=False)
         bounds = np.searchsorted(piece, np.arange(len(some.contents) + 1))
         docs = some.docs[piece]
         place, spans = np.arange(len(units)) - bounds[piece], SpanHash(units)
@@ -66,7 +82,12 @@ def _method(window: int, gram: int):
             at = np.flatnonzero(alive[:len(hashes)] & (np.arange(len(hashes)) + length <= room[:len(hashes)]))
             if short:
                 at = at[alive[at + length - short]]
-            low, high = least_document(mix64(hashes[at] ^ group[at]), docs[at]) if len(at) else (at, at)
+            keys = mix64(hashes[at] ^ group[at])
+            low, high = least_document(keys, docs[at]) if len(at) else (at, at)
+            if length == window and (low < high).any():
+                keep = low < high
+                at = at[keep]
+                low, high = least_document(same_windows(word_numbers(data, starts, ends), at, keys[keep], window), docs[at])
             alive, short = np.zeros(len(units), bool), length
             alive[at[low < high]] = True
             if not alive.any():
@@ -95,9 +116,9 @@ def _kept(batches):
                                          ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     docs = identified(docs, id_col, text_col)
-    spans = repeated_spans(docs, word_anchors(window, gram), window, False, _method(window, gram), hot)
+    spans = repeated_spans(docs, word_anchors(window, gram), window, gram, False, _method(window, gram), split)
     out = with_spans(docs, spans).mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))

@@ -11,14 +11,15 @@ A. ``repeated_anchors``: anchors are compared by hash across all documents.
 B. Pieces: around each repeated anchor, the units of all windows that it
    anchors.  Equal pieces of a task are settled there: only the first goes
    on.  The others are known to repeat it.
-C. Pieces meet by anchor hash in many small parts, packed and compressed; an
-   operator's own method finds which windows occur earlier.
-   An anchor with more than ``HOT`` occurrences (counted by slice in A) would
-   put all its pieces into one part, also if few of them share a window.  Its
-   pieces go on window by window instead, dealt by the hash of the whole
-   window: those that meet are equal, so such a group has nothing left to
-   compare.  A slice sends the earliest of its equal windows only, so a very
-   frequent window is one entry per slice.
+C. Pieces meet in many small parts, packed and compressed; an operator's own
+   method compares their units and finds which windows occur earlier.
+   A piece's windows differ in the distance from window start to anchor.  They
+   are dealt in blocks of such distances, by what all windows of the block have
+   in common, its core: equal windows are in equal blocks and have equal cores.
+   The block of all distances has the anchor as core.  For each doubling of an
+   anchor's occurrences beyond ``SPLIT`` (counted by slice in A) its blocks are
+   half as wide, so their cores reach further beyond the anchor, and what many
+   texts share only around the anchor meets in many parts instead of one.
 D. ``with_spans``: spans join their documents.  Texts are compressed for the
    two joins.
 
@@ -30,6 +31,7 @@ follow each other by text hash.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -45,9 +47,10 @@ from repolens.llm.common import SLICE_BYTES, SpanHash, byte_values, byte_view, l
 
 # Logical parts for each shuffle partition, of anchors and of pieces: they bound what a task holds at once.
 PARTS, PIECE_PARTS = 4, 16
-# Occurrences of an anchor from which its windows are dealt one by one.
-HOT = 2048
-_FLAG = np.uint32(1 << 31)  # of an ordinal: a hot anchor
+# Occurrences of an anchor for each further split of its windows' distances.
+SPLIT = 512
+# An ordinal's upper bits: how often the anchor's blocks are halved.
+_LEVEL_BIT, _LEVELS = 29, 8
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -160,9 +163,10 @@ _ASK = "kind int, part int, slice long, a binary, b binary, c binary, d binary"
 
 def _ask(anchors, parts: int):
     """kind 0: hashes to compare (a hash, b row, c ordinal, d occurrences in the
-    slice); 1: anchors known to repeat (b, c; d: how many have the same hash, the
-    first being the one asked about); 2: the slice's documents (a doc_id, b
-    text_hash).  Answers are of kind 1, or 3 for hot anchors."""
+    slice); -1: the slice's documents (a doc_id, b text_hash); 1 and up: anchors
+    known to repeat (b, c), one more than their level.  The slice's own repeats are
+    of kind 1 (d: how many have the same hash, the first being the one asked
+    about, whose answer brings their level)."""
     def run(batches):
         task, n = TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text"):
@@ -177,7 +181,7 @@ def _ask(anchors, parts: int):
             known, asked = order[np.repeat(sizes > 1, sizes)], order[new]
             part = _part(sorted_[new], parts)
             home, rows = slice_id % parts, found.rows.astype(np.uint32)
-            out.append((2, home, _blob(long_column(batch, "doc_id")), _blob(long_column(batch, "text_hash")), b"", b""))
+            out.append((-1, home, _blob(long_column(batch, "doc_id")), _blob(long_column(batch, "text_hash")), b"", b""))
             if len(known):
                 out.append((1, home, b"", _blob(rows[known]), _blob(ordinals[known]), _blob(sizes[sizes > 1].astype(np.uint32))))
             cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
@@ -208,7 +212,12 @@ def by_part(batches, names: list[str]) -> Iterator[dict[str, list]]:
         yield held
 
 
-def _answer(hot: int):
+def _level(total: np.ndarray, split: int) -> np.ndarray:
+    """Halvings for so many occurrences: 0 below ``split``, one more for each doubling."""
+    return np.minimum(np.ceil(np.log2(np.maximum(total // split, 0) + 1)), _LEVELS - 1).astype(np.int64)
+
+
+def _answer(split: int):
     def run(batches):
         names = ["kind", "slice", "a", "b", "c", "d"]
         for held in by_part(batches, names):
@@ -224,10 +233,10 @@ def _answer(hot: int):
                 order = np.argsort(hashes, kind="stable")
                 first = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
                 sizes, total = np.diff(np.append(first, len(order))), np.add.reduceat(many[order].astype(np.int64), first)
-                # 0: nowhere else; what a slice repeats itself is known there
-                tell = np.zeros(len(order), np.int8)
-                tell[order] = np.repeat(np.where(total > hot, 3, np.where(sizes > 1, 1, 0)), sizes)
-                for k in (1, 3):
+                # 0: nowhere else; what a slice repeats itself is known there, but for its level
+                tell, level = np.zeros(len(order), np.int8), _level(total, split)
+                tell[order] = np.repeat(np.where((sizes > 1) | (level > 0), 1 + level, 0), sizes)
+                for k in np.unique(tell[tell > 0]).tolist():
                     again = np.flatnonzero(tell == k)
                     cuts = np.searchsorted(origin[again], np.arange(len(asked) + 1))
                     for n, i in enumerate(asked):
@@ -242,22 +251,32 @@ def _answer(hot: int):
 
 
 def _of_documents(group: pd.DataFrame) -> pd.DataFrame:
-    """The repeated anchors of one slice, by document; hot ones are flagged."""
+    """The repeated anchors of one slice, by document, with their levels."""
     keys_of = lambda some: (np.frombuffer(b"".join(some["b"]), np.uint32).astype(np.uint64) << np.uint64(32)) | np.frombuffer(b"".join(some["c"]), np.uint32)
-    rest, hot = group[group["kind"] == 1], group[group["kind"] == 3]
-    if not len(rest) + len(hot):
+    found = group[group["kind"] > 0]
+    if not len(found):
         return pd.DataFrame({"doc_id": [], "text_hash": [], "ordinals": []})
-    docs = group[group["kind"] == 2].iloc[0]
+    docs = group[group["kind"] == -1].iloc[0]
     ids, texts = np.frombuffer(docs["a"], np.int64), np.frombuffer(docs["b"], np.int64)
-    own = rest[rest["d"].map(len) > 0]  # the slice's own repeats: one row at most
-    hot_keys = np.unique(keys_of(hot))
-    if len(own) and len(hot_keys):
-        sizes, keys = np.frombuffer(own.iloc[0]["d"], np.uint32), keys_of(own)
-        hot_keys = np.union1d(hot_keys, keys[np.repeat(np.isin(keys[np.cumsum(sizes) - sizes], hot_keys), sizes)])
-    both = np.union1d(keys_of(rest), hot_keys)
-    rows = (both >> np.uint64(32)).astype(np.int64)
+    is_own = found["d"].map(len) > 0  # the slice's own repeats: one row at most
+    own, told = found[is_own], found[~is_own]
+    keys = keys_of(told)
+    levels = np.repeat(told["kind"].to_numpy(np.int64) - 1, np.array([len(x) // 4 for x in told["c"]], np.int64))
+    order = np.argsort(keys)
+    keys, levels = keys[order], levels[order]
+    if len(own):
+        sizes, mine = np.frombuffer(own.iloc[0]["d"], np.uint32), keys_of(own)
+        asked = mine[np.cumsum(sizes) - sizes]
+        at = np.searchsorted(keys, asked)
+        known = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == asked) if len(keys) else np.zeros(len(asked), bool)
+        level = np.zeros(len(asked), np.int64)
+        level[known] = levels[at[known]]
+        keys, levels = np.concatenate([keys, mine]), np.concatenate([levels, np.repeat(level, sizes)])
+        keys, first = np.unique(keys, return_index=True)
+        levels = levels[first]  # what is told of a key and what its slice knows have one level
+    rows = (keys >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1], [True])))
-    ordinals = (both & _LOW).astype(np.uint32) | np.where(np.isin(both, hot_keys), _FLAG, np.uint32(0))
+    ordinals = (keys & _LOW).astype(np.uint32) | (levels << _LEVEL_BIT).astype(np.uint32)
     return pd.DataFrame({"doc_id": ids[rows[cuts[:-1]]], "text_hash": texts[rows[cuts[:-1]]], "ordinals": [_blob(ordinals[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]})
 
 
@@ -269,10 +288,10 @@ def part_count(df: DataFrame, each: int = PARTS) -> int:
     return each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def repeated_anchors(docs: DataFrame, anchors, hot: int = HOT) -> DataFrame:
+def repeated_anchors(docs: DataFrame, anchors, split: int = SPLIT) -> DataFrame:
     """doc_id, text_hash, ordinals: which of a document's anchors occur elsewhere too."""
     asked = _dealt(docs.mapInArrow(_ask(anchors, part_count(docs)), _ASK))
-    answered = asked.mapInArrow(_answer(hot), _ASK)
+    answered = asked.mapInArrow(_answer(split), _ASK)
     found = answered.groupBy("slice").applyInPandas(_of_documents, "doc_id long, text_hash long, ordinals binary")
     return found.groupBy("doc_id", "text_hash").agg(F.max("ordinals").alias("ordinals"))
 
@@ -281,60 +300,71 @@ _PIECE = "kind int, part int, docs binary, texts binary, starts binary, many bin
 _NAMES = [x.split()[0] for x in _PIECE.split(", ")]
 
 
-def _cut(anchors, window: int, parts: int, within: bool):
+def _blocks(at: np.ndarray, low: np.ndarray, high: np.ndarray, level: np.ndarray, offsets: int, window: int):
+    """Pieces cut into blocks of distances: (number of the piece, first and last window,
+    start and end of the block's core)."""
+    width = np.maximum(1, -(-offsets >> level))  # of the distances that a block holds
+    least, most = (at - high) // width, (at - low) // width
+    many = most - least + 1
+    of = np.repeat(np.arange(len(at)), many)
+    number = np.repeat(most, many) - (np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many))
+    near, far = number * width[of], np.minimum((number + 1) * width[of], offsets) - 1
+    first, last = np.maximum(low[of], at[of] - far), np.minimum(high[of], at[of] - near)
+    return of, first, last, at[of] - near, at[of] - far + window
+
+
+def _digests(data: memoryview, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """128-bit BLAKE2b of data[a:b] as two words a row."""
+    blake2b = hashlib.blake2b
+    out = b"".join([blake2b(data[x:y], digest_size=16).digest() for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+    return np.frombuffer(out, "<u8").reshape(-1, 2)
+
+
+def _cut(anchors, window: int, gram: int, parts: int, within: bool):
     """Rows of packed pieces of a part (kind 1): documents, starts (many of them
     for a piece that a document repeats), units before the anchor, numbers of
     windows, sizes and bytes.  kind 0: spans (from, to) of documents that repeat
-    an earlier piece of the task.  kind 2: windows of hot anchors (see _windows)."""
+    an earlier piece of the task."""
     def run(batches):
-        seen: dict[int, tuple] = {}
+        seen: dict[tuple, tuple] = {}
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in unpacked(batches):
             found, ids, texts = anchors(batch.column(2)), long_column(batch, "doc_id"), long_column(batch, "text_hash")
             marks = [np.frombuffer(x, np.uint32) for x in batch.column(3).to_pylist()]
-            hot = np.concatenate(marks) >= _FLAG
-            marks = [(x & ~_FLAG).astype(np.int64) for x in marks]
+            level = np.concatenate(marks).astype(np.int64) >> _LEVEL_BIT
+            marks = [(x & np.uint32((1 << _LEVEL_BIT) - 1)).astype(np.int64) for x in marks]
             begin = np.searchsorted(found.rows, np.arange(batch.num_rows))
             some = np.concatenate([m + b for m, b in zip(marks, begin, strict=True)])
-            rows, low, high, anchor = found.rows[some], found.low[some], found.high[some], found.hashes[some]
+            of, low, high, core_from, core_to = _blocks(found.at[some], found.low[some], found.high[some], level, window - gram + 1, window)
+            some, split = some[of], level[of] > 0
+            rows, key = found.rows[some], found.hashes[some]
             lead, span = found.at[some] - low, high - low + 1
             a, b = low, high + window
             if found.starts is not None:
                 a, b = found.starts[low], found.ends[high + window - 1]
-            hashed = anchor ^ _content_hash(found.data, a, b) ^ ((lead << 32) + span).astype(np.uint64)
+                core_from, core_to = found.starts[core_from], found.ends[core_to - 1]
+            raw = memoryview(np.ascontiguousarray(found.data)).cast("B")
+            if split.any():
+                key[split] = _digests(raw, core_from[split], core_to[split])[:, 0]
+            digest = _digests(raw, a, b)
+            hashed, check = digest[:, 0] ^ ((lead << 32) + span).astype(np.uint64), digest[:, 1]
             start = low - found.first[rows]
-            order = np.lexsort((start, texts[rows], ids[rows], hashed))
-            h, row, place = hashed[order], rows[order], start[order]
-            new = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            order = np.lexsort((start, texts[rows], ids[rows], check, hashed))
+            h, c, row, place = hashed[order], check[order], rows[order], start[order]
+            new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]))))
             sizes = np.diff(np.append(new, len(h)))
             # the earliest of each piece, here or in the task's slices before
             first = list(zip(ids[row[new]].tolist(), texts[row[new]].tolist(), place[new].tolist(), strict=True))
-            for i, key in enumerate(h[new].tolist()):
-                first[i] = seen[key] = min(first[i], seen.get(key, first[i]))
+            for i, k in enumerate(zip(h[new].tolist(), c[new].tolist(), strict=True)):
+                first[i] = seen[k] = min(first[i], seen.get(k, first[i]))
             best = [np.repeat(np.array([f[k] for f in first], np.int64), sizes) for k in range(3)]
             keep = ids[row] == best[0]
             if within:  # the same row given twice is one document
                 keep &= (texts[row] == best[1]) & (place == best[2])
             gone = order[~keep]
-            gone_rows, gone_from, gone_to = rows[gone], start[gone], (start + span + window - 1)[gone]
             out = []
-            some = np.sort(order[keep & hot[order]])
-            if len(some):
-                at = np.repeat(low[some], span[some]) + np.arange(int(span[some].sum())) - np.repeat(np.cumsum(span[some]) - span[some], span[some])
-                row_at = np.repeat(rows[some], span[some])
-                windows = _window_hashes(found.values, at, window)
-                send, late = _earliest(*windows, ids[row_at], texts[row_at], at - found.first[row_at], within)
-                gone_rows, gone_from = np.append(gone_rows, row_at[late]), np.append(gone_from, (at - found.first[row_at])[late])
-                gone_to = np.append(gone_to, (at - found.first[row_at])[late] + window)
-                deal = _part(windows[0][send], parts)
-                send, deal = send[np.argsort(deal, kind="stable")], np.sort(deal)
-                edges = np.flatnonzero(np.concatenate(([True], deal[1:] != deal[:-1], [True])))
-                for x, y in zip(edges[:-1], edges[1:], strict=True):
-                    k = send[x:y]
-                    r = row_at[k]
-                    out.append((2, int(deal[x]), _blob(ids[r]), _blob(texts[r].astype(np.int32)), _blob((at[k] - found.first[r]).astype(np.int32)), b"", b"", b"",
-                                _blob(windows[0][k]), _blob(windows[1][k])))
-            if len(gone_rows):
+            if len(gone):
+                gone_rows, gone_from, gone_to = rows[gone], start[gone], (start + span + window - 1)[gone]
                 by = np.argsort(gone_rows, kind="stable")
                 cuts = np.flatnonzero(np.concatenate(([True], gone_rows[by][1:] != gone_rows[by][:-1], [True])))
                 for x, y in zip(cuts[:-1], cuts[1:], strict=True):
@@ -342,20 +372,20 @@ def _cut(anchors, window: int, parts: int, within: bool):
                     r = gone_rows[i[0]]
                     runs = np.stack(merged([_blob(np.stack([gone_from[i], gone_to[i]], 1).astype(np.int32))]), 1)
                     out.append((0, int(r) % parts, _blob(ids[r:r + 1]), _blob(texts[r:r + 1]), _blob(runs.astype(np.int32)), b"", b"", b"", b"", b""))
-            kept = np.flatnonzero(keep & ~hot[order])
+            kept = np.flatnonzero(keep)
             if len(kept):
-                h, row = h[kept], row[kept]
-                cuts = np.append(np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (texts[row[1:]] != texts[row[:-1]]) | (ids[row[1:]] != ids[row[:-1]])))), len(kept))
+                h, c, row = h[kept], c[kept], row[kept]
+                cuts = np.append(np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (texts[row[1:]] != texts[row[:-1]]) | (ids[row[1:]] != ids[row[:-1]])))), len(kept))
                 piece, many = order[kept[cuts[:-1]]], np.diff(cuts)
                 begins = cuts[:-1]
-                deal = _part(anchor[piece], parts)
+                deal = _part(key[piece], parts)
                 by = np.argsort(deal, kind="stable")
                 edges = np.flatnonzero(np.concatenate(([True], deal[by][1:] != deal[by][:-1], [True])))
                 for x, y in zip(edges[:-1], edges[1:], strict=True):
                     k = by[x:y]
                     j = piece[k]
                     held = np.concatenate([place[kept[m:m + n]] for m, n in zip(begins[k].tolist(), many[k].tolist(), strict=True)])
-                    content = squeeze(b"".join([found.data[m:n].tobytes() for m, n in zip(a[j].tolist(), b[j].tolist(), strict=True)]))
+                    content = squeeze(b"".join([raw[m:n] for m, n in zip(a[j].tolist(), b[j].tolist(), strict=True)]))
                     out.append((1, int(deal[k[0]]), _blob(ids[rows[j]]), _blob(texts[rows[j]].astype(np.int32)), _blob(held.astype(np.int32)), _blob(many[k].astype(np.int32)),
                                 _blob(lead[j].astype(np.int32)), _blob(span[j].astype(np.int32)), _blob((b[j] - a[j]).astype(np.int32)), content))
             for i in range(0, len(out), 10_000):
@@ -364,43 +394,6 @@ def _cut(anchors, window: int, parts: int, within: bool):
     return run
 
 
-def _window_hashes(values, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of the windows at sorted places: of the whole and of its first half."""
-    out, i, step = np.zeros((2, len(at)), np.uint64), 0, 2 * SLICE_BYTES
-    while i < len(at):
-        j = int(np.searchsorted(at, at[i] + step, "left"))
-        spans, some = SpanHash(values(int(at[i]), int(at[j - 1]) + window)), at[i:j] - at[i]
-        out[0, i:j], out[1, i:j] = spans(some, some + window), spans(some, some + window // 2)
-        i = j
-    return out[0], out[1]
-
-
-def _earliest(hashes, checks, ids, texts, starts, within: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal windows, which are the earliest and which repeat them.  within: the
-    earliest is one place, and the same place given twice is one; else all of its
-    doc_id are, because a document removes nothing from itself."""
-    order = np.lexsort((starts, texts, ids, checks, hashes))
-    h, c, i, t, s = (x[order] for x in (hashes, checks, ids, texts, starts))
-    new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]))))
-    best = np.repeat(new, np.diff(np.append(new, len(h))))
-    keep = i == i[best]
-    if within:
-        keep &= (t == t[best]) & (s == s[best])
-    first = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (i[1:] != i[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1])))
-    return order[keep & first], order[~keep]
-
-
-def _content_hash(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hashes of data[a:b]; a is sorted, so long data are read part by part."""
-    out, i, step = np.zeros(len(a), np.uint64), 0, 2 * SLICE_BYTES
-    while i < len(a):
-        j = int(np.searchsorted(a, a[i] + step, "left"))
-        end = int(b[i:j].max())
-        out[i:j] = SpanHash(byte_values(data[a[i]:end]))(a[i:j] - a[i], b[i:j] - a[i])
-        i = j
-    return out
-
-
 @dataclass
 class Pieces:
     """The pieces of a part."""
@@ -427,28 +420,13 @@ def _unpacked_pieces(held: dict[str, list], rows: list[int]) -> Pieces:
                   [data[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)])
 
 
-def _settled_windows(held: dict[str, list], rows: list[int], window: int, within: bool) -> pa.RecordBatch:
-    """Spans of the windows of hot anchors that are not the earliest."""
-    docs, texts, starts, hashes, checks = (np.frombuffer(b"".join(held[name][i] for i in rows), dtype) for name, dtype in
-                                           (("docs", np.int64), ("texts", np.int32), ("starts", np.int32), ("sizes", np.uint64), ("content", np.uint64)))
-    _, late = _earliest(hashes, checks, docs, texts, starts, within)
-    late = late[np.lexsort((texts[late], docs[late]))]
-    d, t, s = docs[late], texts[late].astype(np.int64), starts[late].astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])))) if len(d) else np.zeros(0, np.int64)
-    runs = [np.stack(merged([_blob(np.stack([x, x + window], 1).astype(np.int32))]), 1).astype(np.int32) for x in np.split(s, first[1:])] if len(d) else []
-    return _span_batch(d[first], t[first], [_blob(x) for x in runs])
-
-
-def _settle(method, window: int, within: bool):
+def _settle(method):
     """method(pieces) -> spans to add: piece numbers, from, to, counted from the piece's start."""
     def run(batches):
         for held in by_part(batches, [x for x in _NAMES if x != "part"]):
             known = [i for i, k in enumerate(held["kind"]) if not k]
             if known:
                 yield _span_batch(np.frombuffer(b"".join(held["docs"][i] for i in known), np.int64), np.frombuffer(b"".join(held["texts"][i] for i in known), np.int64), [held["starts"][i] for i in known])
-            rows = [i for i, k in enumerate(held["kind"]) if k == 2]
-            if rows:
-                yield _settled_windows(held, rows, window, within)
             rows = [i for i, k in enumerate(held["kind"]) if k == 1]
             if not rows:
                 continue
@@ -463,12 +441,12 @@ def _span_batch(docs, texts, spans: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(texts, pa.int64()), pa.array(spans, pa.binary())], ["doc_id", "text_hash", "spans"])
 
 
-def repeated_spans(docs: DataFrame, anchors, window: int, within: bool, method, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, anchors, window: int, gram: int, within: bool, method, split: int = SPLIT) -> DataFrame:
     """doc_id, text_hash, spans: the parts of documents that repeat earlier ones.
     within: an earlier start in the same document counts, too."""
-    marked = packed(docs).join(repeated_anchors(docs, anchors, hot), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "packed", "ordinals")
-    pieces = _dealt(marked.mapInArrow(_cut(anchors, window, part_count(docs, PIECE_PARTS), within), _PIECE))
-    spans = pieces.mapInArrow(_settle(method, window, within), "doc_id long, text_hash long, spans binary")
+    marked = packed(docs).join(repeated_anchors(docs, anchors, split), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "packed", "ordinals")
+    pieces = _dealt(marked.mapInArrow(_cut(anchors, window, gram, part_count(docs, PIECE_PARTS), within), _PIECE))
+    spans = pieces.mapInArrow(_settle(method), "doc_id long, text_hash long, spans binary")
     return written(spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("spans")), "repeat-spans")
 
 

@@ -19,7 +19,8 @@ order; all but the earliest by (doc_id, start) are removed.
 Defined cases: null text counts as empty; texts shorter than the window and
 empty tables lose nothing.  Windows are judged on the input; overlapping
 repeats inside one document count.  Repeated rows are one document, answered
-alike; a null doc_id comes first.  Other columns are not read.
+alike; a null doc_id comes first.  A very long text is read slice by slice and
+its pieces are spread like any others.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.repeats import HOT, Pieces, byte_anchors, identified, merged, repeated_spans, unpacked, with_spans
+from repolens.llm.repeats import SPLIT, Pieces, byte_anchors, identified, merged, repeated_spans, unpacked, with_spans
 
 WINDOW = 100
 GRAM = 24
@@ -127,9 +128,9 @@ def _kept(batches):
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     docs = identified(docs, id_col, text_col)
-    spans = repeated_spans(docs, byte_anchors(window, gram), window, True, _method(window, window - gram), hot)
+    spans = repeated_spans(docs, byte_anchors(window, gram), window, gram, True, _method(window, window - gram), split)
     out = with_spans(docs, spans).mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
