@@ -58,6 +58,12 @@ def imports(files: DataFrame) -> DataFrame:
     return out.select(*_FILE, F.size(arr).cast("bigint").alias("import_count"), arr.alias("imports"))
 
 
+def distinct_imports(files: DataFrame) -> DataFrame:
+    """(repo, stmt, files): each distinct statement of a repository and the number
+    of its files that have it.  Pre-aggregated by (repo, stmt, path)."""
+    return import_statements(files).groupBy("repo", "stmt").agg(F.count_distinct("path").alias("files"))
+
+
 def decision_points(files: DataFrame) -> DataFrame:
     """One row per decision: (repo, path, line, kind) with the grammar's node
     kinds (if/for/while/except/with statement, case clause, boolean operator,

@@ -17,6 +17,7 @@ from repolens.operators import changes as C
 from repolens.operators import churn as CH
 from repolens.operators import symbols as S
 from repolens.plans.oracle import with_ctes
+from repolens.plans.symbol_store import stored_symbols
 from repolens.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +37,11 @@ def query(name: str, oracle: str | None = None):
 # shared plan pieces
 # --------------------------------------------------------------------------
 def _symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.extract_symbols(fx.code_files(spark, sf_dir))
+    return stored_symbols(fx.code_files(spark, sf_dir))
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _symbols(spark, sf_dir).where(F.col("lang") == "python")
 
 
 def _files_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +135,7 @@ FROM code_files f LEFT JOIN (
   FROM symbols_q GROUP BY repo, path) o ON f.repo = o.repo AND f.path = o.path"""))
 def q_outline(spark, sf_dir):
     files = fx.code_files(spark, sf_dir)
-    return S.outline(files, S.extract_symbols(files))
+    return S.outline(files, stored_symbols(files))
 
 
 @query("function_source", with_ctes("symbols_q,code_lines", """
@@ -156,7 +161,7 @@ WHERE s.kind = 'def' AND s.lang = 'python'
 GROUP BY s.repo, s.path, s.qualified_name, s.start_line"""))
 def q_score_complexity(spark, sf_dir):
     from repolens.operators import complexity as CX
-    return CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir)))
+    return CX.score_complexity(_spans(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -184,7 +189,7 @@ def q_modified_line_count(spark, sf_dir):
 SELECT repo, change_id, path, function, start_line, end_line FROM hunk_overlaps"""))
 def q_hunk_symbol_overlap(spark, sf_dir):
     files = fx.code_files(spark, sf_dir)
-    return C.hunk_symbol_overlap(_hunks(spark, sf_dir), S.python_spans(files), ["repo", "change_id"]).drop("start_off")
+    return C.hunk_symbol_overlap(_hunks(spark, sf_dir), _spans(spark, sf_dir), ["repo", "change_id"]).drop("start_off")
 
 
 @query("change_impact", with_ctes("hunk_lines,hunk_overlaps,symbols_q", """
@@ -199,7 +204,7 @@ LEFT JOIN (SELECT repo, change_id, path, count(*) AS n_affected,
   ON a.repo = c.repo AND a.change_id = c.change_id AND a.path = c.path"""))
 def q_change_impact(spark, sf_dir):
     files = fx.code_files(spark, sf_dir)
-    impact = C.change_impact(_hunks(spark, sf_dir), S.python_spans(files), files, ["repo", "change_id"])
+    impact = C.change_impact(_hunks(spark, sf_dir), _spans(spark, sf_dir), files, ["repo", "change_id"])
     return impact.select(
         "repo", "change_id", "path", "modified_line_count", "n_affected",
         F.array_join(F.transform("affected_functions", lambda x: F.concat(
@@ -299,8 +304,7 @@ FROM code_lines WHERE path LIKE '%.py' AND regexp_matches(txt, '^\\s*(import|fro
 GROUP BY 1, 2"""))
 def q_distinct_imports(spark, sf_dir):
     from repolens.operators import pyfacts as PF
-    stmts = PF.import_statements(fx.code_files(spark, sf_dir))
-    return stmts.groupBy("repo", "stmt").agg(F.count_distinct("path").alias("files"))
+    return PF.distinct_imports(fx.code_files(spark, sf_dir))
 
 
 @query("decision_points", with_ctes("sig_lines", """
@@ -337,7 +341,7 @@ WHERE w.n = 1""")
 def q_dead_code(spark, sf_dir):
     from repolens.operators import deadcode as DC
     files = fx.code_files(spark, sf_dir)
-    return DC.dead_code_candidates(files, S.python_spans(files))
+    return DC.dead_code_candidates(files, _spans(spark, sf_dir))
 
 
 @query("functions_scanned", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
@@ -345,7 +349,7 @@ SELECT repo, count(*) AS functions_scanned FROM py_defs GROUP BY repo""")
 def q_functions_scanned(spark, sf_dir):
     from repolens.operators import deadcode as DC
     files = fx.code_files(spark, sf_dir)
-    return DC.functions_scanned(files, S.python_spans(files))
+    return DC.functions_scanned(files, _spans(spark, sf_dir))
 
 
 @query("name_token_join", with_ctes("symbols_q", "").rstrip() + _DEAD_CTE + """
@@ -354,7 +358,7 @@ def q_name_token_join(spark, sf_dir):
     from repolens.operators import deadcode as DC
     from repolens.operators import search as SE
     files = fx.code_files(spark, sf_dir)
-    names = DC.defined_functions(files, S.python_spans(files))
+    names = DC.defined_functions(files, _spans(spark, sf_dir))
     counts = SE.token_count(files.where(F.col("path").endswith(".py"))).withColumnRenamed("token", "name")
     return names.join(counts, ["repo", "name"]).select("repo", F.col("name").alias("function"),
                                                        F.col("n").alias("mentions"))
@@ -622,7 +626,7 @@ def q_scan_outline(spark, sf_dir):
     from repolens.sources import files as FS
     code = fx.code_files(spark, sf_dir).select("repo", "path", "content")
     work = code.unionByName(fx.manifests(spark, sf_dir).select("repo", "path", "content"))
-    return FS.scan_outline(work, S.outline(code, S.extract_symbols(code)))
+    return FS.scan_outline(work, S.outline(code, stored_symbols(code)))
 
 
 # --------------------------------------------------------------------------
@@ -714,7 +718,7 @@ SELECT repo, path, count(*) AS functions_scored FROM symbols_q
 WHERE lang = 'python' AND kind = 'def' GROUP BY repo, path"""))
 def q_functions_scored(spark, sf_dir):
     from repolens.operators import complexity as CX
-    return CX.functions_scored(CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir))))
+    return CX.functions_scored(CX.score_complexity(_spans(spark, sf_dir)))
 
 
 @query("sort_complexity", with_ctes("symbols_q,line_decisions", """
@@ -728,7 +732,7 @@ FROM (SELECT s.repo, s.path, s.qualified_name AS function, CAST(s.start_line AS
       GROUP BY s.repo, s.path, s.qualified_name, s.start_line)"""))
 def q_sort_complexity(spark, sf_dir):
     from repolens.operators import complexity as CX
-    scores = CX.score_complexity(S.python_spans(fx.code_files(spark, sf_dir)))
+    scores = CX.score_complexity(_spans(spark, sf_dir))
     return CX.sort_complexity(scores).select("repo", "path", "function", "line", "complexity_score", "rank_in_file")
 
 
@@ -740,4 +744,7 @@ WHERE w.n = 1""")
 def q_dead_code_report(spark, sf_dir):
     from repolens.operators import deadcode as DC
     files = fx.code_files(spark, sf_dir)
-    return DC.dead_code_report(files, S.python_spans(files))
+    return DC.dead_code_report(files, _spans(spark, sf_dir))
+
+
+from repolens.plans import shape_queries  # noqa: E402,F401  (registers its queries here)
