@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -73,6 +74,49 @@ def test_attributes_that_tell_boilerplate(attributes):
     assert html_main.main_text(f"<body><div {attributes}><p>{WORDS}</div><p>{WORDS}") == WORDS
 
 
+NAMES = ["post-with-sidebar", "layout-with-sidebar", "content-sidebar-wrap", "main-header-fixed", "social-science-article", "form-content", "legal-text", "no-comments"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names_are_evidence_not_verdicts(name):
+    """Three good paragraphs stay, whatever the element around them is called, alone and in a page."""
+    others = [f"{WORDS} Number {k} says so." for k in range(3)]
+    article, text = "".join(f"<p>{x}</p>" for x in others), "\n\n".join(others)
+    assert html_main.main_text(f'<body><div class="{name}">{article}</div>') == text
+    page = f'<body><nav><a href=x>Home</a> <a href=y>News</a></nav><div id="{name}">{article}</div><div class="sidebar"><p>{WORDS}</p></div><footer>© all of us</footer>'
+    assert html_main.main_text(page) == text
+    assert html_main.main_text(f'<body><article class="post share-story {name}">{article}</article><div class="comment-body">{WORDS}</div>') == text
+
+
+def test_depth_costs_what_it_is_long():
+    page = "<div>" * 100_000 + f"<p>{WORDS}</p>" + "</div></section>" * 100_000 + f"<p>{WORDS}</p>"
+    assert html_main.main_text(page) == f"{WORDS}\n\n{WORDS}"
+    page = "".join(f"<div class='c{k}'><p>{WORDS}" for k in range(4000))
+    assert html_main.main_text(page).count("tells a story") == 4000
+
+
+def test_weights_are_fitted():
+    rng = np.random.default_rng(3)
+    rows = np.column_stack([np.ones(4000), rng.normal(size=(4000, len(html_main.FEATURES) - 1))])
+    true = rng.normal(size=len(html_main.FEATURES))
+    labels = rng.random(4000) < 1 / (1 + np.exp(-rows @ true))
+    found = html_main.fit(rows, labels.astype(float), np.zeros(len(true)))
+    agree = ((rows @ found > 0) == labels).mean()
+    assert agree > 0.97 * ((rows @ true > 0) == labels).mean()
+    assert (html_main.fit(rows[:0], labels[:0]) == html_main.PRIOR).all() and (html_main.fit(rows, np.ones(4000)) == html_main.PRIOR).all()
+
+
+def test_odd_pages(spark):
+    page = f"<nav><a href=x>Home</a></nav><article><p>{WORDS}</p></article><div class=ad>Buy this.</div>"
+    rows = [(1, "u", None, "a"), (2, "u", "", "b"), (None, None, page, None), (3, "v", page, "c"), (3, "v", page, "c"), (4, "w", "<p>" + "word " * 200_000, "d"), (5, "x", "no markup at all, just a line", "e")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("order", F.lit(1)).withColumn("features", F.lit("x")).repartition(3)
+    got = sorted([(r.page_id, r.url, r.text, r.n_chars) for r in html_main.extract(pages).collect()], key=str)
+    long = " ".join(["word"] * 200_000)
+    expect = [(1, "u", "", 0), (2, "u", "", 0), (None, None, WORDS, len(WORDS)), (3, "v", WORDS, len(WORDS)), (3, "v", WORDS, len(WORDS)), (4, "w", long, len(long))]
+    assert [x for x in got if x[0] != 5] == sorted(expect, key=str) and len(got) == 7
+    assert html_main.extract(pages.where("false")).collect() == []
+
+
 def test_formulas_are_text():
     formula = '<math><semantics><mrow><mi>x</mi><mspace width="1em"/><mo>=</mo><mn>2</mn></mrow><annotation encoding="application/x-tex">\\frac</annotation></semantics></math>'
     assert html_main.main_text(f"<article><p>{WORDS} So {formula} holds.<p>{WORDS}</article>") == f"{WORDS} So x=2 holds.\n\n{WORDS}"
