@@ -4,7 +4,7 @@
    a signature of ``COORDINATES`` minima and a parity sketch: bit b is odd if
    an odd number of shingles fall on it, so two sketches differ in at most as
    many bits as the sets differ in shingles.  Documents with equal sets form
-   one class, represented by its smallest doc_id; only classes go on.
+   one class, a number of its own with one of its texts; only classes go on.
 2. A class is posted under each (coordinate, value).  Values that occur once
    drop out.  Two classes match if at least ``MATCHES`` coordinates agree, so
    each class is listed only under its rarest values, as many as a match
@@ -23,9 +23,11 @@ A pair at similarity 0.85 agrees on 54 of 64 coordinates on average with a
 standard deviation of 2.9; 41 is 4.7 deviations below.
 
 Defined cases: texts without words have no shingles and link with nothing;
-null text counts as empty.  Rows that repeat a doc_id are one node: they
-share its component, and links are confirmed on the greatest of their texts.  A null doc_id sorts below all others and its output
-id is null.  Empty tables give empty results.  Other columns are untouched.
+null text counts as empty.  Rows that repeat a doc_id are one node: each of
+their texts proposes and confirms links of its own, and they share a component.
+A null doc_id sorts below all others, its output id is null, and rows with null
+ids are nodes of their own.  A very long text is one row's work.  Pairs at the
+threshold link.  Empty tables give empty results.  Other columns are untouched.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repolens.llm.common import long_column, mix64, slices, written
+from repolens.llm.common import mix64, slices, written
 from repolens.llm.components import components
 from repolens.llm.shingles import overlap, shingle_sets
 
@@ -98,8 +100,8 @@ def _signatures(size: int, coordinates: int):
             values = np.zeros((len(n), coordinates), np.uint64)
             values[full] = signature
             listed, sketch = _lists(values.ravel().view(np.int64), len(n)), _lists(_sketches(sets, offsets), len(n))
-            yield pa.RecordBatch.from_arrays([pa.array(long_column(batch, "doc_id")), pa.array(n), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), listed, sketch],
-                                             ["doc_id", "n", "key_a", "key_b", "signature", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), listed, sketch],
+                                             ["doc_id", "text_key", "n", "key_a", "key_b", "signature", "sketch"])
     return run
 
 
@@ -145,11 +147,12 @@ def _joined(member: DataFrame, found: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85,
                     coordinates: int = COORDINATES, matches: int = MATCHES, rounds: int = LEADER_ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    pair = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(pair.mapInArrow(_signatures(size, coordinates), "doc_id long, n long, key_a long, key_b long, signature array<long>, sketch array<long>"), "near-signatures")
-    classes = written(signed.where("n > 0").groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "near-classes")
-    nodes = classes.groupBy("rep").agg(F.max(F.struct("n", "signature", "sketch")).alias("of")).select("rep", "of.*")
-    nodes = written(nodes, "near-nodes")
+    text = F.col(text_col).cast("string")
+    pair = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    signed = written(pair.mapInArrow(_signatures(size, coordinates), "doc_id long, text_key long, n long, key_a long, key_b long, signature array<long>, sketch array<long>"), "near-signatures")
+    classes = signed.where("n > 0").groupBy("key_a", "key_b", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    nodes = classes.select("rep", "n", "signature", "sketch")
     posted = nodes.select("rep", F.explode("signature").alias("value"))
     shared = posted.join(posted.groupBy("value").agg(F.count(F.lit(1)).alias("listed")).where("listed > 1"), "value")
     in_class = Window.partitionBy("rep")
@@ -158,7 +161,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("rep", "value"))
     lists = written(prefix, "near-lists")
     some = lists.join(lists.groupBy("value").agg(F.count(F.lit(1)).alias("listed")).where("listed > 1"), "value").select("rep").distinct()
-    texts = written(pair.withColumnRenamed("doc_id", "rep").join(some, "rep", "left_semi").groupBy("rep").agg(F.max("text").alias("text")), "near-texts")
+    some = classes.join(some, "rep", "left_semi").select("rep", "least.*")
+    texts = written(pair.join(some, ["doc_id", "text_key"]).groupBy("rep").agg(F.max("text").alias("text")), "near-texts")
 
     member = docs.sparkSession.createDataFrame([], "node long, comp long")
     for k in range(rounds + 1):
@@ -180,11 +184,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 continue
             break
         member = _joined(member, found)
-    smallest = member.groupBy("comp").agg(F.min("node").alias("component"))
-    root = member.join(smallest, "comp").select("node", "component")
-    of_class = (classes.join(root, F.col("rep") == F.col("node"), "left")
-                .select("key_a", "key_b", "n", F.coalesce("component", "rep").alias("component")))
-    out = signed.join(of_class, ["key_a", "key_b", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    # the classes of one doc_id's texts are one component
+    of_row = signed.join(classes.select("key_a", "key_b", "n", "rep"), ["key_a", "key_b", "n"], "left").select("doc_id", "n", "rep")
+    several = of_row.where(F.col("rep").isNotNull() & (F.col("doc_id") != _NULL)).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("high")).where("a < high")
+    if not several.isEmpty():
+        same = of_row.join(several.select("doc_id", "a"), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+        member = _joined(member, same)
+    least = classes.select("rep", F.col("least.doc_id").alias("low"))
+    in_component = least.join(member, F.col("rep") == F.col("node"))
+    component = in_component.groupBy("comp").agg(F.min("low").alias("component"))
+    root = member.join(component, "comp").select("node", "component")
+    named = least.join(root, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("component", "low").alias("component"))
+    out = of_row.join(named, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     clean = lambda c: F.when(F.col(c) != _NULL, F.col(c)).alias(c)
     return out.select(clean("doc_id"), "n_shingles", clean("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
 

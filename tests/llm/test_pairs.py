@@ -159,6 +159,40 @@ def test_near_chain_and_large_group(spark):
     assert out == {d: c for d, (_, c) in want.items()}
 
 
+def test_near_null_ids_and_ids_with_two_texts(spark):
+    """A null id in a class, and an id whose two texts link to different documents."""
+    words = [f"w{k}" for k in range(200)]
+    a, a1, a2 = " ".join(words), " ".join([*words[:-1], "x"]), " ".join(["y", *words[1:]])
+    b, b1 = " ".join(f"v{k}" for k in range(150)), " ".join([*(f"v{k}" for k in range(149)), "z"])
+    rows = [(None, a), (5, a), (6, a1), (7, a2), (20, b), (21, b1), (22, "alone " + "here is some text " * 3), (23, a1 + " more"), (23, b1 + " more"), (None, "another one without an id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.component_id, r.kept) for r in near.near_duplicates(docs).collect())
+    assert got == sorted([(False, 0, None, True), (False, 0, None, True), *((True, d, None, False) for d in (5, 6, 7, 20, 21, 23, 23)), (True, 22, 22, True)], key=lambda x: x[:2]), got
+    without = near.near_duplicates(docs.where("doc_id <> 23 OR doc_id IS NULL").where("doc_id IS NOT NULL")).collect()
+    assert {r.doc_id: r.component_id for r in without} == {5: 5, 6: 5, 7: 5, 20: 20, 21: 20, 22: 22}
+
+
+def test_near_recall_at_the_threshold(spark):
+    """Every pair at exactly 85 %, and none just below, over many random sets; the pipeline's 80 % likewise."""
+    import random
+    rng, rows, links = random.Random(4), [], {85: set(), 80: set()}
+    for k in range(120):
+        n = rng.randrange(60, 400)
+        left = [f"t{k}x{i}" for i in range(n)]
+        cut = rng.randrange(0, max(1, n // 8))
+        right = left[:n - cut] + [f"u{k}x{i}" for i in range(cut)]
+        rows += [(2 * k, " ".join(left)), (2 * k + 1, " ".join(right))]
+        x, y = ({tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (left, right))
+        for percent in links:
+            if 100 * len(x & y) >= percent * len(x | y):
+                links[percent].add(2 * k)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()}
+    assert {d - 1 for d, c in found.items() if c == d - 1 and d % 2} == links[85]
+    kept = {r.doc_id for r in near.drop_near_copies(docs).collect()}
+    assert {d for d in links[80] if d + 1 not in kept} == links[80] and 2 * 120 - len(kept) == len(links[80])
+
+
 def test_empty_tables(none):
     assert imatch.fingerprints(none).collect() == [] and exact.exact_dedup(none).collect() == [] and exact.drop_copies(none).collect() == []
     assert near.near_duplicates(none).collect() == [] and near.drop_near_copies(none).collect() == []
