@@ -11,13 +11,16 @@ The ids are those of the ``tokenizers`` library for the same byte-level
 vocabulary; the ranks file read by ``tiktoken`` gives equal ids (the tests
 compare them) in a quarter of the time.  The vocabulary's added tokens, which
 that library finds inside text, are split off first, the longest of the
-leftmost; the registered queries give them, and without them such strings are
-ordinary text.  What lies between is encoded part by part if it is long, cut
-before a lone space between two visible characters: no token reaches over
-that place.
+leftmost; with ``added={}`` such strings are ordinary text.  What lies between is encoded part by part if it is long.  It
+is cut where no token can reach over: the vocabulary's pattern splits text
+into pieces first, and a piece ends for certain before a lone space or line
+end behind a letter or digit, and between a letter and a digit or mark.  A
+text without any such place (one word of megabytes) is encoded whole.
 
 Defined cases: null or empty text has the end id alone; repeated rows are
-packed each; a null doc_id is carried.  An empty table gives no pieces.
+packed each; a null doc_id is carried.  A very long text is cut in one pass, a
+million characters at a time.  Pieces of equal length go by doc_id, start and
+checksum.  An empty table gives no pieces.
 Other columns are not read.
 """
 
@@ -29,6 +32,7 @@ import re
 import zlib
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +40,10 @@ from pyspark.sql import types as T
 from repolens.llm.common import slices, written
 
 LONG = 1 << 20
-_SAFE = re.compile(r"[A-Za-z0-9] (?=[A-Za-z0-9])")
+# Behind the match a piece of the vocabulary's pattern ends: letters, numbers and other
+# visible characters never share one (but for contractions, so no quotes), and a
+# blank begins one unless blanks follow.
+_SAFE = regex.compile(r"[\p{L}\p{N}](?= [\p{L}\p{N}])|\p{L}(?=\p{N}|[^\s\p{L}\p{N}'’])|\p{N}(?=\p{L}|[^\s\p{L}\p{N}'’])|[^\s\p{L}\p{N}'’](?=\p{L}|\p{N})")
 
 
 def default_ranks() -> str:
@@ -87,8 +94,8 @@ class Encoder:
             found = _SAFE.search(text, at + LONG)
             if not found:
                 break
-            yield self.encode(text[at:found.start() + 1])
-            at = found.start() + 1
+            yield self.encode(text[at:found.end()])
+            at = found.end()
         yield self.encode(text[at:] if at else text)
 
 
@@ -97,10 +104,11 @@ def _pieces(path: str, length: int, end_id: int, added: dict[str, int] | None):
         """(start, length, crc) of each piece and the number of ids."""
         held, start, out = b"", 0, []
         for part in itertools.chain(encoder.parts(text), [end_id.to_bytes(4, "little")]):
-            held += part
-            while len(held) > 4 * length:
-                out.append((start, length, zlib.crc32(held[:4 * length])))
-                held, start = held[4 * length:], start + length
+            part, at = memoryview(held + part), 0
+            while len(part) - at > 4 * length:
+                out.append((start, length, zlib.crc32(part[at:at + 4 * length])))
+                at, start = at + 4 * length, start + length
+            held = bytes(part[at:])
         out.append((start, len(held) // 4, zlib.crc32(held)))
         return out, start + len(held) // 4
 
@@ -122,7 +130,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     """doc_id, start, length, ids_crc32, doc_tokens: one row per piece."""
     pair = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", pair.schema[0].dataType)] + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens")])
-    return pair.mapInArrow(_pieces(ranks or default_ranks(), length, end_id, added), schema)
+    return pair.mapInArrow(_pieces(ranks or default_ranks(), length, end_id, default_added() if added is None else added), schema)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:
