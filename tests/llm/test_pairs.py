@@ -93,10 +93,10 @@ def test_exact_dedup_against_sql(spark):
     assert sorted(map(tuple, queries.QUERIES["op2_exact_dedup"](spark, SMALL).collect())) == sorted(want)
 
 
-@pytest.mark.parametrize("bits", [1 << 27, 1 << 10])
-def test_exact_dedup_of_odd_rows(odd, odd_rows, bits):
-    """A bitmap that is far too small only sends more rows to the exact grouping."""
-    out = exact.exact_dedup(odd, max_bits=bits).collect()
+@pytest.mark.parametrize("range_rows", [1 << 23, 3])
+def test_exact_dedup_of_odd_rows(odd, odd_rows, range_rows):
+    """In one range and in many."""
+    out = exact.exact_dedup(odd, range_rows=range_rows).collect()
     groups = {}
     for i, t, *_ in odd_rows:
         groups.setdefault((t or "").translate(LOWER), []).append(i)
@@ -106,11 +106,29 @@ def test_exact_dedup_of_odd_rows(odd, odd_rows, bits):
         keep = max((x for x in ids if x is not None), default=None)
         want.append((i, keep, len(ids), i == keep, hashlib.sha256((t or "").translate(LOWER).encode()).hexdigest()))
     assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
-    kept = exact.drop_copies(odd, max_bits=bits)
+    kept = exact.drop_copies(odd, range_rows=range_rows)
     assert kept.columns == odd.columns
     assert sorted(r.text or "" for r in kept.collect()) == sorted(max(t for _, t, *_ in [(0, r[1] or "") for r in odd_rows] if t.translate(LOWER) == k) if k != "one" else "One" for k in groups)
 
 
+def test_exact_dedup_of_rows_with_maps(odd):
+    """Columns that have no order pass; of rows equal in id and text one stays."""
+    rows = odd.selectExpr("doc_id", "text", "map('a', doc_id) AS lead", "map('k', size) AS sha")
+    kept = exact.drop_copies(rows.unionByName(rows))
+    assert kept.columns == rows.columns and kept.count() == len({(r.text or "").translate(LOWER) for r in rows.collect()})
+
+
+def test_share_of_rows_that_shuffle_is_constant(spark):
+    """Unique texts: about as many pass the filters however many ranges there are."""
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(4)
+    for range_rows in (40_000, 5_000, 1_500):
+        rows = exact.digests(docs)
+        found, bits, ranges = exact.filters(rows, range_rows=range_rows)
+        assert ranges == -(-40_000 // range_rows)
+        out = exact.marked(rows, found, bits, ranges)
+        assert out.count() == 40_000 and out.where("maybe").count() < 0.025 * 40_000
+
+
 def shingle_set(text):
     w = WORD.findall((text or "").translate(LOWER))
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
