@@ -7,15 +7,25 @@ repository plus an equality join gives the same numbers in one pass.
 Comments and strings count, as there.  Names are keyed bare; when several
 files define the same name the greatest path wins (deterministic form of
 "the later file overwrites").  Admittedly imprecise: a candidate list only.
+
+Only words that are function names are counted.  The names' hashes fill a
+Bloom filter of ``SLOTS`` byte slots; it is a literal of that size in the plan,
+however many names there are, and each file's word array is filtered by it
+before it is exploded.  So other words reach neither the aggregation nor the
+shuffle, but for the few that the filter lets through, which the join drops.
+(With many times more names than slots the filter lets most words through, and
+the join alone decides.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolens.functions.text import DEAD_CODE_SKIP_DIRS, in_skipped_dir
-from repolens.operators.search import token_count
+from repolens.functions.text import DEAD_CODE_SKIP_DIRS, WORD_RE, in_skipped_dir
+
+# Byte slots of the names' filter, and probes of each name.
+SLOTS, PROBES = 1 << 18, 2
 
 
 def _workspace(files: DataFrame) -> DataFrame:
@@ -32,6 +42,40 @@ def defined_functions(files: DataFrame, symbols: DataFrame) -> DataFrame:
     return defs.groupBy("repo", "name").agg(F.max("path").alias("path"))
 
 
+def _slots(repo: Column, word: Column) -> list[Column]:
+    """A word's places in the filter: two halves of one 64-bit hash."""
+    h = F.xxhash64(repo, word)
+    return [F.pmod(F.shiftrightunsigned(h, 32 * k) if k else h, F.lit(SLOTS)).cast("int") for k in range(PROBES)]
+
+
+def name_filter(names: DataFrame) -> bytes:
+    """names(repo, name) as a Bloom filter of SLOTS bytes; the driver gathers SLOTS numbers at most."""
+    taken = names.select(F.explode(F.array(*_slots(F.col("repo"), F.col("name")))).alias("slot")).distinct()
+    out = bytearray(SLOTS)
+    for row in taken.collect():
+        out[row["slot"]] = 1
+    return bytes(out)
+
+
+def mentions(files: DataFrame, names: DataFrame) -> DataFrame:
+    """(repo, name, n): whole-word occurrences, in a repository's files, of words that
+    may be among names(repo, name)."""
+    slots = F.lit(name_filter(names.select("repo", "name")))
+    held = lambda at: F.substring(slots, at + 1, F.lit(1)) == F.lit(b"\x01")
+
+    def may_be_name(word: Column) -> Column:
+        first, second = (held(at) for at in _slots(F.col("repo"), word))
+        return first & second
+
+    words = F.filter(F.regexp_extract_all("content", F.lit(WORD_RE), 0), may_be_name)
+    return files.select("repo", F.explode(words).alias("name")).groupBy("repo", "name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def name_mentions(files: DataFrame, names: DataFrame) -> DataFrame:
+    """(repo, name, path, n) of every name that occurs."""
+    return names.join(mentions(_workspace(files), names), ["repo", "name"], "inner")
+
+
 def functions_scanned(files: DataFrame, symbols: DataFrame) -> DataFrame:
     return defined_functions(files, symbols).groupBy("repo").agg(
         F.count(F.lit(1)).alias("functions_scanned"))
@@ -39,11 +83,8 @@ def functions_scanned(files: DataFrame, symbols: DataFrame) -> DataFrame:
 
 def dead_code_candidates(files: DataFrame, symbols: DataFrame) -> DataFrame:
     """(repo, function, path) for names whose word count in the repo is 1."""
-    names = defined_functions(files, symbols)
-    counts = token_count(_workspace(files)).withColumnRenamed("token", "name")
-    return (names.join(counts, ["repo", "name"], "inner")
-            .where(F.col("n") == 1)
-            .select("repo", F.col("name").alias("function"), "path"))
+    found = name_mentions(files, defined_functions(files, symbols))
+    return found.where(F.col("n") == 1).select("repo", F.col("name").alias("function"), "path")
 
 
 def dead_code_report(files: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -51,7 +92,5 @@ def dead_code_report(files: DataFrame, symbols: DataFrame) -> DataFrame:
     (repo, function, path, functions_scanned)."""
     names = defined_functions(files, symbols)
     scanned = names.groupBy("repo").agg(F.count(F.lit(1)).alias("functions_scanned"))
-    counts = token_count(_workspace(files)).withColumnRenamed("token", "name")
-    dead = names.join(counts, ["repo", "name"], "inner").where(F.col("n") == 1)
-    return dead.join(scanned, "repo", "inner").select("repo", F.col("name").alias("function"), "path",
-                                                     "functions_scanned")
+    dead = name_mentions(files, names).where(F.col("n") == 1)
+    return dead.join(scanned, "repo", "inner").select("repo", F.col("name").alias("function"), "path", "functions_scanned")

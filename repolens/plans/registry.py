@@ -356,12 +356,9 @@ def q_functions_scanned(spark, sf_dir):
 SELECT d.repo, d.name AS function, w.n AS mentions FROM py_defs d JOIN words w ON w.repo = d.repo AND w.token = d.name""")
 def q_name_token_join(spark, sf_dir):
     from repolens.operators import deadcode as DC
-    from repolens.operators import search as SE
     files = fx.code_files(spark, sf_dir)
     names = DC.defined_functions(files, _spans(spark, sf_dir))
-    counts = SE.token_count(files.where(F.col("path").endswith(".py"))).withColumnRenamed("token", "name")
-    return names.join(counts, ["repo", "name"]).select("repo", F.col("name").alias("function"),
-                                                       F.col("n").alias("mentions"))
+    return DC.name_mentions(files, names).select("repo", F.col("name").alias("function"), F.col("n").alias("mentions"))
 
 
 @query("doc_summary", f"""

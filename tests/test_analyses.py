@@ -308,3 +308,16 @@ def test_impact_report_names_problems(spark):
     diffs = spark.createDataFrame([("r", 1, diff)], "repo string, change_id int, diff string")
     rows = C.impact_report(diffs, S.extract_symbols(files), files, ["repo", "change_id"]).orderBy("modified_line_count").collect()
     assert [(r.modified_line_count, r.problem) for r in rows] == [(None, "unreadable hunk range: @@ -1 +x,y @@"), (1, None)]
+
+
+def test_only_names_are_counted(spark):
+    """The filter lets every name through, and of a thousand other words a few at most."""
+    from repolens.operators import deadcode as DC
+    words = " ".join(f"word{k}" for k in range(1000))
+    files = files_df(spark, [("a.py", f"{words} lonely twice twice naïve"), ("b.py", "once"), ("c.txt", "lonely")])
+    names = spark.createDataFrame([("r", n, "a.py") for n in ("lonely", "twice", "naïve", "absent")], "repo string, name string, path string")
+    counted = {r.name: r.n for r in DC.mentions(files.where("path LIKE '%.py'"), names).collect()}
+    assert {n: counted.get(n) for n in ("lonely", "twice", "naïve", "absent")} == {"lonely": 1, "twice": 2, "naïve": 1, "absent": None} and len(counted) < 10
+    assert sorted((r.name, r.n) for r in DC.name_mentions(files, names).collect()) == [("lonely", 1), ("naïve", 1), ("twice", 2)]
+    none = names.where("false")
+    assert DC.name_mentions(files, none).collect() == []
