@@ -40,7 +40,7 @@ from repolens.llm.common import written
 
 # (r, how many): subsets that keep one of r terms, r a power of two.  Most are sparse: those tell
 # how much two texts share, the dense ones that their terms are the same.
-SUBSETS = ((4, 4), (16, 8), (64, 16), (256, 36))
+SUBSETS = ((4, 4), (16, 8), (64, 16), (256, 24), (1024, 24), (4096, 24))
 _SPACES = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
