@@ -177,6 +177,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = rows.where(~F.col("maybe")).select("doc_id", "sha", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     met = rows.where("maybe").select("doc_id", "sha")
     groups = met.groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(groups, "exact-groups")  # a join by itself: a frequent digest's rows can be split
     return (alone.unionByName(met.join(groups, "sha"))
             .select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")))
 
