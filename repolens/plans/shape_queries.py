@@ -14,12 +14,14 @@ from repolens.functions import text as X
 from repolens.operators import changes as C
 from repolens.operators import complexity as CX
 from repolens.operators import deadcode as DC
+from repolens.operators import gramindex as G
 from repolens.operators import pyfacts as PF
 from repolens.operators import search as SE
 from repolens.operators import symbols as S
 from repolens.plans.oracle import with_ctes
-from repolens.plans.registry import _SYMBOL_COLS, _spans, query
+from repolens.plans.registry import _DOC_LINES, _SYMBOL_COLS, _WS, _spans, query
 from repolens.plans.symbol_store import stored_symbols
+from repolens.plans.tables import scratch_base, write_table
 from repolens.sources import fixtures as fx
 
 # --------------------------------------------------------------------------
@@ -147,3 +149,20 @@ SELECT 'repo' || (p_partkey % 5) AS repo, 'pkg/s' || p_partkey || '.py' AS path,
 def q_shape_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = PF.imports(fx.shapes(spark, sf_dir))
     return out.select("repo", "path", "import_count", F.array_join("imports", "\n").alias("imports"))
+
+
+# --------------------------------------------------------------------------
+# search by trigrams
+# --------------------------------------------------------------------------
+INDEXED_PATTERN = "licen[cs]ed|(gnu|general) public|reserved"
+
+
+@query("search_indexed", f"""WITH {_DOC_LINES}
+SELECT repo, path, line_no, 'Line ' || line_no || ': ' || regexp_replace(line, '^{_WS}+|{_WS}+$', '', 'g') AS match
+FROM (SELECT *, row_number() OVER (PARTITION BY repo, path ORDER BY line_no) AS k
+      FROM doc_lines WHERE regexp_matches(line, '(?i){INDEXED_PATTERN}'))
+WHERE k <= 20""")
+def q_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    index = spark.read.parquet(write_table(G.build_index(fx.as_files(docs)), "grams", scratch_base(spark)))
+    return G.search_indexed(spark, index, INDEXED_PATTERN, lambda paths: fx.as_files(spark.read.parquet(*paths)))

@@ -12,6 +12,8 @@ groups by their statistics.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from repolens.operators import symbols as S
@@ -22,6 +24,11 @@ def table_path(spark: SparkSession, name: str, base: str | None = None) -> str:
     return f"{base or checkpoint_dir(spark) + '/tables'}/{name}"
 
 
+def scratch_base(spark: SparkSession) -> str:
+    """A base folder of its own below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, name: str, base: str | None = None, by_repo: bool = True) -> str:
     """Write ``df`` as parquet (overwrite) and return its path."""
     path = table_path(df.sparkSession, name, base)

@@ -243,12 +243,14 @@ def archive_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
                      code_files=code_files(spark, sf_dir).select("file_id", "path"))
 
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """Rows of ``documents`` laid out as text files: repo = source, path = lang/doc_id.txt."""
+    return docs.select(F.col("source").alias("repo"), F.concat(F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+                       F.col("text").alias("content"))
+
+
 def documents_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` laid out as text files: repo = source, path = lang/doc_id.txt."""
-    return (_read(spark, sf_dir, "documents")
-            .select(F.col("source").alias("repo"),
-                    F.concat(F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
-                    F.col("text").alias("content")))
+    return as_files(_read(spark, sf_dir, "documents"))
 
 
 def duckdb_sql(text: str, **tables: str) -> str:
