@@ -51,3 +51,21 @@ def test_run_is_the_stages(spark):
 def test_near_stage_keeps_strangers(spark):
     docs = spark.createDataFrame([(k, " ".join(f"s{k}t{i}" for i in range(40))) for k in range(30)], "doc_id long, text string")
     assert near.drop_near_copies(docs).count() == 30
+
+
+def test_stages_of_odd_rows(odd, none, spark):
+    """Nulls, empty and very long texts, repeated rows, a map column and clashing names go
+    through the chain; an empty table gives an empty result."""
+    rows = odd.unionByName(odd.where("doc_id > 20")).selectExpr("*", "map('a', doc_id) AS lead")
+    columns = rows.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, SMALL)
+        if name == "packing":
+            assert out.where("length < 1 OR length > 1024").isEmpty() and not out.isEmpty()
+            break
+        assert out.columns == columns
+        rows = written(out, "test-odd")
+    texts = [(r.text or "").translate(LOWER) for r in rows.collect()]
+    assert texts and all(any(map(str.isalpha, t)) for t in texts)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SMALL).collect() == []

@@ -180,6 +180,46 @@ def test_language_of_held_out_documents(spark):
     assert sum(r.lang_pred == want[r.doc_id] for r in held) > 0.97 * len(held)
 
 
+def plain_probabilities(model, text):
+    """One text, window by window and byte by byte, in double precision."""
+    w, n = {k: v.astype(float) for k, v in model.w.items()}, model.hidden
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(d, window):
+        h, out = np.zeros(n), []
+        for byte in window:
+            x, a = w["x"][d][byte], w["u"][d] @ h
+            z, r = sigmoid(x[:n] + a[:n]), sigmoid(x[n:2 * n] + a[n:2 * n])
+            c = np.tanh(x[2 * n:] + r * (a[2 * n:] + w["b"][d][:, 0]))
+            h = z * h + (1 - z) * c
+            out.append(h)
+        return out
+
+    total, raw = np.zeros(model.classes), text.encode()
+    for at in range(0, len(raw), 64):
+        window = raw[at:at + 64]
+        for forward, backward in zip(states(0, window), states(1, window[::-1])[::-1], strict=True):
+            logits = w["o"] @ np.concatenate([forward, backward]) + w["c"][:, 0]
+            p = np.exp(logits - logits.max())
+            total += p / p.sum()
+    return total / len(raw)
+
+
+def test_language_against_a_plain_network(spark):
+    """The trained network run plainly on some texts of whole windows (a last, shorter window
+    is read backward behind its end's zero bytes): the same language and score."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model, languages = langid.train(docs.where(~langid.held_out()))
+    texts = [t.encode()[:len(t.encode()) // 64 * 64].decode("utf-8", "ignore") for (t,) in duckdb.sql(f"SELECT text FROM '{SMALL}/documents.parquet' WHERE strlen(text) BETWEEN 200 AND 900 ORDER BY doc_id LIMIT 12").fetchall()]
+    texts = [t for t in texts if len(t.encode()) % 64 == 0]
+    assert len(texts) >= 5
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: (r.lang_pred, r.score) for r in langid.predict(rows, model, languages).collect()}
+    for i, text in enumerate(texts):
+        p = plain_probabilities(model, text)
+        assert got[i][0] == languages[int(p.argmax())] and abs(got[i][1] - p.max()) < 1e-3
+
+
 def test_language_of_odd_rows(odd, odd_rows, none):
     out = langid.identify(odd).collect()
     assert len(out) == len(odd_rows)
@@ -241,6 +281,23 @@ def test_ids_are_the_tokenizers(small_rows):
         packing.LONG = 1 << 20
 
 
+def test_long_texts_of_all_scripts_are_cut_in_one_pass(monkeypatch):
+    """Texts without a space between Latin letters: the ids of the whole, in time that follows the length."""
+    import time
+    encoder = packing.Encoder(packing.default_ranks())
+    samples = ["吾輩は猫である。名前はまだ無い。どこで生れたか、とんと見当がつかぬ！" * 40, "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo0NTY3ODkrLw" * 60, "это русский текст, и ещё один; а тут 12 чисел " * 40,
+               "it's a dog's life, isn't it? 'tis \"quoted\"... \n\n  and   spaced\t\ttext " * 40, "x" * 2000, "🙂🙃 🙂" * 300]
+    monkeypatch.setattr(packing, "LONG", 97)
+    for text in samples:
+        assert b"".join(encoder.plain(text)) == encoder.encode(text)
+    monkeypatch.undo()
+    text = samples[0] * (4_000_000 // len(samples[0]))
+    began = time.time()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
+    out = next(packing._pieces(packing.default_ranks(), 1024, 0, None)(iter([batch])))
+    assert time.time() - began < 30 and sum(out.column(2).to_pylist()) == out.column(4)[0].as_py()
+
+
 def test_added_tokens_inside_text(spark, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     end = "<|endoftext|>"
