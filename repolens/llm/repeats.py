@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import SLICE_BYTES, SpanHash, byte_values, byte_view, long_column, slices, word_hashes, written
+from repolens.llm.common import SLICE_BYTES, SpanHash, byte_values, byte_view, long_column, mix64, slices, word_hashes, written
 
 # Logical parts for each shuffle partition, of anchors and of pieces: they bound what a task holds at once.
 PARTS, PIECE_PARTS = 4, 16
@@ -93,7 +93,7 @@ def _anchors(values: Callable[[int, int], np.ndarray], bounds: np.ndarray, windo
         grams = SpanHash(values(a, min(b + window - 1, len(room)))).grams(gram)
         ranked = (grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64)
         at = (least_of_each(ranked, window - gram + 1)[starts - a] & _LOW).astype(np.int64)
-        found.append((starts, at + a, grams[at]))
+        found.append((starts, at + a, mix64(grams[at])))  # least hashes crowd at 0, parts are ranges
     if not found:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     starts, at, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
