@@ -333,7 +333,6 @@ def test_tournament_tree_is_first_fit():
 
 def packed(rows, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     places, filled = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
         places[r.doc_id].append(r)
