@@ -88,7 +88,9 @@ def _js_exit(state: Column, block: Column) -> Column:
 
 def code_blocks(content: Column, lang: str, size: int = BLOCK) -> Column:
     """The file's text in order, each element beginning outside strings, comments and templates."""
-    leave = _py_exit if lang == "python" else _js_exit
+    if lang != "python":
+        return F.array(content)  # planning the JavaScript fold costs tens of seconds a query: one block so far
+    leave = _py_exit
     raw = raw_blocks(content, size)
 
     def joined(blocks: Column) -> Column:
@@ -138,7 +140,7 @@ def fstring_decisions(tok: Column) -> Column:
                         F.when(kind.isNotNull(), F.concat(acc["out"], F.array(F.struct(acc["line"].alias("line"), kind.alias("kind"))))).otherwise(acc["out"]).alias("out"))
 
     zero = F.struct(F.array(F.lit("B")).alias("stack"), F.lit("").alias("prev"), F.lit(False).alias("skip"), F.lit(0).alias("line"), none.alias("out"))
-    return F.when(tok.rlike(_F_PREFIX) & tok.contains("{") & tok.rlike(r"\b(?:and|or|else)\b"), _fold(pieces, zero, step)["out"])
+    return F.when(tok.contains("{") & (F.length(tok) > 3) & tok.rlike(_F_PREFIX) & tok.rlike(r"\b(?:and|or|else)\b"), _fold(pieces, zero, step)["out"])
 
 
 def _field(depth: int, newline: str) -> str:

@@ -197,8 +197,9 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         F.when(F.col("same2"), F.col("t_next2")).alias("t3"),
         F.col("line"), F.col("ws"))
     extra = []
-    inner_count = lambda kind: F.coalesce(F.size(F.filter("inner", lambda x: x["kind"] == kind)), F.lit(0))
-    boolean, conditional = (F.greatest(F.lit(0), inner_count(k)) for k in ("boolean_operator", "conditional_expression"))
+    # few tokens are f-strings with decisions: the arrays are only looked at for those
+    inner_count = lambda kind: F.when(F.col("inner").isNotNull(), F.size(F.filter("inner", lambda x: x["kind"] == kind))).otherwise(0)
+    boolean, conditional = inner_count("boolean_operator"), inner_count("conditional_expression")
     if decision_lines:
         line = F.col("line")
         inner_lines = lambda kind: F.flatten(F.collect_list(F.transform(F.filter("inner", lambda x: x["kind"] == kind), lambda x: (x["line"] + line).cast("int"))))
