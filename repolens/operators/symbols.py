@@ -70,40 +70,45 @@ def python_symbols_from_lines(ll: DataFrame) -> DataFrame:
         F.lead("end_off").over(w).alias("nx_end_off"))
 
     indent, is_sym = F.col("indent"), F.col("kind").isNotNull()
-    exploded = lines.withColumn(
-        "v", F.explode(F.filter("levels", lambda v: (v >= indent) | ((F.col("kind") == "def") & (v < indent)))))
+    header_ends_with_colon = F.col("end_off") == F.col("colon_off") + 1
+    has_doc = (header_ends_with_colon & (F.col("nx_nsig") == 1) & (F.col("nx_indent") > indent)
+               & F.col("nx_t1").rlike(T.STRING_START))
+    on_line = F.coalesce(F.col("alone.colon") == F.col("colon_off"), F.lit(False))
+    # only definitions carry their columns on; the other lines close and open levels
+    head_info = F.when(is_sym, F.struct(
+        "first_pos", "first_off", "start_line", "open_off", "close_off", "colon_off", "arrow_off",
+        F.when(has_doc, F.col("nx_first_off")).when(on_line, F.col("alone.off")).alias("doc_off"),
+        F.when(has_doc, F.col("nx_end_off")).when(on_line, F.col("alone.end")).alias("doc_end_off"),
+        "file_last_line", "file_end_off", "file_dec"))
+    exploded = lines.select(
+        *_FILE, "ll", "indent", "kind", "name", "prev_last_line", "prev_end_off", "cum_dec", head_info.alias("h"),
+        F.explode(F.filter("levels", lambda v: (v >= indent) | ((F.col("kind") == "def") & (v < indent)))).alias("v"))
     is_closer = F.col("indent") <= F.col("v")
     closer_info = F.struct(F.col("prev_last_line").alias("last_line"),
                            F.col("prev_end_off").alias("end_off"),
                            F.col("cum_dec").alias("cum_dec"))
     open_info = F.struct(((F.col("kind") == "class") & (F.col("indent") == F.col("v"))).alias("is_class"),
                          F.col("name").alias("name"))
+    exploded = exploded.select("*", F.when(is_closer, closer_info).alias("closer"))
     fwd = Window.partitionBy(*_FILE, "v").orderBy("ll").rowsBetween(Window.unboundedPreceding, -1)
-    bwd = Window.partitionBy(*_FILE, "v").orderBy(F.desc("ll")).rowsBetween(Window.unboundedPreceding, -1)
-    exploded = exploded.select("*", F.last(F.when(is_closer, open_info), ignorenulls=True).over(fwd).alias("open"))
-    exploded = exploded.select("*", F.last(F.when(is_closer, closer_info), ignorenulls=True).over(bwd).alias("nxt"))
+    exploded = exploded.select(
+        "*", F.last(F.when(is_closer, open_info), ignorenulls=True).over(fwd).alias("open"),
+        F.expr(f"lead(closer) IGNORE NULLS OVER (PARTITION BY {', '.join(_FILE)}, v ORDER BY ll)").alias("nxt"))
 
     head = is_sym & (F.col("indent") == F.col("v"))
     lookup = ~is_closer
     enclosing = F.when(lookup & F.col("open.is_class"), F.col("open.name"))
     rows = exploded.where(head | (lookup & F.col("open.is_class")))
-    head_info = F.struct(
-        F.coalesce(F.col("nxt.last_line"), F.col("file_last_line")).alias("end_line"),
-        F.coalesce(F.col("nxt.end_off"), F.col("file_end_off")).alias("end_off"),
-        (F.coalesce(F.col("nxt.cum_dec"), F.col("file_dec")) - F.col("cum_dec")).alias("decisions"))
+    span = F.struct(
+        F.coalesce(F.col("nxt.last_line"), F.col("h.file_last_line")).alias("end_line"),
+        F.coalesce(F.col("nxt.end_off"), F.col("h.file_end_off")).alias("end_off"),
+        (F.coalesce(F.col("nxt.cum_dec"), F.col("h.file_dec")) - F.col("cum_dec")).alias("decisions"))
     grouped = rows.groupBy(*_FILE, "ll").agg(
-        F.first(F.when(head, F.struct(
-            "kind", "name", "indent", "first_pos", "first_off", "start_line", "open_off", "close_off",
-            "colon_off", "arrow_off", "alone", F.col("end_off").alias("hdr_end_off"),
-            "nx_t1", "nx_nsig", "nx_indent", "nx_first_off", "nx_end_off")), ignorenulls=True).alias("h"),
-        F.first(F.when(head, head_info), ignorenulls=True).alias("s"),
+        F.first(F.when(head, F.struct("kind", "name", "h.*")), ignorenulls=True).alias("h"),
+        F.first(F.when(head, span), ignorenulls=True).alias("s"),
         F.max_by(enclosing, F.when(enclosing.isNotNull(), F.col("v"))).alias("class_name"))
 
     h = lambda c: F.col(f"h.{c}")
-    header_ends_with_colon = h("hdr_end_off") == h("colon_off") + 1
-    has_doc = (header_ends_with_colon & (h("nx_nsig") == 1) & (h("nx_indent") > h("indent"))
-               & h("nx_t1").rlike(T.STRING_START))
-    on_line = F.coalesce(h("alone.colon") == h("colon_off"), F.lit(False))
     return grouped.where(F.col("h").isNotNull()).select(
         *_FILE,
         F.lit("python").alias("lang"),
@@ -115,10 +120,7 @@ def python_symbols_from_lines(ll: DataFrame) -> DataFrame:
         h("first_pos").alias("start_pos"),
         h("first_off").alias("start_off"),
         F.col("s.end_off").alias("end_off"),
-        h("open_off").alias("open_off"), h("close_off").alias("close_off"),
-        h("arrow_off").alias("arrow_off"), h("colon_off").alias("colon_off"),
-        F.when(has_doc, h("nx_first_off")).when(on_line, h("alone.off")).alias("doc_off"),
-        F.when(has_doc, h("nx_end_off")).when(on_line, h("alone.end")).alias("doc_end_off"),
+        *[h(c).alias(c) for c in ("open_off", "close_off", "arrow_off", "colon_off", "doc_off", "doc_end_off")],
         (F.col("s.decisions") + 1).cast("int").alias("complexity"),
     )
 
@@ -140,10 +142,11 @@ def python_spans(files: DataFrame) -> DataFrame:
     return syms.withColumn("qualified_name", qualify(F.col("class_name"), F.col("name")))
 
 
-def with_text(symbols: DataFrame, files: DataFrame) -> DataFrame:
+def with_text(symbols: DataFrame, files: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """Attach params, return type, docstring and source by offset slicing.
 
-    One equi-join on (repo, path) against the same partitioned files.
+    One equi-join on (repo, path) against the same partitioned files, whose
+    columns ``more`` are kept too.
     """
     content = F.col("content")
 
@@ -156,9 +159,9 @@ def with_text(symbols: DataFrame, files: DataFrame) -> DataFrame:
                  & (F.col("arrow_off") < F.col("colon_off")),
                  py_strip(cut(F.col("arrow_off") + 2, F.col("colon_off"))))
     doc = F.when(F.col("doc_off").isNotNull(), cut(F.col("doc_off"), F.col("doc_end_off")))
-    joined = symbols.join(files.select(*_FILE, "content"), _FILE, "inner")
+    joined = symbols.join(files.select(*_FILE, *more, "content"), _FILE, "inner")
     return joined.select(
-        *_FILE, "lang", "kind", "name", "class_name",
+        *_FILE, *more, "lang", "kind", "name", "class_name",
         qualify(F.col("class_name"), F.col("name")).alias("qualified_name"),
         params.alias("params"), ret.alias("return_type"), doc.alias("docstring"),
         "start_line", "end_line", "start_pos", "start_off", "end_off", "complexity",

@@ -191,35 +191,43 @@ def logical_lines(tokens: DataFrame, decision_lines: bool = False) -> DataFrame:
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
     tok, dpt, off = F.col("tok"), F.col("dpt"), F.col("off")
     is_first = F.col("is_first")
-    first_info = F.struct(
+    first_info = F.when(is_first, F.struct(
         F.col("pos"), off.alias("off"), tok.alias("t1"),
         F.when(F.col("same1"), F.col("t_next1")).alias("t2"),
         F.when(F.col("same2"), F.col("t_next2")).alias("t3"),
-        F.col("line"), F.col("ws"))
-    extra = []
+        F.col("line"), F.col("ws")))
     # few tokens are f-strings with decisions: the arrays are only looked at for those
     inner_count = lambda kind: F.when(F.col("inner").isNotNull(), F.size(F.filter("inner", lambda x: x["kind"] == kind))).otherwise(0)
     boolean, conditional = inner_count("boolean_operator"), inner_count("conditional_expression")
-    if decision_lines:
-        line = F.col("line")
-        inner_lines = lambda kind: F.flatten(F.collect_list(F.transform(F.filter("inner", lambda x: x["kind"] == kind), lambda x: (x["line"] + line).cast("int"))))
-        extra = [F.sort_array(F.concat(F.collect_list(F.when(tok.isin("and", "or"), line)), inner_lines("boolean_operator"))).alias("andor_lines"),
-                 F.sort_array(F.concat(F.collect_list(F.when((tok == "else") & ~is_first, line)), inner_lines("conditional_expression"))).alias("else_lines")]
     # a string alone behind a colon outside brackets: the docstring of a definition on one line
     alone = ((F.col("behind.tok") == ":") & (F.col("behind.dpt") == 0) & tok.rlike(STRING_START)
              & (F.col("t_next1").isNull() | ~F.col("same1") | (F.col("t_next1") == ";")))
-    agg = (sig.groupBy(*_FILE, "ll").agg(*extra,
-        F.min_by(F.struct(F.col("behind.off").alias("colon"), off.alias("off"), (off + F.length(tok)).alias("end")), F.when(alone, off)).alias("alone"),
-        F.min_by(first_info, F.col("pos")).alias("f"),
+    # tokens are sorted once more by lines, with numbers only; a line's first token brings its text
+    narrow = [*_FILE, "ll", first_info.alias("f"),
+              F.when(alone, F.struct(F.col("behind.off").alias("colon"), off.alias("off"), (off + F.length(tok)).alias("end"))).alias("alone"),
+              (F.col("line") + F.col("nl")).alias("last_line"), (off + F.length(tok)).alias("end_off"),
+              F.when((tok == "(") & (dpt == 0), off).alias("open_off"), F.when((tok == ")") & (dpt == 1), off).alias("close_off"),
+              F.when((tok == ":") & (dpt == 0), off).alias("colon_off"), F.when((tok == "->") & (dpt == 0), off).alias("arrow_off"),
+              F.when(tok.isin("and", "or"), 1).otherwise(boolean).alias("n_andor"), F.when((tok == "else") & ~is_first, 1).otherwise(conditional).alias("n_else")]
+    extra = []
+    if decision_lines:
+        narrow += [F.when(tok.isin("and", "or"), F.col("line")).alias("andor_line"), F.when((tok == "else") & ~is_first, F.col("line")).alias("else_line"), "line", "inner"]
+        line = F.col("line")
+        inner_lines = lambda kind: F.flatten(F.collect_list(F.transform(F.filter("inner", lambda x: x["kind"] == kind), lambda x: (x["line"] + line).cast("int"))))
+        extra = [F.sort_array(F.concat(F.collect_list("andor_line"), inner_lines("boolean_operator"))).alias("andor_lines"),
+                 F.sort_array(F.concat(F.collect_list("else_line"), inner_lines("conditional_expression"))).alias("else_lines")]
+    agg = (sig.select(*narrow).groupBy(*_FILE, "ll").agg(*extra,
+        F.min_by("alone", F.col("alone.off")).alias("alone"),
+        F.first("f", ignorenulls=True).alias("f"),
         F.count(F.lit(1)).alias("n_sig"),
-        F.max(F.col("line") + F.col("nl")).alias("last_line"),
-        F.max(off + F.length(tok)).alias("end_off"),
-        F.min(F.when((tok == "(") & (dpt == 0), off)).alias("open_off"),
-        F.min(F.when((tok == ")") & (dpt == 1), off)).alias("close_off"),
-        F.min(F.when((tok == ":") & (dpt == 0), off)).alias("colon_off"),
-        F.min(F.when((tok == "->") & (dpt == 0), off)).alias("arrow_off"),
-        F.sum(F.when(tok.isin("and", "or"), 1).otherwise(boolean)).alias("n_andor"),
-        F.sum(F.when((tok == "else") & ~is_first, 1).otherwise(conditional)).alias("n_else"),
+        F.max("last_line").alias("last_line"),
+        F.max("end_off").alias("end_off"),
+        F.min("open_off").alias("open_off"),
+        F.min("close_off").alias("close_off"),
+        F.min("colon_off").alias("colon_off"),
+        F.min("arrow_off").alias("arrow_off"),
+        F.sum("n_andor").alias("n_andor"),
+        F.sum("n_else").alias("n_else"),
     ))
     return agg.select(
         *_FILE, "ll",

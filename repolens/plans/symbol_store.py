@@ -24,9 +24,13 @@ from pyspark.sql import functions as F
 
 from repolens.functions.text import classify_language
 from repolens.operators import symbols as S
+from repolens.operators import tokens as T
+from repolens.operators.jssymbols import js_symbols
 from repolens.session import checkpoint_dir
 
 VERSION = 1
+# Characters that one task tokenizes, about: its tokens, some hundred bytes each, are sorted in memory.
+TASK_CHARS = 1 << 20
 _CONTENTS = "content_key string, lang string, batch string"
 _TYPES = {"lang": "string", "kind": "string", "name": "string", "class_name": "string", "qualified_name": "string", "params": "string", "return_type": "string",
           "docstring": "string", "start_line": "int", "end_line": "int", "start_pos": "bigint", "start_off": "bigint", "end_off": "bigint", "complexity": "int", "source": "string"}
@@ -58,14 +62,19 @@ def add_missing(files: DataFrame, base: str | None = None) -> int:
     known = _contents(spark, root).select("content_key", "lang")
     missing = _keyed(files).dropDuplicates(["content_key", "lang"]).join(known, ["content_key", "lang"], "left_anti")
     named = F.when(F.col("lang") == "python", F.lit("m.py")).otherwise(F.lit("m.js"))
+    # within a batch a number stands for the key: every token carries it through each sort
     scratch = f"{root}/missing/{batch}"
-    missing.select(F.col("content_key").alias("repo"), named.alias("path"), "content").write.parquet(scratch)
-    texts = spark.read.parquet(scratch)
-    n = texts.count()
+    missing.select("content_key", "lang", F.monotonically_increasing_id().alias("repo"), named.alias("path"), "content").write.parquet(f"{scratch}/texts")
+    texts = spark.read.parquet(f"{scratch}/texts")
+    n, chars = texts.agg(F.count(F.lit(1)), F.sum(F.length("content"))).first()
     if n:
-        found = S.extract_symbols(texts).select(F.col("repo").alias("content_key"), *COLUMNS, F.lit(batch).alias("batch"))
-        found.write.parquet(f"{root}/symbols/{batch}")
-        texts.select(F.col("repo").alias("content_key"), classify_language(F.col("path")).alias("lang"), F.lit(batch).alias("batch")).write.parquet(f"{root}/contents/{batch}")
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (chars or 0) // TASK_CHARS + 1)
+        for lang, symbols in (("python", S.python_symbols), ("javascript", js_symbols)):
+            some = T.partition_files(texts.where(F.col("lang") == lang).select("repo", "path", "content"), parts)
+            symbols(some, partitioned=True).write.parquet(f"{scratch}/offsets/{lang}")
+        offsets = spark.read.parquet(*[f"{scratch}/offsets/{lang}" for lang in ("python", "javascript")])
+        S.with_text(offsets, texts, ("content_key",)).select("content_key", *COLUMNS, F.lit(batch).alias("batch")).write.parquet(f"{root}/symbols/{batch}")
+        texts.select("content_key", "lang", F.lit(batch).alias("batch")).write.parquet(f"{root}/contents/{batch}")
     return n
 
 

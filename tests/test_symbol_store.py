@@ -1,10 +1,12 @@
 """Symbols kept by content against symbols computed anew."""
 
+import os
 import tempfile
 
 from conftest import files_df
 
 from repolens.operators import symbols as S
+from repolens.operators.jssymbols import js_symbols
 from repolens.plans import symbol_store as ST
 
 A = "class K:\n    def m(self, a: int) -> str:\n        '''Doc é.'''\n        return a or 'x'\n\ndef f(): \"One.\"; return 1\n"
@@ -46,3 +48,25 @@ def test_docstrings_and_slices(spark):
     src = 'def a(): "x" + y\ndef b(x={1: "s"}): "d"\ndef c(): return "s"\ndef d(x: "t"): pass\ndef e(): "x" "y"\ndef g() -> "r": \'z\'\n'
     docs = {r.name: r.docstring for r in S.extract_symbols(files_df(spark, [("d.py", src)])).collect()}
     assert docs == {"a": None, "b": '"d"', "c": None, "d": None, "e": None, "g": "'z'"}
+
+
+def test_tasks_hold_a_bounded_number_of_characters(spark, monkeypatch):
+    monkeypatch.setattr(ST, "TASK_CHARS", 200)
+    base = tempfile.mkdtemp(prefix="repolens-store-")
+    files = files_df(spark, [(f"f{i}.py", f"def f{i}(x):\n    return {i} or x\n") for i in range(120)])
+    assert rows(ST.stored_symbols(files, base)) == rows(S.extract_symbols(files))
+    written = [f for _, _, names in os.walk(ST.store_path(spark, base).removeprefix("file:")) for f in names if f.endswith(".parquet")]
+    assert len(written) > 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_generated_methods_are_compiled(spark):
+    """The JVM interprets methods of more than 8000 bytes, many times slower."""
+    files = files_df(spark, [("a.py", A), ("b.js", B)])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for found in (js_symbols(files), S.python_symbols(files)):
+            stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(found._jdf.queryExecution().executedPlan())
+            assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
