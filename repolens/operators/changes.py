@@ -36,16 +36,20 @@ def _in_file(header):
 def diff_sections(diffs: DataFrame, diff_col: str = "diff") -> DataFrame:
     """(…, diff) -> one row per file section with new/old names and hunks."""
     keys = [c for c in diffs.columns if c != diff_col]
-    sections = diffs.select(*keys, F.posexplode(F.split(F.col(diff_col), r"(?md)^(?=diff --git )", -1))
-                            .alias("section_no", "section"))
-    header = F.element_at(F.split(F.col("section"), r"\n@@", 2), 1)
-    new_name = F.regexp_extract(header, r"(?md)^\+\+\+ (.*)$", 1)
-    old_name = F.regexp_extract(header, r"(?md)^--- (.*)$", 1)
+    # a literal is found many times faster than a line start with something behind it
+    mark = "diff --git "
+    pieces = diffs.select(*keys, F.posexplode(F.split(F.col(diff_col), "\n" + mark, -1)).alias("section_no", "piece"))
+    sections = pieces.select(*keys, "section_no", F.when(F.col("section_no") == 0, F.col("piece")).otherwise(F.concat(F.lit(mark), "piece")).alias("section"))
+    header = F.substring_index("section", "\n@@", 1)
+    # arrays of one element: each name is made once, however many filters ask for it
+    once = lambda df, **columns: df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+    sections = once(sections, new_name=F.regexp_extract(header, r"(?md)^\+\+\+ (.*)$", 1), old_name=F.regexp_extract(header, r"(?md)^--- (.*)$", 1))
+    new_name, old_name = F.col("new_name"), F.col("old_name")
+    sections = once(sections, path=F.when(new_name.startswith("b/"), py_strip(F.substring(new_name, F.lit(3), F.length(new_name)))),
+                    old_path=F.when(old_name.startswith("a/"), py_strip(F.substring(old_name, F.lit(3), F.length(old_name)))),
+                    deleted=py_strip(new_name) == "/dev/null")
     return sections.select(
-        *keys, "section_no",
-        F.when(new_name.startswith("b/"), py_strip(F.substring(new_name, F.lit(3), F.length(new_name)))).alias("path"),
-        F.when(old_name.startswith("a/"), py_strip(F.substring(old_name, F.lit(3), F.length(old_name)))).alias("old_path"),
-        (py_strip(new_name) == "/dev/null").alias("deleted"),
+        *keys, "section_no", "path", "old_path", "deleted",
         F.regexp_extract_all("section", F.lit(_HUNK_RE), 1).alias("starts"),
         F.regexp_extract_all("section", F.lit(_HUNK_RE), 2).alias("counts"),
         F.regexp_extract_all("section", F.lit(_HUNK_HEADER_RE), 0).alias("headers"))

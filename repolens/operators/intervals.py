@@ -26,16 +26,21 @@ FAN_BITS = 4                # fan-out 16
 LEVELS = 7                  # a node of the last level has 64 * 16 ** 6 lines, half of all 32-bit line numbers
 
 
-def _nodes(lo: Column, hi: Column) -> Column:
-    """The tree nodes of buckets lo..hi: array<struct<level, node>>."""
-    none = F.array().cast("array<struct<level:int,node:bigint>>")
+def _code(side: int, level: int, node: Column) -> Column:
+    """A tree node as one number: whose start it compares in bit 0, its level in bits 1 to 3."""
+    return F.shiftleft(node, 4) + (2 * level + side)
+
+
+def _nodes(lo: Column, hi: Column, side: int) -> Column:
+    """Codes of the tree nodes of buckets lo..hi: array<bigint>."""
+    none = F.array().cast("array<bigint>")
 
     def inside(level: int) -> tuple[Column, Column]:  # first and last node of the level inside the range
         size = 1 << (FAN_BITS * level)
         return F.floor((lo + (size - 1)) / size).cast("long"), (F.floor((hi + 1) / size) - 1).cast("long")
 
     def run(level: int, a: Column, b: Column) -> Column:
-        return F.when(a <= b, F.transform(F.sequence(a, F.greatest(a, b)), lambda x: F.struct(F.lit(level).alias("level"), x.alias("node")))).otherwise(none)
+        return F.when(a <= b, F.transform(F.sequence(a, F.greatest(a, b)), lambda x: _code(side, level, x))).otherwise(none)
 
     parts = []
     for level in range(LEVELS):
@@ -47,17 +52,16 @@ def _nodes(lo: Column, hi: Column) -> Column:
     return F.concat(*parts)
 
 
-def _ancestors(at: Column) -> Column:
-    return F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(at, FAN_BITS * level).alias("node")) for level in range(LEVELS)])
-
-
 def _keyed(df: DataFrame, start: str, end: str, width: int, start_side: int) -> DataFrame:
-    """One row per key: ``_side`` tells whose start it compares (0 left, 1 right)."""
+    """One row per key: its side tells whose start it compares (0 left, 1 right)."""
     bucket = lambda c: F.floor(F.col(c) / width).cast("long")
-    lo, hi = bucket(start), F.greatest(bucket(start), bucket(end))
-    side = lambda nodes, s: F.transform(nodes, lambda x: F.struct(F.lit(s).alias("side"), x["level"].alias("level"), x["node"].alias("node")))
-    keys = F.concat(side(_ancestors(lo), start_side), side(_nodes(lo, hi), 1 - start_side))
-    return df.withColumn("_key", F.explode(keys))
+    df = df.select("*", bucket(start).alias("_lo"), F.greatest(bucket(start), bucket(end)).alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    ancestors = [_code(start_side, level, F.shiftright(lo, FAN_BITS * level)) for level in range(LEVELS)]
+    # most ranges lie in one bucket, which is their only node
+    keys = F.when(lo == hi, F.array(*ancestors, _code(1 - start_side, 0, lo))).otherwise(F.concat(F.array(*ancestors), _nodes(lo, hi, 1 - start_side)))
+    # the keys are a column of their own first: exploding an expression with lambdas would interpret all of it
+    return df.select("*", keys.alias("_keys")).select("*", F.explode("_keys").alias("_key")).drop("_lo", "_hi", "_keys")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
@@ -75,13 +79,11 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
     rb = _keyed(right, rs, re_, width, 1).withColumnRenamed("_key", "_rkey")
     for k in keys:
         rb = rb.withColumnRenamed(k, f"_r_{k}")
-    cond = F.lit(True)
-    for part in ("side", "level", "node"):
-        cond = cond & (F.col(f"_lkey.{part}") == F.col(f"_rkey.{part}"))
+    cond = F.col("_lkey") == F.col("_rkey")
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_r_{k}"))
-    inside = F.when(F.col("_lkey.side") == 0, F.col(ls).between(F.col(rs), F.col(re_))).otherwise((F.col(rs) > F.col(ls)) & (F.col(rs) <= F.col(le)))
+    inside = F.when(F.col("_lkey").bitwiseAND(1) == 0, F.col(ls).between(F.col(rs), F.col(re_))).otherwise((F.col(rs) > F.col(ls)) & (F.col(rs) <= F.col(le)))
     joined = lb.join(rb, cond & inside, how)
     if how == "left":
-        joined = joined.where(F.col("_rkey").isNotNull() | ((F.col("_lkey.side") == 0) & (F.col("_lkey.level") == 0)))
+        joined = joined.where(F.col("_rkey").isNotNull() | (F.col("_lkey").bitwiseAND(15) == 0))  # the start in its own bucket
     return joined.drop("_lkey", "_rkey", *[f"_r_{k}" for k in keys])

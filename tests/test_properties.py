@@ -8,9 +8,11 @@ import sysconfig
 from conftest import files_df
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from repolens.operators import changes as C
 from repolens.operators import complexity as CX
+from repolens.operators import intervals as I
 from repolens.operators import symbols as S
 
 
@@ -127,3 +129,21 @@ def test_fstring_decisions_against_ast(spark):
     for i, (node, body) in enumerate(zip(tree.body, bodies, strict=True)):
         n = sum(len(x.values) - 1 if isinstance(x, ast.BoolOp) else isinstance(x, ast.IfExp) for x in ast.walk(node))
         assert got[f"f{i}"] == 1 + n, body
+
+
+def test_sections_with_a_preamble_and_quoted_headers(spark):
+    diff = ("note\ndiff --git a/x.py b/x.py\n--- a/x.py\n+++ b/x.py \n@@ -1 +3,2 @@\n+diff --git a/no b/no\n diff --git a/no b/no\n+++ b/no.py\n"
+            "diff --git a/y.py b/y.py\n--- a/y.py\n+++ /dev/null\n@@ -1 +0,0 @@")
+    sections = C.diff_sections(spark.createDataFrame([(1, diff), (2, "diff --git a/z.py b/z.py\n--- a/z.py\n+++ b/z.py\n"), (3, None), (4, "")], "id int, diff string"))
+    found = sorted((r.id, r.section_no, r.path, r.old_path, r.deleted, r.starts, r.counts) for r in sections.where("path IS NOT NULL OR deleted").collect())
+    assert found == [(1, 1, "x.py", "x.py", False, ["3"], ["2"]), (1, 2, None, "y.py", True, ["0"], ["0"]), (2, 0, "z.py", "z.py", False, [], [])]
+    names = sections.where("path IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert names.count("regexp_extract(") == 2  # a filter on the names doesn't search the text again
+
+
+def test_keys_of_ranges_are_numbers_exploded_by_compiled_code(spark):
+    ranges = spark.createDataFrame([(1, 5), (10, 700), (3, 2_000_000_000)], "a bigint, b bigint")
+    keyed = I._keyed(ranges, "a", "b", 64, 0)
+    assert dict(keyed.dtypes)["_key"] == "bigint"
+    keys = {r.a: r.n for r in keyed.groupBy("a").agg(F.count_distinct("_key").alias("n")).collect()}
+    assert keys[1] == 8 and keys[10] == 7 + 11 and keys[3] < 7 + 210
