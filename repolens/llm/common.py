@@ -44,6 +44,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def giving_back(run):
+    """``run`` for mapInArrow.  A worker that is reused keeps what Arrow freed, also
+    while it waits and the executor's other side needs memory; so a task gives it back."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return task
+
+
 def byte_view(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets of an Arrow string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

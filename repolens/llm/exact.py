@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import written
+from repolens.llm.common import giving_back, written
 from repolens.llm.repeats import by_part
 
 RANGE_ROWS = 1 << 23
@@ -62,7 +62,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     the order of ``lead``, so that a range is read without the others."""
     pair = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", pair.schema[0].dataType), T.StructField("lead", T.IntegerType()), T.StructField("sha", T.BinaryType())])
-    return written(pair.mapInArrow(_digests, schema).sortWithinPartitions("lead"), "exact-digests")
+    return written(pair.mapInArrow(giving_back(_digests), schema).sortWithinPartitions("lead"), "exact-digests")
 
 
 def _probes(shas, bits: int) -> np.ndarray:
@@ -130,9 +130,9 @@ def filters(rows: DataFrame, bits_per_row: int = BITS_PER_ROW, range_rows: int =
     n = rows.count()
     ranges = min(1 << 16, max(1, -(-n // range_rows)))
     bits = 1 << max(10, (min(n, range_rows) * bits_per_row - 1).bit_length())
-    sent = rows.select("lead", "sha").mapInArrow(_fold(bits, ranges), _SENT)
+    sent = rows.select("lead", "sha").mapInArrow(giving_back(_fold(bits, ranges)), _SENT)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    owned = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_own(bits), "part int, again binary")
+    owned = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(giving_back(_own(bits)), "part int, again binary")
     return written(owned, "exact-filters"), bits, ranges
 
 

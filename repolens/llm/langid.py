@@ -23,9 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import byte_view, slices
+from repolens.llm.common import byte_view, giving_back, slices
 
 UNKNOWN = "und"
+PADDED = 8192   # windows, sorted by size, that are padded to the longest of them
+AT_ONCE = 1024  # of these, windows labelled at a time: a worker holds their states, some 8 KB each
 
 
 class ByteGRU:
@@ -142,23 +144,25 @@ def cut_windows(lengths: np.ndarray, offsets: np.ndarray, window: int):
     return starts, np.minimum(window, offsets[rows] + lengths[rows] - starts), rows
 
 
-def pooled(model: ByteGRU, data: np.ndarray, offsets: np.ndarray, window: int, at_once: int = 8192) -> np.ndarray:
+def pooled(model: ByteGRU, data: np.ndarray, offsets: np.ndarray, window: int, at_once: int = AT_ONCE) -> np.ndarray:
     """Mean class probabilities [rows, classes] over all bytes of each text."""
     lengths = np.diff(offsets)
     starts, sizes, rows = cut_windows(lengths, offsets[:-1], window)
     total = np.zeros((len(lengths), model.classes))
     padded = np.concatenate([data, np.zeros(window, np.uint8)])
     order = np.argsort(sizes, kind="stable")  # short windows together, cut to their longest
-    for i in range(0, len(order), at_once):
-        some = order[i:i + at_once]
-        most = int(sizes[some].max())
-        inside = np.arange(most)[:, None] < sizes[some]
-        seq = np.where(inside, padded[starts[some] + np.arange(most)[:, None]], 0)
-        p = model.label(seq)
-        p *= inside[:, None, :]
-        sums = p.sum(axis=0)
-        for k in range(model.classes):
-            total[:, k] += np.bincount(rows[some], weights=sums[k], minlength=len(lengths))
+    for i in range(0, len(order), PADDED):
+        alike = order[i:i + PADDED]
+        most = int(sizes[alike].max())
+        for j in range(0, len(alike), at_once):
+            some = alike[j:j + at_once]
+            inside = np.arange(most)[:, None] < sizes[some]
+            seq = np.where(inside, padded[starts[some] + np.arange(most)[:, None]], 0)
+            p = model.label(seq)
+            p *= inside[:, None, :]
+            sums = p.sum(axis=0)
+            for k in range(model.classes):
+                total[:, k] += np.bincount(rows[some], weights=sums[k], minlength=len(lengths))
     return total / np.maximum(lengths, 1)[:, None]
 
 
@@ -189,7 +193,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     rate = F.lit(0.0)
     for lang in languages:
         rate = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / counts[lang]))).otherwise(rate)
-    sample = rows.where(spread < rate).select("text", "lang").mapInArrow(_sample_windows(window, windows_per_doc), "bytes binary, lang string")
+    sample = rows.where(spread < rate).select("text", "lang").mapInArrow(giving_back(_sample_windows(window, windows_per_doc)), "bytes binary, lang string")
     found = sorted((r["lang"], bytes(r["bytes"])) for r in sample.collect())  # bounded sample; sorted: reruns agree
     data = np.frombuffer(b"".join(x.ljust(window, b"\0") for _, x in found), np.uint8).reshape(-1, window)
     masks = (np.arange(window) < np.array([len(x) for _, x in found])[:, None]).astype(np.float32)
@@ -201,9 +205,12 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     return model.fit(data[even], masks[even], labels[even], steps, seed=seed), languages
 
 
-def _answers(model: ByteGRU | None, languages: list[str], window: int):
+def _answers(model: ByteGRU | None, languages: list[str], window: int, at: int | None = None):
+    def with_text(batch):
+        return batch if at is None else pa.RecordBatch.from_arrays([batch.column(0), batch.column(0).field(at)], ["row", "text"])
+
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(map(with_text, batches), "text"):
             column = batch.column(1)
             if model is None:
                 names, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
@@ -218,9 +225,12 @@ def _answers(model: ByteGRU | None, languages: list[str], window: int):
 
 def predict(docs: DataFrame, model: ByteGRU | None, languages: list[str], text_col: str = "text", window: int = 64) -> DataFrame:
     """row (a struct of docs' columns), lang_pred, score."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    # a string is read inside the row: sent beside it, whole texts would be held twice by both sides
+    at = next((i for i, f in enumerate(docs.schema) if f.name == text_col and f.dataType == T.StringType()), None)
+    whole = docs.select(row) if at is not None else docs.select(row, F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([whole.schema[0], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return whole.mapInArrow(_answers(model, languages, window), schema)
+    return whole.mapInArrow(giving_back(_answers(model, languages, window, at)), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repolens.llm.common import mix64, slices, written
+from repolens.llm.common import giving_back, mix64, slices, written
 from repolens.llm.components import components
 from repolens.llm.shingles import overlap, shingle_sets
 
@@ -123,7 +123,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
     with_texts = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return written(with_texts.mapInArrow(_likeness(size, percent), "a long, b long"), "near-links")
+    return written(with_texts.mapInArrow(giving_back(_likeness(size, percent)), "a long, b long"), "near-links")
 
 
 def _counted(pairs: DataFrame, nodes: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, n_shingles, component_id, kept."""
     text = F.col(text_col).cast("string")
     pair = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    signed = written(pair.mapInArrow(_signatures(size, coordinates), "doc_id long, text_key long, n long, key_a long, key_b long, signature array<long>, sketch array<long>"), "near-signatures")
+    signed = written(pair.mapInArrow(giving_back(_signatures(size, coordinates)), "doc_id long, text_key long, n long, key_a long, key_b long, signature array<long>, sketch array<long>"), "near-signatures")
     classes = signed.where("n > 0").groupBy("key_a", "key_b", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
     classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
     nodes = classes.select("rep", "n", "signature", "sketch")
@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = classes.join(some, "rep", "left_semi").select("rep", "least.*")
     texts = written(pair.join(some, ["doc_id", "text_key"]).groupBy("rep").agg(F.max("text").alias("text")), "near-texts")
 
-    member = docs.sparkSession.createDataFrame([], "node long, comp long")
+    member = docs.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("comp"))
     for k in range(rounds + 1):
         placed = lists.join(member, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("comp", "rep").alias("comp"))
         mixed = placed.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import slices, written
+from repolens.llm.common import giving_back, slices, written
 
 LONG = 1 << 20
 # Behind the match a piece of the vocabulary's pattern ends: letters, numbers and other
@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     """doc_id, start, length, ids_crc32, doc_tokens: one row per piece."""
     pair = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", pair.schema[0].dataType)] + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens")])
-    return pair.mapInArrow(_pieces(ranks or default_ranks(), length, end_id, default_added() if added is None else added), schema)
+    return pair.mapInArrow(giving_back(_pieces(ranks or default_ranks(), length, end_id, default_added() if added is None else added)), schema)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:

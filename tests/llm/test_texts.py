@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from repolens.llm import html_main, langid, mixing, ngrams, packing, queries
-from repolens.llm.common import byte_view
+from repolens.llm.common import byte_view, giving_back
 from tests.llm.conftest import SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -220,6 +221,37 @@ def test_language_against_a_plain_network(spark):
         assert got[i][0] == languages[int(p.argmax())] and abs(got[i][1] - p.max()) < 1e-3
 
 
+def test_labelling_holds_few_states_at_a_time():
+    model, data = langid.ByteGRU(4, 8), np.random.default_rng(1).integers(32, 127, 1 << 20).astype(np.uint8)
+    tracemalloc.start()
+    p = langid.pooled(model, data, np.arange(0, len(data) + 1, 1 << 16), 64)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert p.shape == (16, 4) and most < 16 << 20
+
+
+def test_tasks_give_freed_memory_back(monkeypatch):
+    gone, pool = [], pa.default_memory_pool()
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: gone.append(1) or pool)
+    assert list(giving_back(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3] and gone == [1]
+    stopped = giving_back(lambda batches: iter(batches))([1, 2])
+    assert next(stopped) == 1
+    stopped.close()
+    assert gone == [1, 1]
+
+
+def test_text_is_sent_once_and_may_be_of_other_types(spark):
+    docs = spark.createDataFrame([(1, "one two", "a"), (2, None, "b"), (3, "12", None), (4, "three", "c")], "id long, body string, lang string")
+    model = langid.ByteGRU(2, 4, seed=3)
+    whole = langid.predict(docs, model, ["x", "y"], "body")
+    sent = whole._jdf.queryExecution().analyzed().children().head().output()
+    assert [sent.apply(i).name() for i in range(sent.size())] == ["row"]
+    found = sorted(map(tuple, whole.collect()))
+    as_bytes = docs.withColumn("body", F.col("body").cast("binary"))
+    assert [x[1:] for x in sorted(map(tuple, langid.predict(as_bytes, model, ["x", "y"], "body").collect()))] == [x[1:] for x in found]
+    assert [x[1] == langid.UNKNOWN for x in found] == [False, True, True, False] and [x[0][1] for x in found] == ["one two", None, "12", "three"]
+
+
 def test_language_of_odd_rows(odd, odd_rows, none):
     out = langid.identify(odd).collect()
     assert len(out) == len(odd_rows)
