@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repolens.functions.text import py_strip
-from repolens.operators.intervals import overlap_join
+from repolens.operators.intervals import overlap_hits, overlap_join
 
 _HUNK_RE = r"(?md)^@@ \S+ \+(\d+)(?:,(\d+))?(?= |$)"
 _HUNK_HEADER_RE = r"(?md)^@@[^\n]*"
@@ -141,6 +141,18 @@ def modified_line_count(hunks: DataFrame, keys: list[str]) -> DataFrame:
             .agg(F.sum(F.col("end_line") - F.col("start_line") + 1).alias("modified_line_count")))
 
 
+def _ranges_of_files(hunks: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per (keys, path) with its distinct hunk ranges, ascending.  Diffs
+    that are partitioned by the keys are not shuffled for it."""
+    return hunk_ranges(hunks).groupBy(*keys, "path").agg(
+        F.sort_array(F.collect_set(F.struct(F.col("start_line").alias("lo"), F.col("end_line").alias("hi")))).alias("ranges"))
+
+
+def _function_rows(symbols: DataFrame) -> DataFrame:
+    """Spans of functions; by their first column they ascend in document order."""
+    return symbols.where(F.col("kind") == "def").select("repo", "path", "start_off", F.col("qualified_name").alias("function"), "start_line", "end_line")
+
+
 def hunk_symbol_overlap(hunks: DataFrame, symbols: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, path, function, start_line, end_line, start_off): functions whose
     span contains a changed line (nested and outer both reported)."""
@@ -171,23 +183,13 @@ def union_length(ranges):
 def change_impact(hunks: DataFrame, symbols: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
     """Per changed file that exists: modified line count and affected functions.
 
-    One pass: hunks are range-joined (left outer, see ``intervals``) to function
-    spans, then grouped once per (change, path), collecting the hunk ranges
-    (whose union length is the modified line count) and the hits.
+    Hunks are grouped per (change, path) first, collecting their ranges (whose
+    union length is the modified line count); these rows are shuffled once, to the
+    existing files and their function spans (see ``intervals.overlap_hits``).
     Output (keys…, path, modified_line_count, n_affected, affected_functions
     array<struct<function, start_line, end_line, span>> in document order).
     """
-    r = hunk_ranges(hunks).select(*keys, "path", F.col("start_line").alias("h_lo"), F.col("end_line").alias("h_hi"))
-    defs = symbols.where(F.col("kind") == "def").select(
-        "repo", "path", F.col("qualified_name").alias("function"),
-        F.col("start_line").alias("s_lo"), F.col("end_line").alias("s_hi"), "start_off")
-    pairs = overlap_join(r, defs, ["repo", "path"], ("h_lo", "h_hi"), ("s_lo", "s_hi"), how="left")
-    per = pairs.groupBy(*keys, "path").agg(
-        F.sort_array(F.collect_set(F.struct(F.col("h_lo").alias("lo"), F.col("h_hi").alias("hi")))).alias("ranges"),
-        F.sort_array(F.collect_set(F.when(F.col("function").isNotNull(), F.struct(
-            "start_off", "function", F.col("s_lo").alias("start_line"), F.col("s_hi").alias("end_line"))))).alias("hits"))
-    existing = files.select("repo", "path")
-    out = per.join(existing, ["repo", "path"], "left_semi")
+    out = overlap_hits(_ranges_of_files(hunks, keys), _function_rows(symbols), ["repo", "path"], "ranges", ("start_line", "end_line"), among=files)
     affected = F.transform("hits", lambda x: F.struct(
         x["function"].alias("function"), x["start_line"].alias("start_line"), x["end_line"].alias("end_line"),
         F.concat(F.lit("lines "), x["start_line"].cast("string"), F.lit("-"), x["end_line"].cast("string")).alias("span")))

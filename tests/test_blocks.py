@@ -86,3 +86,50 @@ def test_range_sweep_and_lines(spark):
     counts = {r.change_id: r.modified_line_count for r in C.modified_line_count(hunks, ["repo", "change_id"]).collect()}
     assert counts == {1: len(lines), 2: 2_000_000_000}
     assert [r.line_no for r in C.hunk_lines(hunks.where("change_id = 2"), ["repo", "change_id"]).limit(2).collect()] == [7, 8]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("kmn"), st.lists(RANGE, min_size=1, max_size=4)), min_size=1, max_size=12), st.lists(st.tuples(st.sampled_from("km"), RANGE), max_size=20), st.sampled_from([0, 4, 1024]))
+def test_overlap_hits_by_arrays_and_by_the_tree(spark, left, right, most):
+    rows = spark.createDataFrame([(k, i, some) for i, (k, some) in enumerate(left)], "k string, i int, some array<struct<lo:long,hi:long>>")
+    spans = spark.createDataFrame([(k, j, a, b) for j, (k, (a, b)) in enumerate(right)], "k string, j int, a long, b long")
+    expect = {i: sorted(j for j, (m, (a, b)) in enumerate(right) if m == k and any(lo <= b and a <= hi for lo, hi in some)) for i, (k, some) in enumerate(left)}
+    out = I.overlap_hits(rows, spans, ["k"], "some", ("a", "b"), most=most).collect()
+    known = {k for k, _ in right}
+    assert len({r.i for r in out}) == len(out) and {r.i: [x.j for x in r.hits] for r in out} == {i: hits for i, hits in expect.items() if left[i][0] in known}
+    among = spark.createDataFrame([("k",), ("n",), ("n",), ("z",)], "k string")
+    out = I.overlap_hits(rows, spans, ["k"], "some", ("a", "b"), among, most).collect()
+    assert len({r.i for r in out}) == len(out) and {r.i: [x.j for x in r.hits] for r in out} == {i: hits for i, hits in expect.items() if left[i][0] in "kn"}
+
+
+def shuffled_rows(df):
+    """Rows that the run plan's shuffles wrote, a shuffle read twice counted once."""
+    df.collect()
+    seen, todo, rows = set(), [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name != "ReusedExchangeExec":
+            if name == "ShuffleExchangeExec" and node.id() not in seen:
+                seen.add(node.id())
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def changed(spark):
+    """Hunks of one file per change, most of them huge; functions of the file."""
+    hunks = spark.createDataFrame([("r", c, "a.py", 1 + c % 7, 2_000_000_000 if c % 3 else 1) for c in range(300)], "repo string, change_id int, path string, start_line long, line_count long")
+    symbols = spark.createDataFrame([("r", "a.py", "def", f"f{k}", 1 + 3 * k, 3 + 3 * k, k) for k in range(10)], "repo string, path string, kind string, qualified_name string, start_line int, end_line int, start_off long")
+    return hunks, symbols
+
+
+def test_impact_of_huge_hunks_shuffles_a_change_as_one_row(spark):
+    hunks, symbols = changed(spark)
+    impact = C.change_impact(hunks, symbols, symbols.select("repo", "path").distinct(), ["repo", "change_id"])
+    assert {(r.change_id, r.n_affected) for r in impact.collect()} == {(c, 10 - c % 7 // 3 if c % 3 else 1) for c in range(300)}
+    assert shuffled_rows(impact) <= 2 * 300 + 100
