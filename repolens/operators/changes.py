@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repolens.functions.text import py_strip
-from repolens.operators.intervals import overlap_hits, overlap_join
+from repolens.operators.intervals import overlap_hits
 
 _HUNK_RE = r"(?md)^@@ \S+ \+(\d+)(?:,(\d+))?(?= |$)"
 _HUNK_HEADER_RE = r"(?md)^@@[^\n]*"
@@ -156,15 +156,8 @@ def _function_rows(symbols: DataFrame) -> DataFrame:
 def hunk_symbol_overlap(hunks: DataFrame, symbols: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, path, function, start_line, end_line, start_off): functions whose
     span contains a changed line (nested and outer both reported)."""
-    r = hunk_ranges(hunks).select(*keys, "path", F.col("start_line").alias("h_lo"), F.col("end_line").alias("h_hi"))
-    defs = symbols.where(F.col("kind") == "def").select(
-        "repo", "path", F.col("qualified_name").alias("function"),
-        F.col("start_line").alias("s_lo"), F.col("end_line").alias("s_hi"), "start_off")
-    join_keys = ["repo", "path"]
-    pairs = overlap_join(r, defs, join_keys, ("h_lo", "h_hi"), ("s_lo", "s_hi"))
-    return (pairs.select(*keys, "path", "function", F.col("s_lo").alias("start_line"),
-                         F.col("s_hi").alias("end_line"), "start_off")
-            .distinct())
+    hits = overlap_hits(_ranges_of_files(hunks, keys), _function_rows(symbols), ["repo", "path"], "ranges", ("start_line", "end_line"))
+    return hits.select(*keys, "path", F.inline("hits")).select(*keys, "path", "function", "start_line", "end_line", "start_off")
 
 
 def union_length(ranges):

@@ -133,3 +133,10 @@ def test_impact_of_huge_hunks_shuffles_a_change_as_one_row(spark):
     impact = C.change_impact(hunks, symbols, symbols.select("repo", "path").distinct(), ["repo", "change_id"])
     assert {(r.change_id, r.n_affected) for r in impact.collect()} == {(c, 10 - c % 7 // 3 if c % 3 else 1) for c in range(300)}
     assert shuffled_rows(impact) <= 2 * 300 + 100
+
+
+def test_overlap_of_huge_hunks_shuffles_a_change_as_one_row(spark):
+    hunks, symbols = changed(spark)
+    overlap = C.hunk_symbol_overlap(hunks, symbols, ["repo", "change_id"])
+    assert overlap.count() == overlap.distinct().count() == sum(10 - c % 7 // 3 if c % 3 else 1 for c in range(300))
+    assert shuffled_rows(overlap) <= 2 * 300 + 100
