@@ -9,6 +9,7 @@ from repolens.functions import text as X
 from repolens.operators import churn as CH
 from repolens.sources import archives as AR
 from repolens.sources import files as FS
+from repolens.sources import fixtures as fx
 
 
 def _write(root, rel, data: bytes):
@@ -120,3 +121,15 @@ def test_git_log_and_loc(spark):
     assert counts == {"a.py": 2, "c.tsx": 1}
     df = spark.createDataFrame([("",), ("a",), ("a\n",), ("a\r\nb",), ("a\rb\n\n",)], "t string")
     assert [r.n for r in df.select(X.loc(F.col("t")).alias("n")).collect()] == [0, 1, 1, 2, 3]
+
+
+def test_hunk_texts_are_shuffled_short_and_come_back_whole(spark):
+    hunk = "diff --git a/{0} b/{0}\n--- a/{0}\n+++ b/{0}\n@@ -1 +3 @@"
+    texts = [hunk.format(name) for name in ("pkg/m.py", "m", "", "a b/c\0.py", "++ b/x.py")] + ["", "no name", "\0", "x\0--- a/y", "x\n--- a/\ny", "x\n--- a/y\n--- a/z", hunk.format("u.py") + "\0", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", "t", fx._short(F.col("t")).alias("short"))
+    rows = df.select("i", "t", "short", fx._whole(F.col("short")).alias("back")).orderBy("i").collect()
+    assert [r.back for r in rows] == texts and len(rows[0].short) == len(texts[0]) - 3 * len("pkg/m.py") + 5
+    diffs = fx.diffs_of(spark.createDataFrame([("r", 1, t) for t in texts] + [("q", 1, None)], "repo string, change_id int, hunk_text string"))
+    below = diffs._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning", 1)[1]
+    assert "collect_list" not in below
+    assert {r.repo: r.diff for r in diffs.collect()} == {"r": "\n".join(sorted(t for t in texts if t is not None)), "q": ""}
