@@ -28,10 +28,10 @@ from repolens.operators import tokens as T
 from repolens.operators.jssymbols import js_symbols
 from repolens.session import checkpoint_dir
 
-VERSION = 1
+VERSION = 2
 # Characters that one task tokenizes, about: its tokens, some hundred bytes each, are sorted in memory.
 TASK_CHARS = 1 << 20
-_CONTENTS = "content_key string, lang string, batch string"
+_CONTENTS = "content_key binary, lang string, batch string"
 _TYPES = {"lang": "string", "kind": "string", "name": "string", "class_name": "string", "qualified_name": "string", "params": "string", "return_type": "string",
           "docstring": "string", "start_line": "int", "end_line": "int", "start_pos": "bigint", "start_off": "bigint", "end_off": "bigint", "complexity": "int", "source": "string"}
 COLUMNS = list(_TYPES)
@@ -41,18 +41,22 @@ def store_path(spark: SparkSession, base: str | None = None) -> str:
     return f"{base or checkpoint_dir(spark).rstrip('/') + '/tables'}/symbol-store-{VERSION}"
 
 
-def _contents(spark: SparkSession, root: str) -> DataFrame:
-    """content_key, lang, batch of all texts whose symbols are stored."""
+def _listed(spark: SparkSession, root: str) -> DataFrame:
+    """content_key, lang, batch as the batches list them."""
     try:
-        known = spark.read.schema(_CONTENTS).parquet(f"{root}/contents/*")
+        return spark.read.schema(_CONTENTS).parquet(f"{root}/contents/*")
     except AnalysisException:  # no batch yet
-        known = spark.createDataFrame([], _CONTENTS)
-    return known.groupBy("content_key", "lang").agg(F.min("batch").alias("batch"))
+        return spark.createDataFrame([], _CONTENTS)
+
+
+def _contents(spark: SparkSession, root: str) -> DataFrame:
+    """content_key, lang, batch of all texts whose symbols are stored."""
+    return _listed(spark, root).groupBy("content_key", "lang").agg(F.min("batch").alias("batch"))
 
 
 def _keyed(files: DataFrame) -> DataFrame:
     lang = classify_language(F.col("path"))
-    return files.select("repo", "path", lang.alias("lang"), F.sha2("content", 256).alias("content_key"), "content").where("lang IS NOT NULL")
+    return files.select("repo", "path", lang.alias("lang"), F.unhex(F.sha2("content", 256)).alias("content_key"), "content").where("lang IS NOT NULL")
 
 
 def add_missing(files: DataFrame, base: str | None = None) -> int:
@@ -83,12 +87,11 @@ def stored_symbols(files: DataFrame, base: str | None = None) -> DataFrame:
     spark = files.sparkSession
     add_missing(files, base)
     root = store_path(spark, base)
-    known = _contents(spark, root)
-    batches = [r["batch"] for r in known.select("batch").distinct().collect()]  # one per request that found new texts
+    batches = [r["batch"] for r in _listed(spark, root).select("batch").distinct().collect()]  # one per request that found new texts
     types = ", ".join(f"{c} {t}" for c, t in _TYPES.items())
     if not batches:
         return spark.createDataFrame([], "repo string, path string, " + types)
-    table = spark.read.schema(f"content_key string, {types}, batch string").parquet(*[f"{root}/symbols/{b}" for b in batches])
-    where = _keyed(files).drop("content").join(known, ["content_key", "lang"])
+    table = spark.read.schema(f"content_key binary, {types}, batch string").parquet(*[f"{root}/symbols/{b}" for b in batches])
+    where = _keyed(files).drop("content").join(_contents(spark, root), ["content_key", "lang"])
     return where.join(table, ["content_key", "lang", "batch"]).select("repo", "path", *COLUMNS)
 

@@ -70,3 +70,8 @@ def test_generated_methods_are_compiled(spark):
             assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_content_keys_are_bytes(spark, tmpdir_fresh):
+    ST.add_missing(files_df(spark, [("a.py", "def f(): pass\n")]), tmpdir_fresh)
+    assert [len(r.content_key) for r in ST._contents(spark, ST.store_path(spark, tmpdir_fresh)).collect()] == [32]
