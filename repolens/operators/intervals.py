@@ -127,9 +127,8 @@ def overlap_hits(left: DataFrame, right: DataFrame, keys: list[str], ranges: str
     if among is not None:
         index = index.where("_among")
     index = index.drop("_among")
-    # each index is shuffled when its arrays are finished: AQE splits a hot key only where both sides come straight
-    # from a shuffle.  Both read one shuffle of the left rows: no filter here concerns these (inline would bring one)
-    by_array, by_tree = (left.join(index.where(some).repartition(*keys), keys) for some in ("_rows IS NOT NULL", "_rows IS NULL"))
+    # no filter here concerns the left rows (inline would bring one): both branches read one shuffle of them
+    by_array, by_tree = (left.join(index.where(some), keys) for some in ("_rows IS NOT NULL", "_rows IS NULL"))
     overlaps = lambda d: F.exists(ranges, lambda r: operator.or_(*_inside(r["lo"], r["hi"], d[rs], d[re_])))
     pairs = overlap_join(by_tree.select(*left.columns, F.inline_outer(ranges).alias("_start", "_end")),
                          rows.where(~few & F.isnotnull("_row")).select(*keys, "_row", F.col("_row")[rs].alias("_first"), F.col("_row")[re_].alias("_last")),
